@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPAN_TYPE = "array<struct<start:int,end:int,label:string>>"
@@ -54,7 +54,7 @@ def bind(value: Column, body) -> Column:
 def overlap_free(spans: Column) -> Column:
     """True when spans sorted by start do not overlap."""
     return bind(
-        F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))),
+        F.sort_array(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))),
         lambda ordered: F.forall(
             F.transform(
                 ordered,
@@ -68,3 +68,14 @@ def overlap_free(spans: Column) -> Column:
 def index_range(n: Column) -> Column:
     """0..n-1, empty when n is 0."""
     return F.when(n > 0, F.sequence(F.lit(0), (n - 1).cast("int"))).otherwise(empty("array<int>"))
+
+
+def unnest(df: DataFrame, keep: list, array: Column | str, value: str, pos: str | None = None) -> DataFrame:
+    """One row per array element, none for an empty array.
+
+    An inner explode makes the optimizer infer ``size(array) > 0`` and push it to the scan, where the
+    whole expression behind the array is evaluated once more. The outer form with a filter on the
+    element keeps that work to one evaluation.
+    """
+    rows = F.explode_outer(array).alias(value) if pos is None else F.posexplode_outer(array).alias(pos, value)
+    return df.select(*keep, rows).filter(F.col(value).isNotNull())

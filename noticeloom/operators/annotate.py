@@ -101,5 +101,5 @@ def annotate_with_terms(df: DataFrame, terms: DataFrame, id_col: str, text: str
         slice_ = pairs(clean.filter(part == i).collect())
         spans = annotate(df.select(id_col, text), term_matcher(slice_), text, "_s").select(id_col, "_s")
         found = spans if found is None else found.unionByName(spans)
-    merged = found.groupBy(id_col).agg(F.array_sort(F.flatten(F.collect_list("_s"))).alias(label))
+    merged = found.groupBy(id_col).agg(F.sort_array(F.flatten(F.collect_list("_s"))).alias(label))
     return df.join(merged, id_col, "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noticeloom.functions.arrays import SPAN_TYPE, bind, empty, index_range, overlap_free
+from noticeloom.functions.arrays import SPAN_TYPE, bind, empty, index_range, overlap_free, unnest
 from noticeloom.operators.spans import span
 
 SLICE = 500
@@ -36,7 +36,7 @@ def _painted(length: Column, pieces: Column) -> Column:
 
 def _resolved(spans: Column) -> Column:
     """Disjoint pieces of overlapping spans: at each character the later span of the list wins."""
-    edges = F.array_sort(F.array_distinct(F.flatten(F.transform(spans, lambda s: F.array(s["start"], s["end"])))))
+    edges = F.sort_array(F.array_distinct(F.flatten(F.transform(spans, lambda s: F.array(s["start"], s["end"])))))
 
     def pieces(cuts: Column) -> Column:
         def at(i: Column) -> Column:
@@ -57,7 +57,7 @@ def _resolved(spans: Column) -> Column:
 def bio_tags(length: Column, spans: Column) -> Column:
     """``B-x`` / ``I-x`` / ``O`` per character; spans without overlap take a one-pass route."""
     plain = F.transform(
-        F.array_sort(spans),
+        F.sort_array(spans),
         lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(True).alias("first"), s["label"].alias("label")),
     )
     pieces = F.when(overlap_free(spans), plain).otherwise(_resolved(spans))
@@ -81,7 +81,7 @@ def tag_ids(tags: Column, vocabulary: list[str]) -> Column:
 def tag_rows(df: DataFrame, keep: list[str], text="text", tags="tags") -> DataFrame:
     """One row per character with its tag."""
     chars = F.split(text, "")
-    return df.select(*keep, F.posexplode(F.arrays_zip(chars.alias("ch"), F.col(tags).alias("tag"))).alias("pos", "_c")).select(
+    return unnest(df, keep, F.arrays_zip(chars.alias("ch"), F.col(tags).alias("tag")), "_c", "pos").select(
         *keep, "pos", F.col("_c.ch").alias("ch"), F.col("_c.tag").alias("tag")
     )
 
@@ -96,18 +96,17 @@ def tag_spans(tags: Column) -> Column:
     Of equally frequent types the one met first wins.
     """
 
-    def runs(kinds: Column) -> Column:
-        places = index_range(F.size(kinds))
-        starts = F.filter(
-            places,
-            lambda i: (F.get(kinds, i) == "B")
-            | ((F.get(kinds, i) == "I") & ((i == 0) | (F.get(kinds, i - 1) == OUTSIDE))),
-        )
-        ends = F.filter(
-            places,
-            lambda i: (F.get(kinds, i) != OUTSIDE) & (F.coalesce(F.get(kinds, i + 1), F.lit(OUTSIDE)) != "I"),
-        )
-        return F.arrays_zip(starts.alias("s"), ends.alias("e"))
+    def runs(places: Column) -> Column:
+        """Runs from the tagged places alone; untagged characters are read once."""
+
+        def opens(at: Column, k: Column) -> Column:
+            return (_kind(F.get(tags, at)) == "B") | (k == 0) | (F.get(places, k - 1) != at - 1)
+
+        def closes(at: Column, k: Column) -> Column:
+            after = F.get(places, k + 1)
+            return after.isNull() | (after != at + 1) | (_kind(F.get(tags, after)) == "B")
+
+        return F.arrays_zip(F.filter(places, opens).alias("s"), F.filter(places, closes).alias("e"))
 
     def typed(run: Column) -> Column:
         types = F.transform(F.slice(tags, run["s"] + 1, run["e"] - run["s"] + 1), lambda t: F.substr(t, F.lit(3)))
@@ -117,7 +116,8 @@ def tag_spans(tags: Column) -> Column:
         )
         return span(run["s"], run["e"] + 1, F.array_max(ranked)["k"])
 
-    return bind(F.transform(tags, _kind), lambda kinds: F.transform(runs(kinds), typed))
+    tagged = F.filter(index_range(F.size(tags)), lambda i: F.get(tags, i) != OUTSIDE)
+    return bind(tagged, lambda places: F.transform(runs(places), typed))
 
 
 def token_slices(tags: Column, size: int = SLICE) -> Column:

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from noticeloom.functions.arrays import unnest
 from noticeloom.operators.ranking import balance_and_split, distinct_first, hash_order, sample_by_hash, split_by_hash
 
 NEEDED, NOT_NEEDED, OTHER = "需要", "不需要", "其他"
@@ -21,7 +22,7 @@ RESIDENCE = r"居住于(锦江区|青羊区|双流区|龙泉驿区|新都区|金
 
 def label_counts(df: DataFrame, label="label") -> DataFrame:
     """Spans per label type."""
-    return df.select(F.explode(F.transform(label, lambda s: s["label"])).alias("label_type")).groupBy("label_type").count()
+    return unnest(df, [], F.transform(label, lambda s: s["label"]), "label_type").groupBy("label_type").count()
 
 
 def category_counts(df: DataFrame, cats="cats") -> DataFrame:
@@ -44,18 +45,18 @@ def joined_labels(df: DataFrame, keys: list[str], label: str) -> DataFrame:
 
     Equal labels collapse before the shuffle, so the group holds the label set and not its rows.
     """
-    return df.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_set(label)), ",").alias(label))
+    return df.groupBy(*keys).agg(F.array_join(F.sort_array(F.collect_set(label)), ",").alias(label))
 
 
 def split_labels(text: Column) -> Column:
-    return F.array_sort(F.array_distinct(F.split(text, ",")))
+    return F.sort_array(F.array_distinct(F.split(text, ",")))
 
 
 def ids_by_file(df: DataFrame, file: str, id_col: str, block: int = 1000) -> DataFrame:
     """Ids listed by file in blocks of ``block`` consecutive ids, so no list grows with a file."""
     return (
         df.groupBy(file, F.floor(F.col(id_col) / block).alias("block"))
-        .agg(F.array_sort(F.collect_list(id_col)).alias("ids"))
+        .agg(F.sort_array(F.collect_list(id_col)).alias("ids"))
     )
 
 
@@ -67,7 +68,7 @@ def rows_of_files(df: DataFrame, listed: DataFrame, file: str, id_col: str) -> D
 
 def residence_records(df: DataFrame, date: str, text: str, pattern: str = RESIDENCE) -> DataFrame:
     """District, estate and circumstance of each matching line."""
-    lines = df.select(F.col(date).alias("date"), F.explode(F.split(text, "\n")).alias("line")).filter(F.col("line").rlike(pattern))
+    lines = unnest(df, [F.col(date).alias("date")], F.split(text, "\n"), "line").filter(F.col("line").rlike(pattern))
     return lines.select(
         "date", *[F.regexp_extract("line", pattern, i + 1).alias(name) for i, name in enumerate(("district", "estate", "circumstance"))]
     )
@@ -171,7 +172,7 @@ def origin_table(table: Column) -> Column:
 
 def keys_of_maps(df: DataFrame, column: str) -> DataFrame:
     """Union of the keys of a map column."""
-    return df.select(F.explode(F.map_keys(column)).alias("key")).distinct()
+    return unnest(df, [], F.map_keys(column), "key").distinct()
 
 
 def tag_columns(df: DataFrame, key: str, label: str) -> DataFrame:
@@ -201,7 +202,7 @@ def keyword_labels(df: DataFrame, rules: list[tuple[str, str]], columns: list[st
         for label, word in rules
         for c in columns
     ]
-    return df.select(*keep, F.explode(F.array_compact(F.array(*hits))).alias("_h")).select(*keep, "_h.*")
+    return unnest(df, keep, F.array_compact(F.array(*hits)), "_h").select(*keep, "_h.*")
 
 
 def without_keywords(df: DataFrame, rules: list[tuple[str, str]], column: str) -> DataFrame:
@@ -268,7 +269,7 @@ def annotated_import(df: DataFrame, spans: Column, key: str, task: str, registry
 
 def same_answer(human: Column, machine: Column, ordered: bool = True) -> Column:
     """Whether two label lists agree, as lists or as sets."""
-    return (human == machine) if ordered else (F.array_sort(F.array_distinct(human)) == F.array_sort(F.array_distinct(machine)))
+    return (human == machine) if ordered else (F.sort_array(F.array_distinct(human)) == F.sort_array(F.array_distinct(machine)))
 
 
 def in_hash_order(df: DataFrame, key: str, seed: str) -> DataFrame:

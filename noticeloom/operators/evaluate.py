@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from noticeloom.functions.arrays import unnest
 from noticeloom.operators.bio import tag_spans
 
 ALL_TYPES = "ALL"
@@ -87,7 +88,7 @@ def tag_scores(df: DataFrame, doc: str, gold="gold_tags", pred="pred_tags", igno
     accuracy = rows.agg((F.sum("_same") / F.sum(F.size("_gold"))).alias("accuracy"))
 
     def spans(column: str) -> DataFrame:
-        return rows.select(doc, F.explode(tag_spans(F.col(column))).alias("s")).select(doc, "s.*")
+        return unnest(rows, [doc], tag_spans(F.col(column)), "s").select(doc, "s.*")
 
     overall = span_scores(spans("_gold"), spans("_pred"), doc).filter(F.col("item") == ALL_TYPES)
     return overall.select(
@@ -105,15 +106,11 @@ def overlap_scores(pairs: DataFrame, key: str, pred: str, ref: str, n: int) -> D
 
     def grams(column: str, is_pred: int) -> DataFrame:
         found = words(F.col(column))
-        rows = pairs.select(key, found.alias("_w")).select(
-            key,
-            F.explode(
-                F.when(
-                    F.size("_w") >= n,
-                    F.transform(F.sequence(F.lit(1), F.size("_w") - (n - 1)), lambda i: F.array_join(F.slice("_w", i, n), " ")),
-                ).otherwise(F.array().cast("array<string>"))
-            ).alias("gram"),
-        )
+        listed = F.when(
+            F.size("_w") >= n,
+            F.transform(F.sequence(F.lit(1), F.size("_w") - (n - 1)), lambda i: F.array_join(F.slice("_w", i, n), " ")),
+        ).otherwise(F.array().cast("array<string>"))
+        rows = unnest(pairs.select(key, found.alias("_w")), [key], listed, "gram")
         return rows.withColumns({"_p": F.lit(is_pred), "_r": F.lit(1 - is_pred)})
 
     counted = grams(pred, 1).unionByName(grams(ref, 0)).groupBy(key, "gram").agg(F.sum("_p").alias("p"), F.sum("_r").alias("r"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noticeloom.functions.arrays import bind
+from noticeloom.functions.arrays import bind, unnest
 from noticeloom.functions.values import AMOUNT, MONEY, PRODUCT_AMOUNTS, PRODUCT_UNITS, clean_value
 
 WINNER, WINNER_COLUMN = "中标单位", "winning_bidder"
@@ -157,7 +157,7 @@ def winner_rows(df: DataFrame, origin: str, values: str, money: str, id_col="id"
     winners = F.array_distinct(F.split(F.element_at(F.col(values), WINNER), "#"))
     extracted = F.element_at(F.col(values), "中标金额").try_cast(AMOUNT)
     total = F.when(F.col(money) != 0, F.col(money)).otherwise(F.coalesce(extracted, F.lit(0)))
-    return df.select(id_col, publish, total.alias("_total"), F.posexplode(winners).alias("_pos", WINNER_COLUMN)).select(
+    return unnest(df, [id_col, publish, total.alias("_total")], winners, WINNER_COLUMN, "_pos").select(
         WINNER_COLUMN,
         F.when(F.col("_pos") == 0, F.col("_total")).otherwise(F.lit(0)).cast(MONEY).alias("amount"),
         F.lit(origin).alias("table_name"),

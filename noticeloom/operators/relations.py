@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from noticeloom.functions.arrays import bind, running_totals
+from noticeloom.functions.arrays import bind, running_totals, unnest
 from noticeloom.operators.ranking import running_offsets, sample_by_hash
 
 # Label pairs that form a relation and the relation types of news views.
@@ -138,7 +138,11 @@ def relation_blocks(df: DataFrame, doc: str, label="label", pairs: list[tuple[st
     ids run from ``first_id``. Nothing is multiplied out: :func:`expand_blocks` does it on demand.
     """
     spans = F.col(label)
-    sizes = {to: F.size(F.filter(spans, lambda s, to=to: s["label"] == to)) for _, to in pairs}
+
+    def count(name: str) -> Column:
+        return F.size(F.filter(spans, lambda s: s["label"] == name))
+
+    sizes = {to: count(to) for _, to in pairs}
 
     def fan_out(s: Column) -> Column:
         n = F.lit(0)
@@ -162,7 +166,7 @@ def relation_blocks(df: DataFrame, doc: str, label="label", pairs: list[tuple[st
     )
     target = F.create_map(*[F.lit(x) for pair in pairs for x in pair])
     return (
-        counted.select(doc, F.explode(F.filter(rows, lambda r: r["n"] > 0)).alias("_r"))
+        unnest(counted, [doc], F.filter(rows, lambda r: r["n"] > 0), "_r")
         .select(doc, "_r.*")
         .withColumn("to_label", F.element_at(target, F.col("from_label")))
         .withColumn("type", F.concat_ws("-", "from_label", "to_label"))
@@ -172,7 +176,7 @@ def relation_blocks(df: DataFrame, doc: str, label="label", pairs: list[tuple[st
 def expand_blocks(blocks: DataFrame, df: DataFrame, doc: str, label="label") -> DataFrame:
     """One row per relation of the given blocks."""
     ranked = (
-        df.select(doc, F.posexplode(label).alias("pos", "_s"))
+        unnest(df, [doc], label, "_s", "pos")
         .select(doc, (F.col("pos") + 1).alias("to_id"), F.col("_s.label").alias("to_label"))
         .withColumn("k", F.row_number().over(Window.partitionBy(doc, "to_label").orderBy("to_id")))
     )
@@ -233,7 +237,7 @@ def relation_views(df: DataFrame, doc: str, text="text") -> dict[str, DataFrame]
             lambda e: F.struct(e["id"], F.substr(F.col(text), e["start_offset"] + 1, e["end_offset"] - e["start_offset"])),
         )
     )
-    rows = df.select(doc, names.alias("_names"), F.posexplode("relations").alias("pos", "r")).select(
+    rows = unnest(df, [doc, names.alias("_names")], "relations", "r", "pos").select(
         doc,
         "pos",
         F.col("r.type").alias("type"),

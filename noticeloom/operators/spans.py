@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noticeloom.functions.arrays import SPAN_TYPE, bind, empty, index_range, running_totals, total
+from noticeloom.functions.arrays import SPAN_TYPE, bind, empty, index_range, running_totals, total, unnest
 
 CHUNK = 500
 CHUNK_PAD = 20
@@ -23,31 +23,39 @@ def span(start: Column, end: Column, label: Column) -> Column:
     return F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"), label.alias("label"))
 
 
-def occurrences(text: Column, term: str, label: str) -> Column:
+def occurrences(text: Column, term: Column, pattern: Column, label: Column) -> Column:
     """Spans of every occurrence of ``term``, from the lengths of the pieces between them."""
-    width = len(term)
+    width = F.length(term)
 
-    def place(lengths: Column) -> Column:
-        return bind(
-            running_totals(lengths),
-            lambda ends: F.transform(
-                index_range(F.size(ends) - 1),
-                lambda i: span(F.get(ends, i) + i * width, F.get(ends, i) + (i + 1) * width, F.lit(label)),
-            ),
+    def place(ends: Column) -> Column:
+        return F.transform(
+            index_range(F.size(ends) - 1),
+            lambda i: span(F.get(ends, i) + i * width, F.get(ends, i) + (i + 1) * width, label),
         )
 
-    pieces = F.split(text, r"\Q" + term + r"\E", -1)
-    found = bind(F.transform(pieces, F.length), place)
-    return F.when(F.contains(text, F.lit(term)), found).otherwise(empty(SPAN_TYPE))
+    lengths = F.transform(F.split(text, pattern, -1), F.length)
+    return bind(bind(lengths, running_totals), place)
 
 
 def phrase_spans(text: Column, terms: list[tuple[str, str]]) -> Column:
     """Spans of all (label, term) pairs in reading order.
 
-    One split per term, so this is for dictionaries of tens of terms; longer ones go through
-    :func:`noticeloom.operators.annotate.annotate_with_terms`.
+    One split per term that the text holds, so this is for dictionaries of tens of terms; longer ones
+    go through :func:`noticeloom.operators.annotate.annotate_with_terms`.
     """
-    return F.array_sort(F.concat(*[occurrences(text, term, label) for label, term in terms]))
+    listed = F.array(
+        *[
+            F.struct(
+                F.lit(label).alias("label"),
+                F.lit(term).alias("term"),
+                F.lit("\\Q" + term.replace("\\E", "\\E\\\\E\\Q") + "\\E").alias("pattern"),
+            )
+            for label, term in terms
+        ]
+    )
+    present = F.filter(listed, lambda t: F.contains(text, t["term"]))
+    found = F.transform(present, lambda t: occurrences(text, t["term"], t["pattern"], t["label"]))
+    return F.sort_array(F.flatten(found))
 
 
 def phrase_documents(df: DataFrame, terms: list[str], number: int, text="text", id_col="id", label="其他") -> DataFrame:
@@ -74,7 +82,7 @@ def span_texts(text: Column, spans: Column) -> Column:
 def span_rows(df: DataFrame, keep: list[str], text="text", label="label") -> DataFrame:
     """One row per span with its text and length."""
     return (
-        df.select(*keep, text, F.posexplode(label).alias("pos", "_span"))
+        unnest(df, [*keep, text], label, "_span", "pos")
         .select(
             *keep,
             "pos",
@@ -89,7 +97,7 @@ def span_rows(df: DataFrame, keep: list[str], text="text", label="label") -> Dat
 
 def bare_spans(df: DataFrame, keep: list[str], label="label") -> DataFrame:
     """One narrow row per span, without text."""
-    return df.select(*keep, F.posexplode(label).alias("pos", "_span")).select(
+    return unnest(df, keep, label, "_span", "pos").select(
         *keep, "pos", F.col("_span.start").alias("start"), F.col("_span.end").alias("end"), F.col("_span.label").alias("label")
     )
 
@@ -97,7 +105,7 @@ def bare_spans(df: DataFrame, keep: list[str], label="label") -> DataFrame:
 def context_windows(df: DataFrame, keep: list[str], labels: list[str] | None = None, reach: int = CONTEXT, text="text", label="label") -> DataFrame:
     """One row per span: the text around it and the span moved into that text."""
     picked = F.col(label) if labels is None else F.filter(label, lambda s: s["label"].isin(labels))
-    rows = df.select(*keep, text, F.explode(picked).alias("_span"))
+    rows = unnest(df, [*keep, text], picked, "_span")
     rows = rows.withColumns(
         {
             "s_start": F.greatest(F.col("_span.start") - reach, F.lit(0)),
@@ -131,7 +139,7 @@ def replace_from_windows(df: DataFrame, windows: DataFrame, labels: list[str], i
     kept = F.filter(label, lambda s: ~s["label"].isin(labels))
     return (
         df.join(moved, df[id_col] == moved["_id"], "left")
-        .withColumn(label, F.when(F.col("_id").isNull(), F.col(label)).otherwise(F.array_sort(F.concat(kept, "_new"))))
+        .withColumn(label, F.when(F.col("_id").isNull(), F.col(label)).otherwise(F.sort_array(F.concat(kept, "_new"))))
         .drop("_id", "_new")
     )
 
@@ -151,7 +159,7 @@ def islands(spans: Column) -> Column:
 
     first = F.struct(F.lit(-1).alias("start"), F.lit(-1).alias("end"), empty("array<struct<start:int,end:int>>").alias("done"))
     return F.aggregate(
-        F.array_sort(spans),
+        F.sort_array(spans),
         first.cast(state),
         step,
         lambda acc: F.filter(
@@ -198,17 +206,13 @@ def chunk_documents(df: DataFrame, keep: list[str], size: int = CHUNK, pad: int
     """
     length = F.length(text)
     borders = F.when(length < size, F.array(F.lit(0), length)).otherwise(chunk_borders(length, F.col(label), size, pad))
-    rows = df.select(*keep, text, label, borders.alias("_borders")).select(
-        *keep,
-        text,
-        label,
-        F.posexplode(
-            F.transform(
-                index_range(F.size("_borders") - 1),
-                lambda i: F.struct(F.get("_borders", i).alias("b"), F.get("_borders", i + 1).alias("e")),
-            )
-        ).alias("chunk", "_c"),
+    chunks = bind(
+        borders,
+        lambda at: F.transform(
+            index_range(F.size(at) - 1), lambda i: F.struct(F.get(at, i).alias("b"), F.get(at, i + 1).alias("e"))
+        ),
     )
+    rows = unnest(df, [*keep, text, label], chunks, "_c", "chunk")
     inside = F.filter(label, lambda s: (s["start"] >= F.col("_c.b")) & (s["end"] <= F.col("_c.e")))
     rows = rows.select(
         *keep,
@@ -230,9 +234,10 @@ def chunk_export(chunks: DataFrame, keep: list[str]) -> DataFrame:
 def sliding_windows(df: DataFrame, keep: list[str], width: int = WINDOW, stride: int = STRIDE, text="text", label="label") -> DataFrame:
     """Windows of ``width`` every ``stride`` characters with the spans fully inside them."""
     starts = F.when(F.length(text) > 0, F.sequence(F.lit(0), F.length(text) - 1, F.lit(stride))).otherwise(empty("array<int>"))
-    rows = df.select(*keep, text, label, F.explode(starts).alias("start"))
-    stop = F.least(F.col("start") + width, F.length(text))
-    inside = F.filter(label, lambda s: (s["start"] >= F.col("start")) & (s["end"] <= stop))
+    rows = unnest(df, [*keep, text, label], starts, "start")
+    # A column of its own: inside a lambda the name ``text`` would mean the cut text selected below.
+    rows = rows.withColumn("_stop", F.least(F.col("start") + width, F.length(text)))
+    inside = F.filter(label, lambda s: (s["start"] >= F.col("start")) & (s["end"] <= F.col("_stop")))
     return rows.select(
         *keep,
         "start",
@@ -248,7 +253,7 @@ def stitch_windows(windows: DataFrame, key: list[str]) -> DataFrame:
     The group is one document, so its size is that of the row it came from.
     """
     piece = F.struct("start", "text", F.transform("label", lambda s: span(s["start"] + F.col("start"), s["end"] + F.col("start"), s["label"])).alias("label"))
-    parts = windows.groupBy(*key).agg(F.array_sort(F.collect_list(piece)).alias("_parts"))
+    parts = windows.groupBy(*key).agg(F.sort_array(F.collect_list(piece)).alias("_parts"))
     own_text = F.transform(
         "_parts",
         lambda p, i: F.when(i == F.size("_parts") - 1, p["text"]).otherwise(
@@ -258,7 +263,7 @@ def stitch_windows(windows: DataFrame, key: list[str]) -> DataFrame:
     return parts.select(
         *key,
         F.array_join(own_text, "").alias("text"),
-        F.array_sort(F.array_distinct(F.flatten(F.transform("_parts", lambda p: p["label"])))).alias("label"),
+        F.sort_array(F.array_distinct(F.flatten(F.transform("_parts", lambda p: p["label"])))).alias("label"),
     )
 
 
@@ -304,7 +309,7 @@ def sentences(text: Column, stops: str = "。") -> Column:
 
 def sentence_rows(df: DataFrame, keep: list[str], stops: str = "。", text="text", label="label", labelled_only: bool = True) -> DataFrame:
     """One row per sentence with the spans that overlap it, clipped to it and re-based."""
-    rows = df.select(*keep, text, label, F.posexplode(sentences(F.col(text), stops)).alias("sentence", "_s"))
+    rows = unnest(df, [*keep, text, label], sentences(F.col(text), stops), "_s", "sentence")
     touching = F.filter(label, lambda s: (s["start"] < F.col("_s.end")) & (s["end"] > F.col("_s.start")))
     rows = rows.select(
         *keep,
@@ -326,7 +331,7 @@ def sentence_rows(df: DataFrame, keep: list[str], stops: str = "。", text="text
 def duplicate_labels(df: DataFrame, keep: list[str], exempt: list[str], label="label") -> DataFrame:
     """Label types a document carries more than once."""
     return (
-        df.select(*keep, F.explode(F.transform(label, lambda s: s["label"])).alias("label_type"))
+        unnest(df, keep, F.transform(label, lambda s: s["label"]), "label_type")
         .filter(~F.col("label_type").isin(exempt))
         .groupBy(*keep, "label_type")
         .count()
@@ -369,7 +374,7 @@ def split_valid(df: DataFrame, keep: list[str], text="text", label="label") -> t
     """Documents with their in-range spans, and the rejected spans one per row."""
     length = F.length(text)
     good = df.withColumn(label, F.filter(label, lambda s: is_valid(s, length)))
-    bad = df.select(*keep, F.explode(F.filter(label, lambda s: ~is_valid(s, length))).alias("_span")).select(*keep, "_span.*")
+    bad = unnest(df, keep, F.filter(label, lambda s: ~is_valid(s, length)), "_span").select(*keep, "_span.*")
     return good, bad
 
 

@@ -27,3 +27,13 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where the input has fewer files than cores.
+
+    A single small file is one task, too few for per-text work. Inputs of many files stay as they
+    are read, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df

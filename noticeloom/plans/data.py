@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from noticeloom.functions.text import MARKUP, fingerprint
 from noticeloom.operators.spans import phrase_spans
-from noticeloom.plans.catalog import table
+from noticeloom.plans.catalog import spread, table
 
 # Two term dictionaries over the same texts: the human and the machine labels.
 GOLD = [
@@ -37,7 +37,7 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 def annotated(spark: SparkSession, folder: str, terms: list[tuple[str, str]] = GOLD, *keep: str) -> DataFrame:
     """Documents with dictionary spans in ``label``."""
-    df = documents(spark, folder).select("doc_id", *keep, "text")
+    df = spread(documents(spark, folder).select("doc_id", *keep, "text"))
     return df.withColumn("label", phrase_spans(F.col("text"), terms))
 
 

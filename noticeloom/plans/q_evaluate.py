@@ -1 +1,323 @@
-"""Queries."""
+"""Queries of evaluation and comparison."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from noticeloom.functions.arrays import unnest
+from noticeloom.operators import bio as B
+from noticeloom.operators import compare as X
+from noticeloom.operators import evaluate as E
+from noticeloom.operators import spans as S
+from noticeloom.plans.catalog import query, table
+from noticeloom.plans.data import GOLD, PRED, annotated, spans_sql
+from noticeloom.plans.q_clean import turn_pairs
+from noticeloom.plans.q_spans import GOLD_SQL, REL_SQL, TAGS_SQL, relation_rows, tagged
+from noticeloom.plans.review import review_table
+
+BOTH = f"WITH {spans_sql(GOLD, 'gold')}, {spans_sql(PRED, 'pred')}"
+PRF = """CASE WHEN tp + fp > 0 THEN tp::DOUBLE / (tp + fp) ELSE 0 END AS p, CASE WHEN tp + fn > 0 THEN tp::DOUBLE / (tp + fn) ELSE 0 END AS r,
+ CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0::DOUBLE * tp / (2 * tp + fp + fn) ELSE 0 END AS f"""
+
+
+def sides(spark, folder) -> tuple[DataFrame, DataFrame]:
+    return S.bare_spans(annotated(spark, folder), ["doc_id"]), S.bare_spans(annotated(spark, folder, PRED), ["doc_id"])
+
+
+MATCH = """m AS (SELECT coalesce(g.doc_id, p.doc_id) AS doc_id, coalesce(g.label, p.label) AS label, g.doc_id IS NOT NULL AS g, p.doc_id IS NOT NULL AS p
+ FROM (SELECT DISTINCT doc_id, "start", "end", label FROM gold) g FULL JOIN (SELECT DISTINCT doc_id, "start", "end", label FROM pred) p
+ ON g.doc_id = p.doc_id AND g."start" = p."start" AND g."end" = p."end" AND g.label = p.label),
+c AS (SELECT label AS item, count(*) FILTER (WHERE g AND p) AS tp, count(*) FILTER (WHERE p AND NOT g) AS fp, count(*) FILTER (WHERE g AND NOT p) AS fn FROM m GROUP BY 1),
+t AS (SELECT * FROM c UNION ALL SELECT 'ALL', sum(tp), sum(fp), sum(fn) FROM c)"""
+
+
+@query("eva1_span_scores", f"{BOTH}, {MATCH} SELECT item, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, {PRF} FROM t")
+def eva1(spark, folder):
+    return E.span_scores(*sides(spark, folder), "doc_id")
+
+
+@query(
+    "eva2_relation_scores",
+    f"""{GOLD_SQL}, {REL_SQL}, k AS (SELECT *, from_pos % 3 <> 0 AS g FROM rel),
+c AS (SELECT count(*) FILTER (WHERE score >= 0.5 AND g) AS tp, count(*) FILTER (WHERE score >= 0.5 AND NOT g) AS fp, count(*) FILTER (WHERE score < 0.5 AND g) AS fn FROM k)
+SELECT tp, fp, fn, {PRF} FROM c""",
+)
+def eva2(spark, folder):
+    pred = relation_rows(spark, folder)
+    gold = pred.filter(F.col("from_pos") % 3 != 0).drop("score")
+    return E.relation_scores(gold, pred, ["doc_id", "from_pos", "to_pos", "type"], 0.5)
+
+
+@query(
+    "eva2_relation_scores_strict",
+    f"""{GOLD_SQL}, {REL_SQL}, k AS (SELECT *, from_pos % 3 <> 0 AS g, to_pos % 2 = 0 AS p FROM rel),
+c AS (SELECT count(*) FILTER (WHERE p AND score >= 0.5 AND g) AS tp, count(*) FILTER (WHERE p AND score >= 0.5 AND NOT g) AS fp, count(*) FILTER (WHERE g AND (NOT p OR score < 0.5)) AS fn FROM k)
+SELECT tp, fp, fn, {PRF} FROM c""",
+)
+def eva2_strict(spark, folder):
+    rows = relation_rows(spark, folder)
+    gold = rows.filter(F.col("from_pos") % 3 != 0).drop("score")
+    return E.relation_scores(gold, rows.filter(F.col("to_pos") % 2 == 0), ["doc_id", "from_pos", "to_pos", "type"], 0.5, True)
+
+
+@query(
+    "eva3_unlabelled_scores",
+    f"""{BOTH}, a AS (SELECT DISTINCT doc_id, "start", "end" FROM gold), b AS (SELECT DISTINCT doc_id, "start", "end" FROM pred),
+c AS (SELECT (SELECT count(*) FROM a JOIN b USING (doc_id, "start", "end")) AS tp, (SELECT count(*) FROM b ANTI JOIN a USING (doc_id, "start", "end")) AS fp, (SELECT count(*) FROM a ANTI JOIN b USING (doc_id, "start", "end")) AS fn)
+SELECT 'ALL' AS item, tp, fp, fn, {PRF} FROM c""",
+)
+def eva3(spark, folder):
+    return E.span_scores(*sides(spark, folder), "doc_id", labelled=False)
+
+
+@query("eva4_tag_scores")
+def eva4(spark, folder):
+    gold = tagged(spark, folder).select("doc_id", "text", F.col("tags").alias("gold_tags"))
+    pred = tagged(spark, folder, PRED).select("doc_id", F.col("tags").alias("pred_tags"))
+    return E.tag_scores(gold.join(pred, "doc_id"), "doc_id")
+
+
+@query(
+    "eva4_tag_accuracy",
+    f"""WITH {TAGS_SQL}, {spans_sql(PRED, 'pspans')},
+pc AS (SELECT doc_id, unnest(range("start", "end")) AS i, pos, "start", label FROM pspans),
+pw AS (SELECT doc_id, i, arg_max(CASE WHEN i = "start" THEN 'B-' ELSE 'I-' END || label, pos) AS tag FROM pc GROUP BY 1, 2)
+SELECT count(*) AS n, count(*) FILTER (WHERE t.tag = coalesce(pw.tag, 'O')) AS same FROM tagged t LEFT JOIN pw ON pw.doc_id = t.doc_id AND pw.i = t.i""",
+)
+def eva4_accuracy(spark, folder):
+    docs = annotated(spark, folder).withColumn("pred", S.phrase_spans(F.col("text"), PRED))
+    tags = docs.select(
+        B.bio_tags(F.length("text"), F.col("label")).alias("g"), B.bio_tags(F.length("text"), F.col("pred")).alias("p")
+    )
+    same = F.size(F.filter(F.zip_with("g", "p", lambda a, b: a == b), lambda x: x))
+    return tags.agg(F.sum(F.size("g")).alias("n"), F.sum(same).alias("same"))
+
+
+def rouge_sql(n: int) -> str:
+    gram = " || ' ' || ".join(f"w[k + {i}]" for i in range(n)) if n > 1 else "w[k]"
+    return f"""WITH t AS (SELECT conv_id, turn, role, text, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS answer FROM conversations),
+pairs AS (SELECT conv_id * 1000 + turn AS id, text, answer FROM t WHERE role = 'user' AND answer IS NOT NULL),
+w AS (SELECT id, 1 AS p, list_filter(string_split_regex(lower(answer), '[^a-z0-9]+'), lambda x: x <> '') AS w FROM pairs
+ UNION ALL SELECT id, 0, list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda x: x <> '') FROM pairs),
+k AS (SELECT id, p, w, unnest(range(1, len(w) - {n} + 2)) AS k FROM w),
+g AS (SELECT id, {gram} AS gram, sum(p) AS p, sum(1 - p) AS r FROM k GROUP BY 1, 2),
+s AS (SELECT id, sum(least(p, r)) AS hit, sum(p) AS np, sum(r) AS nr FROM g GROUP BY 1),
+l AS (SELECT id, len(w) AS len FROM w WHERE p = 1)
+SELECT round(avg(coalesce(2.0::DOUBLE * hit / (np + nr), 0)) * 100, 4) AS rouge{n}, round(avg(len), 4) AS gen_len, count(*) AS pairs FROM l LEFT JOIN s USING (id)"""
+
+
+def _answers(spark, folder) -> DataFrame:
+    pairs = turn_pairs(spark, folder).filter(F.col("answer").isNotNull())
+    return pairs.select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text", "answer")
+
+
+@query("eva5_unigram_overlap", rouge_sql(1))
+def eva5_1(spark, folder):
+    return E.overlap_scores(_answers(spark, folder), "id", "answer", "text", 1)
+
+
+@query("eva5_bigram_overlap", rouge_sql(2))
+def eva5_2(spark, folder):
+    return E.overlap_scores(_answers(spark, folder), "id", "answer", "text", 2)
+
+
+@query(
+    "eva6_batch_similarity",
+    """WITH e AS (SELECT vec_id // 64 AS batch, vec_id, row_number() OVER (PARTITION BY vec_id // 64 ORDER BY vec_id) - 1 AS i, count(*) OVER (PARTITION BY vec_id // 64) AS n, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+s AS (SELECT a.batch, a.vec_id, a.i, a.n, b.vec_id AS other, b.i AS j, list_cosine_similarity(a.v, b.v) AS sim FROM e a JOIN e b ON a.batch = b.batch AND a.vec_id <> b.vec_id)
+SELECT batch, vec_id, arg_max(other, sim) AS nearest, round(max(sim), 6) AS similarity,
+ round(ln(sum(exp(sim / 0.05))) - max(CASE WHEN j = (i + n // 2) % n THEN sim END) / 0.05, 4) AS loss FROM s GROUP BY 1, 2""",
+)
+def eva6(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    rows = E.batch_similarity(vectors, F.floor(F.col("vec_id") / 64), "vec_id", "embedding")
+    return rows.withColumns({"similarity": F.round("similarity", 6), "loss": F.round("loss", 4)})
+
+
+@query(
+    "agg11_label_accuracy",
+    f"""{BOTH}, gv AS (SELECT s.doc_id, s.label, substring(d.text, s."start" + 1, s."end" - s."start") AS v FROM gold s JOIN documents d USING (doc_id)),
+pv AS (SELECT s.doc_id, s.label, substring(d.text, s."start" + 1, s."end" - s."start") AS v FROM pred s JOIN documents d USING (doc_id)),
+r AS (SELECT g.label, count(*) AS n FROM gv g JOIN pv p ON p.doc_id = g.doc_id AND p.label = g.label AND p.v = g.v GROUP BY 1)
+SELECT g.label AS label_type, count(*) AS gold_count, coalesce(any_value(r.n), 0) AS right_count, coalesce(any_value(r.n), 0)::DOUBLE / count(*) AS accuracy FROM gv g LEFT JOIN r USING (label) GROUP BY 1""",
+)
+def agg11(spark, folder):
+    gold = S.span_rows(annotated(spark, folder), ["doc_id"])
+    pred = S.span_rows(annotated(spark, folder, PRED), ["doc_id"])
+    return E.label_accuracy(gold, pred, "doc_id")
+
+
+@query(
+    "agg8_metrics_table",
+    """WITH m AS (SELECT source AS task, lang, count(*)::DOUBLE AS n, avg(n_chars) AS a FROM documents GROUP BY 1, 2), t AS (SELECT task, sum(n) AS n, max(n) AS top, min(n) AS low, avg(a) AS a FROM m GROUP BY 1)
+SELECT task, '20240101' AS "date", '总体' AS item, 'p' AS metric, top / n AS value FROM t UNION ALL SELECT task, '20240101', '总体', 'r', low / n FROM t UNION ALL SELECT task, '20240101', '总体', 'f', top FROM t
+UNION ALL SELECT task, '20240101', '速度', 'speed', round(a, 6) FROM t UNION ALL SELECT task, '20240101', lang, 'n', n FROM m UNION ALL SELECT task, '20240101', lang, 'chars', round(a, 6) FROM m""",
+)
+def agg8(spark, folder):
+    per = table(spark, folder, "documents").groupBy(F.col("source").alias("task"), "lang").agg(
+        F.count("*").cast("double").alias("n"), F.avg("n_chars").alias("a")
+    )
+    inner = F.create_map(F.lit("n"), F.col("n"), F.lit("chars"), F.round("a", 6))
+    records = per.groupBy("task").agg(
+        (F.max("n") / F.sum("n")).alias("ents_p"),
+        (F.min("n") / F.sum("n")).alias("ents_r"),
+        F.max("n").alias("ents_f"),
+        F.round(F.avg("a"), 6).alias("speed"),
+        F.map_from_entries(F.collect_list(F.struct(F.col("lang"), inner))).alias("ents_per_type"),
+    )
+    return E.metrics_table(records.withColumn("date", F.lit("20240101")))
+
+
+CMP1 = f"""{BOTH}, g AS (SELECT g.* FROM gold g WHERE NOT EXISTS (SELECT 1 FROM pred p WHERE p.doc_id = g.doc_id AND p."start" = g."start" AND p."end" = g."end" AND p.label = g.label)),
+fwd AS (SELECT g.doc_id, g.pos AS gpos, min(p.pos) AS ppos FROM g JOIN pred p ON p.doc_id = g.doc_id AND p."start" >= g."start" GROUP BY 1, 2),
+lst AS (SELECT doc_id, max(pos) AS ppos FROM pred GROUP BY 1),
+hit AS (SELECT g.*, p."start" AS ps, p."end" AS pe, p.label AS pl, CASE WHEN p.doc_id IS NULL THEN 'missed' WHEN g."start" = p."start" AND g."end" = p."end" THEN 'type' WHEN abs(g."start" - p."start") < 10 THEN 'place' ELSE 'missed' END AS kind
+ FROM g LEFT JOIN fwd ON fwd.doc_id = g.doc_id AND fwd.gpos = g.pos LEFT JOIN lst ON lst.doc_id = g.doc_id LEFT JOIN pred p ON p.doc_id = g.doc_id AND p.pos = coalesce(fwd.ppos, lst.ppos)),
+x AS (SELECT p.* FROM pred p WHERE NOT EXISTS (SELECT 1 FROM gold g WHERE p.doc_id = g.doc_id AND p."start" = g."start" AND p."end" = g."end" AND p.label = g.label)
+ AND NOT EXISTS (SELECT 1 FROM hit h WHERE h.kind <> 'missed' AND h.doc_id = p.doc_id AND h.ps = p."start" AND h.pe = p."end" AND h.pl = p.label))
+SELECT doc_id, CASE kind WHEN 'type' THEN '机器错标类别答案' WHEN 'place' THEN '机器错标位置答案' ELSE '机器漏标答案' END AS wrong_type, '人' AS labeler, "start", "end", label FROM hit
+UNION ALL SELECT doc_id, CASE kind WHEN 'type' THEN '机器错标类别' ELSE '机器错标位置' END, '机器', ps, pe, pl FROM hit WHERE kind <> 'missed'
+UNION ALL SELECT doc_id, '机器多标', '机器', "start", "end", label FROM x"""
+
+
+@query("cmp1_compare_by_position", CMP1)
+def cmp1(spark, folder):
+    return X.compare_by_position(*sides(spark, folder), "doc_id")
+
+
+CMP2 = f"""{BOTH}, g AS (SELECT *, row_number() OVER (PARTITION BY doc_id, label ORDER BY pos) AS nth FROM gold), p AS (SELECT *, row_number() OVER (PARTITION BY doc_id, label ORDER BY pos) AS nth FROM pred),
+lack AS (SELECT g.*, f."start" AS ps, f."end" AS pe, f.doc_id AS pd FROM g LEFT JOIN p f ON f.doc_id = g.doc_id AND f.label = g.label AND f.nth = 1
+ WHERE NOT EXISTS (SELECT 1 FROM pred q WHERE q.doc_id = g.doc_id AND q."start" = g."start" AND q."end" = g."end" AND q.label = g.label)),
+x AS (SELECT p.* FROM p WHERE NOT EXISTS (SELECT 1 FROM gold g WHERE p.doc_id = g.doc_id AND p."start" = g."start" AND p."end" = g."end" AND p.label = g.label)
+ AND NOT EXISTS (SELECT 1 FROM lack l WHERE l.pd IS NOT NULL AND l.doc_id = p.doc_id AND l.ps = p."start" AND l.pe = p."end" AND l.label = p.label))
+SELECT doc_id, '人标签重复' AS wrong_type, '人' AS labeler, "start", "end", label FROM g WHERE nth > 1
+UNION ALL SELECT doc_id, '机器标签重复', '机器', "start", "end", label FROM p WHERE nth > 1
+UNION ALL SELECT doc_id, '机器错标位置', '机器', ps, pe, label FROM lack WHERE pd IS NOT NULL
+UNION ALL SELECT doc_id, '机器错标位置答案', '人', "start", "end", label FROM lack WHERE pd IS NOT NULL
+UNION ALL SELECT doc_id, '机器漏标答案', '人', "start", "end", label FROM lack WHERE pd IS NULL
+UNION ALL SELECT doc_id, '机器多标', '机器', "start", "end", label FROM x UNION ALL SELECT doc_id, '机器多标修正', '人', "start", "end", label FROM x"""
+
+
+@query("cmp2_compare_by_type", CMP2)
+def cmp2(spark, folder):
+    return X.compare_by_type(*sides(spark, folder), "doc_id")
+
+
+def valued(spark, folder, terms) -> DataFrame:
+    return S.span_rows(annotated(spark, folder, terms), ["doc_id"]).withColumnRenamed("label_type", "label")
+
+
+def analysis_sql(hs: str, he: str, hv: str, as_: str, ae: str, av: str) -> str:
+    same = "标签和预测结果相同，但是"
+    blank = lambda v: f"regexp_replace({v}, '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g')"
+    return f"""CASE WHEN {blank(hv)} = {blank(av)} THEN '{same}' || CASE WHEN {hs} = {as_} AND {he} - {ae} >= 1 THEN '标签后面有空格' WHEN {hs} = {as_} AND {he} - {ae} <= -1 THEN '预测后面有空格'
+ WHEN {hs} - {as_} >= 1 AND {he} = {ae} THEN '预测前面有空格' WHEN {hs} - {as_} <= -1 AND {he} = {ae} THEN '标签前面有空格' ELSE '标注位置不同' END
+ WHEN {hs} = {as_} AND {he} - {ae} >= 1 THEN '预测后面少标' || ({he} - {ae}) || '个字符' WHEN {hs} = {as_} AND {he} - {ae} <= -1 THEN '预测后面多标' || ({ae} - {he}) || '个字符'
+ WHEN {hs} - {as_} >= 1 AND {he} = {ae} THEN '预测前面少标' || ({hs} - {as_}) || '个字符' WHEN {hs} - {as_} <= -1 AND {he} = {ae} THEN '预测前面多标' || ({as_} - {hs}) || '个字符' ELSE '未分析成功' END"""
+
+
+CMP3 = f"""{BOTH}, g AS (SELECT s.*, substring(d.text, s."start" + 1, s."end" - s."start") AS value, row_number() OVER (PARTITION BY s.doc_id, s.label ORDER BY s.pos) AS nth FROM gold s JOIN documents d USING (doc_id)),
+p AS (SELECT s.*, substring(d.text, s."start" + 1, s."end" - s."start") AS value FROM pred s JOIN documents d USING (doc_id)),
+np AS (SELECT doc_id, label, count(*) AS n FROM p GROUP BY 1, 2), ng AS (SELECT doc_id, label, count(*) AS n FROM g GROUP BY 1, 2),
+near AS (SELECT g.doc_id, g.pos, p.pos AS ppos, row_number() OVER (PARTITION BY g.doc_id, g.pos ORDER BY abs(p."start" - g."start"), p."start", p.pos) AS k FROM g JOIN p ON p.doc_id = g.doc_id AND p.label = g.label
+ WHERE NOT EXISTS (SELECT 1 FROM pred q WHERE q.doc_id = g.doc_id AND q."start" = g."start" AND q."end" = g."end" AND q.label = g.label)),
+wrong AS (SELECT g.doc_id, g.label, g."start" AS hs, g."end" AS he, g.value AS hv, p."start" AS s, p."end" AS e, p.value AS v FROM near n JOIN g ON g.doc_id = n.doc_id AND g.pos = n.pos JOIN p ON p.doc_id = n.doc_id AND p.pos = n.ppos WHERE k = 1),
+twice AS (SELECT a.doc_id, a.label, a."start" AS hs, a."end" AS he, a.value AS hv, b."start" AS s, b."end" AS e, b.value AS v FROM g a JOIN g b ON a.doc_id = b.doc_id AND a.label = b.label AND a.nth = 1 AND b.nth = 2),
+rows AS (
+SELECT doc_id, label, '手工重复标注' AS wrong_type, hs, he, hv, s, e, v, {analysis_sql('hs', 'he', 'hv', 's', 'e', 'v')} AS rule_analysis FROM twice
+UNION ALL SELECT g.doc_id, g.label, 'AI漏标', "start", "end", value, NULL, NULL, NULL, 'AI漏标' FROM g ANTI JOIN np ON np.doc_id = g.doc_id AND np.label = g.label
+UNION ALL SELECT p.doc_id, p.label, 'AI多标', NULL, NULL, NULL, "start", "end", value, 'AI多标' FROM p ANTI JOIN ng ON ng.doc_id = p.doc_id AND ng.label = p.label
+UNION ALL SELECT doc_id, label, CASE WHEN abs(s - hs) < 5 THEN 'AI错标位置' ELSE 'AI错标' END, hs, he, hv, s, e, v, {analysis_sql('hs', 'he', 'hv', 's', 'e', 'v')} FROM wrong)
+SELECT r.doc_id, r.label AS label_type, wrong_type, hs AS human_start, he AS human_end, hv AS human_label, s AS ai_start, e AS ai_end, v AS ai_label, rule_analysis, coalesce(np.n, 0) AS n_candidates FROM rows r LEFT JOIN np ON np.doc_id = r.doc_id AND np.label = r.label"""
+
+
+@query("cmp3_comparison_report", CMP3)
+def cmp3(spark, folder):
+    return X.comparison_report(valued(spark, folder, GOLD), valued(spark, folder, PRED), "doc_id")
+
+
+@query(
+    "cmp4_rule_analysis",
+    f"""{BOTH} SELECT g.doc_id, g.pos, {analysis_sql('g."start"', 'g."end"', 'substring(d.text, g."start" + 1, g."end" - g."start")', 'p."start"', 'p."end"', 'substring(d.text, p."start" + 1, p."end" - p."start")')} AS analysis
+FROM gold g JOIN pred p ON p.doc_id = g.doc_id AND p.label = g.label AND p."start" = g."start" JOIN documents d ON d.doc_id = g.doc_id""",
+)
+def cmp4(spark, folder):
+    g, p = valued(spark, folder, GOLD), valued(spark, folder, PRED)
+    ai = p.select("doc_id", "label", "start", F.col("end").alias("ai_end"), F.col("value").alias("ai_value"))
+    found = X.rule_analysis(F.col("start"), F.col("end"), F.col("value"), F.col("start"), F.col("ai_end"), F.col("ai_value"))
+    return g.join(ai, ["doc_id", "label", "start"]).select("doc_id", F.col("pos").cast("bigint").alias("pos"), found.alias("analysis"))
+
+
+def _review_rows(spark, folder) -> DataFrame:
+    report = cmp3(spark, folder).withColumn("task", F.lit("tender"))
+    return report.withColumn("md5", F.md5(F.col("doc_id").cast("string")))
+
+
+CHECKED_SQL = "md5(concat_ws(chr(31), 'tender', md5(CAST(doc_id AS VARCHAR)), coalesce(CAST(human_start AS VARCHAR), ''), coalesce(CAST(human_end AS VARCHAR), ''), coalesce(human_label, ''), coalesce(CAST(ai_start AS VARCHAR), ''), coalesce(CAST(ai_end AS VARCHAR), ''), coalesce(ai_label, ''), label_type))"
+HUMAN_SQL = "md5(concat_ws(chr(31), 'tender', md5(CAST(doc_id AS VARCHAR)), coalesce(CAST(human_start AS VARCHAR), ''), coalesce(CAST(human_end AS VARCHAR), ''), coalesce(human_label, '')))"
+
+
+@query("cmp5_row_fingerprints", f"SELECT doc_id, label_type, wrong_type, {CHECKED_SQL} AS checked_md5, {HUMAN_SQL} AS human_md5 FROM ({CMP3})")
+def cmp5(spark, folder):
+    return X.with_fingerprints(_review_rows(spark, folder)).select("doc_id", "label_type", "wrong_type", "checked_md5", "human_md5")
+
+
+@query(
+    "cmp6_merge_reviewed",
+    f"""WITH r AS (SELECT *, {CHECKED_SQL} AS checked_md5 FROM ({CMP3})),
+u AS (SELECT checked_md5, doc_id, wrong_type, 0 AS src FROM r WHERE wrong_type = 'AI漏标' UNION ALL SELECT checked_md5, doc_id, wrong_type, 1 FROM r WHERE doc_id % 2 = 0)
+SELECT checked_md5, arg_min(doc_id, src * 10 + CASE wrong_type WHEN 'AI多标' THEN 1 WHEN 'AI漏标' THEN 2 WHEN 'AI错标' THEN 3 WHEN 'AI错标位置' THEN 4 ELSE 5 END) AS doc_id,
+ arg_min(wrong_type, src * 10 + CASE wrong_type WHEN 'AI多标' THEN 1 WHEN 'AI漏标' THEN 2 WHEN 'AI错标' THEN 3 WHEN 'AI错标位置' THEN 4 ELSE 5 END) AS wrong_type FROM u GROUP BY 1""",
+)
+def cmp6(spark, folder):
+    rows = _review_rows(spark, folder).withColumn("is_human_correct", F.when(F.col("doc_id") % 2 == 0, F.lit("y")).otherwise(F.lit("n")))
+    registry = X.with_fingerprints(rows.filter(F.col("wrong_type") == X.AI_MISSED))
+    return X.merge_reviewed(registry, rows, ["wrong_type"]).select("checked_md5", "doc_id", "wrong_type")
+
+
+@query(
+    "cmp7_apply_corrections",
+    f"""{GOLD_SQL}, f AS (SELECT *, row_number() OVER (PARTITION BY doc_id, label ORDER BY pos) AS nth FROM spans)
+SELECT doc_id, CASE WHEN label = '项目名称' AND nth = 1 THEN "start" + 3 ELSE "start" END AS "start", "end", label FROM f WHERE NOT (label = '中标单位' AND nth = 1)""",
+)
+def cmp7(spark, folder):
+    docs = annotated(spark, folder).select("doc_id", "label")
+    rows = S.bare_spans(docs, ["doc_id"])
+    first = rows.groupBy("doc_id", "label").agg(F.min_by(F.struct("start", "end"), "pos").alias("s"))
+    fixes = first.filter(F.col("label").isin("项目名称", "中标单位")).select(
+        "doc_id",
+        F.lit(X.MISSED_ANSWER).alias("wrong_type"),
+        F.col("label").alias("label_type"),
+        F.when(F.col("label") == "项目名称", F.col("s.start") + 3).alias("new_start"),
+        F.when(F.col("label") == "项目名称", F.col("s.end")).alias("new_end"),
+    )
+    fixed = X.apply_corrections(docs, fixes, "doc_id")
+    return unnest(fixed, ["doc_id"], "label", "_s").select("doc_id", "_s.*")
+
+
+@query(
+    "jn5_review_flags",
+    f"""WITH r AS (SELECT *, {CHECKED_SQL} AS checked_md5, {HUMAN_SQL} AS human_md5 FROM ({CMP3})), reg AS (SELECT *, CASE WHEN doc_id % 2 = 0 THEN 'Y' ELSE 'N' END AS answer FROM r WHERE doc_id % 3 = 0),
+h AS (SELECT human_md5, any_value(answer) AS a FROM reg GROUP BY 1), c AS (SELECT checked_md5, any_value(answer) AS a FROM reg GROUP BY 1)
+SELECT r.doc_id, r.checked_md5, h.a AS is_human_correct, c.a AS is_checked FROM r LEFT JOIN h USING (human_md5) LEFT JOIN c USING (checked_md5)""",
+)
+def jn5(spark, folder):
+    rows = _review_rows(spark, folder)
+    answer = F.when(F.col("doc_id") % 2 == 0, F.lit("Y")).otherwise(F.lit("N"))
+    registry = X.with_fingerprints(rows.filter(F.col("doc_id") % 3 == 0)).withColumn("is_human_correct", answer)
+    return X.with_review_flags(rows, registry, "checked_md5").select("doc_id", "checked_md5", "is_human_correct", "is_checked")
+
+
+@query("flow_review_table")
+def flow_review(spark, folder):
+    def corpus(terms) -> DataFrame:
+        # One copy per text: copies share their md5 and would be counted as repeated labels.
+        docs = table(spark, folder, "documents").groupBy(F.md5("text").alias("md5")).agg(F.min_by("text", "doc_id").alias("text"))
+        return docs.withColumn("label", S.phrase_spans(F.col("text"), terms))
+
+    meta = table(spark, folder, "documents").groupBy(F.md5("text").alias("md5")).agg(
+        F.concat(F.lit("http://"), F.min_by("source", "doc_id")).alias("source"), F.lit(37).alias("project_id")
+    )
+    empty = X.with_fingerprints(_review_rows(spark, folder).filter("doc_id % 3 = 0")).withColumn("is_human_correct", F.lit("Y"))
+    return review_table(corpus(GOLD), corpus(PRED), meta, empty, "tender", "http://host")

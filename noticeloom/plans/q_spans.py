@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from noticeloom.functions.arrays import unnest
 from noticeloom.operators import bio as B
 from noticeloom.operators import relations as R
 from noticeloom.operators import spans as S
@@ -21,7 +22,7 @@ TRIMMED_GOLD = GOLD_LABELS[:3]
 
 def rows_out(df: DataFrame, *keep: str) -> DataFrame:
     """Exploded spans of a result, for comparison."""
-    return df.select(*keep, F.explode("label").alias("_s")).select(*keep, "_s.*")
+    return unnest(df, list(keep), "label", "_s").select(*keep, "_s.*")
 
 
 @query("spn1_annotate_dictionary", f'{GOLD_SQL} SELECT doc_id, "start", "end", label FROM spans')
@@ -34,8 +35,8 @@ def spn1(spark, folder):
     "spn1_annotate_term_table",
     """WITH parts AS (SELECT d.doc_id, b.item_id, b.text AS term, string_split(d.text, b.text) AS p FROM documents d JOIN benchmark b ON contains(d.text, b.text)),
 lens AS (SELECT doc_id, item_id, term, length(unnest(p)) AS n, unnest(range(len(p))) AS i, len(p) AS k FROM parts),
-at AS (SELECT *, sum(n) OVER (PARTITION BY doc_id, item_id ORDER BY i) + i * length(term) AS s FROM lens)
-SELECT doc_id, CAST(s AS INTEGER) AS "start", CAST(s + length(term) AS INTEGER) AS "end", 'item_' || item_id AS label FROM at WHERE i < k - 1""",
+placed AS (SELECT *, sum(n) OVER (PARTITION BY doc_id, item_id ORDER BY i) + i * length(term) AS s FROM lens)
+SELECT doc_id, CAST(s AS INTEGER) AS "start", CAST(s + length(term) AS INTEGER) AS "end", 'item_' || item_id AS label FROM placed WHERE i < k - 1""",
 )
 def spn1_terms(spark, folder):
     terms = table(spark, folder, "benchmark").select(
@@ -83,9 +84,7 @@ WINDOWED = """windowed AS (SELECT s.doc_id, s.label, s."start" AS a, s."end" AS
 )
 def spn5(spark, folder):
     rows = S.context_windows(annotated(spark, folder), ["doc_id"], TRIMMED_GOLD)
-    return rows.select("doc_id", "s_start", "s_end", F.md5("text").alias("text_md5"), F.explode("label").alias("_s")).select(
-        "doc_id", "s_start", "s_end", "text_md5", "_s.*"
-    )
+    return rows_out(rows.withColumn("text_md5", F.md5("text")), "doc_id", "s_start", "s_end", "text_md5")
 
 
 @query(
@@ -99,13 +98,33 @@ def spn6(spark, folder):
     return rows_out(S.replace_from_windows(docs.select("doc_id", "label"), fixed, ["中标单位"], "doc_id"), "doc_id")
 
 
-@query("spn7_chunks")
+def chunk_sql(size: int) -> str:
+    """The border walk, one border at a time: ``size`` on, or 20 past a merged span it would cut."""
+    return f"""WITH RECURSIVE {SPANS},
+prior AS (SELECT doc_id, "start", "end", max("end") OVER (PARTITION BY doc_id ORDER BY "start", "end", label ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen, row_number() OVER (PARTITION BY doc_id ORDER BY "start", "end", label) AS rn FROM spans),
+grp AS (SELECT *, sum(CASE WHEN seen IS NULL OR "start" >= seen THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY rn) AS isle FROM prior),
+isles AS (SELECT doc_id, isle, min("start") AS s, max("end") AS e FROM grp GROUP BY 1, 2),
+docs AS (SELECT doc_id, text, length(text) AS n FROM documents),
+walk(doc_id, n, b, fixed) AS (
+  SELECT doc_id, n, {size}, false FROM docs WHERE n >= {size}
+  UNION ALL
+  SELECT w.doc_id, w.n, CASE WHEN i.e IS NOT NULL THEN i.e + 20 ELSE w.b + {size} END, i.e IS NULL
+  FROM walk w LEFT JOIN isles i ON i.doc_id = w.doc_id AND i.s < w.b AND w.b < i.e WHERE w.b < w.n),
+firm AS (SELECT w.doc_id, w.n, w.b FROM walk w LEFT JOIN isles i ON i.doc_id = w.doc_id AND i.s < w.b AND w.b < i.e WHERE w.b < w.n AND i.e IS NULL),
+cuts AS (SELECT doc_id, n, 0 AS b FROM docs UNION ALL SELECT * FROM firm),
+bounds AS (SELECT doc_id, n, b, coalesce(lead(b) OVER (PARTITION BY doc_id ORDER BY b), n) AS e, row_number() OVER (PARTITION BY doc_id ORDER BY b) - 1 AS chunk FROM cuts),
+held AS (SELECT c.doc_id, c.chunk, count(*) AS spans FROM bounds c JOIN spans s ON s.doc_id = c.doc_id AND s."start" >= c.b AND s."end" <= c.e GROUP BY 1, 2)
+SELECT c.doc_id, CAST(c.chunk AS INTEGER) AS chunk, CAST(c.b AS INTEGER) AS chunk_start, CAST(c.e - c.b AS INTEGER) AS n, md5(substring(d.text, c.b + 1, c.e - c.b)) AS text_md5, CAST(coalesce(h.spans, 0) AS INTEGER) AS spans
+FROM bounds c JOIN docs d USING (doc_id) LEFT JOIN held h ON h.doc_id = c.doc_id AND h.chunk = c.chunk WHERE h.spans > 0 OR c.n < {size}"""
+
+
+@query("spn7_chunks", chunk_sql(500))
 def spn7(spark, folder):
     chunks = S.chunk_documents(annotated(spark, folder), ["doc_id"])
     return chunks.select("doc_id", "chunk", "chunk_start", F.length("text").alias("n"), F.md5("text").alias("text_md5"), F.size("label").alias("spans"))
 
 
-@query("spn7_chunks_long")
+@query("spn7_chunks_long", chunk_sql(4800))
 def spn7_long(spark, folder):
     chunks = S.chunk_documents(annotated(spark, folder), ["doc_id"], size=4800)
     return chunks.select("doc_id", "chunk", "chunk_start", F.length("text").alias("n"), F.md5("text").alias("text_md5"), F.size("label").alias("spans"))
@@ -124,7 +143,7 @@ inside AS (SELECT w.doc_id, w.ws, s."start" - w.ws AS a, s."end" - w.ws AS b, s.
 @query(
     "spn8_sliding_windows",
     f"""{GOLD_SQL}, {SLIDING}, c AS (SELECT doc_id, ws, count(*) AS spans, sum(a) AS starts FROM inside GROUP BY 1, 2)
-SELECT w.doc_id, CAST(w.ws AS INTEGER) AS "start", md5(substring(text, ws + 1, 600)) AS text_md5, CAST(coalesce(c.spans, 0) AS INTEGER) AS spans, CAST(coalesce(starts, 0) AS INTEGER) AS starts
+SELECT w.doc_id, CAST(w.ws AS INTEGER) AS "start", md5(substring(w.text, w.ws + 1, 600)) AS text_md5, CAST(coalesce(c.spans, 0) AS INTEGER) AS spans, CAST(coalesce(starts, 0) AS INTEGER) AS starts
 FROM w LEFT JOIN c ON c.doc_id = w.doc_id AND c.ws = w.ws""",
 )
 def spn8(spark, folder):
@@ -181,7 +200,7 @@ def spn11(spark, folder):
 
 @query("spn11_tag_counts", f"WITH {TAGS_SQL} SELECT tag, count(*) AS n FROM tagged GROUP BY 1")
 def spn11_counts(spark, folder):
-    return tagged(spark, folder).select(F.explode("tags").alias("tag")).groupBy("tag").agg(F.count("*").alias("n"))
+    return unnest(tagged(spark, folder), [], "tags", "tag").groupBy("tag").agg(F.count("*").alias("n"))
 
 
 RUNS_SQL = """r AS (SELECT doc_id, i, tag, CASE WHEN tag LIKE 'B-%' OR (tag LIKE 'I-%' AND coalesce(lag(tag) OVER o, 'O') = 'O') THEN 1 ELSE 0 END AS opens FROM tagged WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
@@ -230,7 +249,7 @@ SELECT 0 AS id, 'O' AS tag UNION ALL SELECT 2 * k - 1, 'B-' || label FROM l UNIO
 )
 def spn15(spark, folder):
     spans = S.bare_spans(annotated(spark, folder), ["doc_id"])
-    labels = spans.select("label").distinct().agg(F.array_sort(F.collect_set("label")).alias("labels"))
+    labels = spans.select("label").distinct().agg(F.sort_array(F.collect_set("label")).alias("labels"))
     return labels.select(F.posexplode(B.tag_vocabulary(F.col("labels"))).alias("id", "tag"))
 
 
@@ -249,9 +268,8 @@ FROM sent x JOIN spans s ON s.doc_id = x.doc_id AND s."start" < x.b AND s."end"
 )
 def spn16(spark, folder):
     rows = S.sentence_rows(annotated(spark, folder), ["doc_id"], ".")
-    return rows.select("doc_id", "sentence", F.col("start").alias("at"), F.md5("text").alias("text_md5"), F.explode("label").alias("_s")).select(
-        "doc_id", "sentence", "at", "text_md5", "_s.*"
-    )
+    rows = rows.withColumns({"at": F.col("start"), "text_md5": F.md5("text")})
+    return rows_out(rows, "doc_id", "sentence", "at", "text_md5")
 
 
 @query(
@@ -310,7 +328,7 @@ def spn20(spark, folder):
 
 def boundary_scores(spark, folder) -> DataFrame:
     """Scores per word of every text: high where a word looks like a start or an end."""
-    words = documents(spark, folder).select("doc_id", F.posexplode(F.split("text", r"[ \n]+", -1)).alias("token", "word"))
+    words = unnest(documents(spark, folder), ["doc_id"], F.split("text", r"[ \n]+", -1), "word", "token")
     point = lambda x: F.conv(F.substring(F.md5(x), 1, 2), 16, 10).cast("double") / 255
     return words.select(
         "doc_id", "token", point(F.col("word")).alias("start_score"), point(F.reverse(F.col("word"))).alias("end_score")
@@ -332,8 +350,8 @@ def spn21(spark, folder):
 
 @query(
     "spn21_candidate_ranges",
-    f"""WITH {SCORES_SQL}, u AS (SELECT doc_id, token AS at, token AS st, 0 AS is_end FROM scores WHERE s >= 0.35 UNION ALL SELECT doc_id, token, NULL, 1 FROM scores WHERE e >= 0.35),
-w AS (SELECT *, sum(is_end) OVER (PARTITION BY doc_id ORDER BY at DESC, is_end DESC ROWS UNBOUNDED PRECEDING) AS n FROM u)
+    f"""WITH {SCORES_SQL}, u AS (SELECT doc_id, token AS place, token AS st, 0 AS is_end FROM scores WHERE s >= 0.35 UNION ALL SELECT doc_id, token, NULL, 1 FROM scores WHERE e >= 0.35),
+w AS (SELECT *, sum(is_end) OVER (PARTITION BY doc_id ORDER BY place DESC, is_end DESC ROWS UNBOUNDED PRECEDING) AS n FROM u)
 SELECT doc_id, CAST(st AS INTEGER) AS "start", CAST(n AS BIGINT) AS n_ends FROM w WHERE is_end = 0""",
 )
 def spn21_ranges(spark, folder):
@@ -348,7 +366,7 @@ SELECT doc_id, count(*) AS tokens, CAST(sum(st::INT) AS BIGINT) AS starts, CAST(
 )
 def spn22(spark, folder):
     docs = annotated(spark, folder)
-    tokens = docs.select("doc_id", F.explode(F.sequence(F.lit(0), F.length("text") - 1)).alias("token"))
+    tokens = unnest(docs, ["doc_id"], F.sequence(F.lit(0), F.length("text") - 1), "token")
     flags = R.boundary_truth(tokens, S.bare_spans(docs, ["doc_id"]), "doc_id")
     return flags.groupBy("doc_id").agg(
         F.count("*").alias("tokens"), F.sum("is_start").alias("starts"), F.sum("is_end").alias("ends"),
@@ -396,7 +414,7 @@ def scored(spark, folder) -> DataFrame:
 
 
 def relation_rows(spark, folder) -> DataFrame:
-    return scored(spark, folder).select("doc_id", F.explode("scores").alias("r")).select("doc_id", "r.*")
+    return unnest(scored(spark, folder), ["doc_id"], "scores", "r").select("doc_id", "r.*")
 
 
 @query(
@@ -429,7 +447,7 @@ SELECT d.doc_id, CAST(s.pos AS INTEGER) AS id, s.label, s."start" AS start_offse
 )
 def spn26(spark, folder):
     out = R.entity_format(annotated(spark, folder), 200, SEED, "doc_id")
-    return out.select("doc_id", F.explode("entities").alias("e")).select("doc_id", "e.*")
+    return unnest(out, ["doc_id"], "entities", "e").select("doc_id", "e.*")
 
 
 @query(
@@ -440,7 +458,7 @@ SELECT k.doc_id, CAST(k.id AS BIGINT) AS id, CAST(o.base + k.from_pos AS BIGINT)
 )
 def spn27(spark, folder):
     rows = R.label_relations(scored(spark, folder).select("doc_id", "label", "scores"), "doc_id", 1001, 5001)
-    return rows.select("doc_id", F.explode("relations").alias("r")).select("doc_id", "r.*")
+    return unnest(rows, ["doc_id"], "relations", "r").select("doc_id", "r.*")
 
 
 def relation_corpus(spark, folder) -> DataFrame:
