@@ -13,7 +13,7 @@ from noticeloom.operators import spans as S
 from noticeloom.plans.catalog import query, table
 from noticeloom.plans.data import GOLD, PRED, annotated, spans_sql
 from noticeloom.plans.q_clean import turn_pairs
-from noticeloom.plans.q_spans import GOLD_SQL, REL_SQL, TAGS_SQL, relation_rows, tagged
+from noticeloom.plans.q_spans import GOLD_SQL, REL_SQL, TAGS_SQL, relation_rows
 from noticeloom.plans.review import review_table
 
 BOTH = f"WITH {spans_sql(GOLD, 'gold')}, {spans_sql(PRED, 'pred')}"
@@ -73,9 +73,13 @@ def eva3(spark, folder):
 
 @query("eva4_tag_scores")
 def eva4(spark, folder):
-    gold = tagged(spark, folder).select("doc_id", "text", F.col("tags").alias("gold_tags"))
-    pred = tagged(spark, folder, PRED).select("doc_id", F.col("tags").alias("pred_tags"))
-    return E.tag_scores(gold.join(pred, "doc_id"), "doc_id")
+    docs = annotated(spark, folder).withColumn("pred", S.phrase_spans(F.col("text"), PRED))
+    tags = docs.select(
+        "doc_id",
+        B.bio_tags(F.length("text"), F.col("label")).alias("gold_tags"),
+        B.bio_tags(F.length("text"), F.col("pred")).alias("pred_tags"),
+    )
+    return E.tag_scores(tags, "doc_id")
 
 
 @query(
