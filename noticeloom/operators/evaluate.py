@@ -78,19 +78,23 @@ def relation_scores(gold: DataFrame, pred: DataFrame, key: list[str], threshold:
 
 def tag_scores(df: DataFrame, doc: str, gold="gold_tags", pred="pred_tags", ignored: str = "-100") -> DataFrame:
     """Accuracy of tags and exact-match scores of the spans they form; ignored gold tags are left out."""
-    used = F.filter(F.arrays_zip(F.col(gold).alias("g"), F.col(pred).alias("p")), lambda t: t["g"] != ignored)
-    rows = df.select(
+    g, p = F.col(gold), F.col(pred)
+    kept_gold = F.when(F.array_contains(g, ignored), F.filter(g, lambda t: t != ignored)).otherwise(g)
+    kept_pred = F.when(F.array_contains(g, ignored), F.filter(p, lambda t, i: F.get(g, i) != ignored)).otherwise(p)
+    used = df.select(doc, kept_gold.alias("_g"), kept_pred.alias("_p"))
+    rows = used.select(
         doc,
-        F.transform(used, lambda t: t["g"]).alias("_gold"),
-        F.transform(used, lambda t: t["p"]).alias("_pred"),
-        F.size(F.filter(used, lambda t: t["g"] == t["p"])).alias("_same"),
+        F.size("_g").alias("_n"),
+        F.size(F.filter(F.zip_with("_g", "_p", lambda a, b: a == b), lambda same: same)).alias("_same"),
+        tag_spans(F.col("_g")).alias("gold"),
+        tag_spans(F.col("_p")).alias("pred"),
     )
-    accuracy = rows.agg((F.sum("_same") / F.sum(F.size("_gold"))).alias("accuracy"))
+    accuracy = rows.agg((F.sum("_same") / F.sum("_n")).alias("accuracy"))
 
     def spans(column: str) -> DataFrame:
-        return unnest(rows, [doc], tag_spans(F.col(column)), "s").select(doc, "s.*")
+        return unnest(rows, [doc], column, "s").select(doc, "s.*")
 
-    overall = span_scores(spans("_gold"), spans("_pred"), doc).filter(F.col("item") == ALL_TYPES)
+    overall = span_scores(spans("gold"), spans("pred"), doc).filter(F.col("item") == ALL_TYPES)
     return overall.select(
         F.col("p").alias("precision"), F.col("r").alias("recall"), F.col("f").alias("f1"), accuracy.scalar().alias("accuracy")
     )
