@@ -93,43 +93,52 @@ def _kind(tag: Column) -> Column:
 def tag_spans(tags: Column) -> Column:
     """Runs of tags as spans: a run starts at B, or at I after O; its type is its most frequent type.
 
-    Of equally frequent types the one met first wins.
+    Of equally frequent types the one met first wins. Untagged characters are read once; the rest of
+    the work is on the tagged places alone.
     """
 
-    def runs(places: Column) -> Column:
-        """Runs from the tagged places alone; untagged characters are read once."""
+    def of_row(row: Column) -> Column:
+        places = F.filter(index_range(F.size(row)), lambda i: F.get(row, i) != OUTSIDE)
 
-        def opens(at: Column, k: Column) -> Column:
-            return (_kind(F.get(tags, at)) == "B") | (k == 0) | (F.get(places, k - 1) != at - 1)
+        def runs(at: Column) -> Column:
+            def opens(place: Column, k: Column) -> Column:
+                return (_kind(F.get(row, place)) == "B") | (k == 0) | (F.get(at, k - 1) != place - 1)
 
-        def closes(at: Column, k: Column) -> Column:
-            after = F.get(places, k + 1)
-            return after.isNull() | (after != at + 1) | (_kind(F.get(tags, after)) == "B")
+            def closes(place: Column, k: Column) -> Column:
+                after = F.get(at, k + 1)
+                return after.isNull() | (after != place + 1) | (_kind(F.get(row, after)) == "B")
 
-        return F.arrays_zip(F.filter(places, opens).alias("s"), F.filter(places, closes).alias("e"))
+            return F.arrays_zip(F.filter(at, opens).alias("s"), F.filter(at, closes).alias("e"))
 
-    def typed(run: Column) -> Column:
-        types = F.transform(F.slice(tags, run["s"] + 1, run["e"] - run["s"] + 1), lambda t: F.substr(t, F.lit(3)))
-        ranked = F.transform(
-            F.array_distinct(types),
-            lambda k, i: F.struct(F.size(F.filter(types, lambda t: t == k)).alias("n"), (-i).alias("i"), k.alias("k")),
-        )
-        return span(run["s"], run["e"] + 1, F.array_max(ranked)["k"])
+        def typed(run: Column) -> Column:
+            types = F.transform(F.slice(row, run["s"] + 1, run["e"] - run["s"] + 1), lambda t: F.substr(t, F.lit(3)))
+
+            def commonest(own: Column) -> Column:
+                ranked = F.transform(
+                    F.array_distinct(own),
+                    lambda k, i: F.struct(F.size(F.filter(own, lambda t: t == k)).alias("n"), (-i).alias("i"), k.alias("k")),
+                )
+                return F.array_max(ranked)["k"]
+
+            return span(run["s"], run["e"] + 1, bind(types, commonest))
 
-    tagged = F.filter(index_range(F.size(tags)), lambda i: F.get(tags, i) != OUTSIDE)
-    return bind(tagged, lambda places: F.transform(runs(places), typed))
+        return F.transform(bind(places, runs), typed)
+
+    return bind(tags, of_row)
 
 
 def token_slices(tags: Column, size: int = SLICE) -> Column:
     """Tagged characters as token predictions with offsets inside their ``size`` slice."""
-    places = F.filter(index_range(F.size(tags)), lambda i: F.get(tags, i) != OUTSIDE)
-    return F.transform(
-        places,
-        lambda i: F.struct(
-            F.floor(i / size).cast("int").alias("slice"),
-            (i % size).alias("start"),
-            (i % size + 1).alias("end"),
-            F.get(tags, i).alias("entity"),
+    return bind(
+        tags,
+        lambda row: F.transform(
+            F.filter(index_range(F.size(row)), lambda i: F.get(row, i) != OUTSIDE),
+            lambda i: F.struct(
+                F.floor(i / size).cast("int").alias("slice"),
+                (i % size).alias("start"),
+                (i % size + 1).alias("end"),
+                F.get(row, i).alias("entity"),
+            ),
         ),
     )
 

@@ -36,9 +36,14 @@ def span_scores(gold: DataFrame, pred: DataFrame, doc: str, labelled: bool = Tru
     key = [doc, "start", "end"] + (["label"] if labelled else [])
 
     def side(df: DataFrame, in_gold: int) -> DataFrame:
-        return df.select(*key, F.lit(in_gold).alias("_g"), F.lit(1 - in_gold).alias("_p"))
+        return df.select(*key, F.lit(in_gold).alias("in_gold"))
 
-    seen = side(gold, 1).unionByName(side(pred, 0)).groupBy(*key).agg(F.max("_g").alias("g"), F.max("_p").alias("p"))
+    return stacked_scores(side(gold, 1).unionByName(side(pred, 0)), key, labelled)
+
+
+def stacked_scores(stacked: DataFrame, key: list[str], labelled: bool = True) -> DataFrame:
+    """Scores of spans of both sides in one frame, told apart by ``in_gold``."""
+    seen = stacked.groupBy(*key).agg(F.max("in_gold").alias("g"), (1 - F.min("in_gold")).alias("p"))
     label = F.col("label") if labelled else F.lit(ALL_TYPES)
     per_type = seen.groupBy(label.alias("item")).agg(
         F.sum(F.col("g") * F.col("p")).alias("tp"),
@@ -86,15 +91,15 @@ def tag_scores(df: DataFrame, doc: str, gold="gold_tags", pred="pred_tags", igno
         doc,
         F.size("_g").alias("_n"),
         F.size(F.filter(F.zip_with("_g", "_p", lambda a, b: a == b), lambda same: same)).alias("_same"),
-        tag_spans(F.col("_g")).alias("gold"),
-        tag_spans(F.col("_p")).alias("pred"),
+        F.concat(
+            F.transform(tag_spans(F.col("_g")), lambda x: F.struct(x["start"], x["end"], x["label"], F.lit(1).alias("in_gold"))),
+            F.transform(tag_spans(F.col("_p")), lambda x: F.struct(x["start"], x["end"], x["label"], F.lit(0).alias("in_gold"))),
+        ).alias("_spans"),
     )
     accuracy = rows.agg((F.sum("_same") / F.sum("_n")).alias("accuracy"))
 
-    def spans(column: str) -> DataFrame:
-        return unnest(rows, [doc], column, "s").select(doc, "s.*")
-
-    overall = span_scores(spans("gold"), spans("pred"), doc).filter(F.col("item") == ALL_TYPES)
+    spans = unnest(rows, [doc], "_spans", "s").select(doc, "s.*").toDF(doc, "start", "end", "label", "in_gold")
+    overall = stacked_scores(spans, [doc, "start", "end", "label"]).filter(F.col("item") == ALL_TYPES)
     return overall.select(
         F.col("p").alias("precision"), F.col("r").alias("recall"), F.col("f").alias("f1"), accuracy.scalar().alias("accuracy")
     )

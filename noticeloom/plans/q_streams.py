@@ -1 +1,126 @@
-"""Queries."""
+"""Queries of the streaming jobs: tables dropped as files, streamed, and read from the sink."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from noticeloom.functions import text as T
+from noticeloom.operators.annotate import annotate, term_matcher
+from noticeloom.operators.spans import phrase_spans
+from noticeloom.plans.catalog import query, table
+from noticeloom.plans.data import GOLD, documents
+from noticeloom.plans.q_curate import category_scores
+from noticeloom.plans.q_load import NOTICE_TERMS, NOTICES, _notices
+from noticeloom.plans.q_spans import GOLD_SQL, rows_out
+from noticeloom.session import fresh_folder
+from noticeloom.sources.files import CORRUPT, write_named_drops
+from noticeloom.sources.tables import append_batch, read_latest
+from noticeloom.streaming import jobs as J
+
+
+@query("str1_document_stream", "SELECT doc_id, lang, md5(text) AS md5 FROM documents")
+def str1(spark, folder):
+    drops, out = fresh_folder(spark, "in"), fresh_folder(spark, "out")
+    documents(spark, folder).select("doc_id", "lang", "text").repartition(4).write.json(drops)
+    stream = J.document_stream(spark, drops, J.sample_schema(spark, drops), max_files=2)
+    J.append_stream(stream, out, fresh_folder(spark, "checkpoint")).awaitTermination()
+    return spark.read.parquet(out).select("doc_id", "lang", F.md5("text").alias("md5"))
+
+
+@query("str2_annotated_stream", f'{GOLD_SQL} SELECT doc_id, "start", "end", label FROM spans')
+def str2(spark, folder):
+    drops, out = fresh_folder(spark, "in"), fresh_folder(spark, "out")
+    documents(spark, folder).select("doc_id", "text").repartition(4).write.json(drops)
+    stream = annotate(J.document_stream(spark, drops, "doc_id bigint, text string"), term_matcher(GOLD))
+    J.append_stream(stream.select("doc_id", "label"), out, fresh_folder(spark, "checkpoint")).awaitTermination()
+    return rows_out(spark.read.parquet(out), "doc_id")
+
+
+def _notice_stream(spark, folder) -> str:
+    drops, out = fresh_folder(spark, "in"), fresh_folder(spark, "out")
+    notices = _notices(spark, folder)
+    write_named_drops(notices.repartition(2), drops, "bid", "test_tender_bid_result", 100)
+    write_named_drops(notices.filter("id % 10 = 0").coalesce(1), drops, "bid", "table_nobody_knows", 300)
+    schema = notices.schema.add(CORRUPT, "string")
+    gold = spark.createDataFrame([], "md5 string, label array<struct<start:int,end:int,label:string>>")
+    stream = J.document_stream(spark, drops, schema, max_files=2, latest_first=False)
+    query_ = J.notice_stream(
+        stream, out, {"bid": gold}, lambda df: df.withColumn("label", phrase_spans(F.col("text"), NOTICE_TERMS)), 2024,
+        fresh_folder(spark, "checkpoint"),
+    )
+    query_.awaitTermination()
+    return out
+
+
+@query(
+    "str3_notice_stream",
+    f"""{NOTICES}, a AS (SELECT page_id, string_agg(val, '_' ORDER BY pos) FILTER (WHERE label = '中标单位') AS winning_bidder FROM v GROUP BY 1)
+SELECT p.page_id AS id, coalesce(a.winning_bidder, '') AS winning_bidder, CAST((SELECT count(DISTINCT val) FROM v WHERE v.page_id = p.page_id AND label = '中标单位') AS BIGINT) AS winners FROM pages p LEFT JOIN a USING (page_id)""",
+)
+def str3(spark, folder):
+    out = _notice_stream(spark, folder)
+    parents = read_latest(spark, f"{out}/final_tender_bid_result", ["id"])
+    winners = read_latest(spark, f"{out}/final_winning_bidder/test_tender_bid_result", ["table_name", "announcement_id"])
+    counts = winners.groupBy(F.col("announcement_id").alias("id")).agg(F.count("*").alias("winners"))
+    return parents.select("id", "winning_bidder").join(counts, "id", "left").fillna(0, ["winners"])
+
+
+@query("str3_quarantine", "SELECT page_id AS id, 'table_nobody_knows' AS \"table\" FROM pages WHERE page_id % 10 = 0")
+def str3_quarantine(spark, folder):
+    rows = spark.read.parquet(f"{_notice_stream(spark, folder)}/quarantine")
+    return rows.select("id", "table")
+
+
+@query("str4_bounded_batches", "SELECT event_id, event_type FROM events")
+def str4(spark, folder):
+    """One file per trigger: the checkpoint is the queue."""
+    drops, out = fresh_folder(spark, "in"), fresh_folder(spark, "out")
+    table(spark, folder, "events").select("event_id", "event_type").repartition(5).write.json(drops)
+    stream = J.document_stream(spark, drops, "event_id bigint, event_type string", max_files=1)
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        append_batch(batch, out, batch_id)
+
+    J.per_batch(stream, work, fresh_folder(spark, "checkpoint")).awaitTermination()
+    return read_latest(spark, out, ["event_id"])
+
+
+@query(
+    "str5_tag_stream",
+    """SELECT 'final_tender_bid' AS "table", doc_id AS id, CASE WHEN doc_id % 5 = 0 THEN '人工' ELSE c END AS classify_type FROM (
+SELECT doc_id, arg_max(c, (s, -i)) AS c FROM (SELECT doc_id, c, i, CAST(('0x' || substring(md5(c || source), 1, 2)) AS INTEGER) AS s FROM documents, (VALUES ('货物', 0), ('工程', 1), ('服务', 2)) t(c, i)) GROUP BY 1)""",
+)
+def str5(spark, folder):
+    drops, out = fresh_folder(spark, "in"), fresh_folder(spark, "out")
+    docs = documents(spark, folder).select(
+        F.lit("final_tender_bid").alias("table"), F.col("doc_id").alias("id"), "source",
+        F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.col("text")).alias("detail_content"),
+    )
+    gold = docs.filter("id % 5 = 0").select(T.fingerprint(T.clean_html(F.col("detail_content"))).alias("md5"), F.lit("人工").alias("classify_type"))
+    docs.select("table", "id").repartition(4).write.json(drops)
+    stream = J.document_stream(spark, drops, "table string, id bigint", max_files=2)
+    J.tag_stream(stream, docs, gold, category_scores, out, fresh_folder(spark, "checkpoint")).awaitTermination()
+    return read_latest(spark, out, ["table", "id"])
+
+
+@query(
+    "str6_upsert_stream",
+    "SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(event_type, (ts, event_id)) AS event_type FROM events GROUP BY 1",
+)
+def str6(spark, folder):
+    """Events in time order, one file per batch: the last event of each user stays."""
+    drops, out = fresh_folder(spark, "in"), fresh_folder(spark, "out")
+    events = table(spark, folder, "events").select("user_id", "event_id", "event_type", _stamp().alias("at"))
+    for i in range(3):
+        low, high = 10 * i, 10 * i + 10
+        day = events.withColumn("d", F.floor((F.col("at") - 1704067200000000) / 86400000000))
+        write_named_drops(day.filter((F.col("d") >= low) & (F.col("d") < high)).drop("d").coalesce(1), drops, "user", "events", 100 + i)
+    stream = J.document_stream(spark, drops, "user_id bigint, event_id bigint, event_type string, at bigint", 1, latest_first=False)
+    ordered = stream.withColumn("place", F.struct("at", "event_id"))
+    J.upsert_stream(ordered, out, ["user_id"], "place", fresh_folder(spark, "checkpoint")).awaitTermination()
+    return read_latest(spark, out, ["user_id"]).select("user_id", "event_id", "event_type")
+
+
+def _stamp() -> F.Column:
+    return F.unix_micros(F.col("ts").cast("timestamp"))

@@ -71,6 +71,22 @@ def standard_documents(df: DataFrame, task: str, as_of: str, order: str, content
     return distinct_first(rows, ["md5"], [order])
 
 
+def write_named_drops(df: DataFrame, folder: str, task: str, table: str, stamp: int) -> None:
+    """JSON lines written by the executors, then renamed in place to ``task#table#stamp.json``.
+
+    Renames are one metadata call per file through the folder's own file system. A second file of the
+    same write gets the next stamp.
+    """
+    spark = df.sparkSession
+    staging = f"{folder}/_staging-{stamp}"
+    df.write.json(staging)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    system = hadoop.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = [f.getPath() for f in system.listStatus(hadoop.Path(staging)) if f.getPath().getName().endswith(".json")]
+    for i, part in enumerate(sorted(parts, key=lambda p: p.getName())):
+        system.rename(part, hadoop.Path(folder, f"{task}#{table}#{stamp + i}.json"))
+
+
 def read_named_drops(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON lines of files named ``task#table#ts.json``, with task and table from the name."""
     return with_file_name(read_documents(spark, path, schema))
