@@ -20,30 +20,28 @@ def total(values: Column) -> Column:
 def running_totals(values: Column) -> Column:
     """Inclusive running sums of an int array.
 
-    Blocks of 64 keep the work near-linear: a plain prefix sum inside an expression would
-    re-read the whole prefix for every element.
+    Sums go by blocks of 64: a plain prefix sum inside an expression would read the whole prefix for
+    every element, and ``slice`` copies the whole array for every cut.
     """
+
+    def cut(b: Column) -> Column:
+        last = F.least(b * _BLOCK + _BLOCK, F.size(values)) - 1
+        return F.transform(F.sequence(b * _BLOCK, last), lambda i: F.get(values, i))
+
     blocks = F.when(
-        F.size(values) > 0,
-        F.transform(
-            F.sequence(F.lit(0), F.floor((F.size(values) - 1) / _BLOCK).cast("int")),
-            lambda b: F.slice(values, b * _BLOCK + 1, F.lit(_BLOCK)),
-        ),
+        F.size(values) > 0, F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / _BLOCK).cast("int")), cut)
     ).otherwise(empty("array<array<int>>"))
 
-    def spread(packed: Column) -> Column:
-        sums = F.transform(packed, total)
-        return F.flatten(
-            F.transform(
-                packed,
-                lambda block, b: F.transform(
-                    block,
-                    lambda _, i: total(F.slice(sums, F.lit(1), b)) + total(F.slice(block, F.lit(1), i + 1)),
-                ),
+    def spread(packed: Column, sums: Column) -> Column:
+        def place(block: Column, b: Column) -> Column:
+            return bind(
+                total(F.slice(sums, F.lit(1), b)),
+                lambda before: F.transform(block, lambda _, i: before + total(F.slice(block, F.lit(1), i + 1))),
             )
-        )
 
-    return bind(blocks, spread)
+        return F.flatten(F.transform(packed, place))
+
+    return bind(blocks, lambda packed: bind(F.transform(packed, total), lambda sums: spread(packed, sums)))
 
 
 def bind(value: Column, body) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -11,16 +12,19 @@ from noticeloom.functions.arrays import bind
 
 # Parts of a page that carry no text: comments, script, noscript and style bodies, declarations, tags.
 MARKUP = (
-    r"(?is)<!--.*?-->"
-    r"|<script\b[^>]*>.*?</script\s*>"
-    r"|<noscript\b[^>]*>.*?</noscript\s*>"
-    r"|<style\b[^>]*>.*?</style\s*>"
-    r"|<![a-z][^>]*>"
-    r"|</?[a-z][^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*>"
-    r"|</?[a-z][^>]*>"
+    r"(?is)<(?:!--.*?-->"
+    r"|script\b[^>]*>.*?</script\s*>"
+    r"|noscript\b[^>]*>.*?</noscript\s*>"
+    r"|style\b[^>]*>.*?</style\s*>"
+    r"|![a-z][^>]*>"
+    r"|/?[a-z][^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*>"
+    r"|/?[a-z][^>]*>)"
 )
 INPUT_WITH_VALUE = r"(?is)<input\b(?=[^>]*\bvalue\s*=)(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
 ASTRAL = r"[\x{10000}-\x{10FFFF}]"
+SPACE_OR_ASTRAL = r"[ \x{10000}-\x{10FFFF}]"
+# White space at the edges of a value: ASCII white space and the Unicode separators.
+EDGE_SPACE = " \t\n\r\f\v\u00a0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(chr(c) for c in range(0x2000, 0x200B))
 NOT_WORD = r"[^\p{L}\p{N}_]"
 
 # The patterns and entity names the cleaning rules are defined by.
@@ -45,9 +49,11 @@ def code_point(number: Column) -> Column:
 
 def decode_entities(text: Column) -> Column:
     """Named and numeric character references, each decoded once, left to right."""
-    named = F.create_map(*[F.lit(x) for name, cp in sorted(name2codepoint.items()) for x in (name, chr(cp))])
+    named = F.from_json(F.lit(json.dumps({name: chr(cp) for name, cp in name2codepoint.items()})), "map<string,string>")
 
     def one(piece: Column) -> Column:
+        """A piece that followed an ampersand."""
+
         def swap(key: Column) -> Column:
             decoded = (
                 F.when(key.rlike("^#[0-9]{1,9}$"), code_point(F.substring(key, 2, 9).cast("bigint")))
@@ -57,12 +63,14 @@ def decode_entities(text: Column) -> Column:
                 )
                 .otherwise(F.element_at(named, key))
             )
-            rest = F.substr(piece, F.length(key) + 3)
-            return F.when(key == "", piece).otherwise(F.coalesce(F.concat(decoded, rest), piece))
+            rest = F.substr(piece, F.length(key) + 2)
+            plain = F.concat(F.lit("&"), piece)
+            return F.when(key == "", plain).otherwise(F.coalesce(F.concat(decoded, rest), plain))
 
-        return bind(F.regexp_extract(piece, r"^&(#?[0-9A-Za-z]+);", 1), swap)
+        return bind(F.regexp_extract(piece, r"^(#?[0-9A-Za-z]+);", 1), swap)
 
-    decoded = F.array_join(F.transform(F.split(text, "(?=&)", -1), one), "")
+    pieces = F.split(text, "&", -1)
+    decoded = F.array_join(F.transform(pieces, lambda p, i: F.when(i == 0, p).otherwise(one(p))), "")
     return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
 
 
@@ -108,10 +116,9 @@ def hidden_input_text(html: Column) -> Column:
     return F.when(F.contains(F.lower(html), F.lit("<input")), F.array_max(ranked)["p"]).otherwise(F.lit(""))
 
 
-def squeeze_lines(text: Column) -> Column:
-    text = F.regexp_replace(text, ASTRAL, "")
-    text = F.translate(text, "\r\f\t ", "\n\n\n")
-    return F.regexp_replace(text, r"\n+", "\n")
+def squeeze_lines(text: Column, breaks: str = r"[\r\n\f\t]+") -> Column:
+    """Spaces and astral characters dropped, each run of line breaks and tabs made one line end."""
+    return F.regexp_replace(F.regexp_replace(text, SPACE_OR_ASTRAL, ""), breaks, "\n")
 
 
 def clean_html(html: Column, hidden_inputs: bool = True) -> Column:
@@ -126,8 +133,7 @@ def clean_html(html: Column, hidden_inputs: bool = True) -> Column:
 def clean_html_short(html: Column) -> Column:
     """Variant without the hidden-input step that also removes tabs."""
     page = F.regexp_replace(F.coalesce(html, F.lit("")), r"</(p|tr|td)>", "\n</$1>")
-    text = F.regexp_replace(visible_text(page), ASTRAL, "")
-    return F.regexp_replace(F.translate(text, "\r\f\t ", "\n\n"), r"\n+", "\n")
+    return squeeze_lines(F.translate(visible_text(page), "\t", ""), r"[\r\n\f]+")
 
 
 def word_content(html: Column) -> Column:
@@ -141,7 +147,7 @@ def fingerprint(text: Column) -> Column:
 
 
 def strip_space(text: Column) -> Column:
-    return F.regexp_replace(text, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
+    return F.btrim(text, F.lit(EDGE_SPACE))
 
 
 def general_value(value: Column, limit: int = VALUE_LIMIT) -> Column:

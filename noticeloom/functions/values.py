@@ -120,16 +120,19 @@ def _listed(task: Column, name: Column, pairs: list[tuple[str, str]]) -> Column:
 
 def clean_value(task: Column, label: Column, value: Column, as_of_year: int, rules: dict = RULES) -> Column:
     """General cleaning, then the rule listed for (task, label), as text."""
-    plain = general_value(value)
-    result = plain
-    if "date" in rules:
-        result = F.when(_listed(task, label, rules["date"]), clean_date(plain, as_of_year)).otherwise(result)
-    if "unit" in rules:
-        result = F.when(_listed(task, label, rules["unit"]), unit(plain).cast("string")).otherwise(result)
-    if "amount" in rules:
-        number = F.regexp_replace(money(plain).cast("string"), r"\.?0+$", "")
-        result = F.when(_listed(task, label, rules["amount"]), number).otherwise(result)
-    return result
+
+    def by_rule(plain: Column) -> Column:
+        result = plain
+        if "date" in rules:
+            result = F.when(_listed(task, label, rules["date"]), clean_date(plain, as_of_year)).otherwise(result)
+        if "unit" in rules:
+            result = F.when(_listed(task, label, rules["unit"]), unit(plain).cast("string")).otherwise(result)
+        if "amount" in rules:
+            number = F.regexp_replace(money(plain).cast("string"), r"\.?0+$", "")
+            result = F.when(_listed(task, label, rules["amount"]), number).otherwise(result)
+        return result
+
+    return bind(general_value(value), by_rule)
 
 
 def amount_fallback(source_money: Column, extracted: Column) -> Column:

@@ -111,7 +111,7 @@ def tag_spans(tags: Column) -> Column:
             return F.arrays_zip(F.filter(at, opens).alias("s"), F.filter(at, closes).alias("e"))
 
         def typed(run: Column) -> Column:
-            types = F.transform(F.slice(row, run["s"] + 1, run["e"] - run["s"] + 1), lambda t: F.substr(t, F.lit(3)))
+            types = F.transform(F.sequence(run["s"], run["e"]), lambda i: F.substr(F.get(row, i), F.lit(3)))
 
             def commonest(own: Column) -> Column:
                 ranked = F.transform(
@@ -156,8 +156,8 @@ def merge_tokens(tokens: Column, size: int = SLICE) -> Column:
             last = F.coalesce(F.get(opens, k + 1), F.size(moved))
             head = F.get(moved, first)
             label = F.substr(head["entity"], F.lit(3))
-            own = F.filter(F.slice(moved, first + 1, last - first), lambda t: F.substr(t["entity"], F.lit(3)) == label)
-            return span(head["start"], F.try_element_at(own, F.lit(-1))["end"], label)
+            own = F.filter(F.sequence(first, last - 1), lambda i: F.substr(F.get(moved, i)["entity"], F.lit(3)) == label)
+            return span(head["start"], F.get(moved, F.try_element_at(own, F.lit(-1)))["end"], label)
 
         return F.transform(opens, close)
 

@@ -32,12 +32,12 @@ SEED = "s1"
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents")
+    return spread(table(spark, folder, "documents"))
 
 
 def annotated(spark: SparkSession, folder: str, terms: list[tuple[str, str]] = GOLD, *keep: str) -> DataFrame:
     """Documents with dictionary spans in ``label``."""
-    df = spread(documents(spark, folder).select("doc_id", *keep, "text"))
+    df = documents(spark, folder).select("doc_id", *keep, "text")
     return df.withColumn("label", phrase_spans(F.col("text"), terms))
 
 
