@@ -26,13 +26,11 @@ def read_documents(spark: SparkSession, path: str | list[str], schema: str = DOC
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Readable rows, and broken lines for quarantine.
+    """Readable rows, and the rows of broken lines for quarantine.
 
-    Both are filters over the full row, since a scan for the broken line alone would not parse it.
+    The broken ones keep all columns, since a scan for the broken line alone would not parse it.
     """
-    good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = df.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
-    return good, bad
+    return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), df.filter(F.col(CORRUPT).isNotNull())
 
 
 def write_documents(df: DataFrame, path: str) -> None:
@@ -112,7 +110,7 @@ def array_records(df: DataFrame, column: str, schema: str) -> DataFrame:
 
 def read_whole_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: its name and full text."""
-    return spark.read.option("wholetext", True).text(path).select(
+    return spark.read.text(path, wholetext=True).select(
         F.url_decode("_metadata.file_name").alias("name"), F.col("value").alias("text")
     )
 
