@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from noticeloom.functions.arrays import unnest
 from noticeloom.operators.ranking import distinct_first
 from noticeloom.operators.spans import span
 
@@ -200,15 +201,13 @@ def comparison_report(human: DataFrame, machine: DataFrame, doc: str, near: int
         .otherwise(F.col("_before"))
     )
 
-    def report(df: DataFrame, kind: Column, h: str | None, a: str | None, analysis: Column | None) -> DataFrame:
+    def report(when: Column, kind: Column, h: str | None, a: str | None, analysis: Column | None) -> Column:
         def field(prefix: str | None, name: str, as_type: str) -> Column:
             if prefix is None:
                 return F.lit(None).cast(as_type)
             return F.col(f"{prefix}.{name}" if prefix else name)
 
-        return df.select(
-            doc,
-            F.col("label").alias("label_type"),
+        row = F.struct(
             kind.alias("wrong_type"),
             field(h, "start", "int").alias("human_start"),
             field(h, "end", "int").alias("human_end"),
@@ -217,8 +216,8 @@ def comparison_report(human: DataFrame, machine: DataFrame, doc: str, near: int
             field(a, "end", "int").alias("ai_end"),
             field(a, "value", "string").alias("ai_label"),
             (kind if analysis is None else analysis).alias("rule_analysis"),
-            F.col("n_machine").alias("n_candidates"),
         )
+        return F.when(when, row)
 
     def analysed(h: str, a: str) -> Column:
         def c(prefix: str, name: str) -> Column:
@@ -226,17 +225,18 @@ def comparison_report(human: DataFrame, machine: DataFrame, doc: str, near: int
 
         return rule_analysis(c(h, "start"), c(h, "end"), c(h, "value"), c(a, "start"), c(a, "end"), c(a, "value"))
 
-    twice = marked.filter("is_human = 1 AND _nth = 2")
-    missed = marked.filter("is_human = 1 AND n_machine = 0")
-    extra = marked.filter("is_human = 0 AND n_human = 0")
-    wrong = marked.filter("is_human = 1 AND NOT agreed AND n_machine > 0").withColumn("_hit", nearest)
+    human_row, machine_row = F.col("is_human") == 1, F.col("is_human") == 0
     wrong_kind = F.when(gap("_hit") < near, F.lit(AI_WRONG_PLACE)).otherwise(F.lit(AI_WRONG))
-    return (
-        report(twice, F.lit(TWICE), "_first", "", analysed("_first", ""))
-        .unionByName(report(missed, F.lit(AI_MISSED), "", None, None))
-        .unionByName(report(extra, F.lit(AI_EXTRA), None, "", None))
-        .unionByName(report(wrong, wrong_kind, "", "_hit", analysed("", "_hit")))
+    # The classes of a span are listed beside it, so the windows above are computed once.
+    classes = F.array(
+        report(human_row & (F.col("_nth") == 2), F.lit(TWICE), "_first", "", analysed("_first", "")),
+        report(human_row & (F.col("n_machine") == 0), F.lit(AI_MISSED), "", None, None),
+        report(machine_row & (F.col("n_human") == 0), F.lit(AI_EXTRA), None, "", None),
+        report(human_row & ~F.col("agreed") & (F.col("n_machine") > 0), wrong_kind, "", "_hit", analysed("", "_hit")),
     )
+    keep = [doc, F.col("label").alias("label_type"), F.col("n_machine").alias("n_candidates")]
+    rows = unnest(marked.withColumn("_hit", nearest), keep, F.array_compact(classes), "_r")
+    return rows.select(doc, "label_type", "_r.*", "n_candidates")
 
 
 def row_fingerprint(columns: list[str]) -> Column:

@@ -80,19 +80,20 @@ def span_texts(text: Column, spans: Column) -> Column:
 
 
 def span_rows(df: DataFrame, keep: list[str], text="text", label="label") -> DataFrame:
-    """One row per span with its text and length."""
-    return (
-        unnest(df, [*keep, text], label, "_span", "pos")
-        .select(
-            *keep,
-            "pos",
-            F.col("_span.start").alias("start"),
-            F.col("_span.end").alias("end"),
-            F.col("_span.label").alias("label_type"),
-            F.expr(f"substring({text}, _span.start + 1, _span.end - _span.start)").alias("value"),
-        )
-        .withColumn("label_len", F.length("value"))
+    """One row per span with its text and length.
+
+    The span's text is cut inside the row, so exploded rows do not carry the whole document.
+    """
+    cut = F.transform(
+        label,
+        lambda s: F.struct(
+            s["start"].alias("start"),
+            s["end"].alias("end"),
+            s["label"].alias("label_type"),
+            F.substr(F.col(text), s["start"] + 1, s["end"] - s["start"]).alias("value"),
+        ),
     )
+    return unnest(df, keep, cut, "_span", "pos").select(*keep, "pos", "_span.*").withColumn("label_len", F.length("value"))
 
 
 def bare_spans(df: DataFrame, keep: list[str], label="label") -> DataFrame:
@@ -105,22 +106,18 @@ def bare_spans(df: DataFrame, keep: list[str], label="label") -> DataFrame:
 def context_windows(df: DataFrame, keep: list[str], labels: list[str] | None = None, reach: int = CONTEXT, text="text", label="label") -> DataFrame:
     """One row per span: the text around it and the span moved into that text."""
     picked = F.col(label) if labels is None else F.filter(label, lambda s: s["label"].isin(labels))
-    rows = unnest(df, [*keep, text], picked, "_span")
-    rows = rows.withColumns(
-        {
-            "s_start": F.greatest(F.col("_span.start") - reach, F.lit(0)),
-            "s_end": F.least(F.col("_span.end") + reach, F.length(text)),
-        }
-    )
-    return rows.select(
-        *keep,
-        F.expr(f"substring({text}, s_start + 1, s_end - s_start)").alias("text"),
-        F.array(
-            span(F.col("_span.start") - F.col("s_start"), F.col("_span.end") - F.col("s_start"), F.col("_span.label"))
-        ).alias("label"),
-        "s_start",
-        "s_end",
-    )
+
+    def window(s: Column, length: Column) -> Column:
+        low, high = F.greatest(s["start"] - reach, F.lit(0)), F.least(s["end"] + reach, length)
+        return F.struct(
+            F.substr(F.col(text), low + 1, high - low).alias("text"),
+            F.array(span(s["start"] - low, s["end"] - low, s["label"])).alias("label"),
+            low.alias("s_start"),
+            high.alias("s_end"),
+        )
+
+    windows = bind(F.length(text), lambda length: F.transform(picked, lambda s: window(s, length)))
+    return unnest(df, keep, windows, "_w").select(*keep, "_w.*")
 
 
 def replace_from_windows(df: DataFrame, windows: DataFrame, labels: list[str], id_col="id", label="label") -> DataFrame:
@@ -206,22 +203,16 @@ def chunk_documents(df: DataFrame, keep: list[str], size: int = CHUNK, pad: int
     """
     length = F.length(text)
     borders = F.when(length < size, F.array(F.lit(0), length)).otherwise(chunk_borders(length, F.col(label), size, pad))
-    chunks = bind(
-        borders,
-        lambda at: F.transform(
-            index_range(F.size(at) - 1), lambda i: F.struct(F.get(at, i).alias("b"), F.get(at, i + 1).alias("e"))
-        ),
-    )
-    rows = unnest(df, [*keep, text, label], chunks, "_c", "chunk")
-    inside = F.filter(label, lambda s: (s["start"] >= F.col("_c.b")) & (s["end"] <= F.col("_c.e")))
-    rows = rows.select(
-        *keep,
-        "chunk",
-        F.col("_c.b").alias("chunk_start"),
-        F.expr(f"substring({text}, _c.b + 1, _c.e - _c.b)").alias("text"),
-        F.transform(inside, lambda s: span(s["start"] - F.col("_c.b"), s["end"] - F.col("_c.b"), s["label"])).alias("label"),
-        (F.length(text) < size).alias("_short"),
-    )
+    def chunk(b: Column, e: Column) -> Column:
+        inside = F.filter(label, lambda s: (s["start"] >= b) & (s["end"] <= e))
+        return F.struct(
+            b.alias("chunk_start"),
+            F.substr(F.col(text), b + 1, e - b).alias("text"),
+            F.transform(inside, lambda s: span(s["start"] - b, s["end"] - b, s["label"])).alias("label"),
+        )
+
+    chunks = bind(borders, lambda at: F.transform(index_range(F.size(at) - 1), lambda i: chunk(F.get(at, i), F.get(at, i + 1))))
+    rows = unnest(df, [*keep, (length < size).alias("_short")], chunks, "_c", "chunk").select(*keep, "_short", "chunk", "_c.*")
     return rows.filter((F.size("label") > 0) | F.col("_short")).drop("_short")
 
 
@@ -232,19 +223,34 @@ def chunk_export(chunks: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def sliding_windows(df: DataFrame, keep: list[str], width: int = WINDOW, stride: int = STRIDE, text="text", label="label") -> DataFrame:
-    """Windows of ``width`` every ``stride`` characters with the spans fully inside them."""
-    starts = F.when(F.length(text) > 0, F.sequence(F.lit(0), F.length(text) - 1, F.lit(stride))).otherwise(empty("array<int>"))
-    rows = unnest(df, [*keep, text, label], starts, "start")
-    # A column of its own: inside a lambda the name ``text`` would mean the cut text selected below.
-    rows = rows.withColumn("_stop", F.least(F.col("start") + width, F.length(text)))
-    inside = F.filter(label, lambda s: (s["start"] >= F.col("start")) & (s["end"] <= F.col("_stop")))
-    return rows.select(
-        *keep,
-        "start",
-        (F.col("start") + width).alias("end"),
-        F.expr(f"substring({text}, start + 1, {width})").alias("text"),
-        F.transform(inside, lambda s: span(s["start"] - F.col("start"), s["end"] - F.col("start"), s["label"])).alias("label"),
-    )
+    """Windows of ``width`` every ``stride`` characters with the spans fully inside them.
+
+    ``width`` is a multiple of ``stride``: the text is cut into strides once and a window joins the
+    pieces it covers, which reads a long text once and not once per window.
+    """
+    if width % stride:
+        raise ValueError("width must be a multiple of stride")
+    cover = width // stride
+
+    def window(pieces: Column, i: Column) -> Column:
+        start = i * stride
+        own = [F.coalesce(F.get(pieces, i + k), F.lit("")) for k in range(cover)]
+
+        def build(cut: Column) -> Column:
+            stop = start + F.length(cut)
+            inside = F.filter(label, lambda s: (s["start"] >= start) & (s["end"] <= stop))
+            return F.struct(
+                start.cast("int").alias("start"),
+                (start + width).cast("int").alias("end"),
+                cut.alias("text"),
+                F.transform(inside, lambda s: span(s["start"] - start, s["end"] - start, s["label"])).alias("label"),
+            )
+
+        return bind(F.concat(*own), build)
+
+    pieces = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{stride}}}"), 0)
+    windows = bind(pieces, lambda p: F.transform(index_range(F.size(p)), lambda i: window(p, i)))
+    return unnest(df, keep, windows, "_w").select(*keep, "_w.*")
 
 
 def stitch_windows(windows: DataFrame, key: list[str]) -> DataFrame:
@@ -284,47 +290,44 @@ def trim_span_edges(text: Column, spans: Column) -> Column:
 
 
 def sentences(text: Column, stops: str = "。") -> Column:
-    """(start, end) of each non-blank sentence: cut after a stop character and at line ends, true offsets."""
-    pieces = F.split(text, f"(?<=[{stops}\n])", -1)
+    """(start, end, text) of each non-blank sentence: cut after a stop character and at line ends, true offsets."""
 
-    def place(lengths: Column) -> Column:
-        return bind(
-            running_totals(lengths),
-            lambda ends: F.transform(
-                pieces,
-                lambda p, i: F.struct(
-                    (F.get(ends, i) - F.length(p)).alias("start"),
-                    (F.get(ends, i) - F.when(F.endswith(p, F.lit("\n")), F.lit(1)).otherwise(F.lit(0))).alias("end"),
-                    p.alias("piece"),
-                ),
+    def place(pieces: Column, ends: Column) -> Column:
+        return F.transform(
+            pieces,
+            lambda p, i: F.struct(
+                (F.get(ends, i) - F.length(p)).cast("int").alias("start"),
+                (F.get(ends, i) - F.when(F.endswith(p, F.lit("\n")), F.lit(1)).otherwise(F.lit(0))).cast("int").alias("end"),
+                F.rtrim(p, F.lit("\n")).alias("text"),
             ),
         )
 
-    located = bind(F.transform(pieces, F.length), place)
-    return F.transform(
-        F.filter(located, lambda s: F.trim(F.translate(s["piece"], "\n\r\t", "   ")) != ""),
-        lambda s: F.struct(s["start"].cast("int").alias("start"), s["end"].cast("int").alias("end")),
+    located = bind(
+        F.split(text, f"(?<=[{stops}\n])", -1),
+        lambda pieces: bind(bind(F.transform(pieces, F.length), running_totals), lambda ends: place(pieces, ends)),
     )
+    return F.filter(located, lambda s: F.trim(F.translate(s["text"], "\n\r\t", "   ")) != "")
 
 
 def sentence_rows(df: DataFrame, keep: list[str], stops: str = "。", text="text", label="label", labelled_only: bool = True) -> DataFrame:
     """One row per sentence with the spans that overlap it, clipped to it and re-based."""
-    rows = unnest(df, [*keep, text, label], sentences(F.col(text), stops), "_s", "sentence")
-    touching = F.filter(label, lambda s: (s["start"] < F.col("_s.end")) & (s["end"] > F.col("_s.start")))
-    rows = rows.select(
-        *keep,
-        "sentence",
-        F.col("_s.start").alias("start"),
-        F.expr(f"substring({text}, _s.start + 1, _s.end - _s.start)").alias("text"),
-        F.transform(
-            touching,
-            lambda s: span(
-                F.greatest(s["start"], F.col("_s.start")) - F.col("_s.start"),
-                F.least(s["end"], F.col("_s.end")) - F.col("_s.start"),
-                s["label"],
-            ),
-        ).alias("label"),
-    )
+
+    def row(sent: Column) -> Column:
+        touching = F.filter(label, lambda s: (s["start"] < sent["end"]) & (s["end"] > sent["start"]))
+        return F.struct(
+            sent["start"].alias("start"),
+            sent["text"].alias("text"),
+            F.transform(
+                touching,
+                lambda s: span(
+                    F.greatest(s["start"], sent["start"]) - sent["start"],
+                    F.least(s["end"], sent["end"]) - sent["start"],
+                    s["label"],
+                ),
+            ).alias("label"),
+        )
+
+    rows = unnest(df, keep, F.transform(sentences(F.col(text), stops), row), "_s", "sentence").select(*keep, "sentence", "_s.*")
     return rows.filter(F.size("label") > 0) if labelled_only else rows
 
 
