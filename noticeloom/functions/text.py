@@ -69,9 +69,12 @@ def decode_entities(text: Column) -> Column:
 
         return bind(F.regexp_extract(piece, r"^(#?[0-9A-Za-z]+);", 1), swap)
 
-    pieces = F.split(text, "&", -1)
-    decoded = F.array_join(F.transform(pieces, lambda p, i: F.when(i == 0, p).otherwise(one(p))), "")
-    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+    def decode(value: Column) -> Column:
+        pieces = F.split(value, "&", -1)
+        joined = F.array_join(F.transform(pieces, lambda p, i: F.when(i == 0, p).otherwise(one(p))), "")
+        return F.when(F.contains(value, F.lit("&")), joined).otherwise(value)
+
+    return bind(text, decode)
 
 
 def replace_entities(text: Column) -> Column:
@@ -83,7 +86,7 @@ def replace_entities(text: Column) -> Column:
             value = F.regexp_replace(value, rf"&#?(?:{names});", char)
         return F.regexp_replace(value, r"&#?[\p{L}\p{N}_]+;", "")
 
-    return F.when(F.contains(text, F.lit("&")), once(once(text))).otherwise(text)
+    return bind(text, lambda value: F.when(F.contains(value, F.lit("&")), once(once(value))).otherwise(value))
 
 
 def strip_tags_plain(html: Column) -> Column:
@@ -121,19 +124,22 @@ def squeeze_lines(text: Column, breaks: str = r"[\r\n\f\t]+") -> Column:
     return F.regexp_replace(F.regexp_replace(text, SPACE_OR_ASTRAL, ""), breaks, "\n")
 
 
+def _with_breaks(html: Column) -> Column:
+    return F.regexp_replace(F.coalesce(html, F.lit("")), r"</(p|tr|td)>", "\n</$1>")
+
+
 def clean_html(html: Column, hidden_inputs: bool = True) -> Column:
     """Text of a notice page; null and empty pages give an empty string."""
-    page = F.regexp_replace(F.coalesce(html, F.lit("")), r"</(p|tr|td)>", "\n</$1>")
-    text = visible_text(page)
-    if hidden_inputs:
-        text = F.concat(hidden_input_text(page), text)
-    return squeeze_lines(text)
+
+    def text(page: Column) -> Column:
+        return F.concat(hidden_input_text(page), visible_text(page)) if hidden_inputs else visible_text(page)
+
+    return squeeze_lines(bind(_with_breaks(html), text))
 
 
 def clean_html_short(html: Column) -> Column:
     """Variant without the hidden-input step that also removes tabs."""
-    page = F.regexp_replace(F.coalesce(html, F.lit("")), r"</(p|tr|td)>", "\n</$1>")
-    return squeeze_lines(F.translate(visible_text(page), "\t", ""), r"[\r\n\f]+")
+    return squeeze_lines(F.translate(visible_text(_with_breaks(html)), "\t", ""), r"[\r\n\f]+")
 
 
 def word_content(html: Column) -> Column:

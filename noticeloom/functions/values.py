@@ -114,22 +114,32 @@ def clean_date(value: Column, as_of_year: int) -> Column:
     return bind(F.regexp_extract_all(value, F.lit(r"[0-9]+"), 0), complete)
 
 
-def _listed(task: Column, name: Column, pairs: list[tuple[str, str]]) -> Column:
+def _listed(task: Column | str, name: Column, pairs: list[tuple[str, str]]) -> Column | None:
+    """Whether (task, name) is listed; with a fixed task only its own names are compared."""
+    if isinstance(task, str):
+        own = [n for t, n in pairs if t == task]
+        return name.isin(own) if own else None
     return F.concat_ws("|", task, name).isin([f"{t}|{n}" for t, n in pairs])
 
 
-def clean_value(task: Column, label: Column, value: Column, as_of_year: int, rules: dict = RULES) -> Column:
+def clean_value(task: Column | str, label: Column, value: Column, as_of_year: int, rules: dict = RULES) -> Column:
     """General cleaning, then the rule listed for (task, label), as text."""
 
+    def amount_text(plain: Column) -> Column:
+        return F.regexp_replace(money(plain).cast("string"), r"\.?0+$", "")
+
+    cleaners = {
+        "date": lambda plain: clean_date(plain, as_of_year),
+        "unit": lambda plain: unit(plain).cast("string"),
+        "amount": amount_text,
+    }
+
     def by_rule(plain: Column) -> Column:
         result = plain
-        if "date" in rules:
-            result = F.when(_listed(task, label, rules["date"]), clean_date(plain, as_of_year)).otherwise(result)
-        if "unit" in rules:
-            result = F.when(_listed(task, label, rules["unit"]), unit(plain).cast("string")).otherwise(result)
-        if "amount" in rules:
-            number = F.regexp_replace(money(plain).cast("string"), r"\.?0+$", "")
-            result = F.when(_listed(task, label, rules["amount"]), number).otherwise(result)
+        for kind, clean in cleaners.items():
+            listed = _listed(task, label, rules.get(kind, []))
+            if listed is not None:
+                result = F.when(listed, clean(plain)).otherwise(result)
         return result
 
     return bind(general_value(value), by_rule)

@@ -98,7 +98,7 @@ def route_of(origin: str) -> tuple[str, str]:
     return next((target, task) for name, target, task in ROUTES if name == origin)
 
 
-def clean_labels(labels: Column, task: Column, as_of_year: int) -> Column:
+def clean_labels(labels: Column, task: Column | str, as_of_year: int) -> Column:
     """Values of a (label, value) list cleaned by the rules of the task."""
     return F.transform(
         labels,

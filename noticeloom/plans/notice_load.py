@@ -37,7 +37,7 @@ def load_notices(
     rows = rows.withColumn("md5", fingerprint(F.col("text"))).withColumn("text", cap(F.col("text"), text_limit))
     rows = gold_override(with_spans(rows), gold, "md5", "label")
     rows = rows.withColumn("_labels", span_texts(F.col("text"), F.col("label")))
-    cleaned = N.apply_units(N.clean_labels(F.col("_labels"), F.lit(task), as_of_year))
+    cleaned = N.apply_units(N.clean_labels(F.col("_labels"), task, as_of_year))
     rows = rows.withColumn("_values", N.label_map(cleaned, F.lit(task == "bid")))
 
     source = N.MONEY_COLUMN.get(task)

@@ -124,7 +124,7 @@ def _label_lists(spark, folder) -> DataFrame:
         item("中标金额", F.floor("o_totalprice").cast("string")),
         item("项目名称", F.col("o_orderpriority")),
     )
-    cleaned = N.apply_units(N.clean_labels(labels, F.lit("bid"), 2024))
+    cleaned = N.apply_units(N.clean_labels(labels, "bid", 2024))
     return rows.withColumn("labels", labels).withColumn("cleaned", cleaned)
 
 
