@@ -242,11 +242,11 @@ def flt3_none(spark, folder):
 
 @query(
     "set1_train_dev_union",
-    "SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'tender_dev' ELSE 'tender_train' END AS dataset, 'tender' AS task FROM documents",
+    "SELECT doc_id, CASE WHEN lang <> 'en' THEN 'tender_dev' ELSE 'tender_train' END AS dataset, 'tender' AS task FROM documents",
 )
 def set1(spark, folder):
-    docs = table(spark, folder, "documents").select("doc_id")
-    return C.train_dev_union(docs.filter("doc_id % 5 <> 0"), docs.filter("doc_id % 5 = 0"), "tender")
+    docs = table(spark, folder, "documents").select("doc_id", "lang")
+    return C.train_dev_union(docs.filter("lang = 'en'"), docs.filter("lang <> 'en'"), "tender").drop("lang")
 
 
 @query(
@@ -261,7 +261,7 @@ def set2(spark, folder):
     return C.replace_task(registry, fresh, "en")
 
 
-@query("set3_of_dataset", "SELECT doc_id, 'tender_train' AS dataset FROM documents WHERE doc_id % 5 <> 0")
+@query("set3_of_dataset", "SELECT doc_id, 'tender_train' AS dataset FROM documents WHERE lang = 'en'")
 def set3(spark, folder):
     return C.of_dataset(set1(spark, folder), "tender_train").select("doc_id", "dataset")
 

@@ -39,26 +39,26 @@ def eva1(spark, folder):
 
 @query(
     "eva2_relation_scores",
-    f"""{GOLD_SQL}, {REL_SQL}, k AS (SELECT *, from_pos % 3 <> 0 AS g FROM rel),
+    f"""{GOLD_SQL}, {REL_SQL}, k AS (SELECT *, type <> '实体地点' AS g FROM rel),
 c AS (SELECT count(*) FILTER (WHERE score >= 0.5 AND g) AS tp, count(*) FILTER (WHERE score >= 0.5 AND NOT g) AS fp, count(*) FILTER (WHERE score < 0.5 AND g) AS fn FROM k)
 SELECT tp, fp, fn, {PRF} FROM c""",
 )
 def eva2(spark, folder):
     pred = relation_rows(spark, folder)
-    gold = pred.filter(F.col("from_pos") % 3 != 0).drop("score")
+    gold = pred.filter(F.col("type") != "实体地点").drop("score")
     return E.relation_scores(gold, pred, ["doc_id", "from_pos", "to_pos", "type"], 0.5)
 
 
 @query(
     "eva2_relation_scores_strict",
-    f"""{GOLD_SQL}, {REL_SQL}, k AS (SELECT *, from_pos % 3 <> 0 AS g, to_pos % 2 = 0 AS p FROM rel),
+    f"""{GOLD_SQL}, {REL_SQL}, k AS (SELECT *, type <> '实体地点' AS g, type <> '概念解释' AS p FROM rel),
 c AS (SELECT count(*) FILTER (WHERE p AND score >= 0.5 AND g) AS tp, count(*) FILTER (WHERE p AND score >= 0.5 AND NOT g) AS fp, count(*) FILTER (WHERE g AND (NOT p OR score < 0.5)) AS fn FROM k)
 SELECT tp, fp, fn, {PRF} FROM c""",
 )
 def eva2_strict(spark, folder):
     rows = relation_rows(spark, folder)
-    gold = rows.filter(F.col("from_pos") % 3 != 0).drop("score")
-    return E.relation_scores(gold, rows.filter(F.col("to_pos") % 2 == 0), ["doc_id", "from_pos", "to_pos", "type"], 0.5, True)
+    gold = rows.filter(F.col("type") != "实体地点").drop("score")
+    return E.relation_scores(gold, rows.filter(F.col("type") != "概念解释"), ["doc_id", "from_pos", "to_pos", "type"], 0.5, True)
 
 
 @query(
@@ -302,14 +302,14 @@ def cmp7(spark, folder):
 
 @query(
     "jn5_review_flags",
-    f"""WITH r AS (SELECT *, {CHECKED_SQL} AS checked_md5, {HUMAN_SQL} AS human_md5 FROM ({CMP3})), reg AS (SELECT *, CASE WHEN doc_id % 2 = 0 THEN 'Y' ELSE 'N' END AS answer FROM r WHERE doc_id % 3 = 0),
+    f"""WITH r AS (SELECT *, {CHECKED_SQL} AS checked_md5, {HUMAN_SQL} AS human_md5 FROM ({CMP3})), reg AS (SELECT *, CASE WHEN wrong_type = 'AI漏标' THEN 'Y' ELSE 'N' END AS answer FROM r WHERE wrong_type IN ('AI漏标', 'AI多标')),
 h AS (SELECT human_md5, any_value(answer) AS a FROM reg GROUP BY 1), c AS (SELECT checked_md5, any_value(answer) AS a FROM reg GROUP BY 1)
 SELECT r.doc_id, r.checked_md5, h.a AS is_human_correct, c.a AS is_checked FROM r LEFT JOIN h USING (human_md5) LEFT JOIN c USING (checked_md5)""",
 )
 def jn5(spark, folder):
     rows = _review_rows(spark, folder)
-    answer = F.when(F.col("doc_id") % 2 == 0, F.lit("Y")).otherwise(F.lit("N"))
-    registry = X.with_fingerprints(rows.filter(F.col("doc_id") % 3 == 0)).withColumn("is_human_correct", answer)
+    answer = F.when(F.col("wrong_type") == X.AI_MISSED, F.lit("Y")).otherwise(F.lit("N"))
+    registry = X.with_fingerprints(rows.filter(F.col("wrong_type").isin(X.AI_MISSED, X.AI_EXTRA))).withColumn("is_human_correct", answer)
     return X.with_review_flags(rows, registry, "checked_md5").select("doc_id", "checked_md5", "is_human_correct", "is_checked")
 
 
@@ -323,5 +323,6 @@ def flow_review(spark, folder):
     meta = table(spark, folder, "documents").groupBy(F.md5("text").alias("md5")).agg(
         F.concat(F.lit("http://"), F.min_by("source", "doc_id")).alias("source"), F.lit(37).alias("project_id")
     )
-    empty = X.with_fingerprints(_review_rows(spark, folder).filter("doc_id % 3 = 0")).withColumn("is_human_correct", F.lit("Y"))
-    return review_table(corpus(GOLD), corpus(PRED), meta, empty, "tender", "http://host")
+    known = _review_rows(spark, folder).filter(F.col("wrong_type") == X.AI_MISSED)
+    registry = X.with_fingerprints(known).withColumn("is_human_correct", F.lit("Y"))
+    return review_table(corpus(GOLD), corpus(PRED), meta, registry, "tender", "http://host")

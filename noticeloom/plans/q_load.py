@@ -29,10 +29,10 @@ def _us(column: str) -> F.Column:
     return F.unix_micros(F.col(column).cast("timestamp"))
 
 
-@query("ext2_pull_new", "SELECT event_id, user_id FROM events WHERE ts > (SELECT max(ts) FROM events WHERE event_id % 100 < 40 AND event_type = 'click' AND event_id < 6000)")
+@query("ext2_pull_new", "SELECT event_id, user_id FROM events WHERE ts > (SELECT max(ts) FROM events WHERE event_type = 'click' AND ts < TIMESTAMP '2024-01-20')")
 def ext2(spark, folder):
     events = table(spark, folder, "events")
-    target = events.filter("event_id % 100 < 40 AND event_type = 'click' AND event_id < 6000")
+    target = events.filter("event_type = 'click' AND ts < TIMESTAMP_NTZ '2024-01-20 00:00:00'")
     return X.pull_new(events, target, "ts").select("event_id", "user_id")
 
 
@@ -86,10 +86,10 @@ def ext7(spark, folder):
     return X.pull_missing(docs, known, "md5").select("doc_id")
 
 
-@query("ext8_new_pages", "SELECT page_id, url AS name FROM pages WHERE url NOT IN (SELECT url FROM pages WHERE page_id % 2 = 0)")
+@query("ext8_new_pages", "SELECT page_id, url AS name FROM pages WHERE url NOT IN (SELECT url FROM pages WHERE url LIKE 'https%')")
 def ext8(spark, folder):
     pages = table(spark, folder, "pages").select("page_id", F.col("url").alias("name"))
-    return X.pull_missing(pages, pages.filter("page_id % 2 = 0"), "name").select("page_id", "name")
+    return X.pull_missing(pages, pages.filter("name LIKE 'https%'"), "name").select("page_id", "name")
 
 
 @query("ext9_of_task", "SELECT doc_id, source FROM documents WHERE contains(source, 'src1')")
@@ -279,14 +279,14 @@ def flow_parents(spark, folder):
 
 @query(
     "flow_tag_notices",
-    f"""WITH clean AS (SELECT page_id, url, md5({clean_sql('html')}) AS md5 FROM pages WHERE page_id % 4 > 0),
+    f"""WITH human AS (SELECT md5({clean_sql('html')}) AS md5 FROM pages WHERE url LIKE 'https%'), clean AS (SELECT page_id, url, md5({clean_sql('html')}) AS md5 FROM pages WHERE url NOT LIKE '%.org/%'),
 s AS (SELECT page_id, md5, {', '.join(SCORE_SQL.format("'" + n + "'").replace('source', 'url') + f' AS s{i}' for i, n in enumerate(CAT_NAMES))} FROM clean)
-SELECT 'final_tender_bid' AS "table", page_id AS id, CASE WHEN page_id % 5 = 0 THEN '人工' WHEN s0 >= s1 AND s0 >= s2 THEN '货物' WHEN s1 >= s2 THEN '工程' ELSE '服务' END AS classify_type FROM s""",
+SELECT 'final_tender_bid' AS "table", page_id AS id, CASE WHEN md5 IN (SELECT md5 FROM human) THEN '人工' WHEN s0 >= s1 AND s0 >= s2 THEN '货物' WHEN s1 >= s2 THEN '工程' ELSE '服务' END AS classify_type FROM s""",
 )
 def flow_tag(spark, folder):
     source = _notices(spark, folder).withColumn("table", F.lit("final_tender_bid"))
-    pending = source.filter("id % 4 > 0").select("table", "id")
-    gold = source.filter("id % 5 = 0").select(T.fingerprint(T.clean_html(F.col("detail_content"))).alias("md5"), F.lit("人工").alias("classify_type"))
+    pending = source.filter("title NOT LIKE '%.org/%'").select("table", "id")
+    gold = source.filter("title LIKE 'https%'").select(T.fingerprint(T.clean_html(F.col("detail_content"))).alias("md5"), F.lit("人工").alias("classify_type"))
     return tag_notices(pending, source, gold, lambda df: category_scores(df, "title"))
 
 
@@ -314,12 +314,12 @@ def src9(spark, folder):
 
 @query(
     "src9_replace_winners",
-    "SELECT 'a' AS table_name, l_orderkey AS announcement_id, l_suppkey AS winner FROM lineitem WHERE l_orderkey % 3 > 0 UNION ALL SELECT 'a', l_orderkey, l_partkey FROM lineitem WHERE l_orderkey % 3 = 0 AND l_quantity > 25",
+    "SELECT 'a' AS table_name, l_orderkey AS announcement_id, l_suppkey AS winner FROM lineitem WHERE l_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R') UNION ALL SELECT 'a', l_orderkey, l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 25",
 )
 def src9_winners(spark, folder):
     lines = table(spark, folder, "lineitem").withColumns({"table_name": F.lit("a"), "announcement_id": F.col("l_orderkey")})
     target = lines.select("table_name", "announcement_id", F.col("l_suppkey").alias("winner"))
-    loaded = lines.filter("l_orderkey % 3 = 0")
+    loaded = lines.filter("l_returnflag = 'R'")
     batch = loaded.filter("l_quantity > 25").select("table_name", "announcement_id", F.col("l_partkey").alias("winner"))
     return TB.replace_by_key(target, batch, ["table_name", "announcement_id"], loaded)
 

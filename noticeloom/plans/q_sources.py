@@ -86,14 +86,14 @@ def src7(spark, folder):
 
 @query(
     "src11_partitioned_drops",
-    f"""SELECT event_id, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS dt, CASE WHEN event_id % 3 = 0 THEN {quoted(KEPT[0])} ELSE {quoted(KEPT[1])} END AS "table" FROM events WHERE event_id % 3 < 2 AND ts >= TIMESTAMP '2024-01-15'""",
+    f"""SELECT event_id, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS dt, CASE WHEN event_type = 'click' THEN {quoted(KEPT[0])} ELSE {quoted(KEPT[1])} END AS "table" FROM events WHERE event_type IN ('click', 'view') AND ts >= TIMESTAMP '2024-01-15'""",
 )
 def src11(spark, folder):
     base = fresh_folder(spark, "drops")
     events = table(spark, folder, "events").withColumn("dt", F.date_format("ts", "yyyyMMdd"))
-    names = [*KEPT, "not_allowed"]
-    for i, name in enumerate(names):
-        events.filter(F.col("event_id") % 3 == i).select("event_id", "value", "dt").write.partitionBy("dt").json(f"{base}/{name}")
+    kinds = {KEPT[0]: ["click"], KEPT[1]: ["view"], "not_allowed": ["error", "signup", "purchase"]}
+    for name, kind in kinds.items():
+        events.filter(F.col("event_type").isin(kind)).select("event_id", "value", "dt").write.partitionBy("dt").json(f"{base}/{name}")
     rows = S.read_partitioned_drops(spark, base, list(KEPT), "event_id bigint, value double")
     good, _ = S.split_corrupt(rows.filter("dt >= 20240115"))
     return good.select("event_id", "dt", "table")
@@ -101,13 +101,13 @@ def src11(spark, folder):
 
 @query(
     "src12_named_drops",
-    "SELECT event_id, event_type, ['bid', 'tender'][event_id % 2 + 1] AS task, CASE WHEN event_id % 2 = 0 THEN 'test_tender_bid_result' ELSE 'test_tender_bid' END AS \"table\" FROM events",
+    "SELECT event_id, event_type, CASE WHEN event_type = 'click' THEN 'bid' ELSE 'tender' END AS task, CASE WHEN event_type = 'click' THEN 'test_tender_bid_result' ELSE 'test_tender_bid' END AS \"table\" FROM events",
 )
 def src12(spark, folder):
     base = fresh_folder(spark, "named")
     events = table(spark, folder, "events").select("event_id", "event_type")
-    S.write_named_drops(events.filter("event_id % 2 = 0"), base, "bid", "test_tender_bid_result", 100)
-    S.write_named_drops(events.filter("event_id % 2 = 1"), base, "tender", "test_tender_bid", 200)
+    S.write_named_drops(events.filter("event_type = 'click'"), base, "bid", "test_tender_bid_result", 100)
+    S.write_named_drops(events.filter("event_type <> 'click'"), base, "tender", "test_tender_bid", 200)
     good, _ = S.split_corrupt(S.read_named_drops(spark, f"{base}/*.json", "event_id bigint, event_type string"))
     return good
 
@@ -166,12 +166,12 @@ def src16(spark, folder):
 
 @query(
     "src18_combine_files",
-    "SELECT o_orderkey AS \"order key\", o_orderstatus AS status, NULL::VARCHAR AS priority FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderkey % 2 = 1",
+    "SELECT o_orderkey AS \"order key\", o_orderstatus AS status, NULL::VARCHAR AS priority FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus <> 'F'",
 )
 def src18(spark, folder):
     orders = table(spark, folder, "orders")
-    a = orders.filter("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("order_ - key"), F.col("o_orderstatus").alias(" status "))
-    b = orders.filter("o_orderkey % 2 = 1").select(
+    a = orders.filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("order_ - key"), F.col("o_orderstatus").alias(" status "))
+    b = orders.filter("o_orderstatus <> 'F'").select(
         F.col("o_orderkey").alias("order key"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority ")
     )
     return S.combine_files([a, b])

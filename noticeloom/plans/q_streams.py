@@ -41,7 +41,7 @@ def _notice_stream(spark, folder) -> str:
     drops, out = fresh_folder(spark, "in"), fresh_folder(spark, "out")
     notices = _notices(spark, folder)
     write_named_drops(notices.repartition(2), drops, "bid", "test_tender_bid_result", 100)
-    write_named_drops(notices.filter("id % 10 = 0").coalesce(1), drops, "bid", "table_nobody_knows", 300)
+    write_named_drops(notices.filter("title LIKE 'https%'").coalesce(1), drops, "bid", "table_nobody_knows", 300)
     schema = notices.schema.add(CORRUPT, "string")
     gold = spark.createDataFrame([], "md5 string, label array<struct<start:int,end:int,label:string>>")
     stream = J.document_stream(spark, drops, schema, max_files=2, latest_first=False)
@@ -66,7 +66,7 @@ def str3(spark, folder):
     return parents.select("id", "winning_bidder").join(counts, "id", "left").fillna(0, ["winners"])
 
 
-@query("str3_quarantine", "SELECT page_id AS id, 'table_nobody_knows' AS \"table\" FROM pages WHERE page_id % 10 = 0")
+@query("str3_quarantine", "SELECT page_id AS id, 'table_nobody_knows' AS \"table\" FROM pages WHERE url LIKE 'https%'")
 def str3_quarantine(spark, folder):
     rows = spark.read.parquet(f"{_notice_stream(spark, folder)}/quarantine")
     return rows.select("id", "table")
@@ -88,16 +88,16 @@ def str4(spark, folder):
 
 @query(
     "str5_tag_stream",
-    """SELECT 'final_tender_bid' AS "table", doc_id AS id, CASE WHEN doc_id % 5 = 0 THEN '人工' ELSE c END AS classify_type FROM (
-SELECT doc_id, arg_max(c, (s, -i)) AS c FROM (SELECT doc_id, c, i, CAST(('0x' || substring(md5(c || source), 1, 2)) AS INTEGER) AS s FROM documents, (VALUES ('货物', 0), ('工程', 1), ('服务', 2)) t(c, i)) GROUP BY 1)""",
+    """SELECT 'final_tender_bid' AS "table", doc_id AS id, CASE WHEN lang = 'en' THEN '人工' ELSE c END AS classify_type FROM (
+SELECT doc_id, any_value(lang) AS lang, arg_max(c, (s, -i)) AS c FROM (SELECT doc_id, lang, c, i, CAST(('0x' || substring(md5(c || source), 1, 2)) AS INTEGER) AS s FROM documents, (VALUES ('货物', 0), ('工程', 1), ('服务', 2)) t(c, i)) GROUP BY 1)""",
 )
 def str5(spark, folder):
     drops, out = fresh_folder(spark, "in"), fresh_folder(spark, "out")
     docs = documents(spark, folder).select(
-        F.lit("final_tender_bid").alias("table"), F.col("doc_id").alias("id"), "source",
+        F.lit("final_tender_bid").alias("table"), F.col("doc_id").alias("id"), "source", "lang",
         F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.col("text")).alias("detail_content"),
     )
-    gold = docs.filter("id % 5 = 0").select(T.fingerprint(T.clean_html(F.col("detail_content"))).alias("md5"), F.lit("人工").alias("classify_type"))
+    gold = docs.filter("lang = 'en'").select(T.fingerprint(T.clean_html(F.col("detail_content"))).alias("md5"), F.lit("人工").alias("classify_type"))
     docs.select("table", "id").repartition(4).write.json(drops)
     stream = J.document_stream(spark, drops, "table string, id bigint", max_files=2)
     J.tag_stream(stream, docs, gold, category_scores, out, fresh_folder(spark, "checkpoint")).awaitTermination()
