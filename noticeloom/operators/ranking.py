@@ -41,20 +41,39 @@ def _edge_hashes(keys: DataFrame, wanted: DataFrame) -> DataFrame:
     )
 
 
-def split_by_hash(df: DataFrame, key: str, share: float, seed: str, name: str = "part", parts=("train", "dev")) -> DataFrame:
-    """Exact cut: the first ``int(n * share)`` rows in hash order get ``parts[0]``. Keys are unique."""
-    hashed = df.withColumns({"_g": F.lit(0), "_h": hash_order(F.col(key), seed)})
-    keys = hashed.select("_g", "_h")
-    wanted = keys.groupBy("_g").agg(F.floor(F.count("*") * F.lit(share)).alias("_n"))
-    edges = _edge_hashes(keys, wanted)
-    first = F.coalesce(F.col("_h") <= F.col("_edge"), F.lit(False))
+def _edge_hash(keys: DataFrame, n: Column) -> Column:
+    """The hash of the n-th row in hash order, of a table as one group; null when n is 0."""
+    bucket = F.substring("_h", 1, PREFIX)
+    upto = F.sum("count").over(Window.orderBy("_b"))  # over the buckets, not the rows
+    edge = (
+        keys.groupBy(bucket.alias("_b"))
+        .count()
+        .withColumn("_upto", upto)
+        .filter((F.col("_upto") >= n) & (F.col("_upto") - F.col("count") < n))
+        .select("_b", (F.col("_upto") - F.col("count")).alias("_before"))
+    )
+    rank = F.row_number().over(Window.partitionBy("_b").orderBy("_h"))
     return (
-        hashed.join(F.broadcast(edges), "_g", "left")
-        .withColumn(name, F.when(first, F.lit(parts[0])).otherwise(F.lit(parts[1])))
-        .drop("_g", "_h", "_edge")
+        keys.withColumn("_b", bucket)
+        .join(F.broadcast(edge), "_b")
+        .withColumn("_rank", F.col("_before") + rank)
+        .filter(F.col("_rank") <= n)
+        .agg(F.max("_h"))
+        .scalar()
     )
 
 
+def split_by_hash(df: DataFrame, key: str, share: float, seed: str, name: str = "part", parts=("train", "dev")) -> DataFrame:
+    """Exact cut: the first ``int(n * share)`` rows in hash order get ``parts[0]``. Keys are unique.
+
+    The cut is one hash, found over the keys alone; the rows themselves are not moved.
+    """
+    keys = df.select(hash_order(F.col(key), seed).alias("_h"))
+    n = keys.agg(F.floor(F.count("*") * F.lit(share))).scalar()
+    first = F.coalesce(hash_order(F.col(key), seed) <= _edge_hash(keys, n), F.lit(False))
+    return df.withColumn(name, F.when(first, F.lit(parts[0])).otherwise(F.lit(parts[1])))
+
+
 def split_by_share(df: DataFrame, key: str, share: float, seed: str, name: str = "part", parts=("train", "dev")) -> DataFrame:
     """Approximate cut by the hash alone: one pass and no shuffle."""
     point = F.conv(F.substring(hash_order(F.col(key), seed), 1, 8), 16, 10).cast("double") / float(16**8)

@@ -213,13 +213,13 @@ def prj10(spark, folder):
 
 @query(
     "prj11_parse_times",
-    """SELECT event_id, epoch_us(TRY_CAST(CASE WHEN event_id % 5 = 0 THEN props ELSE CAST(ts AS VARCHAR) END AS TIMESTAMP)) AS publish_us FROM events""",
+    """SELECT event_id, strftime(TRY_CAST(CASE WHEN event_type = 'error' THEN props ELSE CAST(ts AS VARCHAR) END AS TIMESTAMP), '%Y-%m-%d %H:%M:%S.%f') AS published FROM events""",
 )
 def prj11(spark, folder):
-    text = F.when(F.col("event_id") % 5 == 0, F.col("props")).otherwise(F.col("ts").cast("string"))
+    text = F.when(F.col("event_type") == "error", F.col("props")).otherwise(F.col("ts").cast("string"))
     rows = table(spark, folder, "events").select("event_id", text.alias("publish_time"))
     parsed = V.parse_times(rows, V.DATE_COLUMNS["bid"])
-    return parsed.select("event_id", F.unix_micros("publish_time").alias("publish_us"))
+    return parsed.select("event_id", F.date_format("publish_time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("published"))
 
 
 RULE_LABELS = ["中标金额", "预算", "金额", "中标金额单位", "开标时间", "开工时间", "项目名称"]

@@ -13,7 +13,7 @@ from noticeloom.operators import spans as S
 from noticeloom.plans.catalog import query, table
 from noticeloom.plans.data import GOLD, PRED, annotated, spans_sql
 from noticeloom.plans.q_clean import turn_pairs
-from noticeloom.plans.q_spans import GOLD_SQL, REL_SQL, TAGS_SQL, relation_rows
+from noticeloom.plans.q_spans import GOLD_SQL, REL_SQL, TAGS_SQL, relation_rows, runs_sql, tags_sql
 from noticeloom.plans.review import review_table
 
 BOTH = f"WITH {spans_sql(GOLD, 'gold')}, {spans_sql(PRED, 'pred')}"
@@ -71,7 +71,14 @@ def eva3(spark, folder):
     return E.span_scores(*sides(spark, folder), "doc_id", labelled=False)
 
 
-@query("eva4_tag_scores")
+@query(
+    "eva4_tag_scores",
+    f"""WITH {tags_sql(GOLD)}, {runs_sql()}, {tags_sql(PRED, 'p')}, {runs_sql('p')},
+a AS (SELECT doc_id, "start", "end", label FROM runs), b AS (SELECT doc_id, "start", "end", label FROM pruns),
+c AS (SELECT (SELECT count(*) FROM a JOIN b USING (doc_id, "start", "end", label)) AS tp, (SELECT count(*) FROM a) AS n, (SELECT count(*) FROM b) AS m)
+SELECT tp::DOUBLE / m AS precision, tp::DOUBLE / n AS recall, 2.0::DOUBLE * tp / (n + m) AS f1,
+ (SELECT avg((t.tag = q.tag)::INT) FROM tagged t JOIN ptagged q ON q.doc_id = t.doc_id AND q.i = t.i) AS accuracy FROM c""",
+)
 def eva4(spark, folder):
     docs = annotated(spark, folder).withColumn("pred", S.phrase_spans(F.col("text"), PRED))
     tags = docs.select(

@@ -26,7 +26,7 @@ def ext1(spark, folder):
 
 
 def _us(column: str) -> F.Column:
-    return F.unix_micros(F.col(column).cast("timestamp"))
+    return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', {column})")
 
 
 @query("ext2_pull_new", "SELECT event_id, user_id FROM events WHERE ts > (SELECT max(ts) FROM events WHERE event_type = 'click' AND ts < TIMESTAMP '2024-01-20')")

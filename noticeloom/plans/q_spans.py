@@ -98,8 +98,10 @@ def spn6(spark, folder):
     return rows_out(S.replace_from_windows(docs.select("doc_id", "label"), fixed, ["中标单位"], "doc_id"), "doc_id")
 
 
-def chunk_sql(size: int) -> str:
+def chunk_sql(size: int, result: str | None = None) -> str:
     """The border walk, one border at a time: ``size`` on, or 20 past a merged span it would cut."""
+    result = result or f"""SELECT c.doc_id, CAST(c.chunk AS INTEGER) AS chunk, CAST(c.b AS INTEGER) AS chunk_start, CAST(c.e - c.b AS INTEGER) AS n, md5(substring(d.text, c.b + 1, c.e - c.b)) AS text_md5, CAST(coalesce(h.spans, 0) AS INTEGER) AS spans
+FROM bounds c JOIN docs d USING (doc_id) LEFT JOIN held h ON h.doc_id = c.doc_id AND h.chunk = c.chunk WHERE h.spans > 0 OR c.n < {size}"""
     return f"""WITH RECURSIVE {SPANS},
 prior AS (SELECT doc_id, "start", "end", max("end") OVER (PARTITION BY doc_id ORDER BY "start", "end", label ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen, row_number() OVER (PARTITION BY doc_id ORDER BY "start", "end", label) AS rn FROM spans),
 grp AS (SELECT *, sum(CASE WHEN seen IS NULL OR "start" >= seen THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY rn) AS isle FROM prior),
@@ -113,9 +115,9 @@ walk(doc_id, n, b, fixed) AS (
 firm AS (SELECT w.doc_id, w.n, w.b FROM walk w LEFT JOIN isles i ON i.doc_id = w.doc_id AND i.s < w.b AND w.b < i.e WHERE w.b < w.n AND i.e IS NULL),
 cuts AS (SELECT doc_id, n, 0 AS b FROM docs UNION ALL SELECT * FROM firm),
 bounds AS (SELECT doc_id, n, b, coalesce(lead(b) OVER (PARTITION BY doc_id ORDER BY b), n) AS e, row_number() OVER (PARTITION BY doc_id ORDER BY b) - 1 AS chunk FROM cuts),
-held AS (SELECT c.doc_id, c.chunk, count(*) AS spans FROM bounds c JOIN spans s ON s.doc_id = c.doc_id AND s."start" >= c.b AND s."end" <= c.e GROUP BY 1, 2)
-SELECT c.doc_id, CAST(c.chunk AS INTEGER) AS chunk, CAST(c.b AS INTEGER) AS chunk_start, CAST(c.e - c.b AS INTEGER) AS n, md5(substring(d.text, c.b + 1, c.e - c.b)) AS text_md5, CAST(coalesce(h.spans, 0) AS INTEGER) AS spans
-FROM bounds c JOIN docs d USING (doc_id) LEFT JOIN held h ON h.doc_id = c.doc_id AND h.chunk = c.chunk WHERE h.spans > 0 OR c.n < {size}"""
+held AS (SELECT c.doc_id, c.chunk, count(*) AS spans, string_agg('[' || (s."start" - c.b) || ', ' || (s."end" - c.b) || '],' || s.label, chr(9) ORDER BY s.pos) AS cells
+ FROM bounds c JOIN spans s ON s.doc_id = c.doc_id AND s."start" >= c.b AND s."end" <= c.e GROUP BY 1, 2)
+{result}"""
 
 
 @query("spn7_chunks", chunk_sql(500))
@@ -130,7 +132,14 @@ def spn7_long(spark, folder):
     return chunks.select("doc_id", "chunk", "chunk_start", F.length("text").alias("n"), F.md5("text").alias("text_md5"), F.size("label").alias("spans"))
 
 
-@query("src17_chunk_export")
+@query(
+    "src17_chunk_export",
+    chunk_sql(
+        500,
+        """SELECT c.doc_id, CAST(c.chunk AS INTEGER) AS chunk, md5(concat_ws(chr(9), substring(d.text, c.b + 1, c.e - c.b), h.cells)) AS cells_md5, CAST(coalesce(h.spans, 0) + 1 AS INTEGER) AS n
+FROM bounds c JOIN docs d USING (doc_id) LEFT JOIN held h ON h.doc_id = c.doc_id AND h.chunk = c.chunk WHERE h.spans > 0 OR c.n < 500""",
+    ),
+)
 def src17(spark, folder):
     cells = S.chunk_export(S.chunk_documents(annotated(spark, folder), ["doc_id"]), ["doc_id", "chunk"])
     return cells.select("doc_id", "chunk", F.md5(F.array_join("cells", "\t")).alias("cells_md5"), F.size("cells").alias("n"))
@@ -176,11 +185,16 @@ def spn10(spark, folder):
     return rows_out(docs.withColumn("label", S.trim_span_edges(F.col("text"), F.col("label"))), "doc_id")
 
 
-TAGS_SQL = f"""{SPANS},
-chars AS (SELECT doc_id, unnest(range(length(text))) AS i FROM documents),
-covered AS (SELECT doc_id, unnest(range("start", "end")) AS i, pos, "start", label FROM spans),
-won AS (SELECT doc_id, i, arg_max(CASE WHEN i = "start" THEN 'B-' ELSE 'I-' END || label, pos) AS tag FROM covered GROUP BY 1, 2),
-tagged AS (SELECT c.doc_id, c.i, coalesce(w.tag, 'O') AS tag FROM chars c LEFT JOIN won w ON w.doc_id = c.doc_id AND w.i = c.i)"""
+def tags_sql(terms: list[tuple[str, str]], p: str = "") -> str:
+    """CTEs ending in ``tagged(doc_id, i, tag)``, all names after the prefix ``p``."""
+    return f"""{spans_sql(terms, p + 'spans')},
+{p}chars AS (SELECT doc_id, unnest(range(length(text))) AS i FROM documents),
+{p}covered AS (SELECT doc_id, unnest(range("start", "end")) AS i, pos, "start", label FROM {p}spans),
+{p}won AS (SELECT doc_id, i, arg_max(CASE WHEN i = "start" THEN 'B-' ELSE 'I-' END || label, pos) AS tag FROM {p}covered GROUP BY 1, 2),
+{p}tagged AS (SELECT c.doc_id, c.i, coalesce(w.tag, 'O') AS tag FROM {p}chars c LEFT JOIN {p}won w ON w.doc_id = c.doc_id AND w.i = c.i)"""
+
+
+TAGS_SQL = tags_sql(GOLD)
 
 
 def tagged(spark, folder, terms=GOLD) -> DataFrame:
@@ -203,10 +217,15 @@ def spn11_counts(spark, folder):
     return unnest(tagged(spark, folder), [], "tags", "tag").groupBy("tag").agg(F.count("*").alias("n"))
 
 
-RUNS_SQL = """r AS (SELECT doc_id, i, tag, CASE WHEN tag LIKE 'B-%' OR (tag LIKE 'I-%' AND coalesce(lag(tag) OVER o, 'O') = 'O') THEN 1 ELSE 0 END AS opens FROM tagged WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
-g AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM r),
-t AS (SELECT doc_id, run, substring(tag, 3) AS label, count(*) AS n, min(i) AS first, max(i) AS last FROM g WHERE tag <> 'O' GROUP BY 1, 2, 3),
-runs AS (SELECT doc_id, run, CAST(min(first) AS INTEGER) AS "start", CAST(max(last) + 1 AS INTEGER) AS "end", arg_max(label, n * 1000000 - first) AS label FROM t GROUP BY 1, 2)"""
+def runs_sql(p: str = "") -> str:
+    """CTEs ending in ``runs(doc_id, start, end, label)`` over the tags of the same prefix."""
+    return f"""{p}r AS (SELECT doc_id, i, tag, CASE WHEN tag LIKE 'B-%' OR (tag LIKE 'I-%' AND coalesce(lag(tag) OVER o, 'O') = 'O') THEN 1 ELSE 0 END AS opens FROM {p}tagged WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+{p}g AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM {p}r),
+{p}t AS (SELECT doc_id, run, substring(tag, 3) AS label, count(*) AS n, min(i) AS first, max(i) AS last FROM {p}g WHERE tag <> 'O' GROUP BY 1, 2, 3),
+{p}runs AS (SELECT doc_id, run, CAST(min(first) AS INTEGER) AS "start", CAST(max(last) + 1 AS INTEGER) AS "end", arg_max(label, n * 1000000 - first) AS label FROM {p}t GROUP BY 1, 2)"""
+
+
+RUNS_SQL = runs_sql()
 
 
 @query("spn12_tag_spans", f'WITH {TAGS_SQL}, {RUNS_SQL} SELECT doc_id, "start", "end", label FROM runs')

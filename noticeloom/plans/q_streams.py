@@ -11,7 +11,7 @@ from noticeloom.operators.spans import phrase_spans
 from noticeloom.plans.catalog import query, table
 from noticeloom.plans.data import GOLD, documents
 from noticeloom.plans.q_curate import category_scores
-from noticeloom.plans.q_load import NOTICE_TERMS, NOTICES, _notices
+from noticeloom.plans.q_load import NOTICE_TERMS, NOTICES, _notices, _us
 from noticeloom.plans.q_spans import GOLD_SQL, rows_out
 from noticeloom.session import fresh_folder
 from noticeloom.sources.files import CORRUPT, write_named_drops
@@ -111,7 +111,7 @@ def str5(spark, folder):
 def str6(spark, folder):
     """Events in time order, one file per batch: the last event of each user stays."""
     drops, out = fresh_folder(spark, "in"), fresh_folder(spark, "out")
-    events = table(spark, folder, "events").select("user_id", "event_id", "event_type", _stamp().alias("at"))
+    events = table(spark, folder, "events").select("user_id", "event_id", "event_type", _us("ts").alias("at"))
     for i in range(3):
         low, high = 10 * i, 10 * i + 10
         day = events.withColumn("d", F.floor((F.col("at") - 1704067200000000) / 86400000000))
@@ -120,7 +120,3 @@ def str6(spark, folder):
     ordered = stream.withColumn("place", F.struct("at", "event_id"))
     J.upsert_stream(ordered, out, ["user_id"], "place", fresh_folder(spark, "checkpoint")).awaitTermination()
     return read_latest(spark, out, ["user_id"]).select("user_id", "event_id", "event_type")
-
-
-def _stamp() -> F.Column:
-    return F.unix_micros(F.col("ts").cast("timestamp"))
