@@ -18,13 +18,21 @@ def universe_counts(universe: DataFrame, counts: DataFrame, key: str) -> DataFra
     return universe.join(counts, key, "left")
 
 
+def distinct_keys(df: DataFrame, key: str | list[str]) -> DataFrame:
+    return df.select(key).distinct()
+
+
 def unknown(df: DataFrame, known: DataFrame, key: str | list[str]) -> DataFrame:
-    """Rows whose key is not known; a null on the known side hides nothing."""
-    return df.join(known.select(key), key, "left_anti")
+    """Rows whose key is not known; a null on the known side hides nothing.
+
+    Known keys are made distinct first: a frequent one collapses before the shuffle, and the join
+    reuses the partitioning of that step.
+    """
+    return df.join(distinct_keys(known, key), key, "left_anti")
 
 
 def listed(df: DataFrame, ids: DataFrame, key: str | list[str]) -> DataFrame:
-    return df.join(ids.select(key), key, "left_semi")
+    return df.join(distinct_keys(ids, key), key, "left_semi")
 
 
 def first_match(df: DataFrame, side: DataFrame, key: str, value: str, order: str, name: str) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noticeloom.functions.arrays import SPAN_TYPE, bind, empty, index_range, running_totals, total, unnest
+from noticeloom.functions.arrays import bind, empty, index_range, running_totals, total, unnest
 
 CHUNK = 500
 CHUNK_PAD = 20

@@ -50,6 +50,16 @@ def spn2(spark, folder):
     return S.bare_spans(annotated(spark, folder), ["doc_id"]).withColumn("pos", F.col("pos").cast("bigint"))
 
 
+@query(
+    "spn2_phrase_documents",
+    f"""WITH head AS (SELECT doc_id, text FROM documents ORDER BY doc_id LIMIT 100), {spans_sql([('其他', 'this'), ('其他', 'pour')], source='head')}
+SELECT doc_id, "start", "end", label FROM spans""",
+)
+def spn2_documents(spark, folder):
+    docs = documents(spark, folder).select("doc_id", "text")
+    return rows_out(S.phrase_documents(docs, ["this", "pour"], 100, id_col="doc_id"), "doc_id")
+
+
 @query(
     "spn3_gold_override",
     f"""{BOTH_SQL}, known AS (SELECT doc_id FROM labels)

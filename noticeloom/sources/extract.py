@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from noticeloom.operators.lookup import listed, unknown
 from noticeloom.operators.ranking import number_rows
 
 
@@ -22,7 +23,7 @@ def pull_new(source: DataFrame, target: DataFrame, time: str) -> DataFrame:
 
 def pull_missing(source: DataFrame, target: DataFrame, key: str = "id") -> DataFrame:
     """Rows whose key the target does not hold; a null key in the target hides nothing."""
-    return source.join(target.select(key), key, "left_anti")
+    return unknown(source, target, key)
 
 
 def in_batches(df: DataFrame, order: list[str], size: int) -> DataFrame:
@@ -48,13 +49,13 @@ def pending_tags(tables: list[tuple[str, str, DataFrame]]) -> DataFrame:
 
 def missing_value_sample(df: DataFrame, column: str, used: DataFrame, order: str, n: int) -> DataFrame:
     """First ``n`` rows without a value in ``column`` whose md5 is in no dataset yet."""
-    return df.filter(F.col(column).isNull()).join(used.select("md5"), "md5", "left_anti").orderBy(order).limit(n)
+    return unknown(df.filter(F.col(column).isNull()), used, "md5").orderBy(order).limit(n)
 
 
 def rows_by_id(spark: SparkSession, df: DataFrame, ids: list, key: str = "id") -> DataFrame:
     """Rows of an id list, which travels as a frame instead of a literal of any length."""
     wanted = spark.createDataFrame([(i,) for i in ids], df.select(key).schema)
-    return df.join(wanted, key, "left_semi")
+    return listed(df, wanted, key)
 
 
 def select_sql(spark: SparkSession, sql: str, tables: dict[str, DataFrame]) -> DataFrame:

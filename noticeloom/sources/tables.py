@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from noticeloom.operators.lookup import unknown
+
 
 def split_insertable(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
     """Rows that keep every rule, and the others with the name of the first rule they break."""
@@ -17,8 +19,8 @@ def split_insertable(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame
 
 def replace_by_key(target: DataFrame, batch: DataFrame, key: list[str], keys: DataFrame | None = None) -> DataFrame:
     """Target without the batch's keys plus the batch; ``keys`` may name keys that only go."""
-    gone = (keys if keys is not None else batch).select(*key)
-    return target.join(gone, key, "left_anti").unionByName(batch, allowMissingColumns=True)
+    gone = keys if keys is not None else batch
+    return unknown(target, gone, key).unionByName(batch, allowMissingColumns=True)
 
 
 def update_columns(target: DataFrame, updates: DataFrame, key: str, columns: list[str]) -> DataFrame:
