@@ -5,7 +5,7 @@ taken for sure, its fraction is the document's inclusion probability. The cube m
 probabilities along the null space of the balancing constraints (documents and words of the source)
 until they are 0 or 1, so each step keeps both totals exactly. Three open documents always leave a
 direction free, so the flight is a stream that holds three at a time; a block ends with two or fewer
-open. Open documents of all blocks fly again in fewer blocks, and the last two of a source land on the
+open. Open documents of all blocks fly again in fewer blocks, and the last dozen of a source land on the
 rounding nearest to its target.
 
 Sources are cut into blocks by a hash of id and text, so a source with a third of the rows is many
@@ -20,8 +20,10 @@ target 0; an empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import random
+from collections import deque
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +35,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2.0
 BLOCK_ROWS = 4096
+LANDING = 10  # documents of a source that are rounded together at the end, with the two the flight leaves
 NEAR = 1e-9
 
 
@@ -89,33 +92,44 @@ class Flight:
         self.open = still
         return done
 
-    def land(self) -> list[list]:
-        """The one or two left get the rounding that misses the words, then the documents, by least."""
-        choices = [[]]
-        for _ in self.open:
-            choices = [[*c, r] for c in choices for r in (0.0, 1.0)]
-        if self.open:
-            miss = lambda c: (abs(sum((r - x[2]) * x[1] for r, x in zip(c, self.open))), abs(sum(r - x[2] for r, x in zip(c, self.open))))
-            for x, r in zip(self.open, min(choices, key=miss)):
-                x[2] = r
-        done, self.open = self.open, []
-        return done
+    def land(self, held: list[list]) -> list[list]:
+        """The few documents left get the rounding that misses least words and documents together."""
+        units, self.open = self.open + held, []
+        if units:
+            size, p = np.array([x[1] for x in units], float), np.array([x[2] for x in units])
+            choices = (np.arange(1 << len(units))[:, None] >> np.arange(len(units))) & 1
+            off = choices - p
+            miss = np.abs(off @ size) + np.abs(off.sum(axis=1)) * size.mean() / 10
+            for x, r in zip(units, choices[int(np.argmin(miss))].tolist()):
+                x[2] = float(r)
+        return units
 
 
 def _flights(batches: Iterator[pa.RecordBatch], last: bool, seed: str) -> Iterator[pa.RecordBatch]:
     """``row, p`` of each document of a stream sorted by source and block."""
-    key, flight = None, None
+    key, flight, held = None, None, deque()
+
+    def end() -> list[list]:
+        left = flight.land(list(held)) if last else flight.open
+        held.clear()
+        return left
+
     for batch in batches:
         done: list[list] = []
         rows, sources, blocks, sizes, probabilities = (batch.column(i).to_pylist() for i in range(5))
         for row, s, block, size, p in zip(rows, sources, blocks, sizes, probabilities):
             if (s, block) != key:
-                done += (flight.land() if last else flight.open) if flight else []
+                done += end() if flight else []
                 key, flight = (s, block), Flight(f"{seed}/{s}/{block}")
+            if last:  # the last few documents stay open for the landing
+                held.append([row, size, p])
+                if len(held) <= LANDING:
+                    continue
+                row, size, p = held.popleft()
             done += flight.add([row, size, p])
         yield _rows(done)
     if flight:
-        yield _rows(flight.land() if last else flight.open)
+        yield _rows(end())
 
 
 def _rows(done: list[list]) -> pa.RecordBatch:
