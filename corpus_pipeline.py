@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticeloom.llm import exact_dedup, language_id, mixing, packing
+from noticeloom.llm import exact_dedup, language_id, mixing, near_dedup, packing
 from noticeloom.llm.common import stored
 from noticeloom.llm.queries import vocabulary_path
 
@@ -18,6 +18,11 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return exact_dedup.exact_dedup(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of texts that share 80 % of their five-word shingles."""
+    return near_dedup.near_dedup(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     return mixing.mix(docs)
@@ -30,6 +35,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 STAGES = [
     ("language_id", identify_language),
     ("exact_dedup", drop_exact_copies),
+    ("near_dedup", drop_near_copies),
     ("mix_sources", mix_sources),
     ("pack_sequences", pack_sequences),
 ]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeloom.llm import exact_dedup, language_id, mixing, packing, top_k, url_filter
+from noticeloom.llm import exact_dedup, language_id, mixing, near_dedup, packing, prefix_free, top_k, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -38,6 +38,12 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), vocabulary_path())
 
 
+@query("op2_near_dedup")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_dedup.components(table(spark, folder, "documents"), words=4)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
 def held_out() -> Column:
     """Documents that language training must not see."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
@@ -103,3 +109,8 @@ FROM u LEFT JOIN fit USING (page_id) LEFT JOIN hits USING (page_id)"""
 @query("op9_url_filter", _url_sql())
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, folder, "pages")).drop("weight")
+
+
+@query("op10_remove_repeats")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_free.remove_repeats(table(spark, folder, "documents"))
