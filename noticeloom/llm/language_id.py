@@ -45,11 +45,16 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.lower().encode("utf-32-le", "replace"), "<u4").astype(np.uint64)
 
 
-def _slices(text: str) -> Iterator[str]:
-    """The text in slices that overlap by the longest n-gram less one."""
-    step = SLICE - max(ORDERS) + 1
-    for start in range(0, max(len(text) - max(ORDERS) + 1, 1), step):
-        yield text[start : start + SLICE]
+def _slices(text: str) -> Iterator[tuple[str, int]]:
+    """The text in slices that overlap by the longest n-gram less one, and how much each overlaps."""
+    over = max(ORDERS) - 1
+    for start in range(0, max(len(text) - over, 1), SLICE - over):
+        yield text[start : start + SLICE], over if start else 0
+
+
+def _seen(over: int, n: int) -> int:
+    """How many n-grams a slice begins with that the slice before it has counted."""
+    return max(over - n + 1, 0)
 
 
 def has_letter(text: str | None) -> bool:
@@ -76,9 +81,9 @@ def train(df: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col:
         held = np.zeros((len(languages), 1 << BUCKET_BITS), np.int64)
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for piece in _slices(text):
-                    for _, found in _buckets(_codes(piece)):
-                        held[place[lang]] += np.bincount(found, minlength=1 << BUCKET_BITS)
+                for piece, over in _slices(text):
+                    for n, found in _buckets(_codes(piece)):
+                        np.add.at(held[place[lang]], found[_seen(over, n) :], 1)
         where = np.nonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(where[0]), pa.array(where[1]), pa.array(held[where])], names=["lang", "bucket", "n"])
 
@@ -95,22 +100,23 @@ def train(df: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col:
 def score_batch(texts: list[str | None], languages: list[str], matrix: np.ndarray) -> tuple[list[str], list[float]]:
     """Language and its posterior for each text."""
     names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-    pieces = [(i, p) for i, t in enumerate(texts) if languages and has_letter(t) for p in _slices(t)]
-    sums = {i: matrix[-1].astype(np.float64) for i, _ in pieces}
+    pieces = [(i, p, over) for i, t in enumerate(texts) if languages and has_letter(t) for p, over in _slices(t)]
+    sums = {i: matrix[-1].astype(np.float64) for i, _, _ in pieces}
     start = 0
     while start < len(pieces):
         end, held = start, 0
         while end < len(pieces) and held < BATCH_CHARS:
             held += len(pieces[end][1])
             end += 1
-        codes = [_codes(p) for _, p in pieces[start:end]]
+        codes = [_codes(p) for _, p, _ in pieces[start:end]]
         sizes = np.array([len(c) for c in codes])
         ends = np.cumsum(sizes)
         for n, found in _buckets(np.concatenate(codes)):
             # n-grams that cross into the next text are summed apart and left out
             bounds = np.stack([ends - sizes, np.maximum(ends - n + 1, ends - sizes)], axis=1)
             rows = matrix[found]
-            for (i, _), (a, b) in zip(pieces[start:end], bounds.tolist()):
+            for (i, _, over), (a, b) in zip(pieces[start:end], bounds.tolist()):
+                a += _seen(over, n)
                 if b > a:
                     sums[i] = sums[i] + rows[a:b].sum(axis=0, dtype=np.float64)
         start = end

@@ -223,7 +223,7 @@ def components(
     smallest = found.groupBy("comp").agg(F.min("id").alias("component_id"))
     by_set = stored(found.join(smallest, "comp").select("set_key", "component_id"), "near-found")
     out = signed.join(by_set.withColumnRenamed("set_key", "of"), F.col("set_key") == F.col("of"), "left")
-    component = F.coalesce("component_id", "id")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
     return out.select("id", "text_key", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
 
 
