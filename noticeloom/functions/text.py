@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,16 +11,18 @@ from pyspark.sql import functions as F
 from noticeloom.functions.arrays import bind
 
 # Parts of a page that carry no text: comments, script, noscript and style bodies, declarations, tags.
+# Attributes are read in possessive runs, which take a tag of any length without a stack; the last branch is
+# for tags with an unclosed quote. Without the possessive marks the pattern matches the same (see data.py).
 MARKUP = (
     r"(?is)<(?:!--.*?-->"
     r"|script\b[^>]*>.*?</script\s*>"
     r"|noscript\b[^>]*>.*?</noscript\s*>"
     r"|style\b[^>]*>.*?</style\s*>"
     r"|![a-z][^>]*>"
-    r"|/?[a-z][^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*>"
+    r"|/?[a-z](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
     r"|/?[a-z][^>]*>)"
 )
-INPUT_WITH_VALUE = r"(?is)<input\b(?=[^>]*\bvalue\s*=)(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
+INPUT_WITH_VALUE = r"(?is)<input\b(?=[^>]*\bvalue\s*=)(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
 ASTRAL = r"[\x{10000}-\x{10FFFF}]"
 SPACE_OR_ASTRAL = r"[ \x{10000}-\x{10FFFF}]"
 # White space at the edges of a value: ASCII white space and the Unicode separators.
@@ -36,38 +38,70 @@ OLD_BREAK = r"<br\s*?/?>"
 OLD_TAG = r"</?\w+[^>]*>"
 OLD_OTHER = r"<[^>]+>"
 OLD_COMMENT = r"<!--[^>]*-->"
-ENTITY_NAMES = {" ": "nbsp|160", "<": "lt|60", ">": "gt|62", '"': "quot|34"}
+ENTITY_NAMES = {
+    "nbsp": " ", "160": " ",
+    "lt": "<", "60": "<",
+    "gt": ">", "62": ">",
+    "amp": "&", "38": "&",
+    "quot": '"', "34": '"',
+}
+# Names of character references: those that need a semicolon, and the old ones that do not.
+CLOSED_NAMES = {name[:-1]: chars for name, chars in html5.items() if name.endswith(";")}
+OPEN_NAMES = {name: chars for name, chars in html5.items() if not name.endswith(";")}
+# Numbers that stand for another character: null, and the control range by its Windows meaning.
+MOVED_NUMBERS = {0: "\ufffd", 13: "\r"} | {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}
 MD5_MARK = "@crazy@"
 VALUE_LIMIT = 300
 
 
+def _literal_map(values: dict, kind: str) -> Column:
+    return F.from_json(F.lit(json.dumps(values)), f"map<{kind},string>")
+
+
 def code_point(number: Column) -> Column:
-    """The character of a code point, empty when the number is none."""
-    valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
-    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")).otherwise(F.lit(""))
+    """The character of a numeric reference; a number that is no character gives U+FFFD, a control none."""
+    moved = F.element_at(_literal_map({str(k): v for k, v in MOVED_NUMBERS.items()}, "string"), number.cast("string"))
+    none = number.isNull() | (number > 0x10FFFF) | number.between(0xD800, 0xDFFF)
+    control = number.between(1, 0x1F) & ~number.isin(9, 10, 12) | (number == 0x7F) | number.between(0xFDD0, 0xFDEF) | (number.bitwiseAND(0xFFFE) == 0xFFFE)
+    char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    return F.coalesce(moved, F.when(none, F.lit("\ufffd")).when(control, F.lit("")).otherwise(char))
 
 
 def decode_entities(text: Column) -> Column:
-    """Named and numeric character references, each decoded once, left to right."""
-    named = F.from_json(F.lit(json.dumps({name: chr(cp) for name, cp in name2codepoint.items()})), "map<string,string>")
+    """Named and numeric character references of HTML5, each decoded once, left to right.
+
+    A name without its semicolon counts if it is one of the old ones, by the longest that fits.
+    """
+    closed = _literal_map(CLOSED_NAMES, "string")
+    opened = _literal_map(OPEN_NAMES, "string")
+    old = f"^({'|'.join(sorted(OPEN_NAMES, key=len, reverse=True))})"
 
     def one(piece: Column) -> Column:
         """A piece that followed an ampersand."""
-
-        def swap(key: Column) -> Column:
-            decoded = (
-                F.when(key.rlike("^#[0-9]{1,9}$"), code_point(F.substring(key, 2, 9).cast("bigint")))
-                .when(
-                    key.rlike("^#[xX][0-9a-fA-F]{1,8}$"),
-                    code_point(F.conv(F.substring(key, 3, 8), 16, 10).cast("bigint")),
-                )
-                .otherwise(F.element_at(named, key))
+        plain = F.concat(F.lit("&"), piece)
+
+        def number(digits: Column, base: int) -> Column:
+            short = F.when(F.length(F.ltrim(digits, F.lit("0"))) <= 9, F.conv(digits, base, 10).cast("bigint"))
+            return code_point(short)
+
+        def numeric(pattern: str, base: int) -> Column:
+            return F.concat(number(F.regexp_extract(piece, pattern, 1), base), F.regexp_replace(piece, pattern, ""))
+
+        def named(name: Column) -> Column:
+            whole = F.element_at(closed, name)
+            first = F.regexp_extract(piece, old, 1)
+            return F.coalesce(
+                F.concat(whole, F.substr(piece, F.length(name) + 2)),
+                F.concat(F.element_at(opened, first), F.substr(piece, F.length(first) + 1)),
+                plain,
             )
-            rest = F.substr(piece, F.length(key) + 2)
-            plain = F.concat(F.lit("&"), piece)
-            return F.when(key == "", plain).otherwise(F.coalesce(F.concat(decoded, rest), plain))
 
-        return bind(F.regexp_extract(piece, r"^(#?[0-9A-Za-z]+);", 1), swap)
+        return (
+            F.when(piece.rlike("^#[0-9]"), numeric("^#([0-9]+);?", 10))
+            .when(piece.rlike("^#[xX][0-9a-fA-F]"), numeric("^#[xX]([0-9a-fA-F]+);?", 16))
+            .when(piece.rlike("^[A-Za-z]"), bind(F.regexp_extract(piece, "^([0-9A-Za-z]{1,32});", 1), named))
+            .otherwise(plain)
+        )
 
     def decode(value: Column) -> Column:
         pieces = F.split(value, "&", -1)
@@ -77,16 +111,30 @@ def decode_entities(text: Column) -> Column:
     return bind(text, decode)
 
 
+ENTITY = r"&#?[\p{L}\p{N}_]+;"
+
+
 def replace_entities(text: Column) -> Column:
-    """The five basic entities replaced, other entities removed, repeated so nested ones resolve."""
+    """The basic entities replaced and other entities removed until none is left.
 
-    def once(value: Column) -> Column:
-        value = F.regexp_replace(value, r"&(?:#?(?:amp|38);)+", "&")
-        for char, names in ENTITY_NAMES.items():
-            value = F.regexp_replace(value, rf"&#?(?:{names});", char)
-        return F.regexp_replace(value, r"&#?[\p{L}\p{N}_]+;", "")
+    Two rounds settle all but nested ones; only a text that still holds an entity goes on, for at most
+    as many rounds as it has ampersands.
+    """
 
-    return bind(text, lambda value: F.when(F.contains(value, F.lit("&")), once(once(value))).otherwise(value))
+    def once(value: Column) -> Column:
+        names = "|".join(name for name, char in ENTITY_NAMES.items() if char == "&")
+        value = F.regexp_replace(value, rf"&(?:#?(?:{names});)+", "&")
+        for char in dict.fromkeys(ENTITY_NAMES.values()):
+            if char != "&":
+                names = "|".join(name for name, c in ENTITY_NAMES.items() if c == char)
+                value = F.regexp_replace(value, rf"&#?(?:{names});", char)
+        return F.regexp_replace(value, ENTITY, "")
+
+    def rest(value: Column) -> Column:
+        rounds = F.when(value.rlike(ENTITY), F.sequence(F.lit(1), F.size(F.split(value, "&", -1)))).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(rounds, value, lambda held, _: F.when(held.rlike(ENTITY), once(held)).otherwise(held))
+
+    return bind(text, lambda value: F.when(F.contains(value, F.lit("&")), bind(once(once(value)), rest)).otherwise(value))
 
 
 def strip_tags_plain(html: Column) -> Column:

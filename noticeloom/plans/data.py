@@ -73,7 +73,8 @@ def marked_sql(column: str) -> str:
 
 
 def visible_sql(column: str) -> str:
-    stripped = f"regexp_replace({column}, {quoted(MARKUP)}, '', 'g')"
+    plain = MARKUP.replace("*+", "*").replace("++", "+")  # RE2 needs and knows no possessive marks
+    stripped = f"regexp_replace({column}, {quoted(plain)}, '', 'g')"
     for name, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("lt", "<"), ("gt", ">"), ("amp", "&")):
         stripped = f"replace({stripped}, '&{name};', {quoted(char)})"
     return stripped

@@ -24,6 +24,12 @@ def apply(spark, fn, value):
         ('<p>x</p><input value="&lt;p&gt;Hello&lt;/p&gt;">', 'Hello">x\n'),
         ('<input value="plain">x', "x"),
         ("1 < 2 and 3 > 2", "1<2and3>2"),
+        ("&apos;x &copy 2020 &#150; &#0;&#xD800;&#x110000;&#99999999999;&#1;&#x80", "'x©2020–\ufffd\ufffd\ufffd\ufffd€"),
+        ("&notit; &notin; &ampx &CounterClockwiseContourIntegral; &amp &;&", "¬it;∉&x∳&&;&"),
+        ("<p>a</p><div class='x>b", "a\nb"),
+        ('<a href="x>y', "y"),
+        ("<a title='x\">y</a>z", "yz"),
+        ("a<b", "a<b"),
     ],
 )
 def test_clean_html(spark, html, want):
@@ -44,6 +50,9 @@ def test_clean_html_short_drops_tabs(spark):
         ("x&foo;y&#9999;z", "xyz"),
         ("AT&T; a & b", "AT a & b"),
         ("&am&x;p;", "&"),
+        ("&a&a&a;;;", ""),
+        ("&a" * 30 + ";" * 30, ""),
+        ("&a" * 9 + ";" * 5 + "&x", "&a&a&a&a&x"),
     ],
 )
 def test_replace_entities(spark, text, want):
@@ -79,3 +88,27 @@ def test_post_fields(spark):
 
 def test_md5_mark_round_trip(spark):
     assert apply(spark, lambda c: T.drop_md5_mark(T.add_md5_mark(c, F.md5(c))), "t") == "t"
+
+
+def test_references_match_the_standard_rules(spark):
+    import html
+    import random
+    from html.entities import html5
+
+    rng = random.Random(3)
+    names = list(html5)
+    made = ["&" + rng.choice(names) + rng.choice(["", "x", ";", " ", "1", "&"]) for _ in range(300)]
+    made += [f"&#{rng.choice(['', 'x'])}{n};" for n in [0, 9, 13, 31, 80, 91, 127, 128, 129, 150, 159, 160, 255, 1114111, 1114112, 55296, 64976, 65534]]
+    df = spark.createDataFrame([(t,) for t in made], "v string")
+    for row in df.select("v", T.decode_entities(F.col("v")).alias("r")).collect():
+        assert row["r"] == html.unescape(row["v"]), row["v"]
+
+
+def test_very_long_tags(spark):
+    many = "".join(f' a{i}="x>{i}"' for i in range(20000))
+    page = f"<p>k</p><div{many}>t</div><input value={'q' * 200000}>e"
+    got = apply(spark, T.clean_html, page)
+    assert got.endswith("k\nte")
+    assert apply(spark, T.strip_tags_plain, "<b" + many + ">u")[-1] == "u"
+    assert apply(spark, T.word_content, page) == "'kte'"
+    assert apply(spark, T.clean_html, "<div " + "x='" * 50001 + ">v") != ""
