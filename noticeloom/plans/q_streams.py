@@ -112,10 +112,11 @@ def str6(spark, folder):
     """Events in time order, one file per batch: the last event of each user stays."""
     drops, out = fresh_folder(spark, "in"), fresh_folder(spark, "out")
     events = table(spark, folder, "events").select("user_id", "event_id", "event_type", _us("ts").alias("at"))
+    cuts = events.select(F.percentile_approx("at", [1 / 3, 2 / 3]).alias("c")).scalar()
+    third = F.when(F.col("at") < F.get(cuts, F.lit(0)), 0).when(F.col("at") < F.get(cuts, F.lit(1)), 1).otherwise(2)
+    parts = events.withColumn("third", third)
     for i in range(3):
-        low, high = 10 * i, 10 * i + 10
-        day = events.withColumn("d", F.floor((F.col("at") - 1704067200000000) / 86400000000))
-        write_named_drops(day.filter((F.col("d") >= low) & (F.col("d") < high)).drop("d").coalesce(1), drops, "user", "events", 100 + i)
+        write_named_drops(parts.filter(F.col("third") == i).drop("third").coalesce(1), drops, "user", "events", 100 + i)
     stream = J.document_stream(spark, drops, "user_id bigint, event_id bigint, event_type string, at bigint", 1, latest_first=False)
     ordered = stream.withColumn("place", F.struct("at", "event_id"))
     J.upsert_stream(ordered, out, ["user_id"], "place", fresh_folder(spark, "checkpoint")).awaitTermination()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,10 +48,13 @@ def write_lines(df: DataFrame, column: str, path: str) -> None:
     df.select(F.col(column).cast("string").alias("value")).write.text(path)
 
 
-def read_delimited(spark: SparkSession, path: str, schema: str, sep: str = ",") -> DataFrame:
-    """CSV or tab-separated table with a header; quoted fields may hold line ends."""
+def read_delimited(spark: SparkSession, path: str, schema: str, sep: str = ",", multi_line: bool = False) -> DataFrame:
+    """CSV or tab-separated table with a header.
+
+    ``multi_line`` is for files whose quoted fields hold line ends: such a file is one task.
+    """
     return (
-        spark.read.schema(schema).option("header", True).option("sep", sep).option("multiLine", True).option("escape", '"').csv(path)
+        spark.read.schema(schema).option("header", True).option("sep", sep).option("multiLine", multi_line).option("escape", '"').csv(path)
     )
 
 
@@ -70,19 +74,22 @@ def standard_documents(df: DataFrame, task: str, as_of: str, order: str, content
 
 
 def write_named_drops(df: DataFrame, folder: str, task: str, table: str, stamp: int) -> None:
-    """JSON lines written by the executors, then renamed in place to ``task#table#stamp.json``.
+    """JSON lines written by the executors, then renamed in place to ``task#table#stamp-write-nth.json``.
 
-    Renames are one metadata call per file through the folder's own file system. A second file of the
-    same write gets the next stamp.
+    The write's own random part keeps writes of the same or a near stamp apart, and a rename that does
+    not happen is an error, so no file can replace another. Renames are one metadata call per file.
     """
     spark = df.sparkSession
-    staging = f"{folder}/_staging-{stamp}"
+    write = uuid.uuid4().hex
+    staging = f"{folder}/_staging-{write}"
     df.write.json(staging)
     hadoop = spark._jvm.org.apache.hadoop.fs
     system = hadoop.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
     parts = [f.getPath() for f in system.listStatus(hadoop.Path(staging)) if f.getPath().getName().endswith(".json")]
     for i, part in enumerate(sorted(parts, key=lambda p: p.getName())):
-        system.rename(part, hadoop.Path(folder, f"{task}#{table}#{stamp + i}.json"))
+        name = f"{task}#{table}#{stamp}-{write}-{i:05d}.json"
+        if not system.rename(part, hadoop.Path(folder, name)):
+            raise OSError(f"{part} could not be renamed to {name}")
 
 
 def read_named_drops(spark: SparkSession, path: str, schema: str) -> DataFrame:

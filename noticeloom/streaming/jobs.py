@@ -1,11 +1,13 @@
 """File-drop streams: documents, notice loads and category tags.
 
 Micro-batches are bounded by files per trigger, the checkpoint replaces a work queue, and every sink
-is keyed by batch id, so a replayed batch replaces its own output.
+is keyed by the checkpoint and the batch id, so a replayed batch replaces its own output and no other
+run's.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,9 +19,11 @@ from noticeloom.operators import notices as N
 from noticeloom.plans.notice_load import load_notices
 from noticeloom.plans.tagging import tag_notices
 from noticeloom.sources.files import CORRUPT, with_file_name
-from noticeloom.sources.tables import append_batch
+from noticeloom.sources.tables import append_batch, run_of
 
 FILES_PER_TRIGGER = 8
+REASON_CHARS = 500  # of an error message kept beside the rows it stopped
+log = logging.getLogger(__name__)
 
 
 def sample_schema(spark: SparkSession, path: str) -> StructType:
@@ -62,7 +66,7 @@ def upsert_stream(stream: DataFrame, folder: str, key: list[str], order: str, ch
     def work(batch: DataFrame, batch_id: int) -> None:
         others = [c for c in batch.columns if c not in key]
         last = batch.groupBy(*key).agg(F.max_by(F.struct(*others), order).alias("_r")).select(*key, "_r.*")
-        append_batch(last, folder, batch_id)
+        append_batch(last, folder, batch_id, run=run_of(checkpoint))
 
     return per_batch(stream, work, checkpoint)
 
@@ -74,25 +78,36 @@ def notice_stream(
     """Named notice drops (``task#table#ts.json``) loaded into their target tables.
 
     Broken lines and rows of unknown tables go to ``quarantine``; the rest is loaded per origin
-    table, winners first, each under the batch id.
+    table, winners first, each under the run and the batch id. An origin whose load fails for any
+    reason, one without gold included, is logged and its rows go to ``failed`` with the reason; the
+    other origins and the stream go on.
     """
     known = origins or [r[0] for r in N.ROUTES]
+    run = run_of(checkpoint)
+
+    def load(own: DataFrame, origin: str, batch_id: int) -> None:
+        target, task = N.route_of(origin)
+        parents, winners = load_notices(own, origin, gold[task], with_spans, as_of_year)
+        if winners is not None:
+            keys = own.select(F.lit(origin).alias("table_name"), F.col("id").alias("announcement_id"))
+            append_batch(winners, f"{folder}/final_winning_bidder/{origin}", batch_id, ["table_name", "announcement_id"], keys, run)
+        append_batch(parents, f"{folder}/{target}", batch_id, run=run)
 
     def work(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
             readable = F.col(CORRUPT).isNull() & F.col("table").isin(known) & F.col("id").isNotNull()
-            append_batch(batch.filter(~F.coalesce(readable, F.lit(False))), f"{folder}/quarantine", batch_id)
+            append_batch(batch.filter(~F.coalesce(readable, F.lit(False))), f"{folder}/quarantine", batch_id, run=run)
             rows = batch.filter(readable).drop(CORRUPT, "task")
             present = [r["table"] for r in rows.select("table").distinct().collect()]  # at most the known tables
             for origin in sorted(present):
-                target, task = N.route_of(origin)
                 own = rows.filter(F.col("table") == origin).drop("table")
-                parents, winners = load_notices(own, origin, gold[task], with_spans, as_of_year)
-                if winners is not None:
-                    keys = own.select(F.lit(origin).alias("table_name"), F.col("id").alias("announcement_id"))
-                    append_batch(winners, f"{folder}/final_winning_bidder/{origin}", batch_id, ["table_name", "announcement_id"], keys)
-                append_batch(parents, f"{folder}/{target}", batch_id)
+                try:
+                    load(own, origin, batch_id)
+                except Exception as error:  # one bad batch must not stop the stream
+                    log.exception("batch %s of %s could not be loaded", batch_id, origin)
+                    reason = f"{type(error).__name__}: {error}"[:REASON_CHARS]
+                    append_batch(own.withColumn("reason", F.lit(reason)), f"{folder}/failed/{origin}", batch_id, run=run)
         finally:
             batch.unpersist()
 
@@ -106,6 +121,6 @@ def tag_stream(
     """Queued (table, id) rows to category updates, kept by key and batch."""
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        append_batch(tag_notices(batch, source, gold, with_cats), folder, batch_id)
+        append_batch(tag_notices(batch, source, gold, with_cats), folder, batch_id, run=run_of(checkpoint))
 
     return per_batch(stream, work, checkpoint)

@@ -33,7 +33,7 @@ def test_lines_and_whole_files(spark, tmp_path):
 def test_csv_with_line_ends_in_quotes(spark, tmp_path):
     df = spark.createDataFrame([(1, 'a "q", b\nc'), (2, None)], "id int, t string")
     S.write_delimited(df, str(tmp_path / "csv"))
-    assert tuples(S.read_delimited(spark, str(tmp_path / "csv"), "id int, t string").filter("id = 1").collect()) == [(1, 'a "q", b\nc')]
+    assert tuples(S.read_delimited(spark, str(tmp_path / "csv"), "id int, t string", multi_line=True).filter("id = 1").collect()) == [(1, 'a "q", b\nc')]
 
 
 def test_standard_documents(spark):
@@ -48,7 +48,7 @@ def test_standard_documents(spark):
 def test_named_drops(spark, tmp_path):
     df = spark.createDataFrame([("1", "a")], "id string, text string")
     S.write_named_drops(df.coalesce(1), str(tmp_path / "in"), "bid", "test_tender_bid", 7)
-    assert (tmp_path / "in" / "bid#test_tender_bid#7.json").exists()
+    assert len(list((tmp_path / "in").glob("bid#test_tender_bid#7-*.json"))) == 1
     good, _ = S.split_corrupt(S.read_named_drops(spark, str(tmp_path / "in") + "/*.json", "id string, text string"))
     assert tuples(good.collect()) == [("1", "a", "bid", "test_tender_bid")]
 
@@ -117,3 +117,34 @@ def test_batches_replay_and_tombstones(spark, tmp_path):
         assert tuples(TB.read_latest(spark, folder, ["k"]).collect()) == [(1, "z")]
     TB.compact(spark, folder, ["k"], str(tmp_path / "u"))
     assert tuples(TB.read_latest(spark, str(tmp_path / "u"), ["k"]).collect()) == [(1, "z")]
+
+
+def test_runs_do_not_replace_each_other(spark, tmp_path):
+    folder, ddl = str(tmp_path / "t"), "k int, w string"
+    frame = lambda *rows: spark.createDataFrame(list(rows), ddl)
+    TB.append_batch(frame((1, "a"), (2, "a"), (None, "a")), folder, 0, run="one")
+    TB.append_batch(frame((3, "a")), folder, 1, run="one")
+    TB.append_batch(frame((2, "b"), (4, "b")), folder, 0, run="two")
+    current = lambda f: sorted(map(str, tuples_of(TB.read_latest(spark, f, ["k"]))))
+    want = sorted(map(str, [(1, "a"), (2, "b"), (3, "a"), (4, "b"), (None, "a")]))
+    assert current(folder) == want
+    TB.append_batch(frame((3, "a")), folder, 1, run="one")  # a replay is older than the second run
+    assert current(folder) == want
+    new = str(tmp_path / "u")
+    TB.compact(spark, folder, ["k"], new)
+    assert current(new) == want
+    TB.append_batch(frame((1, "c")), new, 0, run="three")  # a fresh job starts at batch 0 again
+    assert current(new) == sorted(map(str, [(1, "c"), (2, "b"), (3, "a"), (4, "b"), (None, "a")]))
+
+
+def tuples_of(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def test_near_stamps_keep_every_file(spark, tmp_path):
+    folder = str(tmp_path / "drops")
+    for stamp in (100, 102, 102):
+        S.write_named_drops(spark.range(8).selectExpr("cast(id as string) id").repartition(4), folder, "bid", "t", stamp)
+    back = S.read_named_drops(spark, folder + "/*.json", "id string")
+    assert back.count() == 24
+    assert {(r["task"], r["table"]) for r in back.select("task", "table").distinct().collect()} == {("bid", "t")}

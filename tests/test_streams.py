@@ -104,3 +104,23 @@ def test_restart_adds_no_rows_and_archives(spark, tmp_path):
         J.append_stream(stream, out, check).awaitTermination()
     rows = spark.read.parquet(out).orderBy("id").collect()
     assert [(r["id"], [tuple(s) for s in r["label"]]) for r in rows] == [(1, [(0, 3, "中标单位")]), (2, [])]
+
+
+def test_a_failing_batch_does_not_stop_the_stream(spark, tmp_path):
+    drops, out, check = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check")
+    rows = spark.createDataFrame(ROWS, COLUMNS)
+    write_named_drops(rows.limit(1).coalesce(1), drops, "tender", "test_tender_bid", 1)  # no gold for its task
+    write_named_drops(rows.coalesce(1), drops, "bid", "test_tender_bid_result", 2)
+    poison = spark.createDataFrame([("9", *ROWS[0][1:2], "<p>poison</p>", *ROWS[0][3:])], COLUMNS)
+    write_named_drops(poison.coalesce(1), drops, "bid", "test_tender_bid_result", 3)
+
+    def fragile(df):
+        broken = F.when(F.contains("text", F.lit("poison")), F.raise_error(F.lit("model broke")))
+        return spans(df.withColumn("text", F.coalesce(broken.cast("string"), F.col("text"))))
+
+    stream = J.document_stream(spark, drops, rows.schema.add(CORRUPT, "string"), 1, latest_first=False)
+    J.notice_stream(stream, out, {"bid": gold(spark)}, fragile, 2024, check).awaitTermination()
+    assert read_latest(spark, f"{out}/final_tender_bid_result", ["id"]).count() == len(ROWS)
+    failed = spark.read.parquet(f"{out}/failed/test_tender_bid_result").collect()
+    assert [r["id"] for r in failed] == ["9"] and "model broke" in failed[0]["reason"]
+    assert "KeyError" in spark.read.parquet(f"{out}/failed/test_tender_bid").first()["reason"]
