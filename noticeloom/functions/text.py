@@ -204,9 +204,10 @@ def strip_space(text: Column) -> Column:
     return F.btrim(text, F.lit(EDGE_SPACE))
 
 
-def general_value(value: Column, limit: int = VALUE_LIMIT) -> Column:
-    """Trim, drop line ends, tabs and spaces, cut to ``limit`` characters."""
-    return F.substring(F.translate(strip_space(value), "\n\r\t ", ""), 1, limit)
+def general_value(value: Column, limit: int | None = None) -> Column:
+    """Trim, drop line ends, tabs and spaces; with a ``limit``, cut to so many characters."""
+    plain = F.translate(strip_space(value), "\n\r\t ", "")
+    return plain if limit is None else F.substring(plain, 1, limit)
 
 
 def compact_key(value: Column) -> Column:

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 
+import ahocorasick
 import pandas as pd
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noticeloom.functions.arrays import SPAN_TYPE
+from noticeloom.functions.arrays import SPAN_TYPE, empty, unnest
+from noticeloom.operators.spans import occurrences
 
 Spans = list[tuple[int, int, str]]
 Annotator = Callable[[list[str]], list[Spans]]
 
-TERM_CHARS = 32 * 1024 * 1024  # dictionary text one pass may ship to the workers
+GRAM = 8  # characters of a term by which it is looked up
 
 
 def annotate(df: DataFrame, make: Callable[[], Annotator], text: str = "text", label: str = "label") -> DataFrame:
@@ -43,19 +44,6 @@ def term_matcher(terms: list[tuple[str, str]]) -> Callable[[], Annotator]:
     def make() -> Annotator:
         if not terms:
             return lambda texts: [[] for _ in texts]
-        try:
-            import ahocorasick
-        except ImportError:
-            compiled = [(label, re.compile(re.escape(term))) for label, term in terms]
-
-            def by_pattern(texts: list[str]) -> list[Spans]:
-                return [
-                    sorted((m.start(), m.end(), label) for label, pattern in compiled for m in pattern.finditer(text))
-                    for text in texts
-                ]
-
-            return by_pattern
-
         labels: dict[str, list[str]] = {}
         for label, term in terms:
             labels.setdefault(term, []).append(label)
@@ -82,26 +70,28 @@ def term_matcher(terms: list[tuple[str, str]]) -> Callable[[], Annotator]:
     return make
 
 
-def annotate_with_terms(df: DataFrame, terms: DataFrame, id_col: str, text: str = "text", label: str = "label") -> DataFrame:
-    """Spans of a (label, term) table.
+def annotate_with_terms(df: DataFrame, terms: DataFrame, text: str = "text", label: str = "label") -> DataFrame:
+    """Spans of a (label, term) table of any size.
 
-    The table's size is counted first. Up to ``TERM_CHARS`` it goes to the workers whole; beyond that
-    it is cut by hash into parts of that size and the texts are read once per part.
+    Terms are keyed by their first ``GRAM`` characters, shorter ones by themselves. The distinct grams of
+    each text meet the keys in a join that carries no text; a text's candidates then come to its row by
+    the text's digest, where each is looked for in full. So a row's spans depend on its text alone,
+    whatever its id, and neither side passes through the driver.
     """
     clean = terms.select("label", "term").filter(F.length("term") > 0).distinct()
-    chars = clean.agg(F.coalesce(F.sum(F.length("term") + F.length("label")), F.lit(0)).alias("n")).first()["n"]
-    parts = max(1, -(-2 * chars // TERM_CHARS)) if chars > TERM_CHARS else 1
-    part = F.pmod(F.xxhash64("label", "term"), F.lit(parts))
-
-    def pairs(rows: list[Row]) -> list[tuple[str, str]]:
-        return [(r["label"], r["term"]) for r in rows]
-
-    if parts == 1:
-        return annotate(df, term_matcher(pairs(clean.collect())), text, label)
-    found = None
-    for i in range(parts):
-        slice_ = pairs(clean.filter(part == i).collect())
-        spans = annotate(df.select(id_col, text), term_matcher(slice_), text, "_s").select(id_col, "_s")
-        found = spans if found is None else found.unionByName(spans)
-    merged = found.groupBy(id_col).agg(F.sort_array(F.flatten(F.collect_list("_s"))).alias(label))
-    return df.join(merged, id_col, "left")
+    keyed = clean.withColumn("_gram", F.substring("term", 1, GRAM))
+    sizes = keyed.agg(F.collect_set(F.length("_gram"))).scalar()  # at most GRAM numbers
+
+    def grams(size: int) -> Column:
+        found = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), 1)
+        return F.when(F.array_contains(sizes, size), found).otherwise(empty("array<string>"))
+
+    key = F.md5(text)
+    every = F.array_distinct(F.flatten(F.array(*[grams(n) for n in range(1, GRAM + 1)])))
+    held = unnest(df.select(key.alias("_key"), text), ["_key"], every, "_gram").distinct()
+    pattern = F.concat(F.lit("\\Q"), F.replace("term", F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+    candidate = F.struct("label", "term", pattern.alias("pattern"))
+    listed = held.join(keyed, "_gram").groupBy("_key").agg(F.collect_list(candidate).alias("_terms"))
+    spans = F.flatten(F.transform("_terms", lambda t: occurrences(F.col(text), t["term"], t["pattern"], t["label"])))
+    joined = df.withColumn("_text_key", key).join(listed, F.col("_text_key") == F.col("_key"), "left")
+    return joined.withColumn(label, F.coalesce(F.sort_array(spans), empty(SPAN_TYPE))).drop("_text_key", "_key", "_terms")

@@ -86,18 +86,15 @@ def tags_above(cats: Column, threshold: float = TAG_THRESHOLD) -> Column:
     return F.when(F.size(hits) > 0, hits).otherwise(F.array(F.lit(OTHER)))
 
 
-def one_hot(labels: Column, universe: list[str]) -> Column:
-    """0/1 per category of the universe."""
-    names = F.array(*[F.lit(u) for u in universe])
+def one_hot(labels: Column, universe: list[str] | Column) -> Column:
+    """0/1 per category of the universe, a list or an array column."""
+    names = universe if isinstance(universe, Column) else F.array(*[F.lit(u) for u in universe])
     return F.map_from_arrays(names, F.transform(names, lambda u: F.array_contains(labels, u).cast("int")))
 
 
-def label_universe(df: DataFrame, label: str, limit: int = 10000) -> list[str]:
-    """The distinct labels; refuses a column that is no label set."""
-    rows = df.select(label).filter(F.col(label).isNotNull()).distinct().orderBy(label).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{label} has more than {limit} values and is no label universe")
-    return [r[0] for r in rows]
+def label_universe(df: DataFrame, label: str) -> Column:
+    """The distinct labels of a column in order, as an array to add to each row; nothing comes to the driver."""
+    return df.agg(F.array_sort(F.collect_set(label))).scalar()
 
 
 def need_cats(flag: Column) -> Column:

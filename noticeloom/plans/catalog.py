@@ -30,10 +30,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores where the input has fewer files than cores.
+    """Rows dealt over as many partitions as the session asks for; as they are read if it asks for none.
 
-    A single small file is one task, too few for per-text work. Inputs of many files stay as they
-    are read, without a shuffle.
+    ``noticeloom.read.partitions`` is for runs on tables of a single file, such as tests and the bench.
+    Large tables are split by ``spark.sql.files.maxPartitionBytes`` and need no shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    wanted = df.sparkSession.conf.get("noticeloom.read.partitions", None)
+    return df.repartition(int(wanted)) if wanted else df

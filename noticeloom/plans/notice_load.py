@@ -12,7 +12,6 @@ from noticeloom.functions.values import DATE_COLUMNS, MONEY, amount_fallback, mo
 from noticeloom.operators import notices as N
 from noticeloom.operators.spans import gold_override, span_texts
 
-TEXT_LIMIT = 10000
 CONTRACT_DROPS = ["winning_bidder", "amount", "contract_term", "agency", "bid_section_name"]
 
 
@@ -22,11 +21,12 @@ def load_notices(
     gold: DataFrame,
     with_spans: Callable[[DataFrame], DataFrame],
     as_of_year: int,
-    text_limit: int = TEXT_LIMIT,
+    text_limit: int | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Parent rows and, for bids, winner rows of one origin table.
 
     ``with_spans`` adds the ``label`` column to a frame with ``text``; ``gold`` holds (md5, label).
+    ``text_limit`` cuts the texts that are annotated, and only if given; the md5 is the whole text's.
     A notice without spans keeps null label columns and gets its flag by the same rule as others.
     """
     _, task = N.route_of(origin)
@@ -34,7 +34,9 @@ def load_notices(
     rows = rows.drop("update_time").withColumns(
         {"result_detail": word_content(F.col("detail_content")), "text": clean_html(F.col("detail_content"))}
     )
-    rows = rows.withColumn("md5", fingerprint(F.col("text"))).withColumn("text", cap(F.col("text"), text_limit))
+    rows = rows.withColumn("md5", fingerprint(F.col("text")))
+    if text_limit is not None:
+        rows = rows.withColumn("text", cap(F.col("text"), text_limit))
     rows = gold_override(with_spans(rows), gold, "md5", "label")
     rows = rows.withColumn("_labels", span_texts(F.col("text"), F.col("label")))
     cleaned = N.apply_units(N.clean_labels(F.col("_labels"), task, as_of_year))

@@ -109,12 +109,12 @@ def prj6(spark, folder):
     return table(spark, folder, "documents").select("doc_id", T.fingerprint(F.col("text")).alias("md5"))
 
 
-GENERAL_SQL = r"substring(replace(translate(regexp_replace({c}, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g'), chr(10) || chr(13) || chr(9), ''), ' ', ''), 1, 300)"
+GENERAL_SQL = r"replace(translate(regexp_replace({c}, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g'), chr(10) || chr(13) || chr(9), ''), ' ', '')"
 
 
-@query("prj7_general_value", f"SELECT doc_id, {GENERAL_SQL.format(c='text')} AS value FROM documents")
+@query("prj7_general_value", f"SELECT doc_id, substring({GENERAL_SQL.format(c='text')}, 1, 300) AS value FROM documents")
 def prj7(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", T.general_value(F.col("text")).alias("value"))
+    return table(spark, folder, "documents").select("doc_id", T.general_value(F.col("text"), T.VALUE_LIMIT).alias("value"))
 
 
 PRICE_SQL = """CASE o_orderkey % 4

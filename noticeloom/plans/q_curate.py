@@ -46,9 +46,9 @@ def agg2(spark, folder):
 )
 def prj24(spark, folder):
     docs = table(spark, folder, "documents")
-    universe = C.label_universe(docs, "lang")
-    hot = docs.select("doc_id", C.one_hot(F.array("lang"), universe).alias("cats"))
-    return hot.select("doc_id", *[F.element_at("cats", c).alias(c) for c in universe])
+    known = docs.withColumn("universe", C.label_universe(docs, "lang"))
+    hot = known.select("doc_id", C.one_hot(F.array("lang"), F.col("universe")).alias("cats"))
+    return hot.select("doc_id", *[F.element_at("cats", c).alias(c) for c in ("de", "en", "es", "fr")])
 
 
 @query("prj28_key_discovery", "SELECT DISTINCT lang AS key FROM documents UNION SELECT DISTINCT source FROM documents")
@@ -398,5 +398,6 @@ def jn9(spark, folder):
 )
 def cats_scalar(spark, folder):
     docs = table(spark, folder, "documents")
-    hot = docs.select(C.one_hot(F.array("lang"), C.label_universe(docs, "lang")).alias("cats"))
+    known = docs.withColumn("universe", C.label_universe(docs, "lang"))
+    hot = known.select(C.one_hot(F.array("lang"), F.col("universe")).alias("cats"))
     return C.category_counts(hot)

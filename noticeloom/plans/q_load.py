@@ -246,7 +246,7 @@ def _load(spark, folder) -> tuple[DataFrame, DataFrame | None]:
     )
 
 
-NOTICES = f"""WITH clean AS (SELECT page_id, url, substring({clean_sql('html')}, 1, 10000) AS text FROM pages), {spans_sql(NOTICE_TERMS, source='clean', key='page_id')},
+NOTICES = f"""WITH clean AS (SELECT page_id, url, {clean_sql('html')} AS text FROM pages), {spans_sql(NOTICE_TERMS, source='clean', key='page_id')},
 v AS (SELECT s.page_id, s.pos, s.label, replace(substring(c.text, s."start" + 1, s."end" - s."start"), chr(10), '') AS val FROM spans s JOIN clean c USING (page_id)),
 money AS (SELECT page_id, CASE page_id % 3 WHEN 0 THEN 120000.0::DOUBLE WHEN 1 THEN 5000.5::DOUBLE ELSE 0.0::DOUBLE END AS money FROM pages)"""
 

@@ -59,7 +59,7 @@ def src4_tabs(spark, folder):
     out = fresh_folder(spark, "tsv")
     rows = documents(spark, folder).select("doc_id", "lang", F.base64(F.encode("text", "UTF-8")).alias("text"))
     rows.write.option("header", True).option("sep", "\t").csv(out)
-    back = S.read_delimited(spark, out, "doc_id bigint, lang string, text string", "\t")
+    back = S.read_delimited(spark, out, "doc_id bigint, lang string, text string", "\t", multi_line=True)
     return back.select("doc_id", "lang", F.md5(F.unbase64("text")).alias("md5"))
 
 

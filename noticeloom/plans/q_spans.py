@@ -42,7 +42,7 @@ def spn1_terms(spark, folder):
     terms = table(spark, folder, "benchmark").select(
         F.concat(F.lit("item_"), F.col("item_id").cast("string")).alias("label"), F.col("text").alias("term")
     )
-    return rows_out(annotate_with_terms(documents(spark, folder).select("doc_id", "text"), terms, "doc_id"), "doc_id")
+    return rows_out(annotate_with_terms(documents(spark, folder).select("doc_id", "text"), terms), "doc_id")
 
 
 @query("spn2_phrase_spans", f'{GOLD_SQL} SELECT doc_id, pos, "start", "end", label FROM spans')

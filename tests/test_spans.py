@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from conftest import tuples
 from noticeloom.operators import spans as S
 from noticeloom.operators.annotate import annotate, annotate_with_terms, term_matcher
-from noticeloom.operators import annotate as A
 
 
 def found(text, terms):
@@ -31,12 +30,17 @@ def test_phrase_spans_all_routes(spark):
     assert [[tuple(s) for s in r["label"]] for r in py] == want
 
 
-def test_term_table_in_parts_gives_the_same(spark, monkeypatch):
-    df = spark.createDataFrame(list(enumerate(TEXTS)), "id int, text string")
-    terms = spark.createDataFrame(TERMS, "label string, term string")
-    monkeypatch.setattr(A, "TERM_CHARS", 4)
-    rows = annotate_with_terms(df, terms, "id").orderBy("id").collect()
-    assert [[tuple(s) for s in r["label"]] for r in rows] == [found(t, TERMS) for t in TEXTS]
+def test_term_table(spark):
+    texts = TEXTS + ["", None, TEXTS[0], "a.b\\Ec 12345678901 12345678901", "😀" * 9 + "abcdefghij"]
+    ids = [1, 1, None, *range(len(texts) - 3)]
+    df = spark.createDataFrame(list(zip(ids, texts)), "id int, text string")
+    known = TERMS + [("x", "a.b\\E"), ("y", "1234567890"), ("z", "12345678901"), ("z", ""), ("w", "😀😀abcdefgh"), ("w", "j")]
+    rows = annotate_with_terms(df, spark.createDataFrame(known, "label string, term string"))
+    got = [(r["id"], r["text"], [tuple(s) for s in r["label"]]) for r in rows.collect()]
+    want = [(i, t, found(t or "", [k for k in known if k[1]])) for i, t in zip(ids, texts)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    none = annotate_with_terms(df, spark.createDataFrame([], "label string, term string"))
+    assert all(r["label"] == [] for r in none.collect())
 
 
 def test_term_with_regex_text(spark):

@@ -71,7 +71,8 @@ def test_word_content(spark, html, want):
 
 def test_general_value_trims_and_caps(spark):
     assert apply(spark, T.general_value, " 　a b\tc\r\nd  ") == "abcd"
-    assert len(apply(spark, T.general_value, "x" * 500)) == 300
+    assert len(apply(spark, T.general_value, "x" * 500)) == 500
+    assert len(apply(spark, lambda c: T.general_value(c, T.VALUE_LIMIT), "x" * 500)) == 300
     assert apply(spark, T.general_value, None) is None
 
 
