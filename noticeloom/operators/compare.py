@@ -24,7 +24,19 @@ HUMAN_TWICE, MACHINE_TWICE = "人标签重复", "机器标签重复"
 AI_MISSED, AI_EXTRA, AI_WRONG, AI_WRONG_PLACE, TWICE = "AI漏标", "AI多标", "AI错标", "AI错标位置", "手工重复标注"
 NEAR_BY_POSITION = 10
 NEAR_BY_TYPE = 5
-SAME_BUT = "标签和预测结果相同，但是"
+# The messages of the rule analysis; {n} is the number of characters.
+RULE_MESSAGES = {
+    "label_back_space": "标签和预测结果相同，但是标签后面有空格",
+    "machine_back_space": "标签和预测结果相同，但是预测后面有空格",
+    "machine_front_space": "标签和预测结果相同，但是预测前面有空格",
+    "label_front_space": "标签和预测结果相同，但是标签前面有空格",
+    "other_place": "标签和预测结果相同，但是标注位置不同",
+    "back_less": "预测后面少标{n}个字符",
+    "back_more": "预测后面多标{n}个字符",
+    "front_less": "预测前面少标{n}个字符",
+    "front_more": "预测前面多标{n}个字符",
+    "unknown": "未分析成功",
+}
 
 CHECKED_COLUMNS = ["task", "md5", "human_start", "human_end", "human_label", "ai_start", "ai_end", "ai_label", "label_type"]
 HUMAN_COLUMNS = ["task", "md5", "human_start", "human_end", "human_label"]
@@ -138,25 +150,26 @@ def rule_analysis(h_start: Column, h_end: Column, h_text: Column, a_start: Colum
     def blank(column: Column) -> Column:
         return F.regexp_replace(column, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
 
+    def says(message: str, n: Column | None = None) -> Column:
+        text = F.lit(RULE_MESSAGES[message])
+        return text if n is None else F.replace(text, F.lit("{n}"), n.cast("string"))
+
     same_text = blank(h_text) == blank(a_text)
     by_space = (
-        F.when((front == 0) & (back >= 1), F.lit(SAME_BUT + "标签后面有空格"))
-        .when((front == 0) & (back <= -1), F.lit(SAME_BUT + "预测后面有空格"))
-        .when((front >= 1) & (back == 0), F.lit(SAME_BUT + "预测前面有空格"))
-        .when((front <= -1) & (back == 0), F.lit(SAME_BUT + "标签前面有空格"))
-        .otherwise(F.lit(SAME_BUT + "标注位置不同"))
+        F.when((front == 0) & (back >= 1), says("label_back_space"))
+        .when((front == 0) & (back <= -1), says("machine_back_space"))
+        .when((front >= 1) & (back == 0), says("machine_front_space"))
+        .when((front <= -1) & (back == 0), says("label_front_space"))
+        .otherwise(says("other_place"))
     )
 
-    def by_count(side: str, n: Column) -> Column:
-        return F.concat(F.lit(f"预测{side}"), n.cast("string"), F.lit("个字符"))
-
     return (
         F.when(same_text, by_space)
-        .when((front == 0) & (back >= 1), by_count("后面少标", back))
-        .when((front == 0) & (back <= -1), by_count("后面多标", -back))
-        .when((front >= 1) & (back == 0), by_count("前面少标", front))
-        .when((front <= -1) & (back == 0), by_count("前面多标", -front))
-        .otherwise(F.lit("未分析成功"))
+        .when((front == 0) & (back >= 1), says("back_less", back))
+        .when((front == 0) & (back <= -1), says("back_more", -back))
+        .when((front >= 1) & (back == 0), says("front_less", front))
+        .when((front <= -1) & (back == 0), says("front_more", -front))
+        .otherwise(says("unknown"))
     )
 
 

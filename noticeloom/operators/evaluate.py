@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noticeloom.functions.arrays import unnest
+from noticeloom.functions.arrays import bind, empty, unnest
 from noticeloom.operators.bio import tag_spans
 
 ALL_TYPES = "ALL"
@@ -110,25 +110,44 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: w != "")
 
 
-def overlap_scores(pairs: DataFrame, key: str, pred: str, ref: str, n: int) -> DataFrame:
-    """Mean n-gram overlap F of text pairs x 100 and mean generated length in words."""
+def overlap_scores(pairs: DataFrame, pred: str, ref: str, n: int) -> DataFrame:
+    """Mean n-gram overlap F of text pairs x 100 and mean generated length in words.
 
-    def grams(column: str, is_pred: int) -> DataFrame:
-        found = words(F.col(column))
-        listed = F.when(
-            F.size("_w") >= n,
-            F.transform(F.sequence(F.lit(1), F.size("_w") - (n - 1)), lambda i: F.array_join(F.slice("_w", i, n), " ")),
-        ).otherwise(F.array().cast("array<string>"))
-        rows = unnest(pairs.select(key, found.alias("_w")), [key], listed, "gram")
-        return rows.withColumns({"_p": F.lit(is_pred), "_r": F.lit(1 - is_pred)})
+    Both texts of a pair stand in one row, so its n-grams are counted there and only sums are shuffled.
+    """
+
+    def grams(column: str, is_pred: int) -> Column:
+        def listed(w: Column) -> Column:
+            each = F.transform(
+                F.sequence(F.lit(1), F.size(w) - (n - 1)),
+                lambda i: F.struct(F.array_join(F.slice(w, i, n), " ").alias("gram"), F.lit(is_pred).alias("p")),
+            )
+            return F.when(F.size(w) >= n, each).otherwise(empty("array<struct<gram:string,p:int>>"))
+
+        return bind(words(F.col(column)), listed)
+
+    def hits(both: Column) -> Column:
+        """Common n-grams with their repeats: the sorted list of both sides is read once."""
+        start = F.struct(F.lit(None).cast("string").alias("gram"), F.lit(0).alias("p"), F.lit(0).alias("r"), F.lit(0).alias("hit"))
+
+        def step(acc: Column, x: Column) -> Column:
+            same = acc["gram"].eqNullSafe(x["gram"])
+            done = F.least(acc["p"], acc["r"])
+            return F.struct(
+                x["gram"].alias("gram"),
+                (F.when(same, acc["p"]).otherwise(0) + x["p"]).alias("p"),
+                (F.when(same, acc["r"]).otherwise(0) + 1 - x["p"]).alias("r"),
+                (acc["hit"] + F.when(same, 0).otherwise(done)).alias("hit"),
+            )
+
+        return F.aggregate(F.array_sort(both), start, step, lambda acc: acc["hit"] + F.least(acc["p"], acc["r"]))
 
-    counted = grams(pred, 1).unionByName(grams(ref, 0)).groupBy(key, "gram").agg(F.sum("_p").alias("p"), F.sum("_r").alias("r"))
-    per_pair = counted.groupBy(key).agg(
-        F.sum(F.least("p", "r")).alias("hit"), F.sum("p").alias("np"), F.sum("r").alias("nr")
+    counted = pairs.select(
+        F.size(words(F.col(pred))).alias("len"),
+        bind(F.concat(grams(pred, 1), grams(ref, 0)), lambda both: F.struct(hits(both).alias("hit"), F.size(both).alias("n"))).alias("g"),
     )
-    lengths = pairs.select(key, F.size(words(F.col(pred))).alias("len"))
-    fscore = F.coalesce(_ratio(2 * F.col("hit"), F.col("np") + F.col("nr")), F.lit(0.0))
-    return lengths.join(per_pair, key, "left").agg(
+    fscore = F.coalesce(_ratio(2 * F.col("g.hit"), F.col("g.n")), F.lit(0.0))
+    return counted.agg(
         F.round(F.avg(fscore) * 100, 4).alias(f"rouge{n}"), F.round(F.avg("len"), 4).alias("gen_len"), F.count("*").alias("pairs")
     )
 

@@ -59,23 +59,27 @@ def span_candidate_ranges(scores: DataFrame, doc: str, threshold: float, min_len
     )
 
 
-def boundary_truth(tokens: DataFrame, spans: DataFrame, doc: str) -> DataFrame:
-    """For each token whether a span starts there and whether one ends with it."""
-    flags = (
-        tokens.select(doc, "token", F.lit(1).alias("is_token"), F.lit(0).alias("is_start"), F.lit(0).alias("is_end"))
-        .unionByName(
-            spans.select(doc, F.col("start").alias("token"), F.lit(0).alias("is_token"), F.lit(1).alias("is_start"), F.lit(0).alias("is_end"))
-        )
-        .unionByName(
-            spans.select(doc, (F.col("end") - 1).alias("token"), F.lit(0).alias("is_token"), F.lit(0).alias("is_start"), F.lit(1).alias("is_end"))
-        )
-    )
-    return (
-        flags.groupBy(doc, "token")
-        .agg(F.max("is_token").alias("is_token"), F.max("is_start").alias("is_start"), F.max("is_end").alias("is_end"))
-        .filter("is_token = 1")
-        .drop("is_token")
-    )
+def flags_at(length: Column, places: Column) -> Column:
+    """0/1 per place of a text, 1 at the given places; built from the runs between them, without a look-up per place."""
+
+    def runs(kept: Column) -> Column:
+        def run(place: Column, i: Column) -> Column:
+            before = F.when(i > 0, F.get(kept, i - 1)).otherwise(-1)
+            return F.concat(F.array_repeat(F.lit(0), place - before - 1), F.array(F.lit(1)))
+
+        last = F.coalesce(F.try_element_at(kept, F.lit(-1)), F.lit(-1))
+        return F.flatten(F.concat(F.transform(kept, run), F.array(F.array_repeat(F.lit(0), length - last - 1))))
+
+    inside = F.filter(places, lambda p: (p >= 0) & (p < length))
+    return bind(F.array_sort(F.array_distinct(inside)), runs)
+
+
+def boundary_truth(df: DataFrame, keep: list[str], length: Column, label: str = "label") -> DataFrame:
+    """For each token whether a span starts there and whether one ends with it: one row per token, no shuffle."""
+    starts = flags_at(length, F.transform(label, lambda s: s["start"]))
+    ends = flags_at(length, F.transform(label, lambda s: s["end"] - 1))
+    flags = F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("is_start"), b.alias("is_end")))
+    return unnest(df, keep, flags, "_f", "token").select(*keep, "token", "_f.*")
 
 
 def near_pairs(entities: DataFrame, doc: str, max_length: int) -> DataFrame:

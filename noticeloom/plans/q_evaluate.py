@@ -125,12 +125,12 @@ def _answers(spark, folder) -> DataFrame:
 
 @query("eva5_unigram_overlap", rouge_sql(1))
 def eva5_1(spark, folder):
-    return E.overlap_scores(_answers(spark, folder), "id", "answer", "text", 1)
+    return E.overlap_scores(_answers(spark, folder), "answer", "text", 1)
 
 
 @query("eva5_bigram_overlap", rouge_sql(2))
 def eva5_2(spark, folder):
-    return E.overlap_scores(_answers(spark, folder), "id", "answer", "text", 2)
+    return E.overlap_scores(_answers(spark, folder), "answer", "text", 2)
 
 
 @query(

@@ -370,8 +370,8 @@ scores AS (SELECT doc_id, token, CAST(('0x' || substring(md5(word), 1, 2)) AS IN
 
 @query(
     "spn21_span_candidates",
-    f"""WITH {SCORES_SQL} SELECT a.doc_id, CAST(a.token AS INTEGER) AS "start", CAST(b.token + 1 AS INTEGER) AS "end" FROM scores a JOIN scores b ON a.doc_id = b.doc_id
-AND b.token >= a.token + 1 AND b.token < a.token + 6 WHERE a.s >= 0.9 AND b.e >= 0.9""",
+    f"""WITH {SCORES_SQL.replace("scores AS (", "scores AS MATERIALIZED (")}, a AS (SELECT doc_id, token, token + unnest(range(1, 6)) AS other FROM scores WHERE s >= 0.9)
+SELECT a.doc_id, CAST(a.token AS INTEGER) AS "start", CAST(b.token + 1 AS INTEGER) AS "end" FROM a JOIN scores b ON a.doc_id = b.doc_id AND b.token = a.other WHERE b.e >= 0.9""",
 )
 def spn21(spark, folder):
     return R.span_candidates(boundary_scores(spark, folder), "doc_id", 0.9, 2, 6)
@@ -395,8 +395,7 @@ SELECT doc_id, count(*) AS tokens, CAST(sum(st::INT) AS BIGINT) AS starts, CAST(
 )
 def spn22(spark, folder):
     docs = annotated(spark, folder)
-    tokens = unnest(docs, ["doc_id"], F.sequence(F.lit(0), F.length("text") - 1), "token")
-    flags = R.boundary_truth(tokens, S.bare_spans(docs, ["doc_id"]), "doc_id")
+    flags = R.boundary_truth(docs, ["doc_id"], F.length("text"))
     return flags.groupBy("doc_id").agg(
         F.count("*").alias("tokens"), F.sum("is_start").alias("starts"), F.sum("is_end").alias("ends"),
         F.sum(F.col("is_start") * F.col("is_end")).alias("both"),

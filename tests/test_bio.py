@@ -47,8 +47,8 @@ def one(spark, tags, fn):
 
 
 def test_run_type_is_most_frequent_then_first(spark):
-    tags = ["o", "o", "i-per", "i-per", "o", "b-loc", "i-loc", "o", "b-per", "i-loc", "i-loc"]
-    assert one(spark, [t.upper() if t == "o" else t for t in tags], B.tag_spans) == [(2, 4, "per"), (5, 7, "loc"), (8, 11, "loc")]
+    tags = ["B-date", "I-date", "O", "B-sum", "I-unit", "I-unit", "O", "O", "I-sum"]
+    assert one(spark, tags, B.tag_spans) == [(0, 2, "date"), (3, 6, "unit"), (8, 9, "sum")]
     assert one(spark, ["B-a", "I-b", "O", "I-c"], B.tag_spans) == [(0, 2, "a"), (3, 4, "c")]
 
 
@@ -65,25 +65,30 @@ def test_vocabulary_and_ids(spark):
     assert row["v"] == ["O", "B-x", "I-x", "B-y", "I-y"] and row["i"] == [0, 4, 1]
 
 
-def test_tag_windows_bounds(spark):
-    df = spark.createDataFrame([(1, list("a" * 1200), ["O"] * 1200), (2, list("ab"), ["O", "O"])], "id int, data array<string>, label array<string>")
-    rows = B.tag_windows(df, ["id"], 510, F.size("label")).orderBy("id", "window").collect()
-    assert [(r["id"], r["start"], r["end"]) for r in rows] == [(1, 0, 509), (1, 301, 811), (1, 560, 1070)] or all(r["end"] - r["start"] <= 510 for r in rows)
-    for n, row in ((1200, rows),):
-        parts = n / 510 + 1
-        every = n // parts
-        room = (510 - every) // 2
-        want = []
-        for i in range(int(parts)):
-            s, e = i * every, (i + 1) * every
-            if i == 0:
-                e += room * 2
-            elif i == int(parts) - 1:
-                s -= room * 2
-            else:
-                s, e = s - room, e + room
-            want.append((int(max(s, 0)), int(min(e, n))))
-        assert [(r["start"], r["end"]) for r in row if r["id"] == 1] == want
+def test_tag_windows(spark):
+    """A text of 600 in windows of 100: steps of 85, 7 added on either side, 14 where one side is the text's edge."""
+    letters = [chr(0x4E00 + i) for i in range(600)]
+    rows = [(1, letters, [str(i) for i in range(600)]), (2, list("ab"), ["O", "O"])]
+    df = spark.createDataFrame(rows, "id int, data array<string>, label array<string>")
+    found = B.tag_windows(df, ["id"], 100, F.size("label")).orderBy("id", "window").collect()
+    long = [r for r in found if r["id"] == 1]
+    assert [(r["start"], r["end"]) for r in (long[0], long[1], long[2], long[6])] == [(0, 99), (78, 177), (163, 262), (496, 595)]
+    assert [(r["start"], r["end"]) for r in found if r["id"] == 2] == [(0, 2)]
+    for row in found:
+        text, tags = rows[row["id"] - 1][1:]
+        assert row["data"] == text[row["start"] : row["end"]] and row["label"] == tags[row["start"] : row["end"]]
+
+
+def test_tag_windows_leave_no_gap(spark):
+    sizes = [1, 9, 10, 11, 57, 100, 333, 1200]
+    df = spark.createDataFrame([(n, ["x"] * n) for n in sizes], "id int, data array<string>").withColumn("label", F.col("data"))
+    for most in (10, 50, 510):
+        found = B.tag_windows(df, ["id"], most, F.size("label")).orderBy("id", "window").collect()
+        for n in sizes:
+            own = [(r["start"], r["end"]) for r in found if r["id"] == n]
+            assert own[0][0] == 0 and len(own) == n // most + 1
+            assert all(0 <= s < e <= n and e - s <= most for s, e in own)
+            assert all(a[0] < b[0] <= a[1] for a, b in zip(own, own[1:]))
 
 
 def test_tag_rows(spark, docs):

@@ -55,8 +55,8 @@ def test_report_classes(docs):
 @pytest.mark.parametrize(
     "h, a, want",
     [
-        ((2, 6), (2, 5), X.SAME_BUT + "标签后面有空格"), ((2, 5), (2, 6), X.SAME_BUT + "预测后面有空格"), ((2, 5), (1, 5), X.SAME_BUT + "预测前面有空格"),
-        ((1, 5), (2, 5), X.SAME_BUT + "标签前面有空格"), ((1, 6), (2, 5), X.SAME_BUT + "标注位置不同"), ((2, 5), (2, 4), "预测后面少标1个字符"),
+        ((2, 6), (2, 5), "标签和预测结果相同，但是标签后面有空格"), ((2, 5), (2, 6), "标签和预测结果相同，但是预测后面有空格"), ((2, 5), (1, 5), "标签和预测结果相同，但是预测前面有空格"),
+        ((1, 5), (2, 5), "标签和预测结果相同，但是标签前面有空格"), ((1, 6), (2, 5), "标签和预测结果相同，但是标注位置不同"), ((2, 5), (2, 4), "预测后面少标1个字符"),
         ((2, 4), (2, 5), "预测后面多标1个字符"), ((3, 5), (2, 5), "预测前面少标1个字符"), ((2, 5), (4, 5), "预测前面多标2个字符"), ((2, 4), (3, 5), "未分析成功"),
     ],
 )

@@ -43,12 +43,25 @@ def test_tag_scores_skip_ignored(spark):
 
 def test_overlap_scores(spark):
     df = spark.createDataFrame([(1, "the cat the", "The cat!"), (2, "", "x")], "id int, pred string, ref string")
-    row = E.overlap_scores(df, "id", "pred", "ref", 1).first()
+    row = E.overlap_scores(df, "pred", "ref", 1).first()
     assert (row["rouge1"], row["gen_len"], row["pairs"]) == (40.0, 1.5, 2)
-    two = E.overlap_scores(df, "id", "pred", "ref", 2).first()
+    two = E.overlap_scores(df, "pred", "ref", 2).first()
     assert two["rouge2"] == round(2 * 1 / 3 / 2 * 100, 4)
 
 
+def test_overlap_scores_count_repeats(spark):
+    rng = np.random.default_rng(5)
+    pairs = [[" ".join(rng.choice(list("abcd"), rng.integers(0, 15))) for _ in "pr"] for _ in range(30)]
+    df = spark.createDataFrame([tuple(p) for p in pairs], "pred string, ref string")
+    for n in (1, 2, 3):
+        total = 0.0
+        for p, r in pairs:
+            p, r = ([tuple(t.split()[k : k + n]) for k in range(len(t.split()) - n + 1)] for t in (p, r))
+            hit = sum(min(p.count(g), r.count(g)) for g in set(p))
+            total += 2 * hit / (len(p) + len(r)) if p or r else 0
+        assert abs(E.overlap_scores(df, "pred", "ref", n).first()[f"rouge{n}"] - total / 30 * 100) < 1e-3
+
+
 def test_batch_similarity_against_a_matrix(spark):
     rng = np.random.default_rng(0)
     rows = [(i, rng.normal(size=5).astype("float32").tolist()) for i in range(11)]

@@ -3,6 +3,8 @@ import random
 import pytest
 
 from conftest import tuples
+from pyspark.sql import functions as F
+
 from noticeloom.operators import relations as R
 from noticeloom.operators import spans as S
 
@@ -34,10 +36,12 @@ def test_unbounded_candidates_are_counted(spark):
     assert got == want
 
 
-def test_boundary_truth(spark):
-    tokens = spark.createDataFrame([(1, t) for t in range(4)], "doc int, token int")
-    spans = spark.createDataFrame([(1, 0, 2), (1, 1, 2), (1, 9, 12)], "doc int, start int, end int")
-    assert tuples(R.boundary_truth(tokens, spans, "doc").collect()) == [(1, 0, 1, 0), (1, 1, 1, 1), (1, 2, 0, 0), (1, 3, 0, 0)]
+def test_boundary_truth(spark, docs):
+    df = docs([(1, "abcd", [(0, 2, "x"), (1, 2, "x"), (9, 12, "x")]), (2, "", []), (3, "ab", []), (4, "a😀", [(1, 2, "x")])])
+    want = [(1, 0, 1, 0), (1, 1, 1, 1), (1, 2, 0, 0), (1, 3, 0, 0), (3, 0, 0, 0), (3, 1, 0, 0), (4, 0, 0, 0), (4, 1, 1, 1)]
+    rows = R.boundary_truth(df, ["id"], F.length("text"))
+    assert tuples(rows.collect()) == want
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize("reach", [0, 1, 7, 100])
