@@ -68,6 +68,28 @@ def index_range(n: Column) -> Column:
     return F.when(n > 0, F.sequence(F.lit(0), (n - 1).cast("int"))).otherwise(empty("array<int>"))
 
 
+def lower_bound(values: Column, least: Column) -> Column:
+    """First index of a sorted array whose value is at least ``least``, by bisection; the size if none is."""
+
+    def step(acc: Column, _: Column) -> Column:
+        middle = F.floor((acc["low"] + acc["high"]) / 2).cast("int")
+        open_ = acc["low"] < acc["high"]
+        right = open_ & (F.get(values, middle) < least)
+        return F.struct(
+            F.when(right, middle + 1).otherwise(acc["low"]).alias("low"),
+            F.when(open_ & ~right, middle).otherwise(acc["high"]).alias("high"),
+        )
+
+    start = F.struct(F.lit(0).alias("low"), F.size(values).alias("high"))
+    return F.aggregate(F.sequence(F.lit(0), F.length(F.bin(F.size(values)))), start, step, lambda acc: acc["low"])
+
+
+def items(values: Column, first: Column, stop: Column, make) -> Column:
+    """``make`` of the elements from ``first`` up to ``stop``; other elements are not read or copied."""
+    places = F.when(stop > first, F.sequence(first, stop - 1)).otherwise(empty("array<int>"))
+    return F.transform(places, lambda i: make(F.get(values, i)))
+
+
 def unnest(df: DataFrame, keep: list, array: Column | str, value: str, pos: str | None = None) -> DataFrame:
     """One row per array element, none for an empty array.
 

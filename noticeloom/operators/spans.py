@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noticeloom.functions.arrays import bind, empty, index_range, running_totals, total, unnest
+from noticeloom.functions.arrays import bind, empty, index_range, items, lower_bound, running_totals, total, unnest
 
 CHUNK = 500
 CHUNK_PAD = 20
@@ -141,48 +141,80 @@ def replace_from_windows(df: DataFrame, windows: DataFrame, labels: list[str], i
     )
 
 
-def islands(spans: Column) -> Column:
-    """Spans merged where they overlap, as (start, end) in order."""
-    state = "struct<start:int,end:int,done:array<struct<start:int,end:int>>>"
+def spans_inside(spans: Column, bounds: Column, make) -> Column:
+    """``make(bound, its spans)`` for each (start, end) of ``bounds``: the spans fully inside, in list order, re-based.
 
-    def step(acc: Column, s: Column) -> Column:
-        joined = s["start"] < acc["end"]
-        closed = F.concat(acc["done"], F.array(F.struct(acc["start"].alias("start"), acc["end"].alias("end"))))
-        return F.struct(
-            F.when(joined, acc["start"]).otherwise(s["start"]).alias("start"),
-            F.when(joined, F.greatest(acc["end"], s["end"])).otherwise(s["end"]).alias("end"),
-            F.when(joined, acc["done"]).otherwise(closed).alias("done"),
-        ).cast(state)
-
-    first = F.struct(F.lit(-1).alias("start"), F.lit(-1).alias("end"), empty("array<struct<start:int,end:int>>").alias("done"))
-    return F.aggregate(
-        F.sort_array(spans),
-        first.cast(state),
-        step,
-        lambda acc: F.filter(
-            F.concat(acc["done"], F.array(F.struct(acc["start"].alias("start"), acc["end"].alias("end")))),
-            lambda i: i["start"] >= 0,
-        ),
+    Spans are ordered by start once; a bound looks only at those that start in it.
+    """
+    kind = "array<struct<start:int,pos:int,end:int,label:string>>"
+    placed = F.transform(spans, lambda s, i: F.struct(s["start"].alias("start"), i.alias("pos"), s["end"].alias("end"), s["label"].alias("label")))
+
+    def per_bound(ordered: Column, starts: Column) -> Column:
+        def one(b: Column) -> Column:
+            first, stop = lower_bound(starts, b["start"]), lower_bound(starts, b["end"] + 1)
+            own = F.filter(items(ordered, first, stop, lambda s: F.struct(s["pos"], s["start"], s["end"], s["label"])), lambda s: s["end"] <= b["end"])
+            return make(b, F.transform(F.array_sort(own), lambda s: span(s["start"] - b["start"], s["end"] - b["start"], s["label"])))
+
+        return F.transform(bounds, one)
+
+    return bind(
+        F.array_sort(F.coalesce(placed.cast(kind), empty(kind))),
+        lambda ordered: bind(F.transform(ordered, lambda s: s["start"]), lambda starts: per_bound(ordered, starts)),
     )
 
 
+def spans_touching(spans: Column, bounds: Column, make) -> Column:
+    """``make(bound, its spans)`` for each of the ordered, disjoint ``bounds``: spans that overlap it, clipped and re-based.
+
+    Each span finds its first and last bound by bisection and is listed under those between.
+    """
+    kind = "array<struct<of:int,pos:int,start:int,end:int,label:string>>"
+
+    def list_all(starts: Column, ends: Column) -> Column:
+        def one(s: Column, pos: Column) -> Column:
+            first, stop = lower_bound(ends, s["start"] + 1), lower_bound(starts, s["end"])
+            places = F.when(stop > first, F.sequence(first, stop - 1)).otherwise(empty("array<int>"))
+            return F.transform(places, lambda i: F.struct(i.alias("of"), pos.alias("pos"), s["start"].alias("start"), s["end"].alias("end"), s["label"].alias("label")))
+
+        return F.array_sort(F.flatten(F.transform(spans, one)).cast(kind))
+
+    def per_bound(listed: Column, of: Column) -> Column:
+        def one(b: Column, i: Column) -> Column:
+            def clipped(s: Column) -> Column:
+                return span(F.greatest(s["start"], b["start"]) - b["start"], F.least(s["end"], b["end"]) - b["start"], s["label"])
+
+            return make(b, items(listed, lower_bound(of, i), lower_bound(of, i + 1), clipped))
+
+        return F.transform(bounds, one)
+
+    borders = lambda name: F.transform(bounds, lambda b: b[name])
+    listed = bind(borders("start"), lambda starts: bind(borders("end"), lambda ends: list_all(starts, ends)))
+    return bind(F.coalesce(listed, empty(kind)), lambda every: bind(F.transform(every, lambda s: s["of"]), lambda of: per_bound(every, of)))
+
+
 def chunk_borders(length: Column, spans: Column, size: int = CHUNK, pad: int = CHUNK_PAD) -> Column:
     """Borders every ``size`` characters; one that would cut a span moves ``pad`` past the span's end.
 
-    A move shifts all later borders. One pass over the merged spans finds the moves; the borders
-    between two moves are an arithmetic sequence.
+    A move shifts all later borders. One pass over the spans in order merges those that overlap and finds
+    the moves; the borders between two moves are an arithmetic sequence, kept as its first and last. The state
+    is never cast, which would copy it for every span.
     """
-    state = "struct<next:int,runs:array<struct<first:int,last:int>>>"
-
-    def step(acc: Column, isle: Column) -> Column:
-        runs = F.greatest(F.floor((isle["start"] - acc["next"]) / size) + 1, F.lit(0)).cast("int")
+    def settled(acc: Column, start: Column, end: Column) -> Column:
+        """The state with its merged span done, and ``start, end`` as the next one."""
+        runs = F.greatest(F.floor((acc["start"] - acc["next"]) / size) + 1, F.lit(0)).cast("int")
         border = acc["next"] + runs * size
-        cut = (border > isle["start"]) & (border < isle["end"])
+        cut = (border > acc["start"]) & (border < acc["end"])
         run = F.struct(acc["next"].alias("first"), (border - size).alias("last"))
         return F.struct(
-            F.when(cut, isle["end"] + pad).otherwise(border).alias("next"),
+            start.alias("start"),
+            end.alias("end"),
+            F.when(cut, acc["end"] + pad).otherwise(border).alias("next"),
             F.when(runs > 0, F.concat(acc["runs"], F.array(run))).otherwise(acc["runs"]).alias("runs"),
-        ).cast(state)
+        )
+
+    def step(acc: Column, s: Column) -> Column:
+        wider = F.struct(acc["start"].alias("start"), F.greatest(acc["end"], s["end"]).alias("end"), acc["next"].alias("next"), acc["runs"].alias("runs"))
+        return F.when(s["start"] < acc["end"], wider).otherwise(settled(acc, s["start"], s["end"]))
 
     def finish(acc: Column) -> Column:
         runs = F.when(
@@ -192,8 +224,12 @@ def chunk_borders(length: Column, spans: Column, size: int = CHUNK, pad: int = C
         inner = F.flatten(F.transform(runs, lambda r: F.sequence(r["first"], r["last"], F.lit(size))))
         return F.concat(F.array(F.lit(0)), F.filter(inner, lambda b: b < length), F.array(length.cast("int")))
 
-    start = F.struct(F.lit(size).alias("next"), empty("array<struct<first:int,last:int>>").alias("runs")).cast(state)
-    return F.aggregate(islands(spans), start, step, finish)
+    none = F.lit(-1)
+    start = F.struct(none.alias("start"), none.alias("end"), F.lit(size).alias("next"), empty("array<struct<first:int,last:int>>").alias("runs"))
+    return F.aggregate(F.sort_array(spans), start, step, lambda acc: bind(settled(acc, none, none), finish))
+
+
+PIECE = 256  # characters of a text's pieces from which chunks are cut
 
 
 def chunk_documents(df: DataFrame, keep: list[str], size: int = CHUNK, pad: int = CHUNK_PAD, text="text", label="label") -> DataFrame:
@@ -203,15 +239,23 @@ def chunk_documents(df: DataFrame, keep: list[str], size: int = CHUNK, pad: int
     """
     length = F.length(text)
     borders = F.when(length < size, F.array(F.lit(0), length)).otherwise(chunk_borders(length, F.col(label), size, pad))
-    def chunk(b: Column, e: Column) -> Column:
-        inside = F.filter(label, lambda s: (s["start"] >= b) & (s["end"] <= e))
-        return F.struct(
-            b.alias("chunk_start"),
-            F.substr(F.col(text), b + 1, e - b).alias("text"),
-            F.transform(inside, lambda s: span(s["start"] - b, s["end"] - b, s["label"])).alias("label"),
+
+    def chunk(b: Column, own: Column) -> Column:
+        return F.struct(b["start"].alias("chunk_start"), b["text"].alias("text"), own.alias("label"))
+
+    def cut(pieces: Column, start: Column, end: Column) -> Column:
+        """The text between two places from the pieces it touches; cutting the whole text would read it from its start."""
+        first, stop = F.floor(start / PIECE).cast("int"), F.ceil(end / PIECE).cast("int")
+        return F.substr(F.array_join(items(pieces, first, stop, lambda p: p), ""), start - first * PIECE + 1, end - start)
+
+    def bounds(at: Column, pieces: Column) -> Column:
+        return F.transform(
+            index_range(F.size(at) - 1),
+            lambda i: F.struct(F.get(at, i).alias("start"), F.get(at, i + 1).alias("end"), cut(pieces, F.get(at, i), F.get(at, i + 1)).alias("text")),
         )
 
-    chunks = bind(borders, lambda at: F.transform(index_range(F.size(at) - 1), lambda i: chunk(F.get(at, i), F.get(at, i + 1))))
+    pieces = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{PIECE}}}"), 0)
+    chunks = bind(bind(pieces, lambda p: bind(borders, lambda at: bounds(at, p))), lambda found: spans_inside(F.col(label), found, chunk))
     rows = unnest(df, [*keep, (length < size).alias("_short")], chunks, "_c", "chunk").select(*keep, "_short", "chunk", "_c.*")
     return rows.filter((F.size("label") > 0) | F.col("_short")).drop("_short")
 
@@ -237,19 +281,17 @@ def sliding_windows(df: DataFrame, keep: list[str], width: int = WINDOW, stride:
         own = [F.coalesce(F.get(pieces, i + k), F.lit("")) for k in range(cover)]
 
         def build(cut: Column) -> Column:
-            stop = start + F.length(cut)
-            inside = F.filter(label, lambda s: (s["start"] >= start) & (s["end"] <= stop))
-            return F.struct(
-                start.cast("int").alias("start"),
-                (start + width).cast("int").alias("end"),
-                cut.alias("text"),
-                F.transform(inside, lambda s: span(s["start"] - start, s["end"] - start, s["label"])).alias("label"),
-            )
+            return F.struct(start.cast("int").alias("start"), (start + F.length(cut)).cast("int").alias("end"), cut.alias("text"))
 
         return bind(F.concat(*own), build)
 
+    def row(b: Column, own: Column) -> Column:
+        end = (b["start"] + width).cast("int")
+        return F.struct(b["start"].alias("start"), end.alias("end"), b["text"].alias("text"), own.alias("label"))
+
     pieces = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{stride}}}"), 0)
-    windows = bind(pieces, lambda p: F.transform(index_range(F.size(p)), lambda i: window(p, i)))
+    cut = bind(pieces, lambda p: F.transform(index_range(F.size(p)), lambda i: window(p, i)))
+    windows = bind(cut, lambda found: spans_inside(F.col(label), found, row))
     return unnest(df, keep, windows, "_w").select(*keep, "_w.*")
 
 
@@ -312,22 +354,11 @@ def sentences(text: Column, stops: str = "。") -> Column:
 def sentence_rows(df: DataFrame, keep: list[str], stops: str = "。", text="text", label="label", labelled_only: bool = True) -> DataFrame:
     """One row per sentence with the spans that overlap it, clipped to it and re-based."""
 
-    def row(sent: Column) -> Column:
-        touching = F.filter(label, lambda s: (s["start"] < sent["end"]) & (s["end"] > sent["start"]))
-        return F.struct(
-            sent["start"].alias("start"),
-            sent["text"].alias("text"),
-            F.transform(
-                touching,
-                lambda s: span(
-                    F.greatest(s["start"], sent["start"]) - sent["start"],
-                    F.least(s["end"], sent["end"]) - sent["start"],
-                    s["label"],
-                ),
-            ).alias("label"),
-        )
+    def row(sent: Column, own: Column) -> Column:
+        return F.struct(sent["start"].alias("start"), sent["text"].alias("text"), own.alias("label"))
 
-    rows = unnest(df, keep, F.transform(sentences(F.col(text), stops), row), "_s", "sentence").select(*keep, "sentence", "_s.*")
+    found = bind(sentences(F.col(text), stops), lambda sents: spans_touching(F.col(label), sents, row))
+    rows = unnest(df, keep, found, "_s", "sentence").select(*keep, "sentence", "_s.*")
     return rows.filter(F.size("label") > 0) if labelled_only else rows
 
 

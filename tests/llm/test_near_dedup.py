@@ -59,8 +59,10 @@ def near_copies(seed):
     return [(i, t, "en", "a") for i, t in enumerate(out)]
 
 
+@pytest.mark.parametrize("block_rows", [1024, 3])
 @pytest.mark.parametrize("data, words", [(rows(), 5), (near_copies(1), 4), (near_copies(2), 5)])
-def test_components(spark, data, words):
+def test_components(spark, monkeypatch, data, words, block_rows):
+    monkeypatch.setattr(N, "BLOCK_ROWS", block_rows)
     got = N.components(documents(spark, data), words=words).select("id", "n_shingles", "component_id", "kept")
     assert sorted(map(tuple, got.collect()), key=key) == brute(data, words)
 
