@@ -120,20 +120,32 @@ def src11_records(spark, folder):
     return rows.select("conv_id", "turn", F.md5("text").alias("md5"))
 
 
-@query("src13_pages_as_files", "SELECT url AS name, md5(html) AS md5 FROM pages")
+def _page_files(spark, folder) -> str:
+    """Each page as a file of its own: one folder per page number, its text as the only line."""
+    out = fresh_folder(spark, "pages")
+    line = F.translate("html", "\n\r", "  ").alias("value")
+    table(spark, folder, "pages").select("page_id", line).repartition("page_id").write.partitionBy("page_id").text(out)
+    return out
+
+
+PAGE_FILES = "SELECT page_id, translate(html, chr(10) || chr(13), '  ') || chr(10) AS t FROM pages"
+
+
+@query("src13_pages_as_files", f"SELECT page_id, md5(t) AS md5 FROM ({PAGE_FILES})")
 def src13(spark, folder):
-    pages = table(spark, folder, "pages")
-    return pages.select(F.col("url").alias("name"), F.md5("html").alias("md5"))
+    files = S.read_whole_files(spark, _page_files(spark, folder))
+    return files.select(F.col("page_id").cast("bigint").alias("page_id"), F.md5("text").alias("md5"))
 
 
-@query("src14_file_sizes")
+@query("src14_file_sizes", f"SELECT page_id, CAST(strlen(t) AS BIGINT) AS size FROM ({PAGE_FILES})")
 def src14(spark, folder):
-    return S.file_sizes(spark, f"{folder}/*.parquet")
+    sizes = S.file_sizes(spark, _page_files(spark, folder))
+    return sizes.select(F.col("page_id").cast("bigint").alias("page_id"), "size")
 
 
-@query("src14_size_summary")
+@query("src14_size_summary", f"SELECT CAST(sum(strlen(t)) AS BIGINT) AS total, CAST(max(strlen(t)) AS BIGINT) AS largest FROM ({PAGE_FILES})")
 def src14_summary(spark, folder):
-    return S.size_summary(S.file_sizes(spark, f"{folder}/*.parquet"))
+    return S.size_summary(S.file_sizes(spark, _page_files(spark, folder)))
 
 
 def _posts(spark, folder) -> DataFrame:
@@ -169,12 +181,18 @@ def src16(spark, folder):
     "SELECT o_orderkey AS \"order key\", o_orderstatus AS status, NULL::VARCHAR AS priority FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus <> 'F'",
 )
 def src18(spark, folder):
+    """Two files whose headers differ as spreadsheet exports do, read back and put together."""
     orders = table(spark, folder, "orders")
-    a = orders.filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("order_ - key"), F.col("o_orderstatus").alias(" status "))
-    b = orders.filter("o_orderstatus <> 'F'").select(
-        F.col("o_orderkey").alias("order key"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority ")
+    first = orders.filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("order_ - key"), F.col("o_orderstatus").alias("status_ - "))
+    second = orders.filter("o_orderstatus <> 'F'").select(
+        F.col("o_orderkey").alias("order key"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("_ - priority")
     )
-    return S.combine_files([a, b])
+    back = []
+    for name, df in (("first", first), ("second", second)):
+        out = fresh_folder(spark, name)
+        S.write_delimited(df, out)
+        back.append(S.read_delimited(spark, out, df.schema))
+    return S.combine_files(back)
 
 
 @query("ext4_written_batches", "SELECT event_id, (row_number() OVER (ORDER BY ts, event_id) - 1) // 2500 AS batch FROM events")

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from noticeloom.functions.arrays import SPAN_TYPE
 from noticeloom.functions.text import clean_html, fingerprint, strip_space
@@ -48,7 +49,7 @@ def write_lines(df: DataFrame, column: str, path: str) -> None:
     df.select(F.col(column).cast("string").alias("value")).write.text(path)
 
 
-def read_delimited(spark: SparkSession, path: str, schema: str, sep: str = ",", multi_line: bool = False) -> DataFrame:
+def read_delimited(spark: SparkSession, path: str, schema: str | StructType, sep: str = ",", multi_line: bool = False) -> DataFrame:
     """CSV or tab-separated table with a header.
 
     ``multi_line`` is for files whose quoted fields hold line ends: such a file is one task.
@@ -117,16 +118,16 @@ def array_records(df: DataFrame, column: str, schema: str) -> DataFrame:
 
 def read_whole_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: its name and full text."""
-    return spark.read.text(path, wholetext=True).select(
-        F.url_decode("_metadata.file_name").alias("name"), F.col("value").alias("text")
-    )
+    files = spark.read.text(path, wholetext=True)
+    folders = [c for c in files.columns if c != "value"]  # columns of partitioned folders
+    return files.select(*folders, F.url_decode("_metadata.file_name").alias("name"), F.col("value").alias("text"))
 
 
 def file_sizes(spark: SparkSession, path: str) -> DataFrame:
     """Name and size of each file; contents are not read."""
-    return spark.read.format("binaryFile").load(path).select(
-        F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("size")
-    )
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "[!_.]*").load(path)
+    folders = [c for c in files.columns if c not in ("path", "modificationTime", "length", "content")]
+    return files.select(*folders, F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("size"))
 
 
 def size_summary(sizes: DataFrame) -> DataFrame:
