@@ -177,8 +177,8 @@ def comparison_report(human: DataFrame, machine: DataFrame, doc: str, near: int
     """Report rows per document and type: repeated by hand, missed, extra, wrong or misplaced.
 
     Span rows carry ``value`` (their text) as well. A wrong human span is shown with the machine span
-    of its type that starts nearest to it; ``n_candidates`` says how many the machine has. The full
-    lists stay available as the two inputs, keyed by document and type.
+    of its type that starts nearest to it; ``n_candidates`` says how many the machine has.
+    :func:`comparison_blocks` lists them all.
     """
 
     def side(df: DataFrame, is_human: int) -> DataFrame:
@@ -252,6 +252,24 @@ def comparison_report(human: DataFrame, machine: DataFrame, doc: str, near: int
     return rows.select(doc, "label_type", "_r.*", "n_candidates")
 
 
+def comparison_blocks(human: DataFrame, machine: DataFrame, doc: str) -> DataFrame:
+    """Per document and type with a wrong human span: all its wrong human spans and all machine spans.
+
+    Every human span of ``human_spans`` has every span of ``machine_spans`` as a candidate; the two lists
+    say so in the size of the spans, where rows of pairs would take their product.
+    """
+    spans = [F.struct("start", "end", "value").alias("span"), "label", "start", "end"]
+    both = human.select(doc, *spans, F.lit(1).alias("is_human")).unionByName(machine.select(doc, *spans, F.lit(0).alias("is_human")))
+    same = Window.partitionBy(doc, "start", "end", "label")
+    agreed = F.min("is_human").over(same) != F.max("is_human").over(same)
+    wrong = F.when((F.col("is_human") == 1) & ~F.col("agreed"), F.col("span"))
+    listed = both.withColumn("agreed", agreed).groupBy(doc, F.col("label").alias("label_type")).agg(
+        F.sort_array(F.collect_list(wrong)).alias("human_spans"),
+        F.sort_array(F.collect_list(F.when(F.col("is_human") == 0, F.col("span")))).alias("machine_spans"),
+    )
+    return listed.filter((F.size("human_spans") > 0) & (F.size("machine_spans") > 0))
+
+
 def row_fingerprint(columns: list[str]) -> Column:
     """md5 of columns as text, kept apart by a separator, null as empty."""
     return F.md5(F.concat_ws("\u001f", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]))

@@ -248,6 +248,19 @@ def cmp3(spark, folder):
     return X.comparison_report(valued(spark, folder, GOLD), valued(spark, folder, PRED), "doc_id")
 
 
+@query(
+    "cmp3_comparison_blocks",
+    f"""{BOTH}, w AS (SELECT g.* FROM gold g WHERE NOT EXISTS (SELECT 1 FROM pred q WHERE q.doc_id = g.doc_id AND q."start" = g."start" AND q."end" = g."end" AND q.label = g.label)),
+h AS (SELECT doc_id, label, string_agg("start" || '-' || "end", ',' ORDER BY "start", "end") AS human_spans FROM w GROUP BY 1, 2),
+m AS (SELECT doc_id, label, string_agg("start" || '-' || "end", ',' ORDER BY "start", "end") AS machine_spans FROM pred GROUP BY 1, 2)
+SELECT doc_id, label AS label_type, human_spans, machine_spans FROM h JOIN m USING (doc_id, label)""",
+)
+def cmp3_blocks(spark, folder):
+    blocks = X.comparison_blocks(valued(spark, folder, GOLD), valued(spark, folder, PRED), "doc_id")
+    places = lambda c: F.array_join(F.transform(c, lambda s: F.concat(s["start"], F.lit("-"), s["end"])), ",").alias(c)
+    return blocks.select("doc_id", "label_type", places("human_spans"), places("machine_spans"))
+
+
 @query(
     "cmp4_rule_analysis",
     f"""{BOTH} SELECT g.doc_id, g.pos, {analysis_sql('g."start"', 'g."end"', 'substring(d.text, g."start" + 1, g."end" - g."start")', 'p."start"', 'p."end"', 'substring(d.text, p."start" + 1, p."end" - p."start")')} AS analysis
