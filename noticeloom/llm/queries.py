@@ -38,7 +38,20 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), vocabulary_path())
 
 
-@query("op2_near_dedup")
+@query(
+    "op2_near_dedup",
+    r"""WITH RECURSIVE w AS (
+  SELECT doc_id, [x for x in string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') if x <> ''] AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4 THEN [array_to_string(w[i:i + 3], ' ') for i in range(1, len(w) - 2)]
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS MATERIALIZED (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * i >= 80 * (a.n + b.n - i)),
+r(x, y) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS component_id FROM r GROUP BY 1) c USING (doc_id)""",
+)
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     found = near_dedup.components(table(spark, folder, "documents"), words=4)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
@@ -111,6 +124,23 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, folder, "pages")).drop("weight")
 
 
-@query("op10_remove_repeats")
+@query(
+    "op10_remove_repeats",
+    """WITH h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents),
+j AS (SELECT doc_id, n, hx, unnest(range(0, n, 64)) AS j FROM h),
+c AS (SELECT doc_id, n, j, substring(hx, 2 * j + 1, 228) AS c FROM j),
+p AS (SELECT doc_id, j + k AS i, substring(c, 2 * k + 1, 100) AS g FROM (SELECT *, unnest(range(0, 64)) AS k FROM c) WHERE j + k <= n - 50),
+m AS (SELECT g, min(doc_id) AS low FROM p GROUP BY 1),
+w AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM p JOIN m USING (g) WHERE low < doc_id),
+r AS (SELECT doc_id, i, sum(CASE WHEN before IS NULL OR i > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM w),
+s AS (SELECT doc_id, min(i) AS s, max(i) + 50 AS e FROM r GROUP BY doc_id, run),
+b AS (SELECT *, lag(e, 1, 0) OVER (PARTITION BY doc_id ORDER BY s) AS pe FROM s),
+k AS (
+  SELECT doc_id, CAST(sum(e - s) AS BIGINT) AS n_removed, count(*) AS n_spans,
+         string_agg(substring(hx, 2 * pe + 1, 2 * (s - pe)), '' ORDER BY s) || any_value(substring(hx, 2 * last + 1)) AS kept
+  FROM (SELECT *, max(e) OVER (PARTITION BY doc_id) AS last FROM b) JOIN h USING (doc_id) GROUP BY 1)
+SELECT h.doc_id, h.n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(k.kept, h.hx))) AS kept_sha256
+FROM h LEFT JOIN k USING (doc_id)""",
+)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_free.remove_repeats(table(spark, folder, "documents"))
