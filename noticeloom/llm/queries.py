@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeloom.llm import exact_dedup, language_id, mixing, near_dedup, packing, prefix_free, top_k, url_filter
+from noticeloom.llm import exact_dedup, language_id, mixing, near_dedup, packing, prefix_free, secrets, surrogates, top_k, url_filter
 
+SURROGATE_KEY = "surrogates of the query"  # a job of one's own brings a key of its own
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -84,6 +85,18 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return top_k.top_k(table(spark, folder, "embeddings"))
 
 
+@query("op5_pii_surrogates")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return surrogates.replace_entities(docs, SURROGATE_KEY, count_col="n_replaced")
+
+
+@query("op6_secret_scan")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(table(spark, folder, "documents"))
+    return found.select("doc_id", "nth", "before", F.sha2("value", 256).alias("value_sha256"), "score")
+
+
 @query("op7_mix_sources")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(table(spark, folder, "documents"))
