@@ -289,6 +289,19 @@ def prj20(spark, folder):
     )
 
 
+@query(
+    "prj20_span_links",
+    f"""WITH {spans_sql(GOLD)} SELECT s.doc_id, s."start", s.label AS label_type, 'http://' || d.source || '/#:~:text=' || substring(d.text, s."start" + 1, s."end" - s."start") AS url
+FROM spans s JOIN documents d USING (doc_id)""",
+)
+def prj20_spans(spark, folder):
+    """A link to each label in its source page."""
+    docs = table(spark, folder, "documents").withColumn("label", phrase_spans(F.col("text"), GOLD))
+    rows = span_rows(docs, ["doc_id", "source"])
+    source = F.concat(F.lit("http://"), F.col("source"), F.lit("/"))
+    return rows.select("doc_id", "start", "label_type", T.text_link(source, F.col("value")).alias("url"))
+
+
 @query(
     "prj21_bracket_fields",
     """SELECT doc_id, lang AS language, source AS origin, CAST(n_chars AS VARCHAR) AS size, md5(regexp_replace(text, '【.*', '', 's')) AS body FROM documents""",

@@ -328,6 +328,20 @@ def set4(spark, folder):
     return corpus.select("doc_id", "dataset", "task", F.size("label").alias("spans"))
 
 
+@query(
+    "set4_registry_renewal",
+    CUT_SQL.format(seed=SEED) + """ SELECT doc_id, CASE WHEN rn <= floor(n * 0.8::DOUBLE) THEN 'tender_train' ELSE 'tender_dev' END AS dataset, 'tender' AS task FROM r
+UNION ALL SELECT doc_id, 'old', 'bid' FROM documents WHERE lang = 'en' AND doc_id % 2 = 1""",
+)
+def set4_registry(spark, folder):
+    """The registry after an import: the task's old rows are gone, those of other tasks stay."""
+    docs = documents(spark, folder).select("doc_id", "text", "lang")
+    task = F.when(F.col("doc_id") % 2 == 1, F.lit("bid")).otherwise(F.lit("tender"))
+    registry = docs.filter("lang = 'en'").select("doc_id", F.lit("old").alias("dataset"), task.alias("task"))
+    _, renewed = C.annotated_import(docs.drop("lang"), S.phrase_spans(F.col("text"), GOLD), "doc_id", "tender", registry, SEED)
+    return renewed
+
+
 @query(
     "ded1_add_to_registry",
     "SELECT md5, arg_min(doc_id, src * 1000000000 + doc_id) AS doc_id FROM (SELECT md5(text) AS md5, doc_id, 0 AS src FROM documents WHERE lang <> 'en' UNION ALL SELECT md5(text), doc_id, 1 FROM documents) GROUP BY 1",

@@ -238,8 +238,9 @@ def _notices(spark, folder) -> DataFrame:
     )
 
 
-def _load(spark, folder) -> tuple[DataFrame, DataFrame | None]:
-    gold = spark.createDataFrame([], "md5 string, label array<struct<start:int,end:int,label:string>>")
+def _load(spark, folder, gold: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
+    if gold is None:
+        gold = spark.createDataFrame([], "md5 string, label array<struct<start:int,end:int,label:string>>")
     return load_notices(
         _notices(spark, folder), "test_tender_bid_result", gold,
         lambda df: df.withColumn("label", phrase_spans(F.col("text"), NOTICE_TERMS)), 2024,
@@ -338,3 +339,19 @@ def src10(spark, folder):
     )
     target = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     return TB.update_columns(target, updates, "o_orderkey", ["o_orderstatus"])
+
+
+GOLD_NOTICES = f"""{NOTICES}, known AS (SELECT DISTINCT md5(text) AS m FROM clean WHERE page_id % 5 = 0),
+v2 AS (SELECT v.page_id, v.pos, v.label, v.val FROM v JOIN clean c USING (page_id) WHERE md5(c.text) NOT IN (SELECT m FROM known)
+  UNION ALL SELECT page_id, 1, '中标单位', replace(substring(text, 1, 3), chr(10), '') FROM clean WHERE md5(text) IN (SELECT m FROM known)),
+w AS (SELECT page_id, val, min(pos) AS pos FROM v2 WHERE label = '中标单位' GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS rn FROM w)
+SELECT val AS winning_bidder, CASE WHEN rn = 1 THEN money ELSE 0 END AS amount, 'test_tender_bid_result' AS table_name, page_id AS announcement_id FROM r JOIN money USING (page_id)"""
+
+
+@query("flow_notice_winners_with_gold", GOLD_NOTICES)
+def flow_winners_gold(spark, folder):
+    """Every fifth page has labels by hand, which stand for all pages of its text."""
+    label = F.expr("array(named_struct('start', 0, 'end', 3, 'label', '中标单位'))")
+    known = table(spark, folder, "pages").filter(F.col("page_id") % 5 == 0).select(T.clean_html(F.col("html")).alias("text"))
+    _, winners = _load(spark, folder, known.select(F.md5("text").alias("md5"), label.alias("label")))
+    return winners.withColumn("amount", F.col("amount").cast("double")).drop("publish_time")

@@ -19,6 +19,9 @@ ORDER_SQL = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderp
 ORDERS = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderpriority string"
 
 
+WANTED_IDS = list(range(1, 1500, 7))
+
+
 def _orders(spark, folder) -> DataFrame:
     return table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
 
@@ -84,6 +87,12 @@ def src7(spark, folder):
     return listed(table(spark, folder, "orders").select("o_orderkey", "o_custkey"), wanted, "o_custkey")
 
 
+@query("src7_rows_of_id_list", f"SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN ({', '.join(map(str, WANTED_IDS))})")
+def src7_list(spark, folder):
+    """An id list as a user gives it."""
+    return X.rows_by_id(spark, table(spark, folder, "orders").select("o_orderkey", "o_custkey"), WANTED_IDS, "o_custkey")
+
+
 @query(
     "src11_partitioned_drops",
     f"""SELECT event_id, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS dt, CASE WHEN event_type = 'click' THEN {quoted(KEPT[0])} ELSE {quoted(KEPT[1])} END AS "table" FROM events WHERE event_type IN ('click', 'view') AND ts >= TIMESTAMP '2024-01-15'""",
