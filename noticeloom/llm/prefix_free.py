@@ -45,9 +45,9 @@ from noticeloom.llm.common import stored, text_of
 
 LENGTH = 50
 GRAM = 16
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 SEGMENT = 1 << 18
-BUCKET_BYTES = 64 << 20  # text per bucket of an exchange
+BUCKET_BYTES = 32 << 20  # text per bucket of an exchange
 LEAST_BUCKETS = 96
 LAST_ID = np.iinfo(np.int64).max
 OTHER, SMALLER = 1, 2  # bits of an answer: in another block's documents; in a smaller document
