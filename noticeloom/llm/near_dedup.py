@@ -5,10 +5,13 @@ the search are all pairs of a key of one collection and a key of the other: ``si
 hashes for ``4 * side`` hash functions. A key that no other set shares cannot be part of a shared pair,
 so single keys are counted first and only pairs of shared keys are formed.
 
-Sets that are equal are one class from the start. A table's members are not paired with each other: all
-are held against the member that meets most others, links are confirmed on the texts, and only tables
-that still hold several components go on to pairs across components. Links are never dropped to bound a
-group. Components come from label propagation with short cuts over tables in the shared folder.
+Sets that are equal are one class from the start. A table's members are not paired with each other: each
+is held against the table's centre, the member that meets most others, on the full sets of both texts.
+What a member lacks of its centre and what it adds are kept; members linked to the centre are one
+component. Any other member still needs its links to the rest of the centre's group: sizes of full
+intersections follow from the differences, so blocks of a group are compared as matrices in a task,
+without a row per pair and without the texts. No link of a table is dropped to bound a group.
+Components come from label propagation with short cuts over tables in the shared folder.
 
 A pair at exactly the wanted similarity of 0.8 is missed with a probability of about 2 * (1 - 0.64) ** side.
 Shingles are told apart by a 64-bit hash.
@@ -26,6 +29,7 @@ from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -36,9 +40,9 @@ from noticeloom.llm.common import stored, text_of
 WORDS = 5
 PERCENT = 80
 SIDE = 10
-AGREEING = 3  # of the 2 * side keys; a pair at the limit agrees in fewer with a probability below 1e-6
 MEMO_WORDS = 300_000
 CHUNK = 1 << 16
+BLOCK_ROWS = 1024  # members of a group in one block
 _ODD = np.random.default_rng(7).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _HASHES = np.random.default_rng(11).integers(1, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -130,19 +134,22 @@ def _similar_sizes(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs ``x, y`` that are linked, by the full sets of both texts."""
-    keys = classes.select("cid", "keys", "set_key", "id", "text_key")
+def _differences(stars: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Each star ``x, y`` on full sets: whether it is linked, and in groups of ``several`` how x differs from its centre y.
+
+    ``lacks`` has a bit for each shingle of the centre, ``adds`` the shingles of x that the centre has not.
+    """
+    named = classes.select("cid", "id", "text_key")
+    pairs = stars
     for side in "xy":
-        named = keys.select(*[F.col(c).alias(f"{c}_{side}" if c != "cid" else side) for c in keys.columns])
-        pairs = pairs.join(named, side)
-    agree = F.size(F.array_intersect("keys_x", "keys_y")) >= AGREEING
-    pairs = stored(pairs.filter(agree).drop("keys_x", "keys_y"), "near-candidates")
+        pairs = pairs.join(named.select(F.col("cid").alias(side), F.col("id").alias(f"id_{side}"), F.col("text_key").alias(f"text_key_{side}")), side)
+    pairs = stored(pairs, "near-stars")
     needed = pairs.select(F.explode(F.array(*[F.struct(F.col(f"id_{s}").alias("id"), F.col(f"text_key_{s}").alias("text_key")) for s in "xy"])).alias("r"))
     needed = stored(needed.select("r.*").distinct(), "near-needed")
-    some = stored(texts.join(needed, ["id", "text_key"], "left_semi"), "near-texts")
+    one = texts.join(needed, ["id", "text_key"], "left_semi")
+    one = stored(one.groupBy("id", "text_key").agg(F.any_value("text").alias("text")), "near-texts")  # repeated rows have one text
 
-    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, recent = Shingles(words), OrderedDict()
 
         def set_of(cid: int, text: bytes) -> np.ndarray:
@@ -155,27 +162,85 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: in
             return found
 
         for batch in batches:
-            xs, ys, tx, ty = (batch.column(i).to_pylist() for i in range(4))
-            linked = []
-            for x, y, a, b in zip(xs, ys, tx, ty):
-                sx, sy = set_of(x, a), set_of(y, b)
-                both = len(np.intersect1d(sx, sy, assume_unique=True))
-                linked.append(100 * both >= percent * (len(sx) + len(sy) - both) and len(sx) > 0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["x", "y"]).filter(pa.array(linked, pa.bool_()))
-
-    for side in "xy":  # repeated rows have the same text: one is enough
-        one = some.select(F.col("id").alias(f"id_{side}"), F.col("text_key").alias(f"text_key_{side}"), F.col("text").alias(f"text_{side}"))
-        pairs = pairs.join(one, [f"id_{side}", f"text_key_{side}"])
-    return pairs.select("x", "y", "text_x", "text_y").mapInArrow(test, "x long, y long").distinct()
-
+            xs, ys, several, tx, ty = (batch.column(i).to_pylist() for i in range(5))
+            cols = [[] for _ in range(5)]
+            for x, y, more, own, centre in zip(xs, ys, several, tx, ty):
+                sx, sy = set_of(x, own), set_of(y, centre)
+                held = np.isin(sy, sx, assume_unique=True)
+                both = int(held.sum())
+                adds = np.setdiff1d(sx, sy, assume_unique=True) if more else sx[:0]
+                linked = 100 * both >= percent * (len(sx) + len(sy) - both)
+                for c, v in zip(cols, (linked, len(sx), len(sy), np.packbits(~held).tobytes() if more else b"", adds.tobytes())):
+                    c.append(v)
+            kinds = (pa.bool_(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), batch.column(2), *(pa.array(c, k) for c, k in zip(cols, kinds))],
+                names=["x", "y", "several", "linked", "n", "n_centre", "lacks", "adds"],
+            )
 
-def _components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    for side in "xy":
+        text = one.select(F.col("id").alias(f"id_{side}"), F.col("text_key").alias(f"text_key_{side}"), F.col("text").alias(f"text_{side}"))
+        pairs = pairs.join(text, [f"id_{side}", f"text_key_{side}"])
+    schema = "x long, y long, several boolean, linked boolean, n long, n_centre long, lacks binary, adds binary"
+    return pairs.select("x", "y", "several", "text_x", "text_y").mapInArrow(differ, schema)
+
+
+def _shared_counts(some: np.ndarray, flags: np.ndarray, width: int = 2048) -> np.ndarray:
+    """For rows ``some`` against all rows: in how many columns both have a flag."""
+    total = np.zeros((len(some), len(flags)), np.float32)
+    for at in range(0, flags.shape[1], width):
+        part = flags[:, at : at + width].astype(np.float32)
+        total += part[some] @ part.T
+    return total
+
+
+def links_within(group: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links of the members of one block, or between two, that are not linked to the centre both."""
+    some = np.flatnonzero(~group["linked"].to_numpy())
+    ids, own, n = (group[c].to_numpy() for c in ("x", "own", "n"))
+    m, n_centre = len(group), int(group["n_centre"].iloc[0])
+    lacks = np.stack([np.unpackbits(np.frombuffer(b, np.uint8), count=n_centre) for b in group["lacks"]])
+    adds = [np.frombuffer(b, np.uint64) for b in group["adds"]]
+    tokens, place, seen = np.unique(np.concatenate(adds), return_inverse=True, return_counts=True)
+    column = np.where(seen > 1, np.cumsum(seen > 1) - 1, -1)[place]  # only what two members add can be common
+    row = np.repeat(np.arange(m), [len(x) for x in adds])
+    order = np.argsort(column, kind="stable")
+    column, row = column[order], row[order]
+    missing = lacks.sum(axis=1, dtype=np.int64)
+    both = n_centre - missing[some][:, None] - missing[None, :] + _shared_counts(some, lacks)
+    for at in range(0, int((seen > 1).sum()), 2048):
+        a, b = np.searchsorted(column, [at, at + 2048])
+        flags = np.zeros((m, 2048), np.uint8)
+        flags[row[a:b], column[a:b] - at] = 1
+        both += _shared_counts(some, flags)
+    linked = 100 * both >= percent * (n[some][:, None] + n[None, :] - both)
+    linked &= ids[some][:, None] != ids[None, :]
+    if len(np.unique(own)) > 1:
+        linked &= own[some][:, None] != own[None, :]
+    x, y = np.nonzero(linked)
+    return pd.DataFrame({"x": ids[some[x]], "y": ids[y]})
+
+
+def _rest(different: DataFrame, percent: int) -> DataFrame:
+    """Links between members of a centre's group of which one at least is not linked to the centre."""
+    groups = different.filter("several").groupBy("y").agg(F.count("*").alias("members"), F.count(F.when(~F.col("linked"), 1)).alias("loose"))
+    groups = stored(groups.filter("loose > 0 and members > 1").select("y", F.ceil(F.col("members") / BLOCK_ROWS).alias("blocks")), "near-groups")
+    own = different.filter("several").join(groups, "y").withColumn("own", F.pmod(F.xxhash64("x"), F.col("blocks")))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    dealt = own.withColumn("other", other).withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+
+    def links(group: pd.DataFrame) -> pd.DataFrame:
+        return links_within(group, percent)
+
+    kept = dealt.select("y", "low", "high", "own", "x", "linked", "n", "n_centre", "lacks", "adds")
+    return kept.groupBy("y", "low", "high").applyInPandas(links, "x long, y long").distinct()
+
+
+def _components(links: DataFrame) -> DataFrame:
     """``cid, comp`` of all classes that a link touches; ``comp`` is the smallest class reachable.
 
     Labels move along links and jump to their label's label, so long chains fold up in a few turns.
     """
-    if known is not None:  # a component found before is a star around its label
-        links = links.unionByName(known.filter("cid <> comp").select(F.col("cid").alias("x"), F.col("comp").alias("y")))
     edges = stored(links.select("x", "y").unionByName(links.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct(), "near-edges")
     labels = stored(edges.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("comp")).withColumnRenamed("x", "cid"), "near-labels")
     while True:
@@ -205,19 +270,13 @@ def components(
     ranked = stored(members.join(met, "cid"), "near-ranked")
     centre = F.max(F.struct("met", (-F.col("cid")).alias("no"), "n"))
     centres = stored(ranked.groupBy("key").agg(centre.alias("c")).select("key", (-F.col("c.no")).alias("y"), F.col("c.n").alias("n_y")), "near-centres")
-    star = ranked.join(centres, "key").filter((F.col("cid") != F.col("y")) & _similar_sizes(F.col("n"), F.col("n_y"), percent))
-    tested = stored(star.select(F.least("cid", "y").alias("x"), F.greatest("cid", "y").alias("y")).distinct(), "near-stars")
-    links = stored(_confirmed(tested, classes, texts, words, percent), "near-links")
-    labels = _components(links)
-
-    placed = stored(members.join(labels, "cid", "left").select("cid", "n", "key", F.coalesce("comp", "cid").alias("comp")), "near-placed")
-    mixed = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("key")
-    rest = stored(placed.join(mixed, "key", "left_semi"), "near-rest")
-    other = rest.select("key", F.col("cid").alias("y"), F.col("n").alias("n_y"), F.col("comp").alias("comp_y"))
-    across = rest.join(other, "key").filter((F.col("cid") < F.col("y")) & (F.col("comp") != F.col("comp_y")) & _similar_sizes(F.col("n"), F.col("n_y"), percent))
-    pairs = across.select(F.col("cid").alias("x"), "y").distinct().join(tested, ["x", "y"], "left_anti")
-    more = stored(_confirmed(pairs, classes, texts, words, percent), "near-more")
-    labels = _components(more, labels)
+    star = ranked.join(centres, "key").filter(F.col("cid") != F.col("y"))
+    star = stored(star.select(F.col("cid").alias("x"), "y", _similar_sizes(F.col("n"), F.col("n_y"), percent).alias("alike")).distinct(), "near-star")
+    groups = star.groupBy("y").agg((F.count("*") > 1).alias("several"))
+    star = star.join(groups, "y").filter(F.col("several") | F.col("alike")).drop("alike")
+    different = stored(_differences(star, classes, texts, words, percent), "near-differences")
+    links = different.filter("linked").select("x", "y").unionByName(_rest(different, percent))
+    labels = _components(stored(links, "near-links"))
 
     found = classes.select("set_key", "cid", "id").join(labels, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     smallest = found.groupBy("comp").agg(F.min("id").alias("component_id"))
