@@ -53,7 +53,7 @@ LAST_ID = np.iinfo(np.int64).max
 OTHER, SMALLER = 1, 2  # bits of an answer: in another block's documents; in a smaller document
 _BASE = 0x9E3779B97F4A7C15
 PACK, UNPACK = zstandard.ZstdCompressor(3), zstandard.ZstdDecompressor()
-_TAGS = {name: np.uint64(i) for i, name in enumerate(("trigger", "left", "right", "phrase", "window"), 1)}
+_TAGS = {name: np.uint64(i) for i, name in enumerate(("trigger", "left", "right", "phrase", "window", "key"), 1)}
 
 
 def _mixed(x: np.ndarray, tag: str) -> np.ndarray:
@@ -110,7 +110,7 @@ class Parse:
         kept = np.r_[start[1:] != start[:-1], True]
         self.first, self.trigger = start[kept], places[kept]
         self.last = np.r_[self.first[1:] - 1, len(low) - 1]
-        self.key = grams[self.trigger]
+        self.key = _mixed(grams[self.trigger], "key")  # triggers have small hashes; their keys go to all buckets alike
         self.doc = np.zeros(len(self.first), np.int64)
 
     def within(self, at: int, starts: np.ndarray, ends: np.ndarray) -> Parse:
