@@ -19,11 +19,13 @@ an empty table gives an empty result. Only the id and text columns are read.
 from __future__ import annotations
 
 import bisect
+import os
 import re
 import struct
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,7 @@ from noticeloom.llm.common import stored
 
 BUDGET = 4096
 END = 1
-MEMO_WORDS = 1_000_000  # words a task remembers; the memory is emptied beyond it
+MEMO_WORDS = 400_000  # words a worker remembers; the memory is emptied beyond it
 _SIMPLE = re.compile("[a-zß-öø-ÿ]+")  # lower-case letters no normalisation changes
 _POINTS = frozenset(b".,;:!?")
 
@@ -53,6 +55,7 @@ class WordTokens:
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; a pool of threads only costs memory
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
@@ -95,12 +98,18 @@ class WordTokens:
         return out
 
 
+@lru_cache(maxsize=1)
+def word_tokens(path: str) -> WordTokens:
+    """One per worker process, kept for its next tasks."""
+    return WordTokens(path)
+
+
 def tokenised(df: DataFrame, path: str, id_col: str, text_col: str, budget: int, with_ids: bool) -> DataFrame:
     """Pieces with ``block, nth``: the writing task and the place among its pieces of that length."""
     id_type = df.schema[id_col].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokens(path)
+        words = word_tokens(path)
         seen: dict[int, int] = defaultdict(int)
         block = TaskContext.get().partitionId()
         end = ids_bytes([END])
@@ -234,7 +243,8 @@ def pack(
     totals = {r["length"]: r["n"] for r in by_block.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `budget` rows
     before = Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = by_block.select("block", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
-    ranked = pieces.join(offsets, ["block", "length"]).withColumn("rank", F.col("earlier") + F.col("nth"))
+    # Never broadcast: there is a row per block and length, so the table grows with the input.
+    ranked = pieces.join(offsets.hint("merge"), ["block", "length"]).withColumn("rank", F.col("earlier") + F.col("nth"))
     table = df.sparkSession.sparkContext.broadcast(places(plan(totals, budget)))  # bounded by the budget, not the rows
 
     @F.pandas_udf("sequence_id long, offset long")
