@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from noticeloom.functions.arrays import bind
 from noticeloom.llm.common import stored
 
 # How each type of entity is written.
@@ -60,35 +61,40 @@ def _number(hash_: Column, i: Column) -> Column:
 def _chars(value: Column, hash_: Column) -> Column:
     """Each letter and digit replaced by one of its script, case and kind; other characters stay."""
 
-    def pick(first: int, many: int, i: Column) -> Column:
-        return F.decode(F.unhex(F.lpad(F.hex(F.lit(first) + _number(hash_, i) % many), 8, "0")), "UTF-32")
-
-    def one(c: Column, i: Column) -> Column:
-        return (
-            F.when(c.rlike("[0-9]"), pick(ord("0"), 10, i))
-            .when(c.rlike(r"[\p{IsLatin}&&\p{Ll}]"), pick(ord("a"), 26, i))
-            .when(c.rlike(r"[\p{IsLatin}&&\p{Lu}]"), pick(ord("A"), 26, i))
-            .when(c.rlike(r"[\p{IsCyrillic}&&\p{Ll}]"), pick(ord("а"), 32, i))
-            .when(c.rlike(r"[\p{IsCyrillic}&&\p{Lu}]"), pick(ord("А"), 32, i))
-            .when(c.rlike(r"[\p{IsGreek}&&\p{Ll}]"), pick(ord("σ"), 7, i))
-            .when(c.rlike(r"[\p{IsGreek}&&\p{Lu}]"), pick(ord("Σ"), 7, i))
-            .when(c.rlike(r"\p{IsHan}"), pick(0x4E00, 256, i))
-            .otherwise(c)
+    def drawn(h: Column) -> Column:
+        def one(c: Column, i: Column) -> Column:
+            return bind(_number(h, i), lambda n: replaced(c, n))
+
+        return F.array_join(F.transform(F.split(value, "", -1), one), "")
+
+    def replaced(c: Column, n: Column) -> Column:
+        kinds = (
+            ("[0-9]", "0", 10), (r"[\p{IsLatin}&&\p{Ll}]", "a", 26), (r"[\p{IsLatin}&&\p{Lu}]", "A", 26),
+            (r"[\p{IsCyrillic}&&\p{Ll}]", "а", 32), (r"[\p{IsCyrillic}&&\p{Lu}]", "А", 32),
+            (r"[\p{IsGreek}&&\p{Ll}]", "σ", 7), (r"[\p{IsGreek}&&\p{Lu}]", "Σ", 7), (r"\p{IsHan}", "一", 256),
         )
+        code = F.lit(None).cast("int")
+        for pattern, first, many in reversed(kinds):
+            code = F.when(c.rlike(pattern), F.lit(ord(first)) + n % many).otherwise(code)
+        char = bind(code, lambda x: F.decode(F.unhex(F.lpad(F.hex(x), 8, "0")), "UTF-32"))
+        return F.coalesce(char, c)
 
-    return F.array_join(F.transform(F.split(value, "", -1), one), "")
+    return bind(hash_, drawn)
 
 
 def _checked(digits: Column) -> Column:
     """The last digit set so that the number passes the check of card numbers."""
-    body = F.substr(digits, F.lit(1), F.length(digits) - 1)
 
-    def weighed(d: Column, i: Column) -> Column:
-        n = d.cast("int") * F.when((F.length(body) - i) % 2 == 1, 2).otherwise(1)
-        return F.when(n > 9, n - 9).otherwise(n)
+    def closed(body: Column) -> Column:
+        def weighed(d: Column, i: Column) -> Column:
+            doubled = (F.length(body) - i) % 2 == 1
+            return bind(d.cast("int") * F.when(doubled, 2).otherwise(1), lambda n: F.when(n > 9, n - 9).otherwise(n))
+
+        each = F.transform(F.filter(F.split(body, "", -1), lambda d: d != ""), weighed)
+        total = F.aggregate(each, F.lit(0), lambda a, n: a + n)
+        return F.concat(body, ((10 - total % 10) % 10).cast("string"))
 
-    total = F.aggregate(F.transform(F.filter(F.split(body, "", -1), lambda d: d != ""), weighed), F.lit(0), lambda a, n: a + n)
-    return F.concat(body, ((10 - total % 10) % 10).cast("string"))
+    return bind(bind(digits, lambda d: F.substr(d, F.lit(1), F.length(d) - 1)), closed)
 
 
 def surrogate(kind: Column, plain: Column, attempt: Column, key: str) -> Column:
@@ -103,15 +109,14 @@ def surrogate(kind: Column, plain: Column, attempt: Column, key: str) -> Column:
     # Addresses of one domain stay together; a new attempt draws the local part only.
     place = F.sha2(F.concat_ws("\u001f", F.lit(key), F.lit("domain"), host), 512)
     email = F.concat(_chars(F.substring_index(plain, "@", 1), own), F.lit("@"), _chars(host, place), F.regexp_extract(domain, r"\.[a-z]+$", 0))
-    card = F.concat(F.substring(plain, 1, 1), F.substr(_checked(_chars(plain, own)), F.lit(2)))
-    card = _checked(card)
-    ipv4 = F.concat_ws(".", F.lit("10"), *[_number(own, F.lit(i)).cast("string") for i in range(3)])
+    card = _checked(F.concat(F.substring(plain, 1, 1), F.substr(_chars(plain, own), F.lit(2))))
+    ipv4 = bind(own, lambda h: F.concat_ws(".", F.lit("10"), *[_number(h, F.lit(i)).cast("string") for i in range(3)]))
     phone = F.concat(F.substring(plain, 1, 2), F.substr(_chars(plain, own), F.lit(3)))
     gender, name = F.substring_index(plain, "/", 1), F.substr(plain, F.instr(plain, "/") + 1)
-    drawn = _chars(name, own)
     latin = name.rlike(r"^[\p{IsLatin}' -]+$") & (F.length(name) > 2)
     ending = F.element_at(F.create_map(*[F.lit(x) for pair in ENDINGS.items() for x in pair]), gender)
-    named = F.concat(gender, F.lit("/"), F.when(latin, F.concat(F.substr(drawn, F.lit(1), F.length(drawn) - 1), ending)).otherwise(drawn))
+    ended = bind(_chars(name, own), lambda d: F.when(latin, F.concat(F.substr(d, F.lit(1), F.length(d) - 1), ending)).otherwise(d))
+    named = F.concat(gender, F.lit("/"), ended)
     return F.when(kind == "email", email).when(kind == "card", card).when(kind == "ipv4", ipv4).when(kind == "phone", phone).otherwise(named)
 
 
