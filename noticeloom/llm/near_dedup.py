@@ -121,13 +121,13 @@ def _tables(classes: DataFrame) -> DataFrame:
     """``cid, n, key`` of the tables' shared keys, from single keys that more than one class has."""
     single = classes.select("cid", F.explode("keys").alias("key"))
     shared = single.groupBy("key").agg(F.count("*").alias("k")).filter("k > 1").select("key")
-    own = single.join(stored(shared, "near-shared"), "key", "left_semi").groupBy("cid").agg(F.collect_set("key").alias("shared"))
+    own = single.join(stored(shared, "near-shared").hint("merge"), "key", "left_semi").groupBy("cid").agg(F.collect_set("key").alias("shared"))
     half = F.size("keys") / 2
     first, second = (F.array_intersect(F.slice("keys", start, half.cast("int")), "shared") for start in (F.lit(1), (half + 1).cast("int")))
     keys = F.flatten(F.transform(first, lambda x: F.transform(second, lambda y: F.xxhash64(x, y))))
     pairs = stored(classes.join(own, "cid").select("cid", "n", F.explode(keys).alias("key")), "near-pairs")
     several = pairs.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
-    return stored(pairs.join(stored(several, "near-several"), "key"), "near-tables")
+    return stored(pairs.join(stored(several, "near-several").hint("merge"), "key"), "near-tables")
 
 
 def _similar_sizes(a: Column, b: Column, percent: int) -> Column:
@@ -146,7 +146,8 @@ def _differences(stars: DataFrame, classes: DataFrame, texts: DataFrame, words:
     pairs = stored(pairs, "near-stars")
     needed = pairs.select(F.explode(F.array(*[F.struct(F.col(f"id_{s}").alias("id"), F.col(f"text_key_{s}").alias("text_key")) for s in "xy"])).alias("r"))
     needed = stored(needed.select("r.*").distinct(), "near-needed")
-    one = texts.join(needed, ["id", "text_key"], "left_semi")
+    # What is needed grows with the input, so it is never broadcast, however small it is.
+    one = texts.join(needed.hint("merge"), ["id", "text_key"], "left_semi")
     one = stored(one.groupBy("id", "text_key").agg(F.any_value("text").alias("text")), "near-texts")  # repeated rows have one text
 
     def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,7 +181,7 @@ def _differences(stars: DataFrame, classes: DataFrame, texts: DataFrame, words:
 
     for side in "xy":
         text = one.select(F.col("id").alias(f"id_{side}"), F.col("text_key").alias(f"text_key_{side}"), F.col("text").alias(f"text_{side}"))
-        pairs = pairs.join(text, [f"id_{side}", f"text_key_{side}"])
+        pairs = pairs.join(text.hint("merge"), [f"id_{side}", f"text_key_{side}"])
     schema = "x long, y long, several boolean, linked boolean, n long, n_centre long, lacks binary, adds binary"
     return pairs.select("x", "y", "several", "text_x", "text_y").mapInArrow(differ, schema)
 
