@@ -1,6 +1,7 @@
 """Secrets in texts: candidates by pattern, false positives removed by a random forest. DataFrame functions only.
 
-A candidate is a long run of letters, digits and the signs of encoded keys. The forest sees its length,
+A candidate is a long run of letters, digits and the signs of encoded keys. The word before it is read from
+the text in front, of any length, and may be a candidate itself. The forest sees its length,
 the transitions between its characters, how much of it dictionary words cover, the path of its document
 and the words beside it. It is trained on labelled findings; in the query these come from the formats
 whose issuers fix them (positive) and from plain words and numbers (negative), at most ``SAMPLE_ROWS`` of
@@ -23,12 +24,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from noticeloom.functions.arrays import bind
 from noticeloom.llm.common import stored, text_of
 
-TOKEN = r"[A-Za-z0-9+/_-]{16,}+={0,2}"
-#: A word and what joins it to the candidate, if anything, the candidate, and a closing quote.
-FOUND = r"(?:[^\s\"'=:]{1,24}(?:\s?[=:]\s?[\"']?|\s))?(?<![A-Za-z0-9+/_-])" + TOKEN + r"[\"']?"
-BEFORE = r"^([^\s\"'=:]{1,24})(?:\s?[=:]\s?[\"']?|\s)(?=" + TOKEN + r"[\"']?$)"
+TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:={1,2}(?![\"']?[A-Za-z0-9+/_=-]))?"
+#: The word that ends the text in front of a candidate, of any length, and what joins the two.
+BEFORE = r"(?<![^\s\"'=:])([^\s\"'=:]++)(\s?[=:]\s?[\"']?|\s)\z"
 # Formats that the issuers of keys publish, and words that name secrets.
 ISSUED = r"^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[baprs]-[A-Za-z0-9-]{20,}|sk_live_[A-Za-z0-9]{24,})$"
 NAMING = r"(?i)(?:password|passwd|pwd|secret|token|api_?key|access_?key|credential)"
@@ -40,15 +41,22 @@ FEATURES = ["length", "digits", "uppers", "signs", "kinds", "vowels", "turns", "
 
 
 def candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
-    """``id, nth, before, joined, quoted, value, path`` of each candidate."""
+    """``id, nth, before, joined, quoted, value, path`` of each candidate; a candidate may be the word before the next."""
     path = F.col(path_col) if path_col else F.lit(None)
-    found = df.select(F.col(id_col).alias("id"), path.cast("string").alias("path"), F.posexplode(F.regexp_extract_all(text_of(text_col), F.lit(FOUND), 0)).alias("nth", "match"))
-    before = F.regexp_extract("match", BEFORE, 1)
-    rest = F.regexp_replace("match", BEFORE, "")
-    return found.select(
-        "id", "nth", "path", before.alias("before"), F.col("match").rlike(r"^[^\s\"'=:]{1,24}\s?[=:]").alias("joined"),
-        F.col("match").rlike(r"[\"']$").alias("quoted"), F.regexp_replace(rest, r"[\"']$", "").alias("value"),
-    )
+
+    def each(tokens: Column, pieces: Column) -> Column:
+        def one(token: Column, i: Column) -> Column:
+            front = F.concat(F.coalesce(F.get(pieces, i - 1), F.lit("")), F.coalesce(F.get(tokens, i - 1), F.lit("")), F.get(pieces, i))
+            words = bind(front, lambda x: F.struct(F.regexp_extract(x, BEFORE, 1).alias("before"), F.regexp_extract(x, BEFORE, 2).rlike("[=:]").alias("joined")))
+            return F.struct(words.alias("words"), F.get(pieces, i + 1).rlike(r"^[\"']").alias("quoted"), token.alias("value"))
+
+        return F.transform(tokens, one)
+
+    def found_in(text: Column) -> Column:
+        return bind(F.regexp_extract_all(text, F.lit(TOKEN), 0), lambda tokens: bind(F.split(text, TOKEN, -1), lambda pieces: each(tokens, pieces)))
+
+    found = df.select(F.col(id_col).alias("id"), path.cast("string").alias("path"), F.posexplode(found_in(text_of(text_col))).alias("nth", "hit"))
+    return found.select("id", "nth", "path", "hit.words.before", "hit.words.joined", "hit.quoted", "hit.value")
 
 
 def dictionary(df: DataFrame, text_col: str = "text", words: int = DICTIONARY_WORDS) -> list[str]:

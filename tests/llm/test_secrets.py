@@ -61,3 +61,19 @@ def test_candidates_and_neighbours(spark):
 def test_nothing_to_learn_from(spark):
     assert K.scan(documents(spark, [])).count() == 0
     assert K.scan(documents(spark, [(1, "plain words only", "en", "a"), (None, None, None, None)])).count() == 0
+
+
+def test_every_candidate_is_found_beside_others(spark):
+    """Candidates in a row are all found, each with the word before it, however long that is."""
+    keys = ["AKIA" + c * 16 for c in "ABCDEF"]
+    name = "SPRING_DATASOURCE_PASSWORD"
+    texts = ["\n".join(keys), keys[0] + " " + "wJalr" * 8, keys[0] + ":" + "wJalr" * 8, name + "=" + "0a1b" * 8, name + "='" + "0a1b" * 8 + "'", "x " + "QUJD" * 5 + "== y"]
+    got = [tuple(r) for r in K.candidates(documents(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])).orderBy("id", "nth").select("id", "before", "joined", "quoted", "value").collect()]
+    assert [r[4] for r in got if r[0] == 0] == keys and [r[1] for r in got if r[0] == 0] == ["", *keys[:-1]]
+    assert got[6:] == [
+        (1, "", False, False, keys[0]), (1, keys[0], False, False, "wJalr" * 8),
+        (2, "", False, False, keys[0]), (2, keys[0], True, False, "wJalr" * 8),
+        (3, "", False, False, name), (3, name, True, False, "0a1b" * 8),
+        (4, "", False, False, name), (4, name, True, True, "0a1b" * 8),
+        (5, "x", False, False, "QUJD" * 5 + "=="),
+    ]
