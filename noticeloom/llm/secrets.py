@@ -11,8 +11,9 @@ The dictionary is the ``DICTIONARY_WORDS`` words of three letters or more that m
 over all documents.
 
 Defined results: null and empty texts have no candidates; repeated rows give repeated findings; a null id
-or path is carried; a corpus without candidates, or with one label only, gives no findings; texts may be
-of any length; other columns are not read.
+or path is carried; a corpus without candidates gives no findings; where both labels do not occur there is
+no forest, so nothing is removed and all candidates are findings with a null score; texts may be of any
+length; other columns are not read.
 """
 
 from __future__ import annotations
@@ -123,12 +124,13 @@ def scan(
     """Findings the forest takes for secrets: ``id_col, nth, value, before, score``; ``nth`` counts a text's candidates.
 
     ``marked`` may bring labelled findings of one's own, shaped like :func:`candidates` with a ``label``.
+    With one label only, or none, there is no forest: all candidates are returned, with a null score.
     """
     words = dictionary(df, text_col)
     found = stored(with_features(candidates(df, id_col, text_col, path_col), words), "secrets-candidates")
     model = train(labelled(found) if marked is None else with_features(marked, words), sample_rows)
     if model is None:
-        scored = found.withColumn("score", F.lit(0.0)).filter("false")
+        scored = found.withColumn("score", F.lit(None).cast("double"))
     else:
         scored = model.transform(found).withColumn("score", F.get(vector_to_array("probability"), 1)).filter(F.col("score") >= threshold)
     return scored.select(F.col("id").alias(id_col), F.col("nth").cast("long").alias("nth"), "value", "before", "score")

@@ -77,3 +77,12 @@ def test_every_candidate_is_found_beside_others(spark):
         (4, "", False, False, name), (4, name, True, True, "0a1b" * 8),
         (5, "x", False, False, "QUJD" * 5 + "=="),
     ]
+
+
+def test_without_a_forest_nothing_is_removed(spark):
+    """Secrets that fit no rule for labels, or issued keys alone, are returned unscored."""
+    unlabelled = [(1, 'api_key="QUJDREVGR0hJSktMTU5PUA=="', "en", "a"), (2, "secret: 0A1B2C3D4E5F60718293", "en", "a")]
+    issued = [(1, "AKIA" + "Q" * 16, "en", "a"), (2, "AKIA" + "Z" * 16 + " here", "en", "a")]
+    for data, values in ((unlabelled, ["QUJDREVGR0hJSktMTU5PUA==", "0A1B2C3D4E5F60718293"]), (issued, ["AKIA" + "Q" * 16, "AKIA" + "Z" * 16])):
+        got = K.scan(documents(spark, data)).orderBy("doc_id").collect()
+        assert [(r["doc_id"], r["value"], r["score"]) for r in got] == [(1, values[0], None), (2, values[1], None)]
