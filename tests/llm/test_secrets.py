@@ -86,3 +86,29 @@ def test_without_a_forest_nothing_is_removed(spark):
     for data, values in ((unlabelled, ["QUJDREVGR0hJSktMTU5PUA==", "0A1B2C3D4E5F60718293"]), (issued, ["AKIA" + "Q" * 16, "AKIA" + "Z" * 16])):
         got = K.scan(documents(spark, data)).orderBy("doc_id").collect()
         assert [(r["doc_id"], r["value"], r["score"]) for r in got] == [(1, values[0], None), (2, values[1], None)]
+
+
+def test_named_values_of_any_form_are_found(spark):
+    """Short values and values with other signs behind a naming word, quoted or joined, beside what else the texts hold."""
+    data, _ = corpus(3, 200)
+    named = [
+        ('password="hunter2!" x', "hunter2!"), ("db_pwd: S3cr#t;", "S3cr#t"), ('{"api_key": "k$9 x%2"}', "k$9 x%2"), ("secret 'a1!b2?'", "a1!b2?"),
+        ("password=token=q7!z", "token=q7!z"), ("X_TOKEN => 'p@55'", "p@55"),
+    ]
+    docs = documents(spark, data + [(1000 + i, t, "en", "a") for i, (t, _) in enumerate(named)])
+    got = {(r["id"], r["value"]) for r in K.candidates(docs).filter("id >= 1000").collect()}
+    assert got == {(1000 + i, v) for i, (_, v) in enumerate(named)} | {(1004, "q7!z")}
+    assert K.candidates(documents(spark, [(1, 'password="" user="x" the password is long', "en", "a")])).count() == 0
+    scanned = {(r["doc_id"], r["value"]) for r in K.scan(docs).collect()}
+    assert (1000, "hunter2!") in scanned and (1001, "S3cr#t") in scanned
+
+
+def test_dictionary_holds_all_words(spark):
+    """Words beyond the most frequent count, fragments of keys do not; compounds of them are covered."""
+    letters = "abcdefghijklmnopqrst"
+    many = [f"{a}{b}{c}wort" for a in letters for b in letters for c in "xy"]
+    docs = documents(spark, [(i, " ".join(many) + " 12fab34 q" + ("" if i else " single"), "en", "a") for i in range(2)])
+    words = K.dictionary(docs)
+    assert sorted(r["word"] for r in words.collect()) == sorted(many)
+    found = K.candidates(documents(spark, [(1, "ttywortaaxwort_12", "en", "a"), (2, "0123456789012345", "en", "a")]))
+    assert [r["covered"] for r in K.with_features(found, words).orderBy("id").collect()] == [14 / 17, 0.0]
