@@ -10,6 +10,11 @@ two share one, or one is somebody's real value, all but one draw again until non
 Distinct entities are combined before each shuffle, so one that fills a third of all texts is one row
 per task. Only texts that hold an entity are shuffled, by their digest; the others pass as they are read.
 
+Looked for are the forms of ``TYPES`` and nothing else: names behind a listed title; phone numbers with + or in
+the national forms of ``PHONE``, not numbers of under nine digits or without any separator; cards of 13 to 19 digits
+in a row, of 4-4-4-4 or 4-6-5. Names without a title, street addresses, dates of birth, account, tax and passport
+numbers, IPv6 and user names are not looked for and stay.
+
 Defined results: a null text stays null and an empty one empty; repeated rows and null ids are treated
 alike, for a row's replacement depends on its text and the entities of the corpus; texts may be of any
 length; an empty table gives an empty result; other columns pass whatever their names.
@@ -25,9 +30,14 @@ from noticeloom.llm.common import stored
 
 # How each type of entity is written.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)++[A-Za-z]{2,}"
-CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3})(?![0-9])"
+CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"
 IPV4 = r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?![0-9]|\.[0-9])"
-PHONE = r"(?<![0-9+])\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,4}\)?){2,4}(?![0-9])"
+# International numbers; national ones with an area code in brackets, of 3-3-4 digits, of five pairs, or a trunk zero and one group.
+PHONE = (
+    r"(?:(?<![0-9+])\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,4}\)?){2,4}(?![0-9])"
+    r"|(?<![\p{L}0-9+])(?<![0-9][.-])(?:(?:1[ .-]?)?\([0-9]{3,5}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}|(?:1[ .-])?[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}"
+    r"|0[1-9](?:[ .-][0-9]{2}){4}|0[0-9]{2,4}[ /-][0-9]{6,8})(?![0-9]|[.-][0-9]))"
+)
 MALE = r"(?:Mr|Herr|Monsieur|Señor|Г-н)\.? "
 FEMALE = r"(?:Mrs|Ms|Miss|Frau|Madame|Señora|Г-жа)\.? "
 NAME = r"(?<![\p{L}\p{N}])(?:" + MALE + "|" + FEMALE + r"|Dr\.? )\p{Lu}[\p{L}'-]+(?: \p{Lu}[\p{L}'-]+)?"

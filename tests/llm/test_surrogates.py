@@ -71,3 +71,17 @@ def test_whole_tables(spark):
     assert S.replace_entities(documents(spark, []), "k").count() == 0
     long = "word " * 200000 + "a@b.example.com" + " word" * 1000
     assert len(run(spark, [long])[0][0]) == len(long)
+
+
+def test_national_numbers_and_4_6_5_cards(spark):
+    phones = ["(017) 555-7713", "555-123-4567", "1-555-123-4568", "(030) 5551 234", "01 23 45 67 89", "0171 5551234"]
+    cards = ["3782 822463 10005", "3782-822463-10005"]
+    no = "on 2024-01-02 or 12.03.2024, 978-555-123-45678, 555-1234, 5551234567, 1.555.123.4567.8"
+    got = run(spark, [f"call {p}, now" for p in phones] + [f"card {c}; paid" for c in cards] + [no])
+    for i, value in enumerate(phones + cards):
+        new, n = got[i]
+        shape = "".join(r"\d" if c.isdigit() else re.escape(c) for c in value)
+        assert n == 1 and value not in new and re.fullmatch(rf"call {shape}, now|card {shape}; paid", new)
+    one, other = (re.sub(r"\D", "", got[len(phones) + i][0]) for i in range(2))
+    assert one == other and one[0] == "3" and luhn(one)
+    assert got[len(phones) + 2] == (no, 0)
