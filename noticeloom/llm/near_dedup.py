@@ -17,8 +17,10 @@ A pair at exactly the wanted similarity of 0.8 is missed with a probability of a
 Shingles are told apart by a 64-bit hash.
 
 Defined results: a text without words, or null, is an empty set, linked with nothing; a text of fewer
-words than a shingle is one shingle; rows with a null id are linked with nothing, have a null component
-and are kept; rows that repeat an id and a text are one document and are kept or dropped together; an
+words than a shingle is one shingle; in :func:`components` rows with a null id are linked with nothing, have
+a null component and are kept, as in the SQL, and a component is named by its smallest id; :func:`near_dedup`
+tells documents apart by id and text and rows without an id by their row, links them all and keeps one
+document of each component; rows that repeat an id and a text are one document and are kept or dropped together; an
 empty table gives an empty result; other columns are untouched whatever their names.
 """
 
@@ -35,8 +37,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noticeloom.llm.common import stored, text_of
+from noticeloom.llm.common import ROW, stored, text_of, with_rows
 
+NUMBER = "__llm_number"
 WORDS = 5
 PERCENT = 80
 SIDE = 10
@@ -287,8 +290,19 @@ def components(
     return out.select("id", "text_key", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
 
 
+def _numbered(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``df`` with a number per document: of its id and text, or of its row where the id is null."""
+    named = df.filter(F.col(id_col).isNotNull()).withColumn(NUMBER, F.xxhash64(F.col(id_col).cast("long"), text_key(text_col)))
+    unnamed = with_rows(df.filter(F.col(id_col).isNull()), "near-unnamed")
+    return named.unionByName(unnamed.withColumn(NUMBER, F.xxhash64(F.lit("unnamed"), ROW)).drop(ROW))
+
+
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``df`` that stay: one document of each component, and rows without an id."""
-    found = components(df, id_col, text_col, **options).filter(~F.col("kept")).select(F.col("id").alias("__llm_id"), F.col("text_key").alias("__llm_key"))
-    same = (F.col(id_col).cast("long") == F.col("__llm_id")) & (text_key(text_col) == F.col("__llm_key"))
-    return df.join(found, same, "left_anti").select(df.columns)
+    """The rows of ``df`` that stay: one document of each component, the one with the smallest id; a null id comes last."""
+    numbered = _numbered(df, id_col, text_col)
+    ids = numbered.select(F.col(NUMBER).alias("no"), F.col(id_col).cast("long").alias("own")).distinct()
+    found = components(numbered, NUMBER, text_col, **options).select(F.col("id").alias("no"), F.col("component_id").alias("component")).distinct()
+    members = stored(found.join(ids, "no"), "near-members")
+    first = members.groupBy("component").agg(F.min(F.struct(F.col("own").isNull().alias("last"), "own", "no")).alias("first"))
+    dropped = members.join(first.select(F.col("first.no").alias("no")), "no", "left_anti").select(F.col("no").alias("__llm_no"))
+    return numbered.join(dropped, F.col(NUMBER) == F.col("__llm_no"), "left_anti").select(df.columns)

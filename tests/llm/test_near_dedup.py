@@ -92,3 +92,14 @@ def test_sets_have_no_collisions_and_keys_are_few():
     keys = N.collections([found, found[:10], found[:10]], N.SIDE)
     assert keys.shape == (3, 2 * N.SIDE) and np.array_equal(keys[1], keys[2])
     assert prose(random.Random(1), "en", 3)
+
+
+def test_null_and_repeated_ids_keep_one_document(spark):
+    """Near copies among rows without an id, and two near copies under one id, leave one row each."""
+    rng = random.Random(5)
+    one, two, three = (" ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(80)) for _ in range(3))
+    data = [(None, one, "en", "a"), (None, one + " end", "en", "a"), (None, one, "en", "a"), (7, two, "en", "a"), (7, two + " end", "en", "a")]
+    data += [(None, three, "en", "a"), (9, three + " end", "en", "a"), (8, three + " last", "en", "a"), (None, "", "en", "a"), (None, None, "en", "a")]
+    left = [(r["doc_id"], r["text"]) for r in N.near_dedup(documents(spark, data)).collect()]
+    assert len(left) == 5 and (8, three + " last") in left and (None, "") in left and (None, None) in left
+    assert sum(i == 7 for i, _ in left) == 1 and sum(i is None and (t or "").startswith(one) for i, t in left) == 1
