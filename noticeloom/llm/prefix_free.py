@@ -2,14 +2,15 @@
 
 Rolling hashes choose triggers: the smallest 16-byte hash of each window of ``length`` bytes. Equal
 windows have equal triggers, so a repeat never falls between phrases. A phrase is all the text whose
-windows share a trigger, and the parse of a document is its list of phrases. Only dictionary entries
-need their suffixes in order: a phrase that came before stands for all its windows at once. So the
-corpus is settled in three rounds, each over far fewer entries than the one before:
+windows share a trigger, and the parse of a document is its list of phrases. Neither the suffix array of
+the dictionary nor that of the parse is built and nothing is combined into corpus order; groups of equal
+hashes stand in for both, for only equality is asked for and a phrase that came before stands for all its
+windows at once. So the corpus is settled in three rounds, each over far fewer entries than the one before:
 
 1. triggers: a window whose trigger no other document has is not repeated;
 2. phrases with a shared trigger, and the 33-byte strings to either side of it, one of which any
    repeated window holds: a phrase that a smaller document has is covered whole;
-3. suffixes: the windows of the phrases that are left, each by its first ``length`` bytes.
+3. windows: those of the phrases that are left, each by the hash of its first ``length`` bytes.
 
 A round is one exchange: each block of documents sends its distinct entries, sorted, in one row per
 bucket of hashes, and gets two bits per entry back. An entry in a third of all documents is one number
