@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeloom.llm import exact_dedup, language_id, mixing, near_dedup, packing, prefix_free, secrets, surrogates, top_k, url_filter
+from noticeloom.llm import (
+    exact_dedup, language_id, mixing, near_dedup, packing, prefix_free, secrets, source_audit, surrogates, top_k, url_filter,
+)
 
 SURROGATE_KEY = "surrogates of the query"  # a job of one's own brings a key of its own
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +159,38 @@ FROM h LEFT JOIN k USING (doc_id)""",
 )
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_free.remove_repeats(table(spark, folder, "documents"))
+
+
+def _audit_sql() -> str:
+    az = f"'{source_audit.UPPER}', '{source_audit.LOWER}'"
+    return rf"""WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), {az}), '{source_audit.TERM}') AS ts FROM documents),
+t AS MATERIALIZED (SELECT row, lang, source, unnest(ts) AS term FROM d),
+kept AS MATERIALIZED (SELECT lang, term, CAST(count(*) AS HUGEINT) AS n FROM t GROUP BY 1, 2 HAVING count(DISTINCT row) >= 10),
+l AS (SELECT lang, count(*) AS v, CAST(sum(n) AS HUGEINT) AS total FROM kept GROUP BY 1),
+c AS MATERIALIZED (SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY 1, 2, 3),
+g AS (
+  SELECT lang, source, coalesce(CAST(any_value(s.total) AS HUGEINT), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY 1, 2) s USING (lang, source) GROUP BY 1, 2),
+p AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + 1000000000 * (coalesce(c.n, 0) + 2) // (g.total + 2 * l.v) AS p,
+         1 + 1000000000 * (k.n + 2) // (l.total + 2 * l.v) AS q
+  FROM g JOIN kept k USING (lang) JOIN l USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(any_value(s.value), 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS value
+    FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY 1, 2, 3) s
+  ON s.lang = a.lang AND s.source = a.source AND s.item = b.source GROUP BY 1, 2, 3, 4),
+u AS (
+  SELECT * FROM pairs UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM u)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM r WHERE part = 'pair' OR rank <= 10"""
+
+
+@query("op11_source_audit", _audit_sql())
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return source_audit.divergence(table(spark, folder, "documents"))
