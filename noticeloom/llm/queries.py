@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticeloom.llm import (
-    exact_dedup, language_id, mixing, near_dedup, packing, prefix_free, secrets, source_audit, surrogates, top_k, url_filter,
+    exact_dedup, language_id, mixing, near_dedup, packing, paragraph_sketch, prefix_free, secrets, source_audit, surrogates, top_k,
+    url_filter, whitening,
 )
 
 SURROGATE_KEY = "surrogates of the query"  # a job of one's own brings a key of its own
@@ -194,3 +195,14 @@ SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS IN
 @query("op11_source_audit", _audit_sql())
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return source_audit.divergence(table(spark, folder, "documents"))
+
+
+@query("op12_version_fingerprints")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return paragraph_sketch.version_fingerprints(table(spark, folder, "documents"))
+
+
+@query("op13_whitening")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    found = whitening.whiten(table(spark, folder, "embeddings"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))

@@ -1,8 +1,8 @@
 """How far the sources of each language differ in their words, by chunk factorization.
 
 A task counts the white-space chunks of its documents and brings home one row per chunk and group
-(language and source): occurrences, documents, and the documents' rows while they are fewer than
-``least_docs``. Chunks meet over the cluster, each globally distinct chunk is cut into terms once, and
+(language and source) with its occurrences; one of a chunk and language has the number of documents, and
+their rows while they are fewer than ``least_docs``. Chunks meet over the cluster, each globally distinct chunk is cut into terms once, and
 its terms are joined back to its counts. A term lies inside one chunk, since no white space is part of one.
 
 Documents of a term are not the sum over its chunks ("Ship" and "ship," may stand in one document), so
@@ -35,83 +35,96 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LEAST_DOCS = 10
 TOP = 10
 ONE = 1_000_000_000  # shares are in parts of this
-HELD_CHUNKS = 150_000  # a task hands its counts on when it holds this many chunks
+HELD_CHUNKS = 400_000  # a task hands its counts on when it holds this many chunks
 HELD_BYTES = 32 << 20
 COUNTS = "lang string, source string, chunk binary, n long, docs long, rows array<long>"
 
 
-def chunk_counts(docs: DataFrame, least_docs: int) -> DataFrame:
-    """Counts of each task: ``lang, source, chunk, n, docs, rows``; ``docs`` has ``lang, source, text, row``."""
-
-    def batch_of(held: dict) -> pa.RecordBatch:
-        flat = [(lang, source, chunk, e) for (lang, source), chunks in held.items() for chunk, e in chunks.items()]
-        columns = [
-            pa.array([f[0] for f in flat], pa.string()),
-            pa.array([f[1] for f in flat], pa.string()),
-            pa.array([f[2] for f in flat], pa.binary()),
-            pa.array([f[3][0] for f in flat], pa.int64()),
-            pa.array([f[3][1] for f in flat], pa.int64()),
-            pa.array([f[3][2:] if f[3][1] < least_docs else None for f in flat], pa.list_(pa.int64())),
+class Held:
+    """The chunks a task holds: ``[documents, rows of the first ones, source, occurrences, other sources]`` by language."""
+
+    def __init__(self, least_docs: int):
+        self.least_docs, self.langs, self.chunks, self.bytes = least_docs, {}, 0, 0
+
+    def add(self, lang: str, source: str, text: bytes, row: int) -> None:
+        own = self.langs.setdefault(lang, {})
+        before, least = len(own), self.least_docs
+        for chunk, n in Counter(text.split()).items():
+            entry = own.get(chunk)
+            if entry is None:
+                own[chunk] = [1, [row], source, n, None]
+                self.bytes += len(chunk)
+                continue
+            entry[0] += 1
+            if entry[0] < least:
+                entry[1].append(row)
+            if entry[2] == source:
+                entry[3] += n
+            elif entry[4] is None:
+                entry[4] = {source: n}
+            else:
+                entry[4][source] = entry[4].get(source, 0) + n
+        self.chunks += len(own) - before
+
+    def batch(self) -> pa.RecordBatch:
+        """A row per chunk, language and source; documents and their rows stand in one of a chunk and language."""
+        flat = [(lang, e[2], chunk, e[3], e[0], e[1] if e[0] < self.least_docs else None) for lang, own in self.langs.items() for chunk, e in own.items()]
+        flat += [
+            (lang, source, chunk, n, 0, None)
+            for lang, own in self.langs.items() for chunk, e in own.items() if e[4] for source, n in e[4].items()
         ]
+        kinds = (pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+        columns = [pa.array(c, k) for c, k in zip(zip(*flat), kinds)]
         return pa.RecordBatch.from_arrays(columns, names=["lang", "source", "chunk", "n", "docs", "rows"])
 
+
+def chunk_counts(docs: DataFrame, least_docs: int) -> DataFrame:
+    """Counts of each task: ``lang, source, chunk, n, docs, rows``; ``docs`` has ``lang, source, text, row``."""
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, chunks_held, bytes_held = {}, 0, 0
+        held = Held(least_docs)
         for batch in batches:
             for lang, source, text, row in zip(*(batch.column(i) for i in range(4))):
-                own = held.setdefault((lang.as_py(), source.as_py()), {})
-                before, row = len(own), row.as_py()
-                for chunk, n in Counter(text.as_py().split()).items():
-                    entry = own.get(chunk)
-                    if entry is None:
-                        own[chunk] = [n, 1, row]
-                        bytes_held += len(chunk)
-                    else:
-                        entry[0] += n
-                        entry[1] += 1
-                        if entry[1] < least_docs:
-                            entry.append(row)
-                chunks_held += len(own) - before
-                if chunks_held > HELD_CHUNKS or bytes_held > HELD_BYTES:
-                    yield batch_of(held)
-                    held, chunks_held, bytes_held = {}, 0, 0
-        if chunks_held:
-            yield batch_of(held)
+                held.add(lang.as_py(), source.as_py(), text.as_py(), row.as_py())
+                if held.chunks > HELD_CHUNKS or held.bytes > HELD_BYTES:
+                    yield held.batch()
+                    held = Held(least_docs)
+        if held.chunks:
+            yield held.batch()
 
     return docs.mapInArrow(count, COUNTS)
 
 
-def term_counts(partial: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """From the tasks' counts: chunks with their terms, and ``lang, source, term, n, low, high``.
+def cut_chunks(partial: DataFrame, least_docs: int) -> DataFrame:
+    """``lang, source, n, lang_docs, terms, rows``: the tasks' counts with each chunk's terms.
 
-    ``low`` and ``high`` bound the term's documents in its language once they are gathered over the sources.
-    Everything about a chunk happens where its hash puts it, after one shuffle of the tasks' counts.
+    One row of a chunk and language holds the number of its documents, the others null; rows of documents
+    are left where there are fewer than ``least_docs``. Everything about a chunk happens where its hash puts
+    it, after one shuffle of the tasks' counts.
     """
-    placed = partial.select("lang", "source", "chunk", "n", "docs").repartition("chunk")
-    counts = placed.groupBy("lang", "source", "chunk").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    by_chunk = Window.partitionBy("chunk").orderBy("lang", "source").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    by_lang = Window.partitionBy("chunk", "lang")
+    first = F.row_number().over(Window.partitionBy("chunk").orderBy("lang", "source")) == 1
     terms = F.regexp_extract_all(F.translate(F.col("chunk").cast("string"), UPPER, LOWER), F.lit(TERM), F.lit(0))
-    tokens = placed.select("chunk").distinct().select("chunk", terms.alias("terms")).filter(F.size("terms") > 0)
-    of_lang = Window.partitionBy("lang", "chunk")
-    once = F.row_number().over(of_lang.orderBy("source")) == 1  # one row of a chunk speaks for its language
-    counts = counts.withColumn("lang_docs", F.when(once, F.sum("docs").over(of_lang)))
-    cut = stored(counts.join(tokens.hint("merge"), "chunk").select("lang", "source", "chunk", "n", "lang_docs", "terms"), "audit-chunks")
-    rows = cut.select("lang", "source", "n", "lang_docs", F.explode("terms").alias("term"))
-    found = rows.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.max("lang_docs").alias("low"), F.sum("lang_docs").alias("high"))
-    return cut, stored(found, "audit-terms")
-
-
-def kept_terms(partial: DataFrame, cut: DataFrame, found: DataFrame, least_docs: int) -> DataFrame:
-    """``lang, term, lang_n`` of the terms in at least ``least_docs`` documents of their language."""
-    by_lang = found.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.max("low").alias("low"), F.sum("high").alias("high"))
-    by_lang = stored(by_lang.filter(F.col("high") >= least_docs), "audit-bounds")
-    doubtful = by_lang.filter(F.col("low") < least_docs).select("lang", "term")
-    rare = cut.filter(F.col("lang_docs") < least_docs).select("lang", "chunk", F.explode(F.array_distinct("terms")).alias("term"))
-    rare = stored(rare.join(doubtful, ["lang", "term"], "left_semi"), "audit-doubtful")
-    seen = partial.filter(F.size("rows") > 0).select("lang", "chunk", "rows").join(rare, ["lang", "chunk"])
-    docs = seen.select("lang", "term", F.explode("rows").alias("row")).distinct().groupBy("lang", "term").agg(F.count("*").alias("docs"))
-    told = by_lang.join(docs, ["lang", "term"], "left")
-    enough = (F.col("low") >= least_docs) | (F.col("docs") >= least_docs)
-    return stored(told.filter(enough).select("lang", "term", "lang_n"), "audit-kept")
+    rows = partial.repartition("chunk").withColumns({"first": first, "docs": F.sum("docs").over(by_lang), "nth": F.row_number().over(by_lang.orderBy("source"))})
+    rows = rows.withColumn("cut", F.when(F.col("first"), terms)).withColumn("terms", F.first("cut").over(by_chunk)).filter(F.size("terms") > 0)
+    return rows.select(
+        "lang", "source", "n", "terms",
+        F.when(F.col("nth") == 1, F.col("docs")).alias("lang_docs"),
+        F.when(F.col("docs") < least_docs, F.col("rows")).alias("rows"),
+    )
+
+
+def kept_terms(cut: DataFrame, least_docs: int) -> DataFrame:
+    """``lang, term`` of the terms in at least ``least_docs`` documents of their language."""
+    once = cut.filter(F.col("lang_docs").isNotNull()).select("lang", "lang_docs", F.explode(F.array_distinct("terms")).alias("term"))
+    bounds = once.groupBy("lang", "term").agg(F.max("lang_docs").alias("low"), F.sum("lang_docs").alias("high"))
+    bounds = stored(bounds.filter(F.col("high") >= least_docs), "audit-bounds")
+    doubtful = bounds.filter(F.col("low") < least_docs).select("lang", "term")
+    rare = cut.filter(F.col("rows").isNotNull()).select("lang", "rows", F.explode(F.array_distinct("terms")).alias("term"))
+    seen = rare.join(doubtful, ["lang", "term"]).select("lang", "term", F.explode("rows").alias("row")).distinct()
+    told = seen.groupBy("lang", "term").agg(F.count("*").alias("docs")).filter(F.col("docs") >= least_docs).select("lang", "term")
+    return stored(bounds.filter(F.col("low") >= least_docs).select("lang", "term").unionByName(told), "audit-kept")
 
 
 def share(count: Column, total: Column, terms: Column) -> Column:
@@ -134,18 +147,20 @@ def divergence(
     uses more than its language does.
     """
     docs = df.select(text_of(lang_col).alias("lang"), text_of(source_col).alias("source"), text_of(text_col).cast("binary").alias("text"))
-    partial = stored(chunk_counts(docs.withColumn("row", F.monotonically_increasing_id()), least_docs), "audit-counts")
-    cut, found = term_counts(partial)
-    kept = kept_terms(partial, cut, found, least_docs)
-
-    langs = kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("lang_n").alias("lang_total"))
-    cells = found.select("lang", "source", "term", "n").join(kept, ["lang", "term"])
-    totals = cells.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("own"))
+    partial = chunk_counts(docs.withColumn("row", F.monotonically_increasing_id()), least_docs)
+    cut = stored(cut_chunks(partial, least_docs), "audit-chunks")
+    kept = kept_terms(cut, least_docs)
+    found = cut.select("lang", "source", "n", F.explode("terms").alias("term")).join(kept, ["lang", "term"])
+    found = stored(found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n")), "audit-found")
+
+    whole = found.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"))
+    langs = stored(whole.groupBy("lang").agg(F.count("*").alias("v"), F.sum("lang_n").alias("lang_total")), "audit-langs")
+    totals = found.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("own"))
     groups = docs.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(langs, "lang", "left")
     groups = groups.na.fill(0, ["total", "own", "v", "lang_total"]).withColumn("gid", F.monotonically_increasing_id())
     zero = F.when(F.col("v") > 0, share(F.lit(0), F.col("total"), F.col("v"))).otherwise(F.lit(0))
     groups = stored(groups.withColumn("p0", zero), "audit-groups")
-    cells = cells.join(groups.drop("own"), ["lang", "source"]).withColumns(
+    cells = found.join(whole, ["lang", "term"]).join(groups.drop("own"), ["lang", "source"]).withColumns(
         {"p": share(F.col("n"), F.col("total"), F.col("v")), "q": share(F.col("lang_n"), F.col("lang_total"), F.col("v"))}
     )
     cells = stored(cells.select("gid", "lang", "source", "term", "n", "p", "p0", "q"), "audit-cells")
