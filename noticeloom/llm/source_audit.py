@@ -1,8 +1,8 @@
 """How far the sources of each language differ in their words, by chunk factorization.
 
-A task counts the white-space chunks of its documents and brings home one row per chunk and group
-(language and source) with its occurrences; one of a chunk and language has the number of documents, and
-their rows while they are fewer than ``least_docs``. Chunks meet over the cluster, each globally distinct chunk is cut into terms once, and
+A task counts the white-space chunks of its documents and brings home one row per chunk and language: how
+many documents hold it, their rows while they are fewer than ``least_docs``, and the occurrences by group
+(language and source). Chunks meet over the cluster, each globally distinct chunk is cut into terms once, and
 its terms are joined back to its counts. A term lies inside one chunk, since no white space is part of one.
 
 Documents of a term are not the sum over its chunks ("Ship" and "ship," may stand in one document), so
@@ -16,15 +16,16 @@ from each source's histogram of counts, since a term with no occurrence has one
 Defined results: null text, language and source are empty strings; each row of the table is a document,
 also where ids repeat; a group without terms has its pairs; a language with one source has no pairs;
 where no term is kept all pairs have the value 0; an empty table gives an empty result; other columns are
-not read. Counts are exact in 38 digits; shares are held in 64 bits.
+not read. Counts are exact in 38 digits; shares are held in 64 bits. Groups are told apart by a 64-bit hash.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,83 +36,102 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LEAST_DOCS = 10
 TOP = 10
 ONE = 1_000_000_000  # shares are in parts of this
-HELD_CHUNKS = 400_000  # a task hands its counts on when it holds this many chunks
-HELD_BYTES = 32 << 20
-COUNTS = "lang string, source string, chunk binary, n long, docs long, rows array<long>"
-
-
-class Held:
-    """The chunks a task holds: ``[documents, rows of the first ones, source, occurrences, other sources]`` by language."""
-
-    def __init__(self, least_docs: int):
-        self.least_docs, self.langs, self.chunks, self.bytes = least_docs, {}, 0, 0
-
-    def add(self, lang: str, source: str, text: bytes, row: int) -> None:
-        own = self.langs.setdefault(lang, {})
-        before, least = len(own), self.least_docs
-        for chunk, n in Counter(text.split()).items():
-            entry = own.get(chunk)
-            if entry is None:
-                own[chunk] = [1, [row], source, n, None]
-                self.bytes += len(chunk)
-                continue
-            entry[0] += 1
-            if entry[0] < least:
-                entry[1].append(row)
-            if entry[2] == source:
-                entry[3] += n
-            elif entry[4] is None:
-                entry[4] = {source: n}
-            else:
-                entry[4][source] = entry[4].get(source, 0) + n
-        self.chunks += len(own) - before
-
-    def batch(self) -> pa.RecordBatch:
-        """A row per chunk, language and source; documents and their rows stand in one of a chunk and language."""
-        flat = [(lang, e[2], chunk, e[3], e[0], e[1] if e[0] < self.least_docs else None) for lang, own in self.langs.items() for chunk, e in own.items()]
-        flat += [
-            (lang, source, chunk, n, 0, None)
-            for lang, own in self.langs.items() for chunk, e in own.items() if e[4] for source, n in e[4].items()
-        ]
-        kinds = (pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-        columns = [pa.array(c, k) for c, k in zip(zip(*flat), kinds)]
-        return pa.RecordBatch.from_arrays(columns, names=["lang", "source", "chunk", "n", "docs", "rows"])
+HELD_WORDS = 3_000_000  # a task hands its counts on when it holds this many chunks, repeats counted
+HELD_BYTES = 48 << 20
+COUNTS = "lang string, chunk binary, docs long, rows array<long>, spread array<long>"
+
+
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each run of a sorted array begins, and its length."""
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    return starts, np.diff(np.r_[starts, len(keys)])
+
+
+def _lists(lengths: np.ndarray, values: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lengths)].astype(np.int32)), pa.array(values))
+
+
+def counted(held: list[pa.RecordBatch], least_docs: int) -> pa.RecordBatch:
+    """Counts over whole documents: a row per chunk and language, with pairs of group and occurrences in ``spread``."""
+    table = pa.Table.from_batches(held)
+    words = pc.ascii_split_whitespace(table["text"].combine_chunks().cast(pa.string(), safe=False))
+    lengths, flat = pc.list_value_length(words).to_numpy(zero_copy_only=False), words.flatten()
+    doc = np.repeat(np.arange(len(lengths)), lengths)
+    some = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0  # white space at an end leaves an empty piece
+    coded = flat.dictionary_encode()
+    code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)[some]
+    langs = table["lang"].combine_chunks().dictionary_encode()
+    lang, group, row = langs.indices.to_numpy(zero_copy_only=False), table["gid"].to_numpy(), table["row"].to_numpy()
+
+    pair = np.sort(doc[some] << 32 | code)
+    at, n = _runs(pair)
+    doc, code = pair[at] >> 32, pair[at] & 0xFFFFFFFF
+    own = lang[doc].astype(np.int64) << 32 | code
+    order = np.lexsort((group[doc], own))
+    own, doc, n = own[order], doc[order], n[order]
+    starts, docs = _runs(own)
+    first = np.r_[True, (own[1:] != own[:-1]) | (group[doc][1:] != group[doc][:-1])] if len(own) else np.zeros(0, bool)
+    by_group = np.flatnonzero(first)
+    sums = np.add.reduceat(n, by_group) if len(by_group) else n
+    groups = np.add.reduceat(first.astype(np.int64), starts) if len(starts) else docs
+    spread = np.column_stack([group[doc[by_group]], sums]).astype(np.int64).reshape(-1)
+    few = docs < least_docs
+    columns = [
+        langs.dictionary.take(pa.array(own[starts] >> 32)),
+        coded.dictionary.take(pa.array(own[starts] & 0xFFFFFFFF)).cast(pa.binary()),
+        pa.array(docs.astype(np.int64)),
+        _lists(np.where(few, docs, 0), row[doc][np.repeat(few, docs)].astype(np.int64)),
+        _lists(2 * groups, spread),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["lang", "chunk", "docs", "rows", "spread"])
 
 
 def chunk_counts(docs: DataFrame, least_docs: int) -> DataFrame:
-    """Counts of each task: ``lang, source, chunk, n, docs, rows``; ``docs`` has ``lang, source, text, row``."""
+    """Counts of each task: ``lang, chunk, docs, rows, spread``; ``docs`` has ``lang, gid, text, row``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Held(least_docs)
+        held, words, size = [], 0, 0
         for batch in batches:
-            for lang, source, text, row in zip(*(batch.column(i) for i in range(4))):
-                held.add(lang.as_py(), source.as_py(), text.as_py(), row.as_py())
-                if held.chunks > HELD_CHUNKS or held.bytes > HELD_BYTES:
-                    yield held.batch()
-                    held = Held(least_docs)
-        if held.chunks:
-            yield held.batch()
+            some = pc.binary_length(batch.column(2)).to_numpy(zero_copy_only=False)
+            cuts, total = [0], 0
+            for i, length in enumerate(some.tolist()):  # a batch of long texts is taken in parts
+                total += length
+                if total > HELD_BYTES // 2:
+                    cuts.append(i + 1)
+                    total = 0
+            for start, stop in zip(cuts, [*cuts[1:], len(some)]):
+                if stop == start:
+                    continue
+                held.append(batch.slice(start, stop - start))
+                size += int(some[start:stop].sum())
+                words += int(some[start:stop].sum()) // 5
+                if words > HELD_WORDS or size > HELD_BYTES:
+                    yield counted(held, least_docs)
+                    held, words, size = [], 0, 0
+        if held:
+            yield counted(held, least_docs)
 
     return docs.mapInArrow(count, COUNTS)
 
 
 def cut_chunks(partial: DataFrame, least_docs: int) -> DataFrame:
-    """``lang, source, n, lang_docs, terms, rows``: the tasks' counts with each chunk's terms.
+    """``lang, lang_docs, terms, rows, spread``: the tasks' counts with each chunk's terms.
 
     One row of a chunk and language holds the number of its documents, the others null; rows of documents
     are left where there are fewer than ``least_docs``. Everything about a chunk happens where its hash puts
     it, after one shuffle of the tasks' counts.
     """
-    by_chunk = Window.partitionBy("chunk").orderBy("lang", "source").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    in_order = Window.partitionBy("chunk").orderBy("lang")
+    by_chunk = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     by_lang = Window.partitionBy("chunk", "lang")
-    first = F.row_number().over(Window.partitionBy("chunk").orderBy("lang", "source")) == 1
     terms = F.regexp_extract_all(F.translate(F.col("chunk").cast("string"), UPPER, LOWER), F.lit(TERM), F.lit(0))
-    rows = partial.repartition("chunk").withColumns({"first": first, "docs": F.sum("docs").over(by_lang), "nth": F.row_number().over(by_lang.orderBy("source"))})
-    rows = rows.withColumn("cut", F.when(F.col("first"), terms)).withColumn("terms", F.first("cut").over(by_chunk)).filter(F.size("terms") > 0)
+    rows = partial.repartition("chunk").withColumns({"nth": F.row_number().over(in_order), "seen": F.sum("docs").over(by_lang)})
+    rows = rows.withColumn("cut", F.when(F.col("nth") == 1, terms))
+    # A chunk's first row has its terms; the first of a language is the one whose place is the language's least.
+    rows = rows.withColumns({"terms": F.first("cut").over(by_chunk), "least": F.min("nth").over(by_lang)}).filter(F.size("terms") > 0)
     return rows.select(
-        "lang", "source", "n", "terms",
-        F.when(F.col("nth") == 1, F.col("docs")).alias("lang_docs"),
-        F.when(F.col("docs") < least_docs, F.col("rows")).alias("rows"),
+        "lang", "terms", "spread", F.when(F.col("nth") == F.col("least"), F.col("seen")).alias("lang_docs"),
+        F.when(F.col("seen") < least_docs, F.col("rows")).alias("rows"),
     )
 
 
@@ -146,24 +166,27 @@ def divergence(
     Part ``pair`` sums the gaps of two sources over all kept terms; part ``term`` lists terms that a source
     uses more than its language does.
     """
-    docs = df.select(text_of(lang_col).alias("lang"), text_of(source_col).alias("source"), text_of(text_col).cast("binary").alias("text"))
-    partial = chunk_counts(docs.withColumn("row", F.monotonically_increasing_id()), least_docs)
-    cut = stored(cut_chunks(partial, least_docs), "audit-chunks")
+    lang, source, text = text_of(lang_col), text_of(source_col), text_of(text_col)
+    docs = df.select(lang.alias("lang"), source.alias("source"), text.alias("text")).withColumn("gid", F.xxhash64("lang", "source"))
+    rows = docs.select("lang", "gid", F.col("text").cast("binary").alias("text"), F.monotonically_increasing_id().alias("row"))
+    cut = stored(cut_chunks(chunk_counts(rows, least_docs), least_docs), "audit-chunks")
     kept = kept_terms(cut, least_docs)
-    found = cut.select("lang", "source", "n", F.explode("terms").alias("term")).join(kept, ["lang", "term"])
-    found = stored(found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n")), "audit-found")
+    found = cut.select("lang", "spread", F.explode("terms").alias("term")).join(kept, ["lang", "term"])
+    halves = F.transform(F.sequence(F.lit(0), F.size("spread") - 1, F.lit(2)), lambda i: F.struct(F.get("spread", i).alias("gid"), F.get("spread", i + 1).alias("n")))
+    found = found.select("lang", "term", F.explode(halves).alias("g")).groupBy("g.gid", "lang", "term").agg(F.sum("g.n").alias("n"))
+    found = stored(found, "audit-found")
 
     whole = found.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"))
     langs = stored(whole.groupBy("lang").agg(F.count("*").alias("v"), F.sum("lang_n").alias("lang_total")), "audit-langs")
-    totals = found.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("own"))
-    groups = docs.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(langs, "lang", "left")
-    groups = groups.na.fill(0, ["total", "own", "v", "lang_total"]).withColumn("gid", F.monotonically_increasing_id())
+    totals = found.groupBy("gid").agg(F.sum("n").alias("total"), F.count("*").alias("own"))
+    groups = docs.select("lang", "source", "gid").distinct().join(totals, "gid", "left").join(langs, "lang", "left")
+    groups = groups.na.fill(0, ["total", "own", "v", "lang_total"])
     zero = F.when(F.col("v") > 0, share(F.lit(0), F.col("total"), F.col("v"))).otherwise(F.lit(0))
     groups = stored(groups.withColumn("p0", zero), "audit-groups")
-    cells = found.join(whole, ["lang", "term"]).join(groups.drop("own"), ["lang", "source"]).withColumns(
+    cells = found.join(whole, ["lang", "term"]).join(groups.drop("own", "lang"), "gid").withColumns(
         {"p": share(F.col("n"), F.col("total"), F.col("v")), "q": share(F.col("lang_n"), F.col("lang_total"), F.col("v"))}
     )
-    cells = stored(cells.select("gid", "lang", "source", "term", "n", "p", "p0", "q"), "audit-cells")
+    cells = stored(cells.select("gid", "lang", "source", "term", "p", "p0", "q"), "audit-cells")
 
     terms = cells.filter(F.col("p") > F.col("q")).select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), gap(F.col("p"), F.col("q")).alias("value"))
     ranking = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
