@@ -8,7 +8,7 @@ that digests of both vanish. A cell left with one digest names it; taking it out
 bare more of them, until the sketch is empty and all differing digests are known.
 
 A sketch of fixed size holds about ten differences. Where peeling gets stuck, the pair is tried again with a
-larger one: digests are dealt by fresh hash bits over up to ``SPREAD`` sketches, each of which is peeled by
+larger one: digests are dealt by fresh hash bits over up to 64 sketches, each of which is peeled by
 itself and dealt again if it gets stuck. The first turns run inside the row; what is left after them
 (texts of millions of paragraphs) goes on as rows of its own until nothing is stuck.
 
@@ -17,8 +17,8 @@ the number of differences. A fingerprint is the number of digests and the cells,
 equal ones; order and repetition of paragraphs do not show in it.
 
 Defined results: a null text is empty, has no digests, and is wholly like other texts without digests (likeness 1);
-the next document comes in descending order of id, null ids last, texts of one id in order of their
-md5; rows that repeat an id and a text are one document and have the same result; a document alone is its
+the next document comes in descending order of id, null ids last, texts of one id in an order of their
+own (:func:`document_key`); rows that repeat an id and a text are one document and have the same result; a document alone is its
 own next; an empty table gives an empty result; other columns are not read.
 """
 
@@ -35,14 +35,13 @@ PIECE_WORDS = 16
 LONG_WORD = 64
 SEGMENTS, SLOTS = 3, 8  # a digest has one cell in each segment
 ROUNDS = 12
-PER_SKETCH = 5  # digests of both sides that a larger attempt gives to a sketch
-SPREAD = 64
-TURNS = 4  # attempts inside the row
+PER_SKETCH = 8  # digests of both sides that a larger attempt gives to a sketch
+SPREAD_BITS = 6  # a stuck unit is dealt over up to two to this many sketches
+TURNS = 12
 _WORD = r"[^\x20\x09-\x0D]"
 PIECE = rf"(?:{_WORD}{{1,{LONG_WORD}}}+(?<![.!?])[\x20\x09]++(?={_WORD})){{0,{PIECE_WORDS - 1}}}+{_WORD}{{1,{LONG_WORD}}}+"
-CELLS = "array<struct<key:bigint,check:int,n:int>>"
 FOUND = "array<struct<digest:bigint,side:int>>"
-UNITS = "array<struct<a:array<bigint>,b:array<bigint>>>"
+UNITS = "array<array<struct<digest:bigint,side:int>>>"
 
 
 def digests(text: Column) -> Column:
@@ -50,30 +49,38 @@ def digests(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)), lambda p: F.xxhash64(p)))
 
 
-def _placed(found: Column, turn: Column) -> Column:
-    """Digests with the hash that names their cells in this turn."""
-    return F.transform(found, lambda d: F.struct(d.alias("digest"), F.xxhash64(d, turn).alias("h")))
+def sided(found: Column, side: int) -> Column:
+    """Digests with the side that has them: 1 for the first text, -1 for the other."""
+    return F.transform(found, lambda d: F.struct(d.alias("digest"), F.lit(side).alias("side")))
+
 
+def _placed(found: Column, turn: Column) -> Column:
+    """Digests with their cells, one in each segment, by the hash of this turn."""
+    def place(d: Column) -> Column:
+        h = F.xxhash64(d["digest"], turn)
+        numbers = [h.bitwiseAND(F.lit(SLOTS - 1)) if not j else F.shiftright(h, 3 * j).bitwiseAND(F.lit(SLOTS - 1)) + j * SLOTS for j in range(SEGMENTS)]
+        return F.struct(d["digest"].alias("digest"), d["side"].alias("side"), *[n.cast("int").alias(f"c{j}") for j, n in enumerate(numbers)])
 
-def _hits(h: Column, cell: Column) -> Column:
-    """Whether a digest with hash ``h`` is in the cell of this number."""
-    segment = F.shiftright(cell, 3)  # SLOTS is two to the third
-    return F.call_function("shiftright", h, segment * 3).bitwiseAND(F.lit(SLOTS - 1)) == cell.bitwiseAND(F.lit(SLOTS - 1))
+    return F.transform(found, place)
 
 
-def _with(cell: Column, digest: Column, n: Column) -> Column:
+def _with(cell: Column, p: Column, sign: int) -> Column:
+    n = cell["n"] + p["side"] if sign > 0 else cell["n"] - p["side"]
     return F.struct(
-        cell["key"].bitwiseXOR(digest).alias("key"), cell["check"].bitwiseXOR(F.hash(digest)).alias("check"), (cell["n"] + n).alias("n"),
+        cell["key"].bitwiseXOR(p["digest"]).alias("key"), cell["check"].bitwiseXOR(F.hash(p["digest"])).alias("check"), n.alias("n"),
     )
 
 
 def cells(found: Column, turn: Column) -> Column:
-    """The sketch of an array of distinct digests."""
+    """The sketch of an array of distinct digests with sides."""
     blank = F.struct(F.lit(0).cast("long").alias("key"), F.lit(0).alias("check"), F.lit(0).alias("n"))
-    numbers = F.sequence(F.lit(0), F.lit(SEGMENTS * SLOTS - 1))
 
     def fill(placed: Column) -> Column:
-        return F.transform(numbers, lambda i: F.aggregate(F.filter(placed, lambda p: _hits(p["h"], i)), blank, lambda c, p: _with(c, p["digest"], F.lit(1))))
+        def segment(j: int) -> Column:
+            numbers = F.sequence(F.lit(j * SLOTS), F.lit(j * SLOTS + SLOTS - 1))
+            return F.transform(numbers, lambda i: F.aggregate(F.filter(placed, lambda p: p[f"c{j}"] == i), blank, lambda c, p: _with(c, p, 1)))
+
+        return F.concat(*[segment(j) for j in range(SEGMENTS)])
 
     return bind(_placed(found, turn), fill)
 
@@ -89,23 +96,22 @@ def subtract(some: Column, others: Column) -> Column:
 def peel(difference: Column, turn: Column) -> Column:
     """``done`` and ``found``: the differing digests, with side 1 where only the first sketch has them and -1 else."""
     def alone(c: Column) -> Column:
-        return (F.abs(c["n"]) == 1) & (F.hash(c["key"]) == c["check"])
+        return ((c["n"] == 1) | (c["n"] == -1)) & (F.hash(c["key"]) == c["check"])
 
     def take(state: Column, _: Column) -> Column:
-        single = F.filter(state["cells"], alone)
-        pure = F.array_distinct(F.transform(single, lambda c: F.struct(c["key"].alias("digest"), c["n"].alias("side"))))
-        placed = F.transform(pure, lambda p: F.struct(p["digest"].alias("digest"), p["side"].alias("side"), F.xxhash64(p["digest"], turn).alias("h")))
+        pure = F.array_distinct(F.transform(F.filter(state["cells"], alone), lambda c: F.struct(c["key"].alias("digest"), c["n"].alias("side"))))
 
         def without(p: Column) -> Column:
-            left = F.transform(
-                state["cells"],
-                lambda c, i: F.aggregate(F.filter(p, lambda x: _hits(x["h"], i)), c, lambda own, x: _with(own, x["digest"], -x["side"])),
-            )
+            def left(c: Column, i: Column) -> Column:
+                hit = F.filter(p, lambda x: (x["c0"] == i) | (x["c1"] == i) | (x["c2"] == i))
+                return F.aggregate(hit, c, lambda own, x: _with(own, x, -1))
+
             seen = F.transform(p, lambda x: F.struct(x["digest"].alias("digest"), x["side"].alias("side")))
-            return F.struct(left.alias("cells"), F.concat(state["found"], seen).alias("found"), (F.size(p) > 0).alias("more"))
+            still = F.struct(state["cells"].alias("cells"), state["found"].alias("found"), F.lit(False).alias("more"))
+            peeled = F.struct(F.transform(state["cells"], left).alias("cells"), F.concat(state["found"], seen).alias("found"), F.lit(True).alias("more"))
+            return F.when(F.size(p) > 0, peeled).otherwise(still)
 
-        still = F.struct(state["cells"].alias("cells"), state["found"].alias("found"), F.lit(False).alias("more"))
-        return F.when(state["more"], bind(placed, without)).otherwise(still)
+        return F.when(state["more"], bind(_placed(pure, turn), without)).otherwise(state)
 
     def result(state: Column) -> Column:
         blank = F.forall(state["cells"], lambda c: (c["n"] == 0) & (c["key"] == 0) & (c["check"] == 0))
@@ -116,27 +122,26 @@ def peel(difference: Column, turn: Column) -> Column:
 
 
 def _dealt(unit: Column, turn: Column) -> Column:
-    """The digests of a unit that got stuck, over the sketches of a larger attempt."""
-    n = F.size(unit["a"]) + F.size(unit["b"])
-    bits = F.least(F.lit(6), F.greatest(F.lit(1), F.ceil(F.log2(n / F.lit(PER_SKETCH))).cast("int")))  # SPREAD is two to the sixth
-
-    def part(side: str, own: Column, mask: Column) -> Column:
-        return F.filter(unit[side], lambda d: F.shiftright(F.xxhash64(d, turn), 20).bitwiseAND(mask) == own)
+    """The digests of a stuck unit, over the sketches of a larger attempt."""
+    bits = F.least(F.lit(SPREAD_BITS), F.greatest(F.lit(1), F.ceil(F.log2(F.size(unit) / F.lit(PER_SKETCH))).cast("int")))
 
     def over(mask: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0).cast("long"), mask), lambda own: F.struct(part("a", own, mask).alias("a"), part("b", own, mask).alias("b")))
+        placed = F.transform(unit, lambda d: F.struct(d.alias("d"), F.shiftright(F.xxhash64(d["digest"], turn), 20).bitwiseAND(mask).alias("to")))
+
+        def parts(all_of: Column) -> Column:
+            numbers = F.sequence(F.lit(0).cast("long"), mask)
+            return F.transform(numbers, lambda k: F.transform(F.filter(all_of, lambda x: x["to"] == k), lambda x: x["d"]))
+
+        return bind(placed, parts)
 
     return bind(F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1, over)
 
 
-def retried(pending: Column, found: Column, turns: Column) -> Column:
-    """``pending, found`` after each turn of ``turns`` has dealt and peeled what was stuck."""
+def retried(pending: Column, found: Column, turns: int) -> Column:
+    """``pending, found`` after each turn has dealt and peeled what was stuck."""
     def turn_of(state: Column, turn: Column) -> Column:
         units = F.flatten(F.transform(state["pending"], lambda u: _dealt(u, turn)))
-        tried = F.transform(
-            units,
-            lambda u: F.struct(u.alias("unit"), peel(subtract(cells(u["a"], turn), cells(u["b"], turn)), turn).alias("got")),
-        )
+        tried = F.transform(units, lambda u: F.struct(u.alias("unit"), peel(cells(u, turn), turn).alias("got")))
 
         def split(all_of: Column) -> Column:
             stuck = F.transform(F.filter(all_of, lambda t: ~t["got"]["done"]), lambda t: t["unit"])
@@ -145,15 +150,28 @@ def retried(pending: Column, found: Column, turns: Column) -> Column:
 
         return F.when(F.size(state["pending"]) > 0, bind(tried, split)).otherwise(state)
 
-    return F.aggregate(turns, F.struct(pending.alias("pending"), found.alias("found")), turn_of)
+    return F.aggregate(F.sequence(F.lit(1), F.lit(turns)), F.struct(pending.alias("pending"), found.alias("found")), turn_of)
 
 
 def differences(a: Column, b: Column, cells_a: Column, cells_b: Column, turns: int = TURNS) -> Column:
-    """``pending, found`` of two digest arrays with their sketches: the sketches' own, then larger ones."""
+    """The digests that one of two arrays has and the other has not, with sides, from the sketches of both.
+
+    Sketches of larger attempts are those of the difference: a digest of both sides is added and taken off.
+    What is left after ``turns``, which halve a stuck unit at least, is told apart by the digests themselves.
+    """
     def next_try(got: Column) -> Column:
-        unit = F.array(F.struct(a.alias("a"), b.alias("b")))
+        unit = F.array(F.concat(sided(a, 1), sided(b, -1)))
         pending = F.when(got["done"], empty(UNITS)).otherwise(unit)
-        return retried(pending, F.when(got["done"], got["found"]).otherwise(empty(FOUND)), F.sequence(F.lit(1), F.lit(turns)))
+        return bind(retried(pending, F.when(got["done"], got["found"]).otherwise(empty(FOUND)), turns), settled)
+
+    def settled(state: Column) -> Column:
+        left = F.flatten(state["pending"])
+
+        def of(side: int) -> Column:
+            return F.transform(F.filter(left, lambda d: d["side"] == side), lambda d: d["digest"])
+
+        rest = F.concat(sided(F.array_except(of(1), of(-1)), 1), sided(F.array_except(of(-1), of(1)), -1))
+        return F.when(F.size(state["pending"]) > 0, F.concat(state["found"], rest)).otherwise(state["found"])
 
     return bind(peel(subtract(cells_a, cells_b), F.lit(0)), next_try)
 
@@ -172,74 +190,46 @@ def likeness(n_a: Column, n_b: Column, different: Column) -> Column:
     return F.when(both == 0, F.lit(1.0)).otherwise((both - different) / (both + different))
 
 
-def _finished(base: DataFrame, turns: int) -> DataFrame:
-    """``base`` with the differences of units that were still stuck after the turns inside the row."""
-    sides = ("edited", "next")
-    stuck = base.filter(F.greatest(*[F.size(f"{s}.pending") for s in sides]) > 0)
-    kinds = F.explode(F.array(*[F.struct(F.lit(s).alias("side"), F.col(f"{s}.pending").alias("pending")) for s in sides]))
-    units = stored(stuck.select("no", kinds.alias("u")).select("no", "u.side", F.explode("u.pending").alias("unit")), "sketch-stuck")
-    counts, turn = [], turns + 1
-    while not units.isEmpty():
-        got = retried(F.array("unit"), empty(FOUND), F.array(F.lit(turn)))
-        tried = stored(units.select("no", "side", got.alias("got")), "sketch-retried")
-        counts.append(tried.select("no", "side", F.size("got.found").cast("long").alias("more")))
-        units = stored(tried.select("no", "side", F.explode("got.pending").alias("unit")), "sketch-stuck")
-        turn += 1
-    known = [(F.size(f"{s}.found").cast("long")).alias(f"d_{s}") for s in sides]
-    out = [c for c in base.columns if c not in sides]
-    if not counts:
-        return base.select(*out, *known)
-    every = counts[0]
-    for c in counts[1:]:
-        every = every.unionByName(c)
-    sums = every.groupBy("no").agg(*[F.sum(F.when(F.col("side") == s, F.col("more")).otherwise(F.lit(0))).alias(f"more_{s}") for s in sides])
-    done = base.join(stuck.select("no"), "no", "left_anti").select(*out, *known)
-    late = stuck.select(*out, *known).join(sums, "no", "left")
-    added = [(F.col(f"d_{s}") + F.coalesce(f"more_{s}", F.lit(0))).alias(f"d_{s}") for s in sides]
-    return done.unionByName(late.select(*out, *added))
-
-
 def version_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", turns: int = TURNS) -> DataFrame:
     """Per row: id, ``n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``.
 
     The edited text has the last half of its characters replaced by the first ones of the next document.
     """
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    docs = df.select(F.col(f"`{id_col}`").alias("id"), text.alias("text")).withColumn("key", F.unhex(F.md5("text")))
+    docs = df.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    docs = docs.withColumn("key", document_key(F.col("id"), F.col("text")))
     keys = docs.select("id", "key", F.length("text").alias("n")).distinct()
     # Places ascend, so the next document in descending order has the place before.
     numbered = stored(number_rows(keys, ["id", "key"], "place"), "sketch-places")
     total = numbered.agg(F.max("place")).first()[0] or 1
-    giver = numbered.select(F.col("id").alias("from_id"), F.col("key").alias("from_key"), (F.col("place") % total + 1).alias("place"))
-    taker = numbered.select("place", F.col("id").alias("to_id"), F.col("key").alias("to_key"), F.shiftright("n", 1).alias("need"))
+    giver = numbered.select(F.col("key").alias("from"), (F.col("place") % total + 1).alias("place"))
+    taker = numbered.select("place", F.col("key").alias("to"), F.shiftright("n", 1).alias("need"))
     links = stored(giver.join(taker, "place").drop("place"), "sketch-links")
 
-    docs = docs.withColumn("a", digests(F.col("text")))
-    by_key = docs.repartition("id", "key")  # both uses below read this one shuffle
-    given = by_key.join(links.hint("merge"), F.col("id").eqNullSafe(F.col("from_id")) & (F.col("key") == F.col("from_key")))
-    sent = given.select("to_id", "to_key", F.left("text", F.col("need")).alias("head"), F.col("a").alias("b"))
-    sent = sent.groupBy("to_id", "to_key").agg(F.any_value("head").alias("head"), F.any_value("b").alias("b"))
-    met = by_key.join(sent.hint("merge"), F.col("id").eqNullSafe(F.col("to_id")) & (F.col("key") == F.col("to_key")))
+    by_key = docs.withColumn("a", digests(F.col("text"))).repartition("key")  # both uses below read this one shuffle
+    given = by_key.join(links.hint("merge"), F.col("key") == F.col("from"))
+    sent = given.select("to", F.left("text", F.col("need")).alias("head"), F.col("a").alias("b"))
+    sent = sent.groupBy("to").agg(F.any_value("head").alias("head"), F.any_value("b").alias("b"))
+    met = by_key.join(sent.hint("merge"), F.col("key") == F.col("to"))
 
     n = F.length("text")
     edited = met.select("id", n.alias("n_chars"), "a", "b", F.concat(F.left("text", n - F.shiftright(n, 1)), "head").alias("edited"))
     edited = edited.select("id", "n_chars", "a", "b", F.sha2("edited", 256).alias("edited_sha256"), digests(F.col("edited")).alias("e"))
-    sketches = F.struct(F.col("a").alias("a"), F.col("e").alias("e"), F.col("b").alias("b"), *[cells(F.col(c), F.lit(0)).alias(f"c{c}") for c in "aeb"])
+    sketches = F.struct(F.col("a").alias("a"), F.col("e").alias("e"), F.col("b").alias("b"), *[cells(sided(F.col(c), 1), F.lit(0)).alias(f"c{c}") for c in "aeb"])
+
+    def near(s: Column, other: str) -> Column:
+        different = F.size(differences(s["a"], s[other], s["ca"], s[f"c{other}"], turns))
+        return likeness(F.size(s["a"]), F.size(s[other]), different)
 
     def compared(s: Column) -> Column:
         return F.struct(
-            *[F.size(s[c]).alias(f"n_{c}") for c in "aeb"],
-            fingerprint(F.size(s["a"]), s["ca"]).alias("fingerprint"),
-            fingerprint(F.size(s["e"]), s["ce"]).alias("edited_fingerprint"),
-            differences(s["a"], s["e"], s["ca"], s["ce"], turns).alias("edited"),
-            differences(s["a"], s["b"], s["ca"], s["cb"], turns).alias("next"),
+            fingerprint(F.size(s["a"]), s["ca"]).alias("fingerprint"), fingerprint(F.size(s["e"]), s["ce"]).alias("edited_fingerprint"),
+            near(s, "e").alias("near_edited"), near(s, "b").alias("near_next"),
         )
 
-    base = edited.select(F.monotonically_increasing_id().alias("no"), "id", "n_chars", "edited_sha256", bind(sketches, compared).alias("s"))
-    base = stored(base.select("no", "id", "n_chars", "edited_sha256", "s.*"), "sketch-base")
-    found = _finished(base, turns)
-    return found.select(
-        F.col("id").alias(id_col), F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256", "fingerprint", "edited_fingerprint",
-        likeness(F.col("n_a"), F.col("n_e"), F.col("d_edited")).alias("near_edited"),
-        likeness(F.col("n_a"), F.col("n_b"), F.col("d_next")).alias("near_next"),
-    )
+    found = edited.select(F.col("id").alias(id_col), F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256", bind(sketches, compared).alias("s"))
+    return found.select(F.col(f"`{id_col}`"), "n_chars", "edited_sha256", "s.*")
+
+
+def document_key(id_: Column, text: Column) -> Column:
+    """One key per id and text, null ids among them."""
+    return F.unhex(F.md5(F.concat_ws("|", F.md5(text), id_.cast("string"))))
