@@ -11,6 +11,7 @@ from noticeloom.plans.data import GOLD, annotated, documents, quoted
 from noticeloom.operators.notices import ROUTES
 from noticeloom.plans.q_spans import GOLD_SQL
 from noticeloom.session import fresh_folder
+from noticeloom.sources import drops as D
 from noticeloom.sources import extract as X
 from noticeloom.sources import files as S
 
@@ -115,12 +116,24 @@ def src11(spark, folder):
 def src12(spark, folder):
     base = fresh_folder(spark, "named")
     events = table(spark, folder, "events").select("event_id", "event_type")
-    S.write_named_drops(events.filter("event_type = 'click'"), base, "bid", "test_tender_bid_result", 100)
-    S.write_named_drops(events.filter("event_type <> 'click'"), base, "tender", "test_tender_bid", 200)
-    good, _ = S.split_corrupt(S.read_named_drops(spark, f"{base}/*.json", "event_id bigint, event_type string"))
+    D.write_drops(events.filter("event_type = 'click'"), base, "bid", "test_tender_bid_result", 100)
+    D.write_drops(events.filter("event_type <> 'click'"), base, "tender", "test_tender_bid", 200)
+    good, _ = S.split_corrupt(D.read_drops(spark, base, "event_id bigint, event_type string"))
     return good
 
 
+@query("src12_drops_by_name", "SELECT event_id, 'click' AS \"table\" FROM events WHERE event_type = 'click' AND ts >= TIMESTAMP '2024-01-15'")
+def src12_by_name(spark, folder):
+    """One table's drops from a stamp on: the other files are not opened."""
+    base = fresh_folder(spark, "named")
+    events = table(spark, folder, "events").select("event_id", "event_type", (F.col("ts") >= "2024-01-15").alias("late"))
+    for kind, name in (("event_type = 'click'", "click"), ("event_type <> 'click'", "other")):
+        for late, stamp in ((False, 100), (True, 200)):
+            D.write_drops(events.filter(kind).filter(F.col("late") == late).select("event_id"), base, "user", name, stamp)
+    good, _ = S.split_corrupt(D.read_drops(spark, base, "event_id bigint", table="click", since=150))
+    return good.select("event_id", "table")
+
+
 @query("src11_array_records", "SELECT conv_id, turn, md5(text) AS md5 FROM conversations")
 def src11_records(spark, folder):
     turns = table(spark, folder, "conversations")

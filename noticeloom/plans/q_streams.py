@@ -14,7 +14,9 @@ from noticeloom.plans.q_curate import category_scores
 from noticeloom.plans.q_load import NOTICE_TERMS, NOTICES, _notices, _us
 from noticeloom.plans.q_spans import GOLD_SQL, rows_out
 from noticeloom.session import fresh_folder
-from noticeloom.sources.files import CORRUPT, write_named_drops
+from noticeloom.sources.commits import read_all, read_current
+from noticeloom.sources.drops import drop_stream, write_drops
+from noticeloom.sources.files import CORRUPT
 from noticeloom.sources.tables import append_batch, read_latest
 from noticeloom.streaming import jobs as J
 
@@ -40,11 +42,10 @@ def str2(spark, folder):
 def _notice_stream(spark, folder) -> str:
     drops, out = fresh_folder(spark, "in"), fresh_folder(spark, "out")
     notices = _notices(spark, folder)
-    write_named_drops(notices.repartition(2), drops, "bid", "test_tender_bid_result", 100)
-    write_named_drops(notices.filter("title LIKE 'https%'").coalesce(1), drops, "bid", "table_nobody_knows", 300)
-    schema = notices.schema.add(CORRUPT, "string")
+    write_drops(notices, drops, "bid", "test_tender_bid_result", 100)
+    write_drops(notices.filter("title LIKE 'https%'"), drops, "bid", "table_nobody_knows", 300)
     gold = spark.createDataFrame([], "md5 string, label array<struct<start:int,end:int,label:string>>")
-    stream = J.document_stream(spark, drops, schema, max_files=2, latest_first=False)
+    stream = drop_stream(spark, drops, notices.schema)
     query_ = J.notice_stream(
         stream, out, {"bid": gold}, lambda df: df.withColumn("label", phrase_spans(F.col("text"), NOTICE_TERMS)), 2024,
         fresh_folder(spark, "checkpoint"),
@@ -60,15 +61,15 @@ SELECT p.page_id AS id, coalesce(a.winning_bidder, '') AS winning_bidder, CAST((
 )
 def str3(spark, folder):
     out = _notice_stream(spark, folder)
-    parents = read_latest(spark, f"{out}/final_tender_bid_result", ["id"])
-    winners = read_latest(spark, f"{out}/final_winning_bidder/test_tender_bid_result", ["table_name", "announcement_id"])
+    parents = read_current(spark, out, "final_tender_bid_result", ["id"])
+    winners = read_current(spark, out, J.WINNERS, ["table_name", "announcement_id"])
     counts = winners.groupBy(F.col("announcement_id").alias("id")).agg(F.count("*").alias("winners"))
     return parents.select("id", "winning_bidder").join(counts, "id", "left").fillna(0, ["winners"])
 
 
 @query("str3_quarantine", "SELECT page_id AS id, 'table_nobody_knows' AS \"table\" FROM pages WHERE url LIKE 'https%'")
 def str3_quarantine(spark, folder):
-    rows = spark.read.parquet(f"{_notice_stream(spark, folder)}/quarantine")
+    rows = read_all(spark, _notice_stream(spark, folder), "quarantine")
     return rows.select("id", "table")
 
 
@@ -109,15 +110,26 @@ def str5(spark, folder):
     "SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(event_type, (ts, event_id)) AS event_type FROM events GROUP BY 1",
 )
 def str6(spark, folder):
-    """Events in time order, one file per batch: the last event of each user stays."""
-    drops, out = fresh_folder(spark, "in"), fresh_folder(spark, "out")
+    """Events in time order, a third at a time, each a new run from the checkpoint: the last event of each user stays."""
+    drops, out, checkpoint = (fresh_folder(spark, name) for name in ("in", "out", "checkpoint"))
     events = table(spark, folder, "events").select("user_id", "event_id", "event_type", _us("ts").alias("at"))
     cuts = events.select(F.percentile_approx("at", [1 / 3, 2 / 3]).alias("c")).scalar()
     third = F.when(F.col("at") < F.get(cuts, F.lit(0)), 0).when(F.col("at") < F.get(cuts, F.lit(1)), 1).otherwise(2)
     parts = events.withColumn("third", third)
     for i in range(3):
-        write_named_drops(parts.filter(F.col("third") == i).drop("third").coalesce(1), drops, "user", "events", 100 + i)
-    stream = J.document_stream(spark, drops, "user_id bigint, event_id bigint, event_type string, at bigint", 1, latest_first=False)
-    ordered = stream.withColumn("place", F.struct("at", "event_id"))
-    J.upsert_stream(ordered, out, ["user_id"], "place", fresh_folder(spark, "checkpoint")).awaitTermination()
+        write_drops(parts.filter(F.col("third") == i).drop("third"), drops, "user", "events", 100 + i)
+        stream = drop_stream(spark, drops, "user_id bigint, event_id bigint, event_type string, at bigint").drop("task", "table", CORRUPT)
+        J.upsert_stream(stream.withColumn("place", F.struct("at", "event_id")), out, ["user_id"], "place", checkpoint).awaitTermination()
     return read_latest(spark, out, ["user_id"]).select("user_id", "event_id", "event_type")
+
+
+@query("ded1_registry_stream", "SELECT md5(text) AS md5, CAST(any_value(length(text)) AS INTEGER) AS n_chars FROM documents WHERE text IS NOT NULL GROUP BY 1")
+def ded1_stream(spark, folder):
+    """All documents in two runs of which the second brings the first one's rows again: each text enters the registry once."""
+    drops, out, checkpoint = (fresh_folder(spark, name) for name in ("in", "out", "checkpoint"))
+    docs = documents(spark, folder).filter("text IS NOT NULL").select("doc_id", F.md5("text").alias("md5"), F.length("text").alias("n_chars"))
+    for part in (docs.filter("doc_id % 3 = 0"), docs):
+        part.write.mode("append").json(drops)
+        stream = J.document_stream(spark, drops, "doc_id bigint, md5 string, n_chars int")
+        J.registry_stream(stream, out, checkpoint).awaitTermination()
+    return read_all(spark, out, "registry").select("md5", "n_chars")

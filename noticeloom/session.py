@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,6 +55,23 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     return os.path.join(working_folder(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that :func:`fresh_folder` named."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def shared_copy(df: DataFrame, name: str, *by: str) -> Iterator[DataFrame]:
+    """``df`` written once to the shared folder, in sub-folders of the columns ``by``, and removed at the end."""
+    folder = fresh_folder(df.sparkSession, name)
+    try:
+        df.write.partitionBy(*by).parquet(folder)
+        yield df.sparkSession.read.schema(df.schema).parquet(folder)
+    finally:
+        remove_folder(df.sparkSession, folder)
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: later passes read the same rows in the same partitions."""
     context = df.sparkSession.sparkContext

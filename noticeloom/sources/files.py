@@ -1,8 +1,7 @@
-"""Files in and out: documents, lines, delimited tables, named drops, whole pages."""
+"""Files in and out: documents, lines, delimited tables, partitioned drops, whole pages."""
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -74,35 +73,6 @@ def standard_documents(df: DataFrame, task: str, as_of: str, order: str, content
     return distinct_first(rows, ["md5"], [order])
 
 
-def write_named_drops(df: DataFrame, folder: str, task: str, table: str, stamp: int) -> None:
-    """JSON lines written by the executors, then renamed in place to ``task#table#stamp-write-nth.json``.
-
-    The write's own random part keeps writes of the same or a near stamp apart, and a rename that does
-    not happen is an error, so no file can replace another. Renames are one metadata call per file.
-    """
-    spark = df.sparkSession
-    write = uuid.uuid4().hex
-    staging = f"{folder}/_staging-{write}"
-    df.write.json(staging)
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    system = hadoop.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    parts = [f.getPath() for f in system.listStatus(hadoop.Path(staging)) if f.getPath().getName().endswith(".json")]
-    for i, part in enumerate(sorted(parts, key=lambda p: p.getName())):
-        name = f"{task}#{table}#{stamp}-{write}-{i:05d}.json"
-        if not system.rename(part, hadoop.Path(folder, name)):
-            raise OSError(f"{part} could not be renamed to {name}")
-
-
-def read_named_drops(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """JSON lines of files named ``task#table#ts.json``, with task and table from the name."""
-    return with_file_name(read_documents(spark, path, schema))
-
-
-def with_file_name(df: DataFrame) -> DataFrame:
-    name = F.split(F.url_decode(F.col("_metadata.file_name")), "#")
-    return df.select("*", F.get(name, F.lit(0)).alias("task"), F.get(name, F.lit(1)).alias("table"))
-
-
 def read_partitioned_drops(spark: SparkSession, base: str, tables: list[str], schema: str) -> DataFrame:
     """Drops under ``base/<table>/dt=YYYYMMDD/`` of the allowed tables; a filter on dt prunes folders."""
     parts = [

@@ -3,6 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from conftest import tuples
+from noticeloom.sources import drops as D
 from noticeloom.sources import extract as X
 from noticeloom.sources import files as S
 from noticeloom.sources import tables as TB
@@ -47,9 +48,9 @@ def test_standard_documents(spark):
 
 def test_named_drops(spark, tmp_path):
     df = spark.createDataFrame([("1", "a")], "id string, text string")
-    S.write_named_drops(df.coalesce(1), str(tmp_path / "in"), "bid", "test_tender_bid", 7)
+    D.write_drops(df.coalesce(1), str(tmp_path / "in"), "bid", "test_tender_bid", 7)
     assert len(list((tmp_path / "in").glob("bid#test_tender_bid#7-*.json"))) == 1
-    good, _ = S.split_corrupt(S.read_named_drops(spark, str(tmp_path / "in") + "/*.json", "id string, text string"))
+    good, _ = S.split_corrupt(D.read_drops(spark, str(tmp_path / "in"), "id string, text string"))
     assert tuples(good.collect()) == [("1", "a", "bid", "test_tender_bid")]
 
 
@@ -144,7 +145,7 @@ def tuples_of(df):
 def test_near_stamps_keep_every_file(spark, tmp_path):
     folder = str(tmp_path / "drops")
     for stamp in (100, 102, 102):
-        S.write_named_drops(spark.range(8).selectExpr("cast(id as string) id").repartition(4), folder, "bid", "t", stamp)
-    back = S.read_named_drops(spark, folder + "/*.json", "id string")
+        D.write_drops(spark.range(8).selectExpr("cast(id as string) id").repartition(4), folder, "bid", "t", stamp)
+    back = D.read_drops(spark, folder, "id string")
     assert back.count() == 24
     assert {(r["task"], r["table"]) for r in back.select("task", "table").distinct().collect()} == {("bid", "t")}

@@ -5,8 +5,10 @@ from conftest import tuples
 from noticeloom.operators.annotate import annotate, term_matcher
 from noticeloom.operators.spans import phrase_spans
 from noticeloom.plans.notice_load import load_notices
-from noticeloom.sources.files import CORRUPT, write_named_drops
-from noticeloom.sources.tables import read_latest
+from noticeloom.sources import commits as C
+from noticeloom.sources.commits import read_all, read_current
+from noticeloom.sources.drops import drop_stream, write_drops
+from noticeloom.sources.files import CORRUPT
 from noticeloom.streaming import jobs as J
 
 TERMS = [("中标单位", "甲公司"), ("中标单位", "乙公司"), ("项目名称", "大桥"), ("中标金额", "12万元"), ("中标公告编号", "N-1")]
@@ -71,26 +73,25 @@ def test_load_contract_notices(spark):
 def test_notice_stream_equals_batch_and_restarts_clean(spark, tmp_path):
     drops, out, check = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check")
     rows = spark.createDataFrame(ROWS, COLUMNS)
-    write_named_drops(rows.coalesce(1), drops, "bid", "test_tender_bid_result", 1)
-    write_named_drops(rows.limit(1).coalesce(1), drops, "bid", "unknown", 2)
+    write_drops(rows.coalesce(1), drops, "bid", "test_tender_bid_result", 1)
+    write_drops(rows.limit(1).coalesce(1), drops, "bid", "unknown", 2)
     (tmp_path / "in" / "bid#test_tender_bid_result#3.json").write_text("{broken\n")
-    schema = rows.schema.add(CORRUPT, "string")
 
     def run():
-        stream = J.document_stream(spark, drops, schema, 1, latest_first=False)
+        stream = drop_stream(spark, drops, rows.schema)
         J.notice_stream(stream, out, {"bid": gold(spark)}, spans, 2024, check).awaitTermination()
-        parents = read_latest(spark, f"{out}/final_tender_bid_result", ["id"])
-        winners = read_latest(spark, f"{out}/final_winning_bidder/test_tender_bid_result", ["table_name", "announcement_id"])
+        parents = read_current(spark, out, "final_tender_bid_result", ["id"])
+        winners = read_current(spark, out, J.WINNERS, ["table_name", "announcement_id"])
         return tuples(parents.select("id", "winning_bidder", "is_full_data").collect()), tuples(winners.select("announcement_id", "winning_bidder").collect())
 
     parents, winners = load_notices(spark.createDataFrame(ROWS, COLUMNS), "test_tender_bid_result", gold(spark), spans, 2024)
     want = tuples(parents.select("id", "winning_bidder", "is_full_data").collect()), tuples(winners.select("announcement_id", "winning_bidder").collect())
     assert run() == want
-    bad = spark.read.parquet(f"{out}/quarantine")
+    bad = read_all(spark, out, "quarantine")
     assert sorted((r["table"], r[CORRUPT]) for r in bad.collect()) == [("test_tender_bid_result", "{broken"), ("unknown", None)]
     assert run() == want
     again = spark.createDataFrame([(*ROWS[0][:2], "<p>乙公司</p>", *ROWS[0][3:])], COLUMNS)
-    write_named_drops(again.coalesce(1), drops, "bid", "test_tender_bid_result", 9)
+    write_drops(again.coalesce(1), drops, "bid", "test_tender_bid_result", 9)
     got = run()
     assert got[1] == [("1", "乙公司")] and len(got[0]) == 3
 
@@ -109,18 +110,209 @@ def test_restart_adds_no_rows_and_archives(spark, tmp_path):
 def test_a_failing_batch_does_not_stop_the_stream(spark, tmp_path):
     drops, out, check = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check")
     rows = spark.createDataFrame(ROWS, COLUMNS)
-    write_named_drops(rows.limit(1).coalesce(1), drops, "tender", "test_tender_bid", 1)  # no gold for its task
-    write_named_drops(rows.coalesce(1), drops, "bid", "test_tender_bid_result", 2)
+    write_drops(rows.limit(1).coalesce(1), drops, "tender", "test_tender_bid", 1)  # no gold for its task
     poison = spark.createDataFrame([("9", *ROWS[0][1:2], "<p>poison</p>", *ROWS[0][3:])], COLUMNS)
-    write_named_drops(poison.coalesce(1), drops, "bid", "test_tender_bid_result", 3)
 
     def fragile(df):
         broken = F.when(F.contains("text", F.lit("poison")), F.raise_error(F.lit("model broke")))
         return spans(df.withColumn("text", F.coalesce(broken.cast("string"), F.col("text"))))
 
-    stream = J.document_stream(spark, drops, rows.schema.add(CORRUPT, "string"), 1, latest_first=False)
-    J.notice_stream(stream, out, {"bid": gold(spark)}, fragile, 2024, check).awaitTermination()
-    assert read_latest(spark, f"{out}/final_tender_bid_result", ["id"]).count() == len(ROWS)
-    failed = spark.read.parquet(f"{out}/failed/test_tender_bid_result").collect()
+    for drop in (poison, None):  # one batch with the poison, one without
+        if drop is not None:
+            write_drops(drop.coalesce(1), drops, "bid", "test_tender_bid_result", 3)
+        else:
+            write_drops(rows.coalesce(1), drops, "bid", "test_tender_bid_result", 4)
+        J.notice_stream(drop_stream(spark, drops, rows.schema), out, {"bid": gold(spark)}, fragile, 2024, check).awaitTermination()
+    assert read_current(spark, out, "final_tender_bid_result", ["id"]).count() == len(ROWS)
+    failed = read_all(spark, out, "failed/test_tender_bid_result").collect()
     assert [r["id"] for r in failed] == ["9"] and "model broke" in failed[0]["reason"]
-    assert "KeyError" in spark.read.parquet(f"{out}/failed/test_tender_bid").first()["reason"]
+    assert "KeyError" in read_all(spark, out, "failed/test_tender_bid").first()["reason"]
+
+
+class Killed(BaseException):
+    """The process ends here: nothing below may catch it."""
+
+
+def test_parents_and_winners_come_together_or_not_at_all(spark, tmp_path, monkeypatch):
+    store, frames = str(tmp_path / "store"), {}
+    parents = spark.createDataFrame([("1", "old")], "id string, v string")
+    frames = {"parents": parents, "winners": parents.withColumnRenamed("v", "w")}
+    assert C.commit(spark, store, "run:0", frames)
+
+    def killed(*_):
+        raise Killed
+
+    newer = {name: df.select("id", F.lit("new").alias(df.columns[1])) for name, df in frames.items()}
+    with monkeypatch.context() as patch:
+        patch.setattr(C, "_publish", killed)  # both tables are written, nothing is published
+        with pytest.raises(Killed):
+            C.commit(spark, store, "run:1", newer)
+    one = {"parents": newer["parents"], "winners": newer["winners"].withColumn("w", F.raise_error(F.lit("lost")))}
+    with pytest.raises(Exception, match="lost"):
+        C.commit(spark, store, "run:1", one)  # the second table fails after the first one is written
+
+    def state():
+        return [read_current(spark, store, t, ["id"]).first()[1] for t in ("parents", "winners")]
+
+    assert state() == ["old", "old"]
+    assert C.commit(spark, store, "run:1", newer) and state() == ["new", "new"]
+    assert not C.commit(spark, store, "run:1", frames) and state() == ["new", "new"]  # a replay changes nothing
+    assert C.sweep(spark, store, "parents", 1 << 62) == 2 and state() == ["new", "new"]
+
+
+def test_loads_that_publish_at_once_take_different_numbers(spark, tmp_path, monkeypatch):
+    store, plain = str(tmp_path / "store"), C.commits
+    df = spark.createDataFrame([("1", "a")], "id string, v string")
+    stale = []
+
+    def seen_before(*args):  # the first look is older than a load published meanwhile
+        if not stale:
+            stale.append(plain(*args))
+            C_publish_other()
+            return stale[0]
+        return plain(*args)
+
+    def C_publish_other():
+        monkeypatch.setattr(C, "commits", plain)
+        C.commit(spark, store, "other:0", {"t": df.withColumn("v", F.lit("other"))})
+        monkeypatch.setattr(C, "commits", seen_before)
+
+    C.commit(spark, store, "first:0", {"t": df})
+    publish = C._publish
+
+    def racing(*args):
+        monkeypatch.setattr(C, "commits", seen_before)
+        return publish(*args)
+
+    monkeypatch.setattr(C, "_publish", lambda *a: publish(*a) if a[2].startswith("other") else racing(*a))
+    assert C.commit(spark, store, "mine:0", {"t": df.withColumn("v", F.lit("mine"))})
+    monkeypatch.undo()
+    assert [(c.number, c.load) for c in C.commits(spark, store)] == [(1, "first:0"), (2, "other:0"), (3, "mine:0")]
+    assert read_current(spark, store, "t", ["id"]).first()["v"] == "mine"
+
+
+def test_compaction_and_marks_of_keys_that_go(spark, tmp_path):
+    store = str(tmp_path / "store")
+
+    def rows(*pairs):
+        return spark.createDataFrame(pairs, "id string, v string")
+
+    assert read_current(spark, store, "t", ["id"]) is None and not C.compact(spark, store, "t", ["id"])
+    C.commit(spark, store, "a", {"t": rows(("1", "a"), ("1", "b"), ("2", "c"), (None, "n"))})
+    C.commit(spark, store, "b", {"t": C.with_gone(rows(("3", "d")), ["id"], rows(("1", ""), ("3", "")))})
+    want = [("2", "c"), ("3", "d")]
+
+    def current():
+        return sorted(tuple(r) for r in read_current(spark, store, "t", ["id"]).collect() if r["id"])
+
+    assert current() == want
+    assert C.compact(spark, store, "t", ["id"]) and current() == want
+    C.commit(spark, store, "c", {"t": rows(("2", "e"))})
+    assert current() == [("2", "e"), ("3", "d")] and not C.commit(spark, store, "a", {"t": rows(("9", "z"))})
+    assert C.sweep(spark, store, "t", 1 << 62) == 2 and current() == [("2", "e"), ("3", "d")]
+    assert read_current(spark, store, "t", ["id"]).filter("id IS NULL").count() == 1
+
+
+def test_notice_stream_killed_between_two_tables(spark, tmp_path, monkeypatch):
+    drops, out, check = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check")
+    rows = spark.createDataFrame(ROWS, COLUMNS)
+    write_drops(rows.coalesce(1), drops, "bid", "test_tender_bid_result", 1)
+
+    def run():
+        J.notice_stream(drop_stream(spark, drops, rows.schema), out, {"bid": gold(spark)}, spans, 2024, check).awaitTermination()
+
+    def killed(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(C, "_publish", killed)  # nothing can be published any more, not even the rows that are set aside
+        with pytest.raises(Exception, match="killed"):
+            run()
+    assert read_current(spark, out, "final_tender_bid_result", ["id"]) is None and read_current(spark, out, J.WINNERS, ["announcement_id"]) is None
+    run()
+    run()
+    assert read_current(spark, out, "final_tender_bid_result", ["id"]).count() == 3
+    assert read_all(spark, out, J.WINNERS).count() == 2
+
+
+def test_registry_stream_equals_batch_over_restarts(spark, tmp_path):
+    drops, out, check = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check")
+    parts = [[("a", "2024-01-03"), ("b", "2024-01-03"), ("a", "2024-01-01")], [("c", "1999-01-01"), ("a", "2024-01-04"), (None, "x")], [("b", "1990-01-01"), ("d", None), (None, "y"), ("d", "z")]]
+
+    def run(keep):
+        stream = J.document_stream(spark, drops, "md5 string, time string", max_files=1, latest_first=False)
+        J.registry_stream(stream, out, check, keep=keep).awaitTermination()
+        return sorted((r["md5"] or "" for r in read_all(spark, out, "registry").collect()))
+
+    seen = set()
+    for i, part in enumerate(parts):  # with no time to keep, only the table can know the earlier rows
+        spark.createDataFrame(part, "md5 string, time string").coalesce(1).write.mode("append").json(drops)
+        seen |= {m or "" for m, _ in part}
+        assert run("0 seconds") == sorted(seen)
+    assert run("0 seconds") == sorted(seen)
+
+
+def test_registry_state_expires(spark, tmp_path):
+    drops, out, check = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check")
+    held = []
+    for i in range(4):
+        spark.range(i * 100, i * 100 + 150).selectExpr("cast(id as string) md5").coalesce(1).write.mode("append").json(drops)
+        query = J.registry_stream(J.document_stream(spark, drops, "md5 string"), out, check, keep="1 second")
+        query.awaitTermination()
+        held.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert sorted(int(r["md5"]) for r in read_all(spark, out, "registry").collect()) == list(range(450))
+    assert max(held) < 450
+
+
+def test_drop_source_reads_by_name_and_in_ranges(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    for table, stamp in (("a", 1), ("a", 5), ("b", 5)):
+        write_drops(spark.range(stamp * 1000, stamp * 1000 + 500).selectExpr("id", "repeat('é\n', id % 7) AS t").repartition(3), folder, "bid", table, stamp)
+    (tmp_path / "in" / "bid#broken.json").write_text('{"id": 1, "t": "x"}\n\n{oops')
+    from noticeloom.sources.drops import read_drops
+
+    for split in (64 << 20, 1700):
+        got = read_drops(spark, folder, "id bigint, t string", table="a", since=2, splitBytes=split).collect()
+        assert sorted(r["id"] for r in got) == list(range(5000, 5500)) and all(r["t"] == "é\n" * (r["id"] % 7) and r["table"] == "a" for r in got)
+    every = read_drops(spark, folder, "id bigint, t string")
+    assert every.count() == 1502 and [r[CORRUPT] for r in every.filter(f"{CORRUPT} IS NOT NULL").collect()] == ["{oops"]
+    assert read_drops(spark, str(tmp_path / "nowhere"), "id bigint").count() == 0
+
+
+def test_drop_stream_bounds_batches_finds_late_stamps_and_archives(spark, tmp_path):
+    drops, out, check, done = (str(tmp_path / n) for n in ("in", "out", "check", "done"))
+    one = spark.range(1).selectExpr("id")
+    for stamp in range(10, 15):
+        write_drops(one.selectExpr(f"{stamp} AS id"), drops, "t", "x", stamp)
+
+    def start(trigger):
+        stream = drop_stream(spark, drops, "id bigint", maxFiles=2, archive=done)
+        return stream.select("id").writeStream.format("parquet").option("path", out).option("checkpointLocation", check).trigger(**trigger).start()
+
+    def ids():
+        return sorted(r["id"] for r in spark.read.parquet(out).collect())
+
+    query = start({"processingTime": "0 seconds"})
+    query.processAllAvailable()
+    assert ids() == [10, 11, 12, 13, 14]
+    for stamp in (3, 20, 21, 22, 23):  # the first has a stamp below those already read
+        write_drops(one.selectExpr(f"{stamp} AS id"), drops, "t", "x", stamp)
+    query.processAllAvailable()
+    batches = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+    query.stop()
+    assert ids() == [3, 10, 11, 12, 13, 14, 20, 21, 22, 23] and max(batches[1:]) <= 2
+    assert len(list((tmp_path / "done").iterdir())) >= 8
+    write_drops(one.selectExpr("30 AS id"), drops, "t", "x", 30)
+    start({"availableNow": True}).awaitTermination()
+    start({"availableNow": True}).awaitTermination()
+    assert ids() == [3, 10, 11, 12, 13, 14, 20, 21, 22, 23, 30]
+
+
+def test_low_water_mark(spark, tmp_path):
+    from noticeloom.sources.drops import read_drops, top_up, waiting
+
+    folder = str(tmp_path / "in")
+    source = spark.range(100).selectExpr("id", "id * 2 AS v")
+    written = [top_up(spark.range(i * 10, i * 10 + 10), source.coalesce(1), folder, "t", "x", i, low=3) for i in range(5)]
+    assert written == [True, True, True, False, False] and waiting(folder) == 3
+    assert sorted(r["id"] for r in read_drops(spark, folder, "id bigint, v bigint").collect()) == list(range(30))
