@@ -6,17 +6,15 @@ from collections.abc import Callable, Iterator
 
 import ahocorasick
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticeloom.functions.arrays import SPAN_TYPE, empty, unnest
-from noticeloom.operators.spans import occurrences
+from noticeloom.functions.arrays import SPAN_TYPE, empty
+from noticeloom.operators.terms import term_hits
 
 Spans = list[tuple[int, int, str]]
 Annotator = Callable[[list[str]], list[Spans]]
 
-GRAM = 8  # characters of a term by which it is looked up
-
 
 def annotate(df: DataFrame, make: Callable[[], Annotator], text: str = "text", label: str = "label") -> DataFrame:
     """Texts to spans by a model.
@@ -71,27 +69,13 @@ def term_matcher(terms: list[tuple[str, str]]) -> Callable[[], Annotator]:
 
 
 def annotate_with_terms(df: DataFrame, terms: DataFrame, text: str = "text", label: str = "label") -> DataFrame:
-    """Spans of a (label, term) table of any size.
+    """Spans of a (label, term) table of any size, on the rows of their texts.
 
-    Terms are keyed by their first ``GRAM`` characters, shorter ones by themselves. The distinct grams of
-    each text meet the keys in a join that carries no text; a text's candidates then come to its row by
-    the text's digest, where each is looked for in full. So a row's spans depend on its text alone,
-    whatever its id, and neither side passes through the driver.
+    Occurrences are found by :func:`noticeloom.operators.terms.term_hits`, which carries no text; they come
+    to the rows by the text's digest, so a row's spans depend on its text alone, whatever its id.
     """
-    clean = terms.select("label", "term").filter(F.length("term") > 0).distinct()
-    keyed = clean.withColumn("_gram", F.substring("term", 1, GRAM))
-    sizes = keyed.agg(F.collect_set(F.length("_gram"))).scalar()  # at most GRAM numbers
-
-    def grams(size: int) -> Column:
-        found = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), 1)
-        return F.when(F.array_contains(sizes, size), found).otherwise(empty("array<string>"))
-
-    key = F.md5(text)
-    every = F.array_distinct(F.flatten(F.array(*[grams(n) for n in range(1, GRAM + 1)])))
-    held = unnest(df.select(key.alias("_key"), text), ["_key"], every, "_gram").distinct()
-    pattern = F.concat(F.lit("\\Q"), F.replace("term", F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
-    candidate = F.struct("label", "term", pattern.alias("pattern"))
-    listed = held.join(keyed, "_gram").groupBy("_key").agg(F.collect_list(candidate).alias("_terms"))
-    spans = F.flatten(F.transform("_terms", lambda t: occurrences(F.col(text), t["term"], t["pattern"], t["label"])))
-    joined = df.withColumn("_text_key", key).join(listed, F.col("_text_key") == F.col("_key"), "left")
-    return joined.withColumn(label, F.coalesce(F.sort_array(spans), empty(SPAN_TYPE))).drop("_text_key", "_key", "_terms")
+    keyed = df.withColumn("_text_key", F.md5(text))
+    hits = term_hits(keyed, terms, ["_text_key"], text)
+    spans = hits.groupBy(F.col("_text_key").alias("_key")).agg(F.collect_set(F.struct("start", "end", "label")).alias("_spans"))
+    joined = keyed.join(spans, F.col("_text_key") == F.col("_key"), "left")
+    return joined.withColumn(label, F.coalesce(F.sort_array("_spans"), empty(SPAN_TYPE))).drop("_text_key", "_key", "_spans")

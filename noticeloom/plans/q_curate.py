@@ -10,6 +10,7 @@ from noticeloom.operators import curate as C
 from noticeloom.operators import lookup as L
 from noticeloom.operators import ranking as K
 from noticeloom.operators import spans as S
+from noticeloom.operators.intervals import overlapping
 from noticeloom.operators.notices import ROUTES, routes, tag_routes
 from noticeloom.plans.catalog import query, table
 from noticeloom.plans.data import GOLD, PRED, SEED, annotated, documents, spans_sql
@@ -415,3 +416,27 @@ def cats_scalar(spark, folder):
     known = docs.withColumn("universe", C.label_universe(docs, "lang"))
     hot = known.select(C.one_hot(F.array("lang"), F.col("universe")).alias("cats"))
     return C.category_counts(hot)
+
+
+@query(
+    "jn8_overlapping_intervals",
+    """WITH o AS (SELECT o_custkey % 50 AS k, datediff('day', DATE '1990-01-01', CAST(o_orderdate AS DATE)) AS s, CASE WHEN o_orderkey % 500 = 1 THEN 1500 ELSE 1 END AS n FROM orders),
+l AS (SELECT l_partkey % 50 AS k, datediff('day', DATE '1990-01-01', CAST(l_shipdate AS DATE)) AS s, CASE WHEN l_orderkey % 900 = 1 THEN 2500 ELSE l_linenumber END AS n FROM lineitem)
+SELECT o.k, count(*) AS pairs, CAST(sum(least(o.s + o.n, l.s + l.n) - greatest(o.s, l.s)) AS BIGINT) AS days
+FROM o JOIN l ON o.k = l.k AND o.s < l.s + l.n AND l.s < o.s + o.n GROUP BY 1""",
+)
+def jn8_intervals(spark, folder):
+    """Spans of one day and of years in both tables: days that orders and deliveries have in common."""
+    def days(column):
+        return F.datediff(F.to_date(column), F.lit("1990-01-01")).cast("long")
+
+    orders = table(spark, folder, "orders").select(
+        (F.col("o_custkey") % 50).alias("k"), days("o_orderdate").alias("start"), F.when(F.col("o_orderkey") % 500 == 1, 1500).otherwise(1).alias("n")
+    )
+    items = table(spark, folder, "lineitem").select(
+        (F.col("l_partkey") % 50).alias("k"), days("l_shipdate").alias("r_start"), F.when(F.col("l_orderkey") % 900 == 1, 2500).otherwise(F.col("l_linenumber")).alias("m")
+    )
+    left = orders.select("k", "start", (F.col("start") + F.col("n")).alias("end"))
+    right = items.select("k", "r_start", (F.col("r_start") + F.col("m")).alias("r_end"))
+    common = F.least("end", "r_end") - F.greatest("start", "r_start")
+    return overlapping(left, right, ["k"], top=9).groupBy("k").agg(F.count("*").alias("pairs"), F.sum(common).alias("days"))

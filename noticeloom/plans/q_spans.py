@@ -10,6 +10,8 @@ from noticeloom.operators import bio as B
 from noticeloom.operators import relations as R
 from noticeloom.operators import spans as S
 from noticeloom.operators.annotate import annotate, annotate_with_terms, term_matcher
+from noticeloom.operators.terms import term_hits
+from noticeloom.operators.tokens import merged_tokens, token_spans
 from noticeloom.plans.catalog import query, table
 from noticeloom.plans.data import GOLD, GOLD_LABELS, PRED, SEED, annotated, documents, quoted, spans_sql, with_md5
 
@@ -42,7 +44,18 @@ def spn1_terms(spark, folder):
     terms = table(spark, folder, "benchmark").select(
         F.concat(F.lit("item_"), F.col("item_id").cast("string")).alias("label"), F.col("text").alias("term")
     )
-    return rows_out(annotate_with_terms(documents(spark, folder).select("doc_id", "text"), terms), "doc_id")
+    return term_hits(documents(spark, folder).select("doc_id", "text"), terms, ["doc_id"])
+
+
+@query(
+    "spn1_annotated_rows",
+    """SELECT d.doc_id, count(DISTINCT b.item_id) AS items FROM documents d LEFT JOIN benchmark b ON contains(d.text, b.text) GROUP BY 1""",
+)
+def spn1_rows(spark, folder):
+    """Every document with the number of benchmark passages that it holds."""
+    terms = table(spark, folder, "benchmark").select(F.col("item_id").cast("string").alias("label"), F.col("text").alias("term"))
+    rows = annotate_with_terms(documents(spark, folder).select("doc_id", "text"), terms)
+    return rows.select("doc_id", F.size(F.array_distinct(F.transform("label", lambda s: s["label"]))).cast("long").alias("items"))
 
 
 @query("spn2_phrase_spans", f'{GOLD_SQL} SELECT doc_id, pos, "start", "end", label FROM spans')
@@ -238,19 +251,34 @@ def runs_sql(p: str = "") -> str:
 RUNS_SQL = runs_sql()
 
 
+def _token_rows(spark, folder):
+    return B.tag_rows(tagged(spark, folder), ["doc_id"])
+
+
+@query("spn12_token_rows", f'WITH {TAGS_SQL}, {RUNS_SQL} SELECT doc_id, "start", "end", label FROM runs')
+def spn12_rows(spark, folder):
+    """The same spans from one row per character, in cells that a long document fills many of."""
+    return token_spans(_token_rows(spark, folder), ["doc_id"], cell=64)
+
+
 @query("spn12_tag_spans", f'WITH {TAGS_SQL}, {RUNS_SQL} SELECT doc_id, "start", "end", label FROM runs')
 def spn12(spark, folder):
     return rows_out(tagged(spark, folder).withColumn("label", B.tag_spans(F.col("tags"))).select("doc_id", "label"), "doc_id")
 
 
-@query(
-    "spn13_merge_tokens",
-    f"""WITH {TAGS_SQL}, tok AS (SELECT doc_id, i, tag, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS rn FROM tagged WHERE tag <> 'O'),
+SPN13_SQL = f"""WITH {TAGS_SQL}, tok AS (SELECT doc_id, i, tag, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS rn FROM tagged WHERE tag <> 'O'),
 g AS (SELECT *, sum(CASE WHEN rn = 1 OR tag LIKE 'B-%' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM tok),
 h AS (SELECT doc_id, run, min(i) AS first, arg_min(substring(tag, 3), i) AS label FROM g GROUP BY 1, 2)
 SELECT h.doc_id, CAST(h.first AS INTEGER) AS "start", CAST(max(g.i) + 1 AS INTEGER) AS "end", h.label
-FROM h JOIN g ON g.doc_id = h.doc_id AND g.run = h.run AND substring(g.tag, 3) = h.label GROUP BY 1, 2, 4""",
-)
+FROM h JOIN g ON g.doc_id = h.doc_id AND g.run = h.run AND substring(g.tag, 3) = h.label GROUP BY 1, 2, 4"""
+
+
+@query("spn13_token_rows", SPN13_SQL)
+def spn13_rows(spark, folder):
+    return merged_tokens(_token_rows(spark, folder), ["doc_id"], cell=64)
+
+
+@query("spn13_merge_tokens", SPN13_SQL)
 def spn13(spark, folder):
     docs = tagged(spark, folder).select("doc_id", B.token_slices(F.col("tags")).alias("tokens"))
     return rows_out(docs.withColumn("label", B.merge_tokens(F.col("tokens"))), "doc_id")

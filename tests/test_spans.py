@@ -1,9 +1,13 @@
 import random
 
+import numpy as np
+
 from pyspark.sql import functions as F
 
 from conftest import tuples
 from noticeloom.operators import spans as S
+from noticeloom.operators import terms as TM
+from noticeloom.operators.terms import term_hits
 from noticeloom.operators.annotate import annotate, annotate_with_terms, term_matcher
 
 
@@ -43,6 +47,34 @@ def test_term_table(spark):
     assert all(r["label"] == [] for r in none.collect())
 
 
+def test_many_terms_of_one_prefix(spark):
+    rng = random.Random(9)
+    terms = sorted({"https://a.b/" + "".join(rng.choices("xy中1", k=rng.randint(0, 9))) for _ in range(4000)} | {"y", "x中", "aa" * 40})
+    texts = [" ".join(rng.choices(terms, k=rng.randint(0, 30))) + "a" * rng.randint(0, 200) for _ in range(40)] + [None, "", "中" * 300_000 + terms[7]]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string").repartition(3)
+    known = [(str(i % 97), t) for i, t in enumerate(terms)] + [("again", terms[3])]
+    got = tuples(term_hits(df, spark.createDataFrame(known, "label string, term string"), ["id"]).collect())
+    want = sorted((i, *s) for i, t in enumerate(texts) for s in found(t or "", known))
+    assert got == want
+
+
+def test_candidates_beyond_the_hits_are_few():
+    rng = random.Random(10)
+    terms = ["prefix--" + "".join(rng.choices("abcdefgh", k=8)) for _ in range(2000)]
+    maps = [np.zeros(1 << (bits - 6), np.uint64) for bits in (TM.GRAM_BITS, TM.TERM_BITS)]
+    for term in terms:
+        prefixes = TM.Prefixes(16)
+        sums = prefixes.of(TM._codes(term))
+        for words, n, bits in ((maps[0], 8, TM.GRAM_BITS), (maps[1], 16, TM.TERM_BITS)):
+            for turn in range(2):
+                place = int(TM._place(prefixes.parts(sums, np.zeros(1, np.int64), n), bits, turn)[0])
+                words[place >> 6] |= np.uint64(1 << (place & 63))
+    known = TM.Known(*maps, [16])
+    text = " ".join("prefix--" + "".join(rng.choices("abcdefgh", k=8)) for _ in range(20000)) + terms[0]
+    hits = known.hits(text)
+    assert terms[0] in {t for *_, t in hits} and len(hits) < 30
+
+
 def test_term_with_regex_text(spark):
     df = spark.createDataFrame([(1, r"a.b\Ec a.b")], "id int, text string")
     got = df.select(S.phrase_spans(F.col("text"), [("x", "a.b"), ("y", r"\E")]).alias("l")).first()["l"]
