@@ -1,13 +1,14 @@
 """Document fingerprints as invertible Bloom lookup sketches of paragraph digests. DataFrame functions only.
 
-A text's paragraphs are its lines, cut after sentence ends and after ``PIECE_WORDS`` words, so that an edit
-changes digests near it only; words of over ``LONG_WORD`` characters are cut as well. Each distinct 64-bit
+A text's paragraphs are its lines, of which long ones are cut after a sentence of at least ``LEAST_WORDS``
+words or after ``MOST_WORDS``, so that an edit changes digests of its line only; words of over ``LONG_WORD``
+characters are cut as well. Each distinct 64-bit
 digest is added to three cells of the sketch: the cell keeps the exclusive or of its digests, that of their
 checks, and their number. The sketch of the newer version is subtracted from that of the older one, so
 that digests of both vanish. A cell left with one digest names it; taking it out of its other two cells lays
 bare more of them, until the sketch is empty and all differing digests are known.
 
-A sketch of fixed size holds about ten differences. Where peeling gets stuck, the pair is tried again with a
+A sketch of fixed size holds about five differences. Where peeling gets stuck, the pair is tried again with a
 larger one: digests are dealt by fresh hash bits over up to 64 sketches, each of which is peeled by
 itself and dealt again if it gets stuck. The first turns run inside the row; what is left after them
 (texts of millions of paragraphs) goes on as rows of its own until nothing is stuck.
@@ -31,15 +32,17 @@ from noticeloom.functions.arrays import bind, empty
 from noticeloom.llm.common import stored
 from noticeloom.operators.ranking import number_rows
 
-PIECE_WORDS = 16
+LEAST_WORDS, MOST_WORDS = 16, 40  # of a paragraph that is not the last of its line
 LONG_WORD = 64
-SEGMENTS, SLOTS = 3, 8  # a digest has one cell in each segment
+SEGMENTS, SLOTS = 3, 4  # a digest has one cell in each segment
 ROUNDS = 12
-PER_SKETCH = 8  # digests of both sides that a larger attempt gives to a sketch
+PER_SKETCH = 4  # digests of both sides that a larger attempt gives to a sketch
 SPREAD_BITS = 6  # a stuck unit is dealt over up to two to this many sketches
 TURNS = 12
 _WORD = r"[^\x20\x09-\x0D]"
-PIECE = rf"(?:{_WORD}{{1,{LONG_WORD}}}+(?<![.!?])[\x20\x09]++(?={_WORD})){{0,{PIECE_WORDS - 1}}}+{_WORD}{{1,{LONG_WORD}}}+"
+_ONE = rf"{_WORD}{{1,{LONG_WORD}}}+"
+_MORE = rf"[\x20\x09]++(?={_WORD})"
+PIECE = rf"(?:{_ONE}{_MORE}){{0,{LEAST_WORDS - 1}}}+(?:{_ONE}(?<![.!?]){_MORE}){{0,{MOST_WORDS - LEAST_WORDS}}}+{_ONE}"
 FOUND = "array<struct<digest:bigint,side:int>>"
 UNITS = "array<array<struct<digest:bigint,side:int>>>"
 
@@ -58,7 +61,7 @@ def _placed(found: Column, turn: Column) -> Column:
     """Digests with their cells, one in each segment, by the hash of this turn."""
     def place(d: Column) -> Column:
         h = F.xxhash64(d["digest"], turn)
-        numbers = [h.bitwiseAND(F.lit(SLOTS - 1)) if not j else F.shiftright(h, 3 * j).bitwiseAND(F.lit(SLOTS - 1)) + j * SLOTS for j in range(SEGMENTS)]
+        numbers = [F.shiftright(h, 3 * j).bitwiseAND(F.lit(SLOTS - 1)) + j * SLOTS for j in range(SEGMENTS)]
         return F.struct(d["digest"].alias("digest"), d["side"].alias("side"), *[n.cast("int").alias(f"c{j}") for j, n in enumerate(numbers)])
 
     return F.transform(found, place)
@@ -202,17 +205,17 @@ def version_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str =
     numbered = stored(number_rows(keys, ["id", "key"], "place"), "sketch-places")
     total = numbered.agg(F.max("place")).first()[0] or 1
     giver = numbered.select(F.col("key").alias("from"), (F.col("place") % total + 1).alias("place"))
-    taker = numbered.select("place", F.col("key").alias("to"), F.shiftright("n", 1).alias("need"))
+    taker = numbered.select("place", F.col("key").alias("to"), F.col("id").alias("to_id"), F.shiftright("n", 1).alias("need"))
     links = stored(giver.join(taker, "place").drop("place"), "sketch-links")
 
-    by_key = docs.withColumn("a", digests(F.col("text"))).repartition("key")  # both uses below read this one shuffle
+    by_key = docs.select("key", "text", digests(F.col("text")).alias("a")).repartition("key")  # both uses below read this one shuffle
     given = by_key.join(links.hint("merge"), F.col("key") == F.col("from"))
-    sent = given.select("to", F.left("text", F.col("need")).alias("head"), F.col("a").alias("b"))
-    sent = sent.groupBy("to").agg(F.any_value("head").alias("head"), F.any_value("b").alias("b"))
+    sent = given.select("to", "to_id", F.left("text", F.col("need")).alias("head"), F.col("a").alias("b"))
+    sent = sent.groupBy("to").agg(*[F.any_value(c).alias(c) for c in ("to_id", "head", "b")])
     met = by_key.join(sent.hint("merge"), F.col("key") == F.col("to"))
 
     n = F.length("text")
-    edited = met.select("id", n.alias("n_chars"), "a", "b", F.concat(F.left("text", n - F.shiftright(n, 1)), "head").alias("edited"))
+    edited = met.select(F.col("to_id").alias("id"), n.alias("n_chars"), "a", "b", F.concat(F.left("text", n - F.shiftright(n, 1)), "head").alias("edited"))
     edited = edited.select("id", "n_chars", "a", "b", F.sha2("edited", 256).alias("edited_sha256"), digests(F.col("edited")).alias("e"))
     sketches = F.struct(F.col("a").alias("a"), F.col("e").alias("e"), F.col("b").alias("b"), *[cells(sided(F.col(c), 1), F.lit(0)).alias(f"c{c}") for c in "aeb"])
 
