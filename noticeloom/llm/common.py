@@ -12,6 +12,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 ROW = "__llm_row"
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, whatever their names."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: cuts lineage and fixes the rows for later passes."""
     spark = df.sparkSession

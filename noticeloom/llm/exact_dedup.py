@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from noticeloom.llm.common import ROW, SPACE, stored, text_of, with_rows
+from noticeloom.llm.common import ROW, SPACE, columns_of, stored, text_of, with_rows
 
 CAPACITY = 4096  # texts a bucket holds before it is split
 
@@ -110,4 +110,4 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
     """The rows that stay, one per distinct text, with the columns of ``df``."""
     rows = with_rows(df, "dedup-rows")
     found = _look_up(rows, id_col, text_col, F.col(ROW), capacity)
-    return rows.join(found.select(F.col("best.row").alias(ROW)).distinct(), ROW, "left_semi").select(df.columns)
+    return rows.join(found.select(F.col("best.row").alias(ROW)).distinct(), ROW, "left_semi").select(columns_of(df))

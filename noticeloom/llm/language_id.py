@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from noticeloom.llm.common import columns_of
+
 UNKNOWN = "und"
 BUCKET_BITS = 16
 ORDERS = (1, 2, 3)
@@ -147,4 +149,4 @@ def keep_known(df: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
     """The rows of ``df`` whose language was told with a posterior of ``min_score``; the rest are rejected."""
     lang, score = "__llm_lang", "__llm_score"
     found = identify(df, model, text_col, lang, score)
-    return found.filter((F.col(lang) != UNKNOWN) & (F.col(score) >= min_score)).select(df.columns)
+    return found.filter((F.col(lang) != UNKNOWN) & (F.col(score) >= min_score)).select(columns_of(df))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticeloom.llm.common import ROW, WORD, stored, text_of, with_rows
+from noticeloom.llm.common import ROW, WORD, columns_of, stored, text_of, with_rows
 from noticeloom.operators.ranking import number_rows
 
 WEIGHTS = (3, 1, 2)
@@ -191,5 +191,5 @@ def mix(df: DataFrame, **options) -> DataFrame:
     rows = with_rows(df, "mixing-rows")
     taken = mixed(rows, row_col=ROW, **options).filter(F.col("copies") > 0).select(ROW, F.col("copies").alias("__llm_copies"))
     many = rows.join(taken, ROW).withColumn("__llm_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__llm_copies"))))
-    return many.select(df.columns)
+    return many.select(columns_of(df))
 

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noticeloom.llm.common import ROW, stored, text_of, with_rows
+from noticeloom.llm.common import ROW, columns_of, stored, text_of, with_rows
 
 NUMBER = "__llm_number"
 WORDS = 5
@@ -305,4 +305,4 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     members = stored(found.join(ids, "no"), "near-members")
     first = members.groupBy("component").agg(F.min(F.struct(F.col("own").isNull().alias("last"), "own", "no")).alias("first"))
     dropped = members.join(first.select(F.col("first.no").alias("no")), "no", "left_anti").select(F.col("no").alias("__llm_no"))
-    return numbered.join(dropped, F.col(NUMBER) == F.col("__llm_no"), "left_anti").select(df.columns)
+    return numbered.join(dropped, F.col(NUMBER) == F.col("__llm_no"), "left_anti").select(columns_of(df))

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticeloom.functions.arrays import bind
-from noticeloom.llm.common import stored
+from noticeloom.llm.common import columns_of, stored
 
 # How each type of entity is written.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)++[A-Za-z]{2,}"
@@ -45,6 +45,7 @@ TYPES = {"email": EMAIL, "card": CARD, "ipv4": IPV4, "phone": PHONE, "name": NAM
 ANY = "|".join(f"(?:{p})" for p in TYPES.values())
 HINT = r"[0-9@]|(?:Mr|Mrs|Ms|Miss|Dr|Herr|Frau|Monsieur|Madame|Señora?|Г-н|Г-жа)\.? \p{Lu}"  # no entity without one
 TITLE = r"^(\S+ )"
+DRAWS = 6  # turns after which a surrogate that still clashes takes a wider form
 ENDINGS = {"male": "o", "female": "a", "either": "e"}
 
 
@@ -130,6 +131,24 @@ def surrogate(kind: Column, plain: Column, attempt: Column, key: str) -> Column:
     return F.when(kind == "email", email).when(kind == "card", card).when(kind == "ipv4", ipv4).when(kind == "phone", phone).otherwise(named)
 
 
+def widened(kind: Column, new: Column, attempt: Column, number: Column) -> Column:
+    """A surrogate followed by a number: digits of cards and phones, letters of names, a part of e-mail names.
+
+    The number begins with the attempt, so later attempts are longer than any value there is in the end. An IPv4
+    address takes the form of a private IPv6 address, since no number can be added to it.
+    """
+    digits = F.concat(F.repeat(F.lit("9"), attempt - DRAWS + 1), number.cast("string"))
+
+    def spelled(letters: str) -> Column:
+        return F.translate(digits, "0123456789", letters)
+
+    letters = F.when(new.rlike(r"\p{IsCyrillic}"), spelled("абвгдежзик")).when(new.rlike(r"\p{IsGreek}"), spelled("αβγδεζηθικ"))
+    letters = letters.when(new.rlike(r"\p{IsHan}"), spelled("甲乙丙丁戊己庚辛壬癸")).otherwise(spelled("abcdefghij"))
+    email = F.concat(F.substring_index(new, "@", 1), F.lit("."), digits, F.lit("@"), F.substring_index(new, "@", -1))
+    ipv6 = F.concat(F.lit("fd00:"), F.repeat(F.lit("0:"), attempt - DRAWS), F.lit(":"), F.lower(F.hex(number)))
+    return F.when(kind == "email", email).when(kind == "ipv4", ipv6).when(kind == "name", F.concat(new, letters)).otherwise(F.concat(new, digits))
+
+
 def written(kind: Column, value: Column, plain: Column) -> Column:
     """A surrogate's plain form in the format of the entity it replaces."""
 
@@ -137,7 +156,8 @@ def written(kind: Column, value: Column, plain: Column) -> Column:
         before = F.length(F.regexp_replace(F.substr(value, F.lit(1), i), "[^0-9]", ""))
         return F.when(c.rlike("[0-9]"), F.substr(plain, before + 1, F.lit(1))).otherwise(c)
 
-    spaced = F.array_join(F.transform(F.split(value, "", -1), digit), "")
+    own = F.length(F.regexp_replace(value, "[^0-9]", ""))
+    spaced = F.concat(F.array_join(F.transform(F.split(value, "", -1), digit), ""), F.substr(plain, own + 1, F.length(plain)))  # a wider form is longer
     name = F.concat(F.regexp_extract(value, TITLE, 1), F.initcap(F.substr(plain, F.instr(plain, "/") + 1)))
     email = F.when(value == F.upper(value), F.upper(plain)).otherwise(plain)
     return F.when(kind.isin("card", "phone"), spaced).when(kind == "name", name).when(kind == "email", email).otherwise(plain)
@@ -146,7 +166,9 @@ def written(kind: Column, value: Column, plain: Column) -> Column:
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """``kind, plain, new`` of distinct entities; ``new`` is nobody's real value and nobody else's surrogate.
 
-    A few of the drawn values clash in large corpora; those entities draw again, the others keep theirs.
+    A few of the drawn values clash in large corpora; those entities draw again, the others keep theirs. What
+    still clashes after ``DRAWS`` turns has too small a space, such as two letters or ten digits of which most
+    are taken; it is drawn in a wider form that ends in a number of its own, so the turns come to an end.
     """
     drawn = stored(entities.select("kind", "plain", F.lit(0).alias("attempt"), surrogate(F.col("kind"), F.col("plain"), F.lit(0), key).alias("new")), "surrogates")
     while True:
@@ -157,8 +179,11 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
         if not again.limit(1).count():
             return drawn.select("kind", "plain", "new")
         kept = drawn.join(again, ["kind", "plain"], "left_anti")
-        next_ = drawn.join(again, ["kind", "plain"], "left_semi").withColumn("attempt", F.col("attempt") + 1)
-        redrawn = next_.withColumn("new", surrogate(F.col("kind"), F.col("plain"), F.col("attempt"), key))
+        numbered = again.withColumn("number", F.monotonically_increasing_id())
+        next_ = drawn.join(numbered, ["kind", "plain"]).withColumn("attempt", F.col("attempt") + 1)
+        new = surrogate(F.col("kind"), F.col("plain"), F.col("attempt"), key)
+        wide = F.col("attempt") >= DRAWS
+        redrawn = next_.withColumn("new", F.when(wide, widened(F.col("kind"), new, F.col("attempt"), F.col("number"))).otherwise(new)).drop("number")
         drawn = stored(kept.unionByName(redrawn), "surrogates")
 
 
@@ -183,7 +208,7 @@ def replace_entities(df: DataFrame, key: str, text_col: str = "text", count_col:
     rebuilt = F.array_join(
         F.zip_with(pieces, F.transform("__llm_new", lambda n: n["new"]), lambda piece, n: F.concat(piece, F.coalesce(n, F.lit("")))), ""
     )
-    columns = [F.col(c) if c != text_col else rebuilt.alias(c) for c in df.columns]
+    columns = [column if c != text_col else rebuilt.alias(c) for c, column in zip(df.columns, columns_of(df))]
     counted = [F.size("__llm_new").cast("long").alias(count_col)] if count_col else []
     none = [F.lit(0).cast("long").alias(count_col)] if count_col else []
-    return joined.select(*columns, *counted).unionByName(df.filter(~has_some).select(*df.columns, *none))
+    return joined.select(*columns, *counted).unionByName(df.filter(~has_some).select(*columns_of(df), *none))

@@ -5,12 +5,12 @@ each child covers its points within a fraction of that radius around centres whi
 than it. A pair of nodes is left out when its largest possible product, the product of the centres
 plus what both radii can add, is below the worst k-th score of the queries in the group.
 
-Vectors are cut into blocks by a hash of their id, queries too; each pair of blocks is one task of
+Vectors are cut into blocks by a hash of their row, queries too; each pair of blocks is one task of
 bounded size, and each query brings home k rows per block. Scores are integers: components are
 ``floor(1024 * x)``, so results are exact and ties go to the smaller id.
 
 Defined results: vectors that are null or hold a null or non-finite component take no part, nor do
-null ids; an id given more than once counts once, with its smallest vector in array order; vectors of
+null ids; rows that repeat an id are rows like others, each a candidate of all but itself; vectors of
 different lengths are not compared; equal vectors tie; an empty table gives an empty result. Scores
 beyond 64 bits are not defined. Only the id and vector columns are read.
 """
@@ -68,10 +68,10 @@ def tree_of(vectors: np.ndarray) -> Node:
 
 
 class DualSearch:
-    """The k best of ``data`` for each of ``queries``, both integer matrices with ids."""
+    """The k best of ``data`` for each of ``queries``, both integer matrices with row numbers; ids settle ties."""
 
-    def __init__(self, query_ids, queries, ids, data, k: int):
-        self.query_ids, self.ids, self.k = query_ids, ids, k
+    def __init__(self, query_rows, queries, rows, ids, data, k: int):
+        self.query_rows, self.rows, self.ids, self.k = query_rows, rows, ids, k
         top = max(int(np.abs(queries).max(initial=0)), int(np.abs(data).max(initial=0)))
         exact = top * top * max(1, data.shape[1]) < 2**53
         self.queries, self.data = (queries.astype(np.float64), data.astype(np.float64)) if exact else (queries, data)
@@ -99,9 +99,9 @@ class DualSearch:
 
     def compare(self, some: np.ndarray, points: np.ndarray) -> None:
         scores = self.queries[some] @ self.data[points].T
-        ids = self.ids[points]
+        ids, own = self.ids[points], self.rows[points]
         for i, row in zip(some.tolist(), scores):
-            hits = np.flatnonzero((row >= self.worst[i]) & (ids != self.query_ids[i]))
+            hits = np.flatnonzero((row >= self.worst[i]) & (own != self.query_rows[i]))
             if len(hits) > self.k:
                 cut = np.partition(row[hits], len(hits) - self.k)[len(hits) - self.k]
                 hits = hits[row[hits] >= cut]
@@ -114,47 +114,48 @@ class DualSearch:
                     self.worst[i] = s[order[-1]]
 
 
-def _few_of_equal(ids: np.ndarray, vectors: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of equal vectors the ``most`` smallest ids: the others tie with them and come later."""
+def _few_of_equal(ids: np.ndarray, vectors: np.ndarray, most: int) -> np.ndarray:
+    """Of equal vectors the places of the ``most`` smallest ids: the others tie with them and come later."""
     _, group = np.unique(vectors, axis=0, return_inverse=True)
     group = group.reshape(-1)
     order = np.lexsort((ids, group))
     starts = np.flatnonzero(np.r_[True, group[order][1:] != group[order][:-1]])
     place = np.arange(len(order)) - np.repeat(starts, np.diff(np.r_[starts, len(order)]))
-    kept = order[place < most]
-    return ids[kept], vectors[kept]
+    return order[place < most]
 
 
 def quantised(df: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """``id, v`` with integer components, one row per id."""
+    """``id, v`` with integer components."""
     x = F.col(vector_col)
     sound = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c.cast("double")) & (F.abs(c.cast("double")) != float("inf")))
     ints = F.transform(x, lambda c: F.floor(c.cast("double") * scale).cast("long"))
-    rows = df.filter(x.isNotNull() & F.col(id_col).isNotNull() & sound).select(F.col(id_col).cast("long").alias("id"), ints.alias("v"))
-    return rows.groupBy("id").agg(F.min("v").alias("v"))
+    return df.filter(x.isNotNull() & F.col(id_col).isNotNull() & sound).select(F.col(id_col).cast("long").alias("id"), ints.alias("v"))
 
 
 def top_k(
     df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, every: int = EVERY, scale: int = SCALE, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Per query ``query_id, rank, vec_id, score`` of its k largest products with other rows."""
-    vectors = stored(quantised(df, id_col, vector_col, scale), "topk-vectors").withColumn("dim", F.size("v"))
+    numbered = quantised(df, id_col, vector_col, scale).withColumn("row", F.monotonically_increasing_id())
+    vectors = stored(numbered, "topk-vectors").withColumn("dim", F.size("v"))
     asked = vectors.filter(F.col("id") % every == 0)
     n, n_asked = vectors.agg(F.count("*"), F.count(F.when(F.col("id") % every == 0, 1))).first()
     blocks, turns = max(1, math.ceil(n / block_rows)), max(1, math.ceil(n_asked / block_rows))
 
     def dealt(rows: DataFrame, own: str, own_n: int, other: str, other_n: int) -> DataFrame:
-        own_block = F.pmod(F.xxhash64("id", F.lit(own)), F.lit(own_n).cast("long"))
+        own_block = F.pmod(F.xxhash64("row", F.lit(own)), F.lit(own_n).cast("long"))
         return rows.withColumn(own, own_block).withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(other_n - 1).cast("long"))))
 
     def search(queries: pd.DataFrame, data: pd.DataFrame) -> pd.DataFrame:
-        found = {"query_id": [], "vec_id": [], "score": []}
+        found = {"query_row": [], "query_id": [], "vec_id": [], "score": []}
         if len(queries) and len(data):
-            order = np.argsort(queries["id"].to_numpy())
-            query_ids, wanted = queries["id"].to_numpy()[order], np.array(queries["v"].tolist(), np.int64).reshape(len(order), -1)[order]
-            ids, rows = _few_of_equal(data["id"].to_numpy(), np.array(data["v"].tolist(), np.int64).reshape(len(data), -1), k + 1)
-            done = DualSearch(query_ids, wanted, ids, rows, k)
-            for q, (scores, hits) in zip(query_ids.tolist(), done.best):
+            queries = queries.sort_values("row")
+            wanted = np.array(queries["v"].tolist(), np.int64).reshape(len(queries), -1)
+            ids, rows = data["id"].to_numpy(), np.array(data["v"].tolist(), np.int64).reshape(len(data), -1)
+            few = _few_of_equal(ids, rows, k + 1)
+            done = DualSearch(queries["row"].to_numpy(), wanted, data["row"].to_numpy()[few], ids[few], rows[few], k)
+            for row, q, (scores, hits) in zip(queries["row"].tolist(), queries["id"].tolist(), done.best):
+                found["query_row"] += [row] * len(hits)
                 found["query_id"] += [q] * len(hits)
                 found["vec_id"] += hits.tolist()
                 found["score"] += scores.tolist()
@@ -162,7 +163,8 @@ def top_k(
 
     keys = ["dim", "block", "turn"]
     left = dealt(asked, "turn", turns, "block", blocks).groupBy(*keys)
-    right = dealt(vectors, "block", blocks, "turn", turns).groupBy(*keys)
-    found = left.cogroup(right).applyInPandas(search, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    # Columns of their own: a cogroup of a table with itself takes the left side's for both.
+    right = dealt(vectors.select(*[F.col(c).alias(c) for c in vectors.columns]), "block", blocks, "turn", turns).groupBy(*keys)
+    found = left.cogroup(right).applyInPandas(search, "query_row long, query_id long, vec_id long, score long")
+    rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

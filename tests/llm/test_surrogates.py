@@ -85,3 +85,22 @@ def test_national_numbers_and_4_6_5_cards(spark):
     one, other = (re.sub(r"\D", "", got[len(phones) + i][0]) for i in range(2))
     assert one == other and one[0] == "3" and luhn(one)
     assert got[len(phones) + 2] == (no, 0)
+
+
+def test_a_full_space_takes_wider_forms(spark, monkeypatch):
+    """All names of two letters, and all phone numbers that differ in one digit: nothing is left to draw."""
+    monkeypatch.setattr(S, "DRAWS", 1)
+    names = [f"Mr {a}{b}" for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for b in "abcdefghijklmnopqrstuvwxyz"]
+    got = run(spark, [f"{n} left" for n in names] + ["Mr Ab and +49 170 1234567 came"])
+    new = [re.fullmatch(r"(Mr \w+) left", got[i][0]).group(1) for i in range(len(names))]
+    assert len(set(new)) == len(names) and not set(new) & set(names)
+    assert got[len(names)][0].startswith(f"{new[names.index('Mr Ab')]} and +49 ")
+
+
+def test_wider_forms_of_every_type(spark):
+    rows = [("email", "ab@x.com"), ("ipv4", "10.1.2.3"), ("card", "4111111111111111"), ("phone", "+491701234567"), ("name", "male/иван")]
+    df = spark.createDataFrame(rows, "kind string, new string")
+    made = {r["kind"]: r["w"] for r in df.select("kind", S.widened(F.col("kind"), F.col("new"), F.lit(7), F.lit(12).cast("long")).alias("w")).collect()}
+    assert made == {"email": "ab.9912@x.com", "ipv4": "fd00:0::c", "card": "41111111111111119912", "phone": "+4917012345679912", "name": "male/иванккбв"}
+    shown = df.filter("kind = 'card'").select(S.written(F.col("kind"), F.lit("4111 1111 1111 1111"), F.lit(made["card"])).alias("w")).first()["w"]
+    assert shown == "4111 1111 1111 11119912"

@@ -8,15 +8,14 @@ from noticeloom.llm.top_k import DualSearch, top_k, tree_of
 
 
 def brute(rows, k=10, every=100):
-    vectors = {}
+    vectors = []
     for i, v in rows:
         if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            ints = [math.floor(1024 * float(np.float32(x))) for x in v]
-            vectors[i] = min(vectors.get(i, ints), ints)
+            vectors.append((i, [math.floor(1024 * float(np.float32(x))) for x in v]))
     out = []
-    for q, v in vectors.items():
+    for at, (q, v) in enumerate(vectors):
         if q % every == 0:
-            scores = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in vectors.items() if i != q and len(w) == len(v))
+            scores = sorted((-sum(a * b for a, b in zip(v, w)), i) for n, (i, w) in enumerate(vectors) if n != at and len(w) == len(v))
             out += [(q, rank + 1, i, -s) for rank, (s, i) in enumerate(scores[:k])]
     return sorted(out)
 
@@ -47,6 +46,12 @@ def test_few_rows_and_empty_table(spark):
     assert [tuple(r) for r in top_k(spark.createDataFrame([(0, [1.0]), (1, [2.0])], schema)).collect()] == [(0, 1, 1, 2 * 1024 * 1024)]
 
 
+def test_rows_that_repeat_an_id_are_all_candidates(spark):
+    rows = [(0, [1.0, 0.0]), (1, [0.5, 0.0]), (1, [9.0, 0.0]), (2, [2.0, 0.0]), (0, [3.0, 0.0])]
+    got = [(r["query_id"], r["vec_id"], r["score"] >> 20) for r in top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()]
+    assert sorted(got) == [(0, 0, 3), (0, 0, 3), (0, 1, 0), (0, 1, 1), (0, 1, 9), (0, 1, 27), (0, 2, 2), (0, 2, 6)]
+
+
 def test_large_components_stay_exact(spark):
     rows = [(0, [1e6, 1.0]), (1, [1e6, 2.0]), (2, [1e6, 3.0])]
     got = top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
@@ -80,5 +85,5 @@ def test_tree_covers_its_points_and_prunes():
             super().compare(some, points)
 
     ints = np.floor(data * 10).astype(np.int64)
-    Counting(np.arange(50), ints[:50], np.arange(len(ints)), ints, 5)
+    Counting(np.arange(50), ints[:50], np.arange(len(ints)), np.arange(len(ints)), ints, 5)
     assert compared < 50 * len(ints) / 2
