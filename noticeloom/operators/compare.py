@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from noticeloom.functions.arrays import unnest
+from noticeloom.functions.arrays import bind, unnest
 from noticeloom.operators.ranking import distinct_first
 from noticeloom.operators.spans import span
 
@@ -22,6 +22,8 @@ WRONG_PLACE, WRONG_PLACE_ANSWER = "机器错标位置", "机器错标位置答
 MISSED_ANSWER, EXTRA, EXTRA_FIX = "机器漏标答案", "机器多标", "机器多标修正"
 HUMAN_TWICE, MACHINE_TWICE = "人标签重复", "机器标签重复"
 AI_MISSED, AI_EXTRA, AI_WRONG, AI_WRONG_PLACE, TWICE = "AI漏标", "AI多标", "AI错标", "AI错标位置", "手工重复标注"
+TYPE_NOTE, KIND_NOTE = "错误类型", "错误种类"
+REACH = 200  # characters shown on both sides of a span
 NEAR_BY_POSITION = 10
 NEAR_BY_TYPE = 5
 # The messages of the rule analysis; {n} is the number of characters.
@@ -109,6 +111,33 @@ def compare_by_position(human: DataFrame, machine: DataFrame, doc: str, near: in
     )
 
 
+def review_rows(rows: DataFrame, docs: DataFrame, doc: str, text: str = "text", reach: int = REACH, with_kind: bool = False) -> DataFrame:
+    """Comparison rows with the text around the span and the span's place in it.
+
+    ``text`` has ``reach`` characters on both sides and a last line that names the type, and the error class
+    ``with_kind``; ``label`` holds the span moved into the window, ``s_start`` and ``s_end`` are the window's
+    place in the document. Windows are cut inside the document's row; a row does not carry its document.
+    """
+    each = F.struct("wrong_type", "labeler", "start", "end", "label")
+    listed = rows.groupBy(doc).agg(F.collect_list(each).alias("_rows"))
+
+    def window(r: Column) -> Column:
+        def cut(at: Column) -> Column:
+            note = [F.lit("\n" + TYPE_NOTE), r["label"], *([F.lit(KIND_NOTE), r["wrong_type"]] if with_kind else [])]
+            own = F.substr(F.col(text), at["s"] + 1, at["e"] - at["s"])
+            return F.struct(
+                r["wrong_type"].alias("wrong_type"), r["labeler"].alias("labeler"), r["label"].alias("label_type"),
+                F.concat(own, *note).alias("text"), F.array(span(r["start"] - at["s"], r["end"] - at["s"], r["label"])).alias("label"),
+                at["s"].alias("s_start"), at["e"].alias("s_end"),
+            )
+
+        place = F.struct(F.greatest(r["start"] - reach, F.lit(0)).alias("s"), F.least(r["end"] + reach, F.length(text)).alias("e"))
+        return bind(place, cut)
+
+    joined = docs.select(doc, text).join(listed, doc)
+    return unnest(joined, [doc], F.transform("_rows", window), "_w").select(doc, "_w.*")
+
+
 def compare_by_type(human: DataFrame, machine: DataFrame, doc: str) -> DataFrame:
     """A human span the machine lacks is held against the machine's first span of the same type.
 

@@ -11,7 +11,7 @@ from noticeloom.operators import compare as X
 from noticeloom.operators import evaluate as E
 from noticeloom.operators import spans as S
 from noticeloom.plans.catalog import query, table
-from noticeloom.plans.data import GOLD, PRED, annotated, spans_sql
+from noticeloom.plans.data import GOLD, PRED, annotated, documents, spans_sql
 from noticeloom.plans.q_clean import turn_pairs
 from noticeloom.plans.q_spans import GOLD_SQL, REL_SQL, TAGS_SQL, relation_rows, runs_sql, tags_sql
 from noticeloom.plans.review import review_table
@@ -215,6 +215,34 @@ def cmp2(spark, folder):
     return X.compare_by_type(*sides(spark, folder), "doc_id")
 
 
+def review_sql(rows: str, kind: str) -> str:
+    return f"""WITH r AS ({rows}), w AS (
+  SELECT r.*, d.text, greatest(r."start" - 200, 0) AS s_start, least(r."end" + 200, length(d.text)) AS s_end FROM r JOIN documents d USING (doc_id))
+SELECT doc_id, wrong_type, labeler, label AS label_type, CAST(s_start AS INTEGER) AS s_start, CAST(s_end AS INTEGER) AS s_end,
+  CAST("start" - s_start AS INTEGER) AS "start", CAST("end" - s_start AS INTEGER) AS "end",
+  md5(substring(text, s_start + 1, s_end - s_start) || chr(10) || '错误类型' || label{kind}) AS text_md5 FROM w"""
+
+
+def reviewed(rows: DataFrame) -> DataFrame:
+    place = F.get("label", F.lit(0))
+    return rows.select(
+        "doc_id", "wrong_type", "labeler", "label_type", "s_start", "s_end", place["start"].alias("start"), place["end"].alias("end"), F.md5("text").alias("text_md5")
+    )
+
+
+@query("cmp1_review_rows", review_sql(CMP1, ""))
+def cmp1_rows(spark, folder):
+    """What a reviewer reads of each difference: the text around it and the type."""
+    rows = X.compare_by_position(*sides(spark, folder), "doc_id")
+    return reviewed(X.review_rows(rows, documents(spark, folder), "doc_id"))
+
+
+@query("cmp2_review_rows", review_sql(CMP2, " || '错误种类' || wrong_type"))
+def cmp2_rows(spark, folder):
+    rows = X.compare_by_type(*sides(spark, folder), "doc_id")
+    return reviewed(X.review_rows(rows, documents(spark, folder), "doc_id", with_kind=True))
+
+
 def valued(spark, folder, terms) -> DataFrame:
     return S.span_rows(annotated(spark, folder, terms), ["doc_id"]).withColumnRenamed("label_type", "label")
 

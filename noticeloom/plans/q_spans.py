@@ -398,8 +398,11 @@ scores AS (SELECT doc_id, token, CAST(('0x' || substring(md5(word), 1, 2)) AS IN
 
 @query(
     "spn21_span_candidates",
-    f"""WITH {SCORES_SQL.replace("scores AS (", "scores AS MATERIALIZED (")}, a AS (SELECT doc_id, token, token + unnest(range(1, 6)) AS other FROM scores WHERE s >= 0.9)
-SELECT a.doc_id, CAST(a.token AS INTEGER) AS "start", CAST(b.token + 1 AS INTEGER) AS "end" FROM a JOIN scores b ON a.doc_id = b.doc_id AND b.token = a.other WHERE b.e >= 0.9""",
+    # Document and token are one key, so that no plan can join on the document alone.
+    f"""WITH {SCORES_SQL.replace("scores AS (", "scores AS MATERIALIZED (")}, a AS MATERIALIZED (
+  SELECT doc_id || ':' || (token + unnest(range(1, 6))) AS place, doc_id, token FROM scores WHERE s >= 0.9),
+b AS MATERIALIZED (SELECT doc_id || ':' || token AS place, token FROM scores WHERE e >= 0.9)
+SELECT doc_id, CAST(a.token AS INTEGER) AS "start", CAST(b.token + 1 AS INTEGER) AS "end" FROM a JOIN b USING (place)""",
 )
 def spn21(spark, folder):
     return R.span_candidates(boundary_scores(spark, folder), "doc_id", 0.9, 2, 6)

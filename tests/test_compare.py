@@ -90,3 +90,21 @@ def test_corrections_delete_or_replace_the_first_of_a_type(spark, docs):
     )
     got = {r["id"]: [tuple(s) for s in r["label"]] for r in X.apply_corrections(df, fixes, "id").collect()}
     assert got == {1: [(7, 9, "b"), (4, 5, "a")], 2: [(0, 1, "a")]}
+
+
+def test_review_rows_show_the_text_around(spark):
+    text = "a" * 250 + "XYZ" + "b" * 30 + "Q"
+    docs = spark.createDataFrame([(1, text), (2, "no rows")], "doc int, text string")
+    rows = spark.createDataFrame(
+        [(1, "k1", "人", 250, 253, "T"), (1, "k2", "机器", 283, 284, "U"), (1, "k1", "人", 0, 2, "T"), (1, "k1", "人", 0, 2, "T")],
+        "doc int, wrong_type string, labeler string, start int, end int, label string",
+    )
+    got = X.review_rows(rows, docs, "doc", with_kind=True)
+    assert got.columns == ["doc", "wrong_type", "labeler", "label_type", "text", "label", "s_start", "s_end"]
+    found = sorted((r["s_start"], r["s_end"], r["text"], tuple(r["label"][0])) for r in got.collect())
+    assert found == sorted([
+        (50, 284, text[50:] + "\n错误类型T错误种类k1", (200, 203, "T")), (83, 284, text[83:] + "\n错误类型U错误种类k2", (200, 201, "U")),
+        *[(0, 202, text[:202] + "\n错误类型T错误种类k1", (0, 2, "T"))] * 2,
+    ])
+    plain = X.review_rows(rows, docs, "doc", reach=0).filter("s_start = 250").first()
+    assert plain["text"] == "XYZ\n错误类型T"
