@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from noticeloom.functions.arrays import bind, empty, unnest
 from noticeloom.operators.bio import tag_spans
+from noticeloom.operators.ranking import number_rows
 
 ALL_TYPES = "ALL"
+BLOCK = 1024  # rows of a batch in one matrix
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -152,41 +154,94 @@ def overlap_scores(pairs: DataFrame, pred: str, ref: str, n: int) -> DataFrame:
     )
 
 
-def batch_similarity(df: DataFrame, batch: Column, id_col: str, vector: str, temperature: float = 0.05) -> DataFrame:
+def common_length(some: list[str], others: list[str]) -> int:
+    """Length of the longest common subsequence: a bit per word of ``others``, all moved at once for each word of ``some``."""
+    masks: dict[str, int] = {}
+    for i, w in enumerate(others):
+        masks[w] = masks.get(w, 0) | 1 << i
+    every = (1 << len(others)) - 1
+    free = every  # bits of words that no subsequence has used
+    for w in some:
+        used = free & masks.get(w, 0)
+        free = ((free + used) | (free - used)) & every
+    return len(others) - free.bit_count()
+
+
+def sequence_overlap(pairs: DataFrame, pred: str, ref: str) -> DataFrame:
+    """Mean F of the longest common word sequence of text pairs x 100 (``rougeL``) and mean generated length in words."""
+
+    @F.pandas_udf("int")
+    def common(some: pd.Series, others: pd.Series) -> pd.Series:
+        return pd.Series([common_length(list(a), list(b)) for a, b in zip(some, others)], dtype="int32")
+
+    both = [F.coalesce(words(F.col(c)), empty("array<string>")).alias(name) for c, name in ((pred, "p"), (ref, "r"))]
+    counted = pairs.select(*both).withColumn("hit", common("p", "r"))
+    fscore = F.coalesce(_ratio(2 * F.col("hit"), F.size("p") + F.size("r")), F.lit(0.0))
+    return counted.agg(F.round(F.avg(fscore) * 100, 4).alias("rougeL"), F.round(F.avg(F.size("p")), 4).alias("gen_len"), F.count("*").alias("pairs"))
+
+
+def batch_similarity(df: DataFrame, batch: Column, id_col: str, vector: str, temperature: float = 0.05, block: int = BLOCK) -> DataFrame:
     """Per text the closest other text of its batch and the contrastive loss of the batch.
 
-    Batches have a fixed size, so one matrix product per batch is all a task holds; pairs are not
-    written out. Text i of n belongs with text (i + n/2) mod n.
+    Text i of n, by id, belongs with text (i + n/2) mod n. Batches may have any size: rows are numbered over the
+    cluster and dealt over blocks of ``block`` rows, each pair of blocks is one task's matrix product, and what
+    a row brings home from each (its best, and its sum of exponents beside their largest) is merged. A null
+    batch is a batch. A vector of zeros has the similarity 0 to all; rows whose vector is null or holds a null
+    take no part; vectors of a batch have one length.
     """
-
-    def score(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_id")
-        x = np.stack(pdf["_v"].to_numpy()).astype(np.float64)
-        x /= np.linalg.norm(x, axis=1, keepdims=True)
-        sim = x @ x.T
-        n = len(sim)
-        np.fill_diagonal(sim, -np.inf)
-        best = sim.argmax(axis=1)
+    def score(own: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        if not len(own) or not len(others):
+            return pd.DataFrame({c: [] for c in ("_rn", "batch", "_id", "nearest", "similarity", "_q", "_top", "_sum", "_partner")})
+        own, others = own.sort_values("_rn"), others.sort_values("_rn")
+
+        def unit(v: pd.Series) -> np.ndarray:
+            x = np.stack(v.to_numpy()).astype(np.float64)
+            return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-8)
+
+        sim = unit(own["_v"]) @ unit(others["_v"]).T
+        mine, theirs, n = own["_rn"].to_numpy(), others["_rn"].to_numpy(), own["_n"].to_numpy()
+        sim[mine[:, None] == theirs[None, :]] = -np.inf
+        best, rows = sim.argmax(axis=1), np.arange(len(sim))
         logits = sim / temperature
         top = logits.max(axis=1)
-        norm = top + np.log(np.exp(logits - top[:, None]).sum(axis=1))
-        partner = (np.arange(n) + n // 2) % n
-        ids = pdf["_id"].to_numpy()
-        alone = n < 2
-        return pd.DataFrame(
-            {
-                "batch": pdf["batch"].to_numpy(),
-                id_col: ids,
-                "nearest": [None] * n if alone else ids[best],
-                "similarity": [None] * n if alone else sim[np.arange(n), best],
-                "loss": [None] * n if alone else norm - logits[np.arange(n), partner],
-            }
-        )
-
-    rows = df.select(batch.cast("bigint").alias("batch"), F.col(id_col).cast("bigint").alias("_id"), F.col(vector).alias("_v"))
-    return rows.groupBy("batch").applyInPandas(
-        score, f"batch bigint, {id_col} bigint, nearest bigint, similarity double, loss double"
+        some = np.isfinite(top)  # a batch of one has no other
+        total = np.exp(logits - np.where(some, top, 0)[:, None]).sum(axis=1)
+        first = own["_first"].to_numpy()
+        wanted = first + (mine - first + n // 2) % n
+        at = np.searchsorted(theirs, wanted)
+        held = (at < len(theirs)) & (theirs[np.minimum(at, len(theirs) - 1)] == wanted) & (wanted != mine)
+        partner = np.where(held, logits[rows, np.minimum(at, len(theirs) - 1)], np.nan)
+
+        def known(values, where):
+            return [v if ok else None for v, ok in zip(values.tolist(), where)]
+
+        return pd.DataFrame({
+            "_rn": mine, "batch": own["batch"].to_numpy(), "_id": own["_id"].to_numpy(), "nearest": known(others["_id"].to_numpy()[best], some),
+            "similarity": known(sim[rows, best], some), "_q": others["_q"].to_numpy()[0], "_top": known(top, some),
+            "_sum": known(total, some), "_partner": known(partner, held),
+        })
+
+    sound = F.col(vector).isNotNull() & F.forall(vector, lambda c: c.isNotNull())
+    rows = df.filter(sound).select(batch.cast("bigint").alias("batch"), F.col(id_col).cast("bigint").alias("_id"), F.col(vector).alias("_v"))
+    numbered = number_rows(rows, ["batch", "_id"], "_rn")
+    sizes = numbered.groupBy(F.col("batch").alias("_batch")).agg(F.min("_rn").alias("_first"), F.count("*").alias("_n"))
+    placed = numbered.join(sizes, F.col("batch").eqNullSafe(F.col("_batch"))).drop("_batch")
+    inside = F.floor((F.col("_rn") - F.col("_first")) / block)
+    all_blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / block)))
+    left = placed.withColumn("_p", inside).withColumn("_q", all_blocks)
+    right = placed.select(*[F.col(c).alias(c) for c in placed.columns]).withColumn("_q", inside).withColumn("_p", all_blocks)
+    keys = ["_first", "_p", "_q"]
+    schema = "_rn bigint, batch bigint, _id bigint, nearest bigint, similarity double, _q bigint, _top double, _sum double, _partner double"
+    parts = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(score, schema)
+
+    merged = parts.groupBy("_rn", "batch", "_id").agg(
+        F.max_by(F.struct("nearest", "similarity"), F.struct("similarity", -F.col("_q"))).alias("_best"),
+        F.collect_list(F.struct("_top", "_sum")).alias("_parts"),  # one per block of the batch
+        F.max("_top").alias("_top"), F.max("_partner").alias("_partner"),
     )
+    total = F.aggregate("_parts", F.lit(0.0), lambda t, x: t + F.coalesce(x["_sum"] * F.exp(x["_top"] - F.col("_top")), F.lit(0.0)))
+    loss = F.when(F.col("_top").isNotNull(), F.col("_top") + F.log(total) - F.col("_partner"))
+    return merged.select("batch", F.col("_id").alias(id_col), "_best.nearest", "_best.similarity", loss.alias("loss"))
 
 
 def label_accuracy(gold: DataFrame, pred: DataFrame, doc: str) -> DataFrame:

@@ -133,6 +133,23 @@ def eva5_2(spark, folder):
     return E.overlap_scores(_answers(spark, folder), "answer", "text", 2)
 
 
+@query("eva5_sequence_overlap")
+def eva5_sequence(spark, folder):
+    return E.sequence_overlap(_answers(spark, folder), "answer", "text")
+
+
+@query(
+    "eva6_one_batch",
+    """WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+s AS (SELECT a.vec_id, b.vec_id AS other, list_cosine_similarity(a.v, b.v) AS sim FROM e a JOIN e b ON a.vec_id <> b.vec_id)
+SELECT vec_id, arg_max(other, sim) AS nearest, round(max(sim), 6) AS similarity FROM s GROUP BY 1""",
+)
+def eva6_one(spark, folder):
+    """All vectors as one batch, in blocks."""
+    rows = E.batch_similarity(table(spark, folder, "embeddings"), F.lit(None), "vec_id", "embedding", block=256)
+    return rows.select("vec_id", "nearest", F.round("similarity", 6).alias("similarity"))
+
+
 @query(
     "eva6_batch_similarity",
     """WITH e AS (SELECT vec_id // 64 AS batch, vec_id, row_number() OVER (PARTITION BY vec_id // 64 ORDER BY vec_id) - 1 AS i, count(*) OVER (PARTITION BY vec_id // 64) AS n, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),

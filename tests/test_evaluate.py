@@ -1,4 +1,7 @@
+import random
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import tuples
@@ -79,6 +82,52 @@ def test_batch_similarity_against_a_matrix(spark):
             assert got[i]["nearest"] == best and abs(got[i]["loss"] - loss) < 1e-6
 
 
+@pytest.mark.parametrize("size, block", [(1, 1024), (7, 3), (40, 8), (40, 1)])
+def test_batches_of_any_size_in_blocks(spark, size, block):
+    rng = np.random.default_rng(size)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(size)] + [(100, None), (101, [None] * 4)]
+    if size > 7:
+        rows[3] = (3, [0.0] * 4)
+        rows[5] = (5, rows[6][1])
+    df = spark.createDataFrame(rows, "id bigint, v array<double>")
+    for batch in (F.lit(None), F.lit(1)):
+        got = {r["id"]: r for r in E.batch_similarity(df, batch, "id", "v", block=block).collect()}
+        assert sorted(got) == list(range(size))
+        x = np.array([v for _, v in rows[:size]])
+        x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-8)
+        sims = x @ x.T
+        for i in range(size):
+            others = [j for j in range(size) if j != i]
+            if not others:
+                assert got[i]["nearest"] is got[i]["similarity"] is got[i]["loss"] is None
+                continue
+            loss = np.log(np.exp(sims[i, others] / 0.05).sum()) - sims[i, (i + size // 2) % size] / 0.05
+            assert abs(got[i]["similarity"] - sims[i, others].max()) < 1e-9 and abs(sims[i, got[i]["nearest"]] - got[i]["similarity"]) < 1e-9
+            assert abs(got[i]["loss"] - loss) < 1e-6
+
+
+def test_longest_common_sequences(spark):
+    rng = random.Random(2)
+
+    def slow(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b):
+                new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+            row = new
+        return row[-1]
+
+    cases = [([], []), (["a"], []), ([], ["a"])] + [([rng.choice("abcd") for _ in range(rng.randint(0, 150))] for _ in range(2)) for _ in range(60)]
+    cases = [tuple(c) for c in cases]
+    for a, b in cases:
+        assert E.common_length(a, b) == slow(a, b)
+    df = spark.createDataFrame([(" ".join(a), " ".join(b)) for a, b in cases] + [(None, "a b")], "p string, r string")
+    scores = [2 * slow(a, b) / (len(a) + len(b)) if a or b else 0.0 for a, b in cases] + [0.0]
+    row = E.sequence_overlap(df, "p", "r").first()
+    assert abs(row["rougeL"] - 100 * sum(scores) / len(scores)) < 1e-3 and row["pairs"] == len(scores)
+
+
 def test_label_accuracy_multiplies_repeats(spark):
     ddl = "doc int, label_type string, value string"
     gold = spark.createDataFrame([(1, "a", "x"), (1, "a", "x"), (1, "b", "y")], ddl)
