@@ -278,6 +278,62 @@ def flow_parents(spark, folder):
     )
 
 
+DATED = "<p>2024年2月3日</p>"
+TENDER_TERMS = [
+    ("项目名称", "tion"), ("项目招标编号", "erth"), ("招标单位", "this"), ("招标单位联系人", "nicht"), ("招标文件领取开始时间", "2024年2月3日"), ("投标截止时间", "2024年2月3日"),
+]
+CONTRACT_TERMS = [("项目名称", "tion"), ("项目编号", "erth"), ("招标公司", "this"), ("开工时间", "2024年2月3日")]
+
+
+def _dated(spark, folder) -> DataFrame:
+    """Notices of which four in five name a date."""
+    rows = _notices(spark, folder)
+    return rows.withColumn("detail_content", F.when(F.col("id") % 5 > 0, F.concat("detail_content", F.lit(DATED))).otherwise(F.col("detail_content")))
+
+
+def _parents(spark, rows: DataFrame, origin: str, terms: list[tuple[str, str]]) -> DataFrame:
+    gold = spark.createDataFrame([], "md5 string, label array<struct<start:int,end:int,label:string>>")
+    parents, winners = load_notices(rows, origin, gold, lambda df: df.withColumn("label", phrase_spans(F.col("text"), terms)), 2024)
+    assert winners is None
+    return parents
+
+
+def held_sql(term: str) -> str:
+    return f"CASE WHEN contains(text, '{term}') THEN '{term}' END"
+
+
+DATED_SQL = f"""WITH c AS (
+  SELECT page_id, url, page_id % 5 > 0 AS dated, {clean_sql(f"(html || CASE WHEN page_id % 5 > 0 THEN '{DATED}' ELSE '' END)")} AS text FROM pages),
+f AS (SELECT *, {held_sql('tion')} AS project_name, {held_sql('erth')} AS notice_num, {held_sql('this')} AS tenderee, {held_sql('nicht')} AS liaison,
+  CASE WHEN dated THEN TIMESTAMP '2024-02-03 00:00:00' END AS day FROM c)"""
+
+
+@query(
+    "flow_tender_notices",
+    f"""{DATED_SQL}, g AS (SELECT *, CASE page_id % 3 WHEN 0 THEN 120000.0::DOUBLE WHEN 1 THEN 5000.5::DOUBLE END AS budget FROM f)
+SELECT page_id AS id, project_name, notice_num, tenderee, liaison AS tenderee_liaison, day AS tender_etime, budget,
+  CASE WHEN page_id % 2 = 0 AND dated AND project_name IS NOT NULL AND notice_num IS NOT NULL AND tenderee IS NOT NULL AND budget IS NOT NULL THEN 1 ELSE 0 END AS is_full_data FROM g""",
+)
+def flow_tenders(spark, folder):
+    rows = _dated(spark, folder).withColumnRenamed("amount", "budget")
+    parents = _parents(spark, rows, "test_tender_bid", TENDER_TERMS)
+    return parents.select(
+        "id", "project_name", "notice_num", "tenderee", "tenderee_liaison", F.col("tender_etime").cast("timestamp_ntz").alias("tender_etime"),
+        F.col("budget").cast("double").alias("budget"), "is_full_data",
+    )
+
+
+@query(
+    "flow_contract_notices",
+    f"""{DATED_SQL} SELECT page_id AS id, project_name, notice_num, tenderee, day AS start_time,
+  CASE WHEN page_id % 2 = 0 AND notice_num IS NOT NULL AND tenderee IS NOT NULL THEN 1 ELSE 0 END AS is_full_data FROM f""",
+)
+def flow_contracts(spark, folder):
+    parents = _parents(spark, _dated(spark, folder), "test_tender_trade_result", CONTRACT_TERMS)
+    start = F.col("start_time").cast("timestamp_ntz").alias("start_time")
+    return parents.select("id", "project_name", "notice_num", "tenderee", start, "is_full_data")
+
+
 @query(
     "flow_tag_notices",
     f"""WITH human AS (SELECT md5({clean_sql('html')}) AS md5 FROM pages WHERE url LIKE 'https%'), clean AS (SELECT page_id, url, md5({clean_sql('html')}) AS md5 FROM pages WHERE url NOT LIKE '%.org/%'),
