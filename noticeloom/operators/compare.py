@@ -341,16 +341,25 @@ def apply_corrections(df: DataFrame, fixes: DataFrame, id_col: str, label="label
         .agg(F.map_from_entries(F.collect_list(F.struct("label_type", "_f"))).alias("_fixes"))
     )
     spans = F.col(label)
-    first = F.transform(spans, lambda s, i: F.array_position(F.transform(spans, lambda t: t["label"]), s["label"]) == i + 1)
-
-    def corrected(s: Column, i: Column) -> Column:
-        fix = F.element_at(F.col("_fixes"), s["label"])
-        return (
-            F.when(fix.isNull() | ~F.get(F.col("_first"), i), s)
-            .when(fix["new_start"].isNull(), F.lit(None))
-            .otherwise(span(fix["new_start"], fix["new_end"], s["label"]))
-        )
+    labels = F.filter(F.transform(spans, lambda s: s["label"]), lambda name: name.isNotNull())
+    kinds_of = F.array_distinct(labels)
+    # The first place of each type, found once per type and not once per span.
+    first = bind(
+        F.transform(spans, lambda s: s["label"]),
+        lambda own: bind(kinds_of, lambda names: F.map_from_arrays(names, F.transform(names, lambda k: F.array_position(own, k).cast("int") - 1))),
+    )
+
+    def corrected(places: Column) -> Column:
+        def one(s: Column, i: Column) -> Column:
+            fix = F.element_at(F.col("_fixes"), s["label"])
+            return (
+                F.when(fix.isNull() | (F.element_at(places, s["label"]) != i), s)
+                .when(fix["new_start"].isNull(), F.lit(None))
+                .otherwise(span(fix["new_start"], fix["new_end"], s["label"]))
+            )
+
+        return F.filter(F.transform(spans, one), lambda s: s.isNotNull())
 
-    joined = df.join(chosen, df[id_col] == chosen["_id"], "left").withColumn("_first", first)
-    fixed = F.filter(F.transform(spans, corrected), lambda s: s.isNotNull())
-    return joined.withColumn(label, F.when(F.col("_fixes").isNull(), spans).otherwise(fixed)).drop("_id", "_fixes", "_first")
+    joined = df.join(chosen, df[id_col] == chosen["_id"], "left")
+    fixed = bind(first, corrected)
+    return joined.withColumn(label, F.when(F.col("_fixes").isNull(), spans).otherwise(fixed)).drop("_id", "_fixes")

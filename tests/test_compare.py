@@ -92,6 +92,14 @@ def test_corrections_delete_or_replace_the_first_of_a_type(spark, docs):
     assert got == {1: [(7, 9, "b"), (4, 5, "a")], 2: [(0, 1, "a")]}
 
 
+def test_corrections_of_many_spans(spark):
+    spans = [(i, i + 1, f"t{i % 5}") for i in range(30_000)] + [(7, 8, None)]
+    df = spark.createDataFrame([(1, spans), (2, [])], "id int, label array<struct<start:int,end:int,label:string>>")
+    fixes = spark.createDataFrame([(i, X.HUMAN_TWICE, "t3", None, None) for i in (1, 2)] + [(1, X.HUMAN_TWICE, "t1", 5, 6)], "id int, wrong_type string, label_type string, new_start int, new_end int")
+    got = {r["id"]: [tuple(s) for s in r["label"]] for r in X.apply_corrections(df, fixes, "id").collect()}
+    assert got == {1: [s if s[0] != 1 else (5, 6, "t1") for s in spans if s[0] != 3], 2: []}
+
+
 def test_review_rows_show_the_text_around(spark):
     text = "a" * 250 + "XYZ" + "b" * 30 + "Q"
     docs = spark.createDataFrame([(1, text), (2, "no rows")], "doc int, text string")
