@@ -45,7 +45,7 @@ def test_empty_table(spark):
 
 def test_registered(spark):
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert entry.queries()["pipeline"](spark, FOLDER).count() > 0
 
 
