@@ -15,62 +15,50 @@ def hash_order(key: Column, seed: str) -> Column:
     return F.md5(F.concat(F.lit(seed), key.cast("string")))
 
 
-def _edge_hashes(keys: DataFrame, wanted: DataFrame) -> DataFrame:
+def _hash_counts(keys: DataFrame) -> DataFrame:
+    """Rows per ``_g, _h``: the one pass over the keys, whose exchange all steps of a cut share.
+
+    A repeated key is one row from each task. Joins on these counts compare null-safely: an inferred
+    null filter would be pushed below the exchange, which could then not be shared.
+    """
+    return keys.groupBy("_g", "_h").agg(F.count("*").alias("_c"))
+
+
+def _edge_hashes(hashes: DataFrame, wanted: DataFrame) -> DataFrame:
     """Per group the hash of its n-th row in hash order.
 
-    Buckets of the hash prefix are counted first; only the bucket that holds the n-th row is ranked.
-    ``keys`` has ``_g, _h``, ``wanted`` has ``_g, _n`` with one row per group.
+    Buckets of the hash prefix are summed first; only the bucket that holds the n-th row is ranked.
+    ``hashes`` has ``_g, _h, _c``, ``wanted`` has ``_g, _n`` with one row per group.
     """
-    bucket = F.substring("_h", 1, PREFIX)
-    counts = keys.groupBy("_g", bucket.alias("_b")).count()
-    upto = F.sum("count").over(Window.partitionBy("_g").orderBy("_b"))
+    hashes = hashes.withColumn("_b", F.substring("_h", 1, PREFIX))
+    upto = F.sum("_c").over(Window.partitionBy("_g").orderBy("_b"))  # over the buckets, not the rows
+    counts = hashes.groupBy("_g", "_b").agg(F.sum("_c").alias("_c")).withColumn("_upto", upto)
+    wanted = wanted.withColumnRenamed("_g", "_group")
     edge = (
-        counts.withColumn("_upto", upto)
-        .join(F.broadcast(wanted), "_g")
-        .filter((F.col("_upto") >= F.col("_n")) & (F.col("_upto") - F.col("count") < F.col("_n")))
-        .select("_g", "_b", (F.col("_n") - F.col("_upto") + F.col("count")).alias("_need"))
+        counts.join(F.broadcast(wanted), F.col("_g").eqNullSafe(F.col("_group")))
+        .filter((F.col("_upto") >= F.col("_n")) & (F.col("_upto") - F.col("_c") < F.col("_n")))
+        .select("_group", F.col("_b").alias("_bucket"), (F.col("_n") - F.col("_upto") + F.col("_c")).alias("_need"))
     )
-    rank = F.row_number().over(Window.partitionBy("_g").orderBy("_h"))
+    place = F.sum("_c").over(Window.partitionBy("_g").orderBy("_h"))
+    here = F.col("_g").eqNullSafe(F.col("_group")) & F.col("_b").eqNullSafe(F.col("_bucket"))
     return (
-        keys.withColumn("_b", bucket)
-        .join(F.broadcast(edge), ["_g", "_b"])
-        .withColumn("_rank", rank)
-        .filter(F.col("_rank") <= F.col("_need"))
+        hashes.join(F.broadcast(edge), here)
+        .withColumn("_before", place - F.col("_c"))
+        .filter(F.col("_before") < F.col("_need"))
         .groupBy("_g")
         .agg(F.max("_h").alias("_edge"))
     )
 
 
-def _edge_hash(keys: DataFrame, n: Column) -> Column:
-    """The hash of the n-th row in hash order, of a table as one group; null when n is 0."""
-    bucket = F.substring("_h", 1, PREFIX)
-    upto = F.sum("count").over(Window.orderBy("_b"))  # over the buckets, not the rows
-    edge = (
-        keys.groupBy(bucket.alias("_b"))
-        .count()
-        .withColumn("_upto", upto)
-        .filter((F.col("_upto") >= n) & (F.col("_upto") - F.col("count") < n))
-        .select("_b", (F.col("_upto") - F.col("count")).alias("_before"))
-    )
-    rank = F.row_number().over(Window.partitionBy("_b").orderBy("_h"))
-    return (
-        keys.withColumn("_b", bucket)
-        .join(F.broadcast(edge), "_b")
-        .withColumn("_rank", F.col("_before") + rank)
-        .filter(F.col("_rank") <= n)
-        .agg(F.max("_h"))
-        .scalar()
-    )
-
-
 def split_by_hash(df: DataFrame, key: str, share: float, seed: str, name: str = "part", parts=("train", "dev")) -> DataFrame:
     """Exact cut: the first ``int(n * share)`` rows in hash order get ``parts[0]``. Keys are unique.
 
-    The cut is one hash, found over the keys alone; the rows themselves are not moved.
+    The cut is one hash, found in one pass over the keys; the rows themselves are scanned once and not moved.
     """
-    keys = df.select(hash_order(F.col(key), seed).alias("_h"))
-    n = keys.agg(F.floor(F.count("*") * F.lit(share))).scalar()
-    first = F.coalesce(hash_order(F.col(key), seed) <= _edge_hash(keys, n), F.lit(False))
+    hashes = _hash_counts(df.select(F.lit(0).alias("_g"), hash_order(F.col(key), seed).alias("_h")))
+    n = hashes.groupBy("_g").agg(F.floor(F.sum("_c") * F.lit(share)).alias("_n"))
+    edge = _edge_hashes(hashes, n).agg(F.max("_edge")).scalar()
+    first = F.coalesce(hash_order(F.col(key), seed) <= edge, F.lit(False))
     return df.withColumn(name, F.when(first, F.lit(parts[0])).otherwise(F.lit(parts[1])))
 
 
@@ -85,12 +73,12 @@ def balance_and_split(df: DataFrame, key: str, flag: str, share: float, seed: st
     hashed = df.filter(F.col(flag).isNotNull()).withColumns(
         {"_g": F.col(flag).cast("int"), "_h": hash_order(F.col(key), seed)}
     )
-    keys = hashed.select("_g", "_h")
-    sizes = keys.groupBy("_g").count()
+    hashes = _hash_counts(hashed.select("_g", "_h"))
+    sizes = hashes.groupBy("_g").agg(F.sum("_c").alias("count"))
     both = Window.partitionBy(F.lit(0))  # two rows, one per class
     sized = sizes.withColumn("_m", F.when(F.count("*").over(both) > 1, F.min("count").over(both)).otherwise(F.lit(0)))
-    kept = _edge_hashes(keys, sized.select("_g", F.col("_m").alias("_n"))).withColumnRenamed("_edge", "_keep")
-    trained = _edge_hashes(keys, sized.select("_g", F.floor(F.col("_m") * F.lit(share)).alias("_n")))
+    kept = _edge_hashes(hashes, sized.select("_g", F.col("_m").alias("_n"))).withColumnRenamed("_edge", "_keep")
+    trained = _edge_hashes(hashes, sized.select("_g", F.floor(F.col("_m") * F.lit(share)).alias("_n")))
     return (
         hashed.join(F.broadcast(kept), "_g")
         .filter(F.col("_h") <= F.col("_keep"))
@@ -146,6 +134,15 @@ def number_rows(df: DataFrame, order: list[str], name: str = "rn") -> DataFrame:
     )
 
 
+def number_wide(df: DataFrame, order: list[str], name: str = "rn") -> DataFrame:
+    """As :func:`number_rows`, but only the ``order`` columns are pinned; the rows find their number by them."""
+    if set(df.columns) == set(order):
+        return number_rows(df, order, name)
+    keys = number_rows(df.select(*order), order, name).withColumnsRenamed({c: f"_key_{c}" for c in order})
+    same = [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in order]
+    return df.join(keys, same).drop(*[f"_key_{c}" for c in order])
+
+
 def running_offsets(df: DataFrame, order: list[str], weights: dict[str, str]) -> DataFrame:
     """For each weight column the sum over all earlier rows in ``order``, named by ``weights``."""
     placed = _placed(df, order)

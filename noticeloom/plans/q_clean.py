@@ -407,10 +407,10 @@ def flt1(spark, folder):
     "SELECT doc_id, len, row_number() OVER (ORDER BY len DESC, doc_id) AS place FROM (SELECT doc_id, length(text) AS len FROM documents)",
 )
 def srt1(spark, folder):
-    from noticeloom.operators.ranking import number_rows
+    from noticeloom.operators.ranking import number_wide
 
     rows = table(spark, folder, "documents").select("doc_id", F.length("text").cast("bigint").alias("len")).withColumn("_neg", -F.col("len"))
-    return number_rows(rows, ["_neg", "doc_id"], "place").drop("_neg")
+    return number_wide(rows, ["_neg", "doc_id"], "place").drop("_neg")
 
 
 @query(

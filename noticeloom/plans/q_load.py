@@ -16,6 +16,8 @@ from noticeloom.plans.notice_load import load_notices
 from noticeloom.plans.q_clean import PRICE_SQL, _prices, amount_sql
 from noticeloom.plans.q_curate import CAT_NAMES, SCORE_SQL, category_scores
 from noticeloom.plans.tagging import tag_notices
+from noticeloom.session import fresh_folder
+from noticeloom.sources import digests as G
 from noticeloom.sources import extract as X
 from noticeloom.sources import tables as TB
 
@@ -48,6 +50,37 @@ def ext3(spark, folder):
     return X.pull_missing(source, table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("id")))
 
 
+def _kept(spark, name: str, loads: list[DataFrame]) -> str:
+    """A table stored with its digests, one load after the other."""
+    out = fresh_folder(spark, name)
+    for number, rows in enumerate(loads):
+        G.append(rows, out, ["id"], number)
+    return out
+
+
+@query(
+    "ext3_changed_buckets",
+    "SELECT o_orderkey AS id, o_custkey FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')",
+)
+def ext3_changed(spark, folder):
+    """The orders a target lacks, from the buckets whose digests differ; the target was loaded in two batches."""
+    orders = table(spark, folder, "orders")
+    rows = orders.select(F.col("o_orderkey").alias("id"), "o_custkey")
+    source = _kept(spark, "source", [rows])
+    target = _kept(spark, "target", [rows.filter(orders["o_orderstatus"] == s).select("id") for s in ("F", "O")])
+    return G.pull_missing(spark, source, target, "id bigint, o_custkey bigint", ["id"], "id bigint")
+
+
+@query(
+    "agg7_missing_by_digest",
+    "SELECT (SELECT count(*) FROM orders) AS origin_count, (SELECT count(*) FROM lineitem) AS target_count, count(*) AS a_not_b FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)",
+)
+def agg7_by_digest(spark, folder):
+    source = _kept(spark, "origin", [table(spark, folder, "orders").select(F.col("o_orderkey").alias("id"))])
+    target = _kept(spark, "done", [table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("id"))])
+    return G.missing_count(spark, source, target, "id bigint", ["id"])
+
+
 @query("ext4_batches", "SELECT event_id, (row_number() OVER (ORDER BY ts, event_id) - 1) // 200 AS batch FROM events")
 def ext4(spark, folder):
     return X.in_batches(table(spark, folder, "events").select("event_id", "ts"), ["ts", "event_id"], 200).select("event_id", "batch")

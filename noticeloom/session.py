@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A checkpoint's files go when nothing refers to it any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Recording the Python line of every column call costs more than building the plan.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticeloom.operators.lookup import listed, unknown
-from noticeloom.operators.ranking import number_rows
+from noticeloom.operators.ranking import number_wide
 
 
 def pull_all(source: DataFrame, order: list[str]) -> DataFrame:
@@ -28,7 +28,7 @@ def pull_missing(source: DataFrame, target: DataFrame, key: str = "id") -> DataF
 
 def in_batches(df: DataFrame, order: list[str], size: int) -> DataFrame:
     """Batch numbers of ``size`` rows in ``order`` (unique); the last batch may be short."""
-    return number_rows(df, order, "_rn").withColumn("batch", F.floor((F.col("_rn") - 1) / size)).drop("_rn")
+    return number_wide(df, order, "_rn").withColumn("batch", F.floor((F.col("_rn") - 1) / size)).drop("_rn")
 
 
 def write_batches(df: DataFrame, folder: str) -> None:

@@ -14,6 +14,13 @@ def test_numbers_follow_the_order_over_partitions(spark):
     assert [(g[1], g[2]) for g in got] == sorted((i % 7, i) for i in range(1000))
 
 
+def test_wide_rows_are_numbered_by_their_keys(spark):
+    df = spark.range(300).select("id", F.when(F.col("id") % 7 > 0, F.col("id") % 7).alias("t"), F.lit("x").alias("pad"))
+    got = sorted((r["rn"], r["id"], r["pad"]) for r in K.number_wide(df, ["t", "id"]).collect())
+    want = sorted(range(300), key=lambda i: (i % 7, i))  # a null time comes first
+    assert got == [(n + 1, i, "x") for n, i in enumerate(want)]
+
+
 def test_numbers_when_one_time_holds_most_rows(spark):
     df = spark.range(900).select("id", F.when(F.col("id") < 600, 5).otherwise(F.col("id") % 9).alias("t"))
     got = [r["id"] for r in K.number_rows(df, ["t", "id"]).orderBy("rn").collect()]
@@ -37,6 +44,23 @@ def test_exact_split_is_disjoint_and_complete(spark):
         assert {i for i, p in got.items() if p == "train"} == set(order(range(n), "s")[: int(n * 0.8)])
 
 
+def test_cuts_scan_twice(spark, tmp_path):
+    spark.range(500).select("id", (F.col("id") % 3 == 0).cast("int").alias("need")).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    for cut in (K.split_by_hash(df, "id", 0.8, "s"), K.balance_and_split(df, "id", "need", 0.8, "s")):
+        cut.collect()
+        plan = cut._jdf.queryExecution().executedPlan().toString()
+        final = plan.split("== Initial Plan ==")[0]
+        assert "ReusedExchange" in plan or "ReusedSubquery" in plan, final
+
+
+def test_split_counts_repeated_keys(spark):
+    df = spark.range(90).select((F.col("id") % 3).alias("id"))
+    sizes = {r["part"]: r["count"] for r in K.split_by_hash(df, "id", 0.5, "s").groupBy("part").count().collect()}
+    assert sizes == {"train": 60, "dev": 30}  # equal keys stay together, so the cut takes the whole second key
+    assert K.split_by_hash(df.limit(0), "id", 0.5, "s").count() == 0
+
+
 def test_share_split_is_complete(spark):
     parts = K.split_by_share(spark.range(2000), "id", 0.7, "s").groupBy("part").count().collect()
     sizes = {r["part"]: r["count"] for r in parts}
