@@ -54,13 +54,14 @@ def roll_up(digest: DataFrame, bits: int = BITS) -> DataFrame:
     return digest.groupBy(node).agg(F.sum("n").alias("n"), F.bit_xor("x").alias("x"), F.sum("s").alias("s"))
 
 
-def changed(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Leaves at which two digests differ, and the leaf of null keys if either has one."""
+def changed(a: DataFrame, b: DataFrame) -> list[int]:
+    """Leaves at which two digests differ, and the leaf of null keys if either has one: at most ``2 ** BITS + 1`` numbers."""
     stacked = a.withColumn("side", F.lit(1)).unionByName(b.withColumn("side", F.lit(-1)))
     both = stacked.groupBy(LEAF).agg(
         F.sum(F.col("n") * F.col("side")).alias("n"), F.bit_xor("x").alias("x"), F.sum(F.col("s") * F.col("side")).alias("s")
     )
-    return both.filter((F.col("n") != 0) | (F.col("x") != 0) | (F.col("s") != 0) | (F.col(LEAF) == NO_KEY)).select(LEAF)
+    differ = both.filter((F.col("n") != 0) | (F.col("x") != 0) | (F.col("s") != 0) | (F.col(LEAF) == NO_KEY))
+    return sorted(r[0] for r in differ.select(LEAF).collect())
 
 
 def append(df: DataFrame, folder: str, key: list[str], load: int) -> None:
@@ -91,18 +92,16 @@ def ranges(leaves: list[int], most: int = RANGES) -> list[tuple[int, int]]:
     return [(leaves[a], leaves[b - 1]) for a, b in zip(cuts, cuts[1:])]
 
 
-def read_rows(spark: SparkSession, folder: str, schema: str, leaves: DataFrame | None = None) -> DataFrame:
-    """Rows of complete loads with their leaf; of the given leaves only, if any are given.
-
-    The leaves (at most ``2 ** BITS + 1`` numbers) are looked up first and choose the folders and ranges to scan.
-    """
+def read_rows(spark: SparkSession, folder: str, schema: str, leaves: list[int] | None = None) -> DataFrame:
+    """Rows of complete loads with their leaf; of the given leaves only, if they are given, which choose the
+    folders and ranges to scan."""
     loads = spark.read.schema(f"{DIGEST}, {LOAD} bigint").parquet(f"{folder}/digests").select(LOAD).distinct()
     rows = spark.read.schema(f"{schema}, {LEAF} int, {LOAD} bigint, {PART} int").parquet(f"{folder}/rows")
     if leaves is not None:
-        wanted = sorted(r[0] for r in leaves.collect())
-        near = reduce(lambda a, b: a | b, [F.col(LEAF).between(*r) for r in ranges(wanted)], F.lit(False))
-        parts = sorted({leaf >> (BITS - PART_BITS) for leaf in wanted})
-        rows = rows.filter(F.col(PART).isin(parts) & near).join(F.broadcast(leaves), LEAF, "left_semi")
+        near = reduce(lambda a, b: a | b, [F.col(LEAF).between(*r) for r in ranges(leaves)], F.lit(False))
+        parts = sorted({leaf >> (BITS - PART_BITS) for leaf in leaves})
+        wanted = spark.createDataFrame([(leaf,) for leaf in leaves], f"{LEAF} int")
+        rows = rows.filter(F.col(PART).isin(parts) & near).join(F.broadcast(wanted), LEAF, "left_semi")
     return rows.join(F.broadcast(loads), LOAD, "left_semi").drop(LOAD, PART)
 
 

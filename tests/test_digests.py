@@ -37,7 +37,7 @@ def test_same_rows_as_the_anti_join(spark, seed):
 def test_equal_tables_read_nothing_and_empty_ones_work(spark):
     rows = [(i, "x") for i in range(200)]
     one, two, none = kept(spark, [rows]), kept(spark, [rows[:90], rows[90:]]), kept(spark, [[]])
-    assert D.changed(D.read_digests(spark, one), D.read_digests(spark, two)).count() == 0
+    assert D.changed(D.read_digests(spark, one), D.read_digests(spark, two)) == []
     assert pulled(spark, one, two).count() == 0 == pulled(spark, none, one).count()
     assert pulled(spark, one, none).count() == 200
     assert D.missing_count(spark, one, none, "id bigint", ["id"]).first().asDict() == {"origin_count": 200, "target_count": 0, "a_not_b": 200}
@@ -55,7 +55,7 @@ def test_only_changed_parts_are_read(spark):
     leaves = D.changed(D.read_digests(spark, source), D.read_digests(spark, target))
     plan = D.read_rows(spark, source, SCHEMA, leaves)._jdf.queryExecution().executedPlan().toString()
     part = spark.createDataFrame([rows[0]], SCHEMA).select(D.part_of(D.leaf_of(["id"]))).first()[0]
-    assert leaves.count() == 1 and re.search(rf"PartitionFilters: \[[^\]]*_part#\d+ (IN \(|= ){part}\b", plan)
+    assert len(leaves) == 1 and re.search(rf"PartitionFilters: \[[^\]]*_part#\d+ (IN \(|= ){part}\b", plan)
     assert tuples(pulled(spark, source, target).collect()) == [rows[0]]
 
 
