@@ -11,7 +11,7 @@ from noticeloom.operators import curate as C
 from noticeloom.operators.ranking import distinct_first, first_per_group
 from noticeloom.operators.spans import phrase_spans, span_rows
 from noticeloom.plans.catalog import query, spread, table
-from noticeloom.plans.data import ASTRAL_SQL, GOLD, clean_sql, marked_sql, quoted, spans_sql, visible_sql
+from noticeloom.plans.data import ASTRAL_SQL, GOLD, clean_sql, marked_sql, pages, quoted, spans_sql, visible_sql
 from noticeloom.sources.files import standard_documents
 
 LABEL_TERMS = [("中标单位", "the"), ("中标金额", "and"), ("项目名称", "tion"), ("开标时间", "&")]
@@ -25,8 +25,8 @@ kept AS (SELECT md5(text) AS md5, min(page_id) AS page_id, any_value(text) AS te
 SELECT label AS label_type, count(*) AS n_spans, count(DISTINCT page_id) AS n_pages FROM spans GROUP BY 1""",
 )
 def flagship_page_labels(spark, folder) -> DataFrame:
-    pages = spread(table(spark, folder, "pages")).select("page_id", T.clean_html(F.col("html")).alias("text"))
-    kept = distinct_first(pages.withColumn("md5", T.fingerprint(F.col("text"))), ["md5"], ["page_id"])
+    cleaned = pages(spark, folder).select("page_id", T.clean_html(F.col("html")).alias("text"))
+    kept = distinct_first(cleaned.withColumn("md5", T.fingerprint(F.col("text"))), ["md5"], ["page_id"])
     spans = span_rows(kept.withColumn("label", phrase_spans(F.col("text"), LABEL_TERMS)), ["page_id"])
     per_page = spans.groupBy("label_type", "page_id").agg(F.count("*").alias("n"))
     return per_page.groupBy("label_type").agg(F.sum("n").alias("n_spans"), F.count("*").alias("n_pages"))
@@ -37,7 +37,7 @@ def flagship_page_labels(spark, folder) -> DataFrame:
     f"SELECT page_id, md5(t) AS text_md5, length(t) AS n_chars FROM (SELECT page_id, {clean_sql('html')} AS t FROM pages)",
 )
 def prj1(spark, folder):
-    t = spread(table(spark, folder, "pages")).select("page_id", T.clean_html(F.col("html")).alias("t"))
+    t = pages(spark, folder).select("page_id", T.clean_html(F.col("html")).alias("t"))
     return t.select("page_id", F.md5("t").alias("text_md5"), F.length("t").cast("bigint").alias("n_chars"))
 
 
@@ -48,7 +48,7 @@ SELECT page_id, regexp_replace(replace(replace(translate(regexp_replace({visible
  chr(13) || chr(12), chr(10) || chr(10)), chr(9), ''), ' ', ''), '\\n+', chr(10), 'g') AS t FROM pages)""",
 )
 def prj1_short(spark, folder):
-    t = spread(table(spark, folder, "pages")).select("page_id", T.clean_html_short(F.col("html")).alias("t"))
+    t = pages(spark, folder).select("page_id", T.clean_html_short(F.col("html")).alias("t"))
     return t.select("page_id", F.md5("t").alias("text_md5"), F.length("t").cast("bigint").alias("n_chars"))
 
 
@@ -59,7 +59,7 @@ SELECT md5(t) AS md5, min(page_id) AS page_id, arg_min(url, page_id) AS source,
  any_value(length(t)) AS n_chars FROM c GROUP BY 1""",
 )
 def prj2(spark, folder):
-    docs = standard_documents(spread(table(spark, folder, "pages")), "tender", "2024-01-01 00:00:00", "page_id", "html", "url")
+    docs = standard_documents(pages(spark, folder), "tender", "2024-01-01 00:00:00", "page_id", "html", "url")
     return docs.select("md5", "page_id", "source", "task", "time", F.length("text").cast("bigint").alias("n_chars"))
 
 
@@ -87,7 +87,7 @@ def _entities_sql(column: str) -> str:
 
 @query("prj3_strip_tags_plain", f"SELECT page_id, md5({_old_sql('html')}) AS text_md5 FROM pages")
 def prj3(spark, folder):
-    return spread(table(spark, folder, "pages")).select("page_id", F.md5(T.strip_tags_plain(F.col("html"))).alias("text_md5"))
+    return pages(spark, folder).select("page_id", F.md5(T.strip_tags_plain(F.col("html"))).alias("text_md5"))
 
 
 @query("prj4_replace_entities", f"SELECT page_id, md5({_entities_sql('html')}) AS text_md5 FROM pages")
@@ -101,7 +101,7 @@ def prj4(spark, folder):
 SELECT page_id, regexp_replace(regexp_replace({visible_sql('html')}, {ASTRAL_SQL}, '', 'g'), '[^\\p{{L}}\\p{{N}}_]', '', 'g') AS w FROM pages)""",
 )
 def prj5(spark, folder):
-    return spread(table(spark, folder, "pages")).select("page_id", F.md5(T.word_content(F.col("html"))).alias("text_md5"))
+    return pages(spark, folder).select("page_id", F.md5(T.word_content(F.col("html"))).alias("text_md5"))
 
 
 @query("prj6_fingerprint", "SELECT doc_id, md5(text) AS md5 FROM documents")

@@ -11,7 +11,7 @@ from noticeloom.operators import notices as N
 from noticeloom.operators.ranking import distinct_first
 from noticeloom.operators.spans import phrase_spans
 from noticeloom.plans.catalog import query, spread, table
-from noticeloom.plans.data import clean_sql, documents, spans_sql
+from noticeloom.plans.data import clean_sql, documents, pages, spans_sql
 from noticeloom.plans.notice_load import load_notices
 from noticeloom.plans.q_clean import PRICE_SQL, _prices, amount_sql
 from noticeloom.plans.q_curate import CAT_NAMES, SCORE_SQL, category_scores
@@ -257,7 +257,7 @@ NOTICE_TERMS = [("中标单位", "the"), ("中标单位", "and"), ("项目名称
 
 def _notices(spark, folder) -> DataFrame:
     key = F.col("page_id")
-    return spread(table(spark, folder, "pages")).select(
+    return pages(spark, folder).select(
         key.alias("id"),
         F.col("url").alias("title"),
         F.col("html").alias("detail_content"),
@@ -441,6 +441,6 @@ SELECT val AS winning_bidder, CASE WHEN rn = 1 THEN money ELSE 0 END AS amount,
 def flow_winners_gold(spark, folder):
     """Every fifth page has labels by hand, which stand for all pages of its text."""
     label = F.expr("array(named_struct('start', 0, 'end', 3, 'label', '中标单位'))")
-    known = table(spark, folder, "pages").filter(F.col("page_id") % 5 == 0).select(T.clean_html(F.col("html")).alias("text"))
+    known = pages(spark, folder).filter(F.col("page_id") % 5 == 0).select(T.clean_html(F.col("html")).alias("text"))
     _, winners = _load(spark, folder, known.select(F.md5("text").alias("md5"), label.alias("label")))
     return winners.withColumn("amount", F.col("amount").cast("double")).drop("publish_time")

@@ -32,3 +32,18 @@ def test_query_matches_its_sql(spark, con, name):
 def test_registry(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", ["prj1_clean_html", "prj1_clean_html_short", "prj2_standard_documents", "prj3_strip_tags_plain", "prj5_word_content"])
+def test_references_without_semicolon_as_in_the_sql(spark, tmp_path, name):
+    title = "a&amp;&amp; b&amp"
+    rows = [
+        (1, "https://x.org/1", f"<title>{title}</title><h1>{title}</h1><p>c &lt; d</p>"),
+        (2, "https://x.org/2", "<p>t&quot</p>&copy;&middot &am &a<p>&amp;amp;</p>&amp;lt;&"),
+    ]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    df = entry.queries()[name](spark, str(tmp_path))
+    rel = c.execute(entry.oracle_sql()[name])
+    assert norm(df.collect(), df.columns) == norm(rel.fetchall(), [d[0] for d in rel.description])
