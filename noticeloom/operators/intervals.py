@@ -57,3 +57,17 @@ def overlapping(
     longer_right = filed(a, left_span, above("b", False)).drop("_own").join(own_b.drop("_own"), place)
     out = [*left.columns, *[c for c in right.columns if c not in on]]
     return longer_left.unionByName(longer_right).filter(meet).select(*out)
+
+
+def overlap_totals(left: DataFrame, right: DataFrame, on: list[str], left_span=("start", "end"), right_span=("r_start", "r_end"), top: int = TOP) -> DataFrame:
+    """Per ``on`` the ``pairs`` of rows whose half-open intervals overlap, and the summed length they have in ``common``.
+
+    Equal intervals of a side are counted first and meet once, so copies make no pairs.
+    """
+    def counted(df: DataFrame, span: tuple[str, str], n: str) -> DataFrame:
+        return df.groupBy(*on, *span).agg(F.count("*").alias(n))
+
+    met = overlapping(counted(left, left_span, "_ln"), counted(right, right_span, "_rn"), on, left_span, right_span, top)
+    times = F.col("_ln") * F.col("_rn")
+    common = F.least(left_span[1], right_span[1]) - F.greatest(left_span[0], right_span[0])
+    return met.groupBy(*on).agg(F.sum(times).alias("pairs"), F.sum(times * common).alias("common"))

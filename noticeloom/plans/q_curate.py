@@ -10,7 +10,7 @@ from noticeloom.operators import curate as C
 from noticeloom.operators import lookup as L
 from noticeloom.operators import ranking as K
 from noticeloom.operators import spans as S
-from noticeloom.operators.intervals import overlapping
+from noticeloom.operators.intervals import overlap_totals
 from noticeloom.operators.notices import ROUTES, routes, tag_routes
 from noticeloom.plans.catalog import query, table
 from noticeloom.plans.data import GOLD, PRED, SEED, annotated, documents, spans_sql
@@ -438,5 +438,4 @@ def jn8_intervals(spark, folder):
     )
     left = orders.select("k", "start", (F.col("start") + F.col("n")).alias("end"))
     right = items.select("k", "r_start", (F.col("r_start") + F.col("m")).alias("r_end"))
-    common = F.least("end", "r_end") - F.greatest("start", "r_start")
-    return overlapping(left, right, ["k"], top=9).groupBy("k").agg(F.count("*").alias("pairs"), F.sum(common).alias("days"))
+    return overlap_totals(left, right, ["k"], top=9).withColumnRenamed("common", "days")

@@ -46,3 +46,12 @@ def test_no_cell_holds_a_large_part(spark, monkeypatch):
     assert got.count() == 40000 + 40000 + 40000 + 1
     cells = ones.groupBy(F.floor(F.col("start") / (1 << intervals.TOP))).count().agg(F.max("count")).first()[0]
     assert cells < 700
+
+
+def test_totals_without_a_pair_per_copy(spark):
+    from noticeloom.operators.intervals import overlap_totals
+
+    many = 200000  # copies of one interval on each side: 4e10 pairs
+    left = spark.range(many).selectExpr("1L AS k", "0L AS start", "10L AS end").unionByName(spark.sql("SELECT 2L AS k, 3L AS start, 5L AS end"))
+    right = spark.range(many).selectExpr("1L AS k", "4L AS r_start", "7L AS r_end").unionByName(spark.sql("SELECT 2L AS k, 5L AS r_start, 9L AS r_end"))
+    assert [tuple(r) for r in overlap_totals(left, right, ["k"]).collect()] == [(1, many * many, 3 * many * many)]
