@@ -13,6 +13,9 @@ from noticeloom.operators.ranking import number_rows
 
 ALL_TYPES = "ALL"
 BLOCK = 1024  # rows of a batch in one matrix
+SIDES = 32  # blocks along a batch, until they have MOST rows
+MOST = 8192  # rows of a block; its products are made STRIP rows at a time
+STRIP = 256
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -180,13 +183,14 @@ def sequence_overlap(pairs: DataFrame, pred: str, ref: str) -> DataFrame:
     return counted.agg(F.round(F.avg(fscore) * 100, 4).alias("rougeL"), F.round(F.avg(F.size("p")), 4).alias("gen_len"), F.count("*").alias("pairs"))
 
 
-def batch_similarity(df: DataFrame, batch: Column, id_col: str, vector: str, temperature: float = 0.05, block: int = BLOCK) -> DataFrame:
+def batch_similarity(df: DataFrame, batch: Column, id_col: str, vector: str, temperature: float = 0.05, block: int = BLOCK, loss: bool = True) -> DataFrame:
     """Per text the closest other text of its batch and the contrastive loss of the batch.
 
     Text i of n, by id, belongs with text (i + n/2) mod n. Batches may have any size: rows are numbered over the
-    cluster and dealt over blocks of ``block`` rows, each pair of blocks is one task's matrix product, and what
-    a row brings home from each (its best, and its sum of exponents beside their largest) is merged. A null
-    batch is a batch. A vector of zeros has the similarity 0 to all; rows whose vector is null or holds a null
+    cluster and dealt over blocks of ``block`` rows, of more in large batches, so that a row is copied to ``SIDES``
+    pairs of blocks or, beyond ``SIDES * MOST`` rows, to one per ``MOST`` rows. Each pair of blocks is one group's
+    matrix products, ``STRIP`` rows at a time, and what a row brings home from each (its best, and its sum of
+    exponents beside their largest) is merged. Without ``loss`` no exponents are taken. A null batch is a batch. A vector of zeros has the similarity 0 to all; rows whose vector is null or holds a null
     take no part; vectors of a batch have one length.
     """
     def score(own: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
@@ -198,36 +202,47 @@ def batch_similarity(df: DataFrame, batch: Column, id_col: str, vector: str, tem
             x = np.stack(v.to_numpy()).astype(np.float64)
             return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-8)
 
-        sim = unit(own["_v"]) @ unit(others["_v"]).T
-        mine, theirs, n = own["_rn"].to_numpy(), others["_rn"].to_numpy(), own["_n"].to_numpy()
-        sim[mine[:, None] == theirs[None, :]] = -np.inf
-        best, rows = sim.argmax(axis=1), np.arange(len(sim))
-        logits = sim / temperature
-        top = logits.max(axis=1)
-        some = np.isfinite(top)  # a batch of one has no other
-        total = np.exp(logits - np.where(some, top, 0)[:, None]).sum(axis=1)
-        first = own["_first"].to_numpy()
-        wanted = first + (mine - first + n // 2) % n
-        at = np.searchsorted(theirs, wanted)
-        held = (at < len(theirs)) & (theirs[np.minimum(at, len(theirs) - 1)] == wanted) & (wanted != mine)
-        partner = np.where(held, logits[rows, np.minimum(at, len(theirs) - 1)], np.nan)
+        right, ids, theirs = unit(others["_v"]).T, others["_id"].to_numpy(), others["_rn"].to_numpy()
+        left, every = unit(own["_v"]), own["_rn"].to_numpy()
+        firsts, counts = own["_first"].to_numpy(), own["_n"].to_numpy()
+
+        def strip(at: slice) -> pd.DataFrame:
+            mine, rows = every[at], np.arange(len(every[at]))
+            sim = left[at] @ right
+            me = np.searchsorted(theirs, mine)
+            here = (me < len(theirs)) & (theirs[np.minimum(me, len(theirs) - 1)] == mine)
+            sim[rows[here], me[here]] = -np.inf
+            best = sim.argmax(axis=1)
+            most = sim[rows, best]
+            some = np.isfinite(most)  # a batch of one has no other
+            part = {
+                "_rn": mine, "batch": own["batch"].to_numpy()[at], "_id": own["_id"].to_numpy()[at], "nearest": known(ids[best], some),
+                "similarity": known(most, some), "_q": others["_q"].to_numpy()[0],
+            }
+            if not loss:
+                return pd.DataFrame(part | {"_top": None, "_sum": None, "_partner": None})
+            logits, top = sim / temperature, most / temperature
+            total = np.exp(logits - np.where(some, top, 0)[:, None]).sum(axis=1)
+            first, n = firsts[at], counts[at]
+            wanted = first + (mine - first + n // 2) % n
+            place = np.searchsorted(theirs, wanted)
+            held = (place < len(theirs)) & (theirs[np.minimum(place, len(theirs) - 1)] == wanted) & (wanted != mine)
+            partner = np.where(held, logits[rows, np.minimum(place, len(theirs) - 1)], np.nan)
+            return pd.DataFrame(part | {"_top": known(top, some), "_sum": known(total, some), "_partner": known(partner, held)})
 
         def known(values, where):
             return [v if ok else None for v, ok in zip(values.tolist(), where)]
 
-        return pd.DataFrame({
-            "_rn": mine, "batch": own["batch"].to_numpy(), "_id": own["_id"].to_numpy(), "nearest": known(others["_id"].to_numpy()[best], some),
-            "similarity": known(sim[rows, best], some), "_q": others["_q"].to_numpy()[0], "_top": known(top, some),
-            "_sum": known(total, some), "_partner": known(partner, held),
-        })
+        return pd.concat([strip(slice(i, i + STRIP)) for i in range(0, len(left), STRIP)])
 
     sound = F.col(vector).isNotNull() & F.forall(vector, lambda c: c.isNotNull())
     rows = df.filter(sound).select(batch.cast("bigint").alias("batch"), F.col(id_col).cast("bigint").alias("_id"), F.col(vector).alias("_v"))
     numbered = number_rows(rows, ["batch", "_id"], "_rn")
     sizes = numbered.groupBy(F.col("batch").alias("_batch")).agg(F.min("_rn").alias("_first"), F.count("*").alias("_n"))
     placed = numbered.join(sizes, F.col("batch").eqNullSafe(F.col("_batch"))).drop("_batch")
-    inside = F.floor((F.col("_rn") - F.col("_first")) / block)
-    all_blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / block)))
+    rows_of = F.greatest(F.lit(block), F.least(F.lit(MOST), F.ceil(F.col("_n") / SIDES)))
+    inside = F.floor((F.col("_rn") - F.col("_first")) / rows_of)
+    all_blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / rows_of)))
     left = placed.withColumn("_p", inside).withColumn("_q", all_blocks)
     right = placed.select(*[F.col(c).alias(c) for c in placed.columns]).withColumn("_q", inside).withColumn("_p", all_blocks)
     keys = ["_first", "_p", "_q"]
@@ -239,9 +254,12 @@ def batch_similarity(df: DataFrame, batch: Column, id_col: str, vector: str, tem
         F.collect_list(F.struct("_top", "_sum")).alias("_parts"),  # one per block of the batch
         F.max("_top").alias("_top"), F.max("_partner").alias("_partner"),
     )
+    closest = merged.select("batch", F.col("_id").alias(id_col), "_best.nearest", "_best.similarity", "_top", "_parts", "_partner")
+    if not loss:
+        return closest.drop("_top", "_parts", "_partner")
     total = F.aggregate("_parts", F.lit(0.0), lambda t, x: t + F.coalesce(x["_sum"] * F.exp(x["_top"] - F.col("_top")), F.lit(0.0)))
-    loss = F.when(F.col("_top").isNotNull(), F.col("_top") + F.log(total) - F.col("_partner"))
-    return merged.select("batch", F.col("_id").alias(id_col), "_best.nearest", "_best.similarity", loss.alias("loss"))
+    value = F.when(F.col("_top").isNotNull(), F.col("_top") + F.log(total) - F.col("_partner"))
+    return closest.select("batch", id_col, "nearest", "similarity", value.alias("loss"))
 
 
 def label_accuracy(gold: DataFrame, pred: DataFrame, doc: str) -> DataFrame:

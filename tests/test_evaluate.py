@@ -143,3 +143,21 @@ def test_metrics_table(spark):
     assert tuples(E.metrics_table(df).collect()) == sorted(
         [("bid", "0101", "总体", "p", 0.1), ("bid", "0101", "总体", "r", 0.2), ("bid", "0101", "总体", "f", 0.3), ("bid", "0101", "速度", "speed", 9.0), ("bid", "0101", "a", "p", 0.5)]
     )
+
+
+@pytest.mark.parametrize("sides, most, strip", [(2, 8192, 256), (4, 3, 2), (32, 7, 5)])
+def test_closest_vectors_without_loss_in_blocks_of_any_shape(spark, monkeypatch, sides, most, strip):
+    monkeypatch.setattr(E, "SIDES", sides)
+    monkeypatch.setattr(E, "MOST", most)
+    monkeypatch.setattr(E, "STRIP", strip)
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(41)]
+    df = spark.createDataFrame(rows, "id bigint, v array<double>")
+    got = E.batch_similarity(df, F.lit(None), "id", "v", block=2, loss=False)
+    assert got.columns == ["batch", "id", "nearest", "similarity"]
+    x = np.array([v for _, v in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    sims = x @ x.T
+    np.fill_diagonal(sims, -np.inf)
+    assert {r["id"]: r["nearest"] for r in got.collect()} == dict(enumerate(sims.argmax(axis=1).tolist()))
+    assert sorted(round(r["similarity"], 9) for r in got.collect()) == sorted(sims.max(axis=1).round(9).tolist())
