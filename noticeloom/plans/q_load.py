@@ -16,7 +16,7 @@ from noticeloom.plans.notice_load import load_notices
 from noticeloom.plans.q_clean import PRICE_SQL, _prices, amount_sql
 from noticeloom.plans.q_curate import CAT_NAMES, SCORE_SQL, category_scores
 from noticeloom.plans.tagging import tag_notices
-from noticeloom.session import fresh_folder
+from noticeloom.session import few_rows, fresh_folder
 from noticeloom.sources import digests as G
 from noticeloom.sources import extract as X
 from noticeloom.sources import tables as TB
@@ -273,7 +273,7 @@ def _notices(spark, folder) -> DataFrame:
 
 def _load(spark, folder, gold: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
     if gold is None:
-        gold = spark.createDataFrame([], "md5 string, label array<struct<start:int,end:int,label:string>>")
+        gold = few_rows(spark, [], "md5 string, label array<struct<start:int,end:int,label:string>>")
     return load_notices(
         _notices(spark, folder), "test_tender_bid_result", gold,
         lambda df: df.withColumn("label", phrase_spans(F.col("text"), NOTICE_TERMS)), 2024,
@@ -325,7 +325,7 @@ def _dated(spark, folder) -> DataFrame:
 
 
 def _parents(spark, rows: DataFrame, origin: str, terms: list[tuple[str, str]]) -> DataFrame:
-    gold = spark.createDataFrame([], "md5 string, label array<struct<start:int,end:int,label:string>>")
+    gold = few_rows(spark, [], "md5 string, label array<struct<start:int,end:int,label:string>>")
     parents, winners = load_notices(rows, origin, gold, lambda df: df.withColumn("label", phrase_spans(F.col("text"), terms)), 2024)
     assert winners is None
     return parents

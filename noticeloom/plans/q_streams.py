@@ -13,7 +13,7 @@ from noticeloom.plans.data import GOLD, documents
 from noticeloom.plans.q_curate import category_scores
 from noticeloom.plans.q_load import NOTICE_TERMS, NOTICES, _notices, _us
 from noticeloom.plans.q_spans import GOLD_SQL, rows_out
-from noticeloom.session import fresh_folder
+from noticeloom.session import few_rows, fresh_folder
 from noticeloom.sources.commits import read_all, read_current
 from noticeloom.sources.drops import drop_stream, write_drops
 from noticeloom.sources.files import CORRUPT
@@ -21,10 +21,18 @@ from noticeloom.sources.tables import append_batch, read_latest
 from noticeloom.streaming import jobs as J
 
 
+def several(df: DataFrame, least: int = 4) -> DataFrame:
+    """Rows of a table as they are read, where that makes ``least`` files or more; a small table is dealt over so many.
+
+    So the rows of a file grow with a task of the scan and not with the table.
+    """
+    return df if df.rdd.getNumPartitions() >= least else df.repartition(least)
+
+
 @query("str1_document_stream", "SELECT doc_id, lang, md5(text) AS md5 FROM documents")
 def str1(spark, folder):
     drops, out = fresh_folder(spark, "in"), fresh_folder(spark, "out")
-    documents(spark, folder).select("doc_id", "lang", "text").repartition(4).write.json(drops)
+    several(table(spark, folder, "documents").select("doc_id", "lang", "text")).write.json(drops)
     stream = J.document_stream(spark, drops, J.sample_schema(spark, drops), max_files=2)
     J.append_stream(stream, out, fresh_folder(spark, "checkpoint")).awaitTermination()
     return spark.read.parquet(out).select("doc_id", "lang", F.md5("text").alias("md5"))
@@ -33,7 +41,7 @@ def str1(spark, folder):
 @query("str2_annotated_stream", f'{GOLD_SQL} SELECT doc_id, "start", "end", label FROM spans')
 def str2(spark, folder):
     drops, out = fresh_folder(spark, "in"), fresh_folder(spark, "out")
-    documents(spark, folder).select("doc_id", "text").repartition(4).write.json(drops)
+    several(table(spark, folder, "documents").select("doc_id", "text")).write.json(drops)
     stream = annotate(J.document_stream(spark, drops, "doc_id bigint, text string"), term_matcher(GOLD))
     J.append_stream(stream.select("doc_id", "label"), out, fresh_folder(spark, "checkpoint")).awaitTermination()
     return rows_out(spark.read.parquet(out), "doc_id")
@@ -44,7 +52,7 @@ def _notice_stream(spark, folder) -> str:
     notices = _notices(spark, folder)
     write_drops(notices, drops, "bid", "test_tender_bid_result", 100)
     write_drops(notices.filter("title LIKE 'https%'"), drops, "bid", "table_nobody_knows", 300)
-    gold = spark.createDataFrame([], "md5 string, label array<struct<start:int,end:int,label:string>>")
+    gold = few_rows(spark, [], "md5 string, label array<struct<start:int,end:int,label:string>>")
     stream = drop_stream(spark, drops, notices.schema)
     query_ = J.notice_stream(
         stream, out, {"bid": gold}, lambda df: df.withColumn("label", phrase_spans(F.col("text"), NOTICE_TERMS)), 2024,

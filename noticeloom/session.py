@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import tempfile
 import uuid
@@ -9,6 +10,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -35,6 +37,11 @@ def build_session(app: str = "noticeloom", master: str | None = None, **extra: s
     return builder.getOrCreate()
 
 
+def few_rows(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
+    """A frame of a few rows as a literal: unlike rows of ``createDataFrame`` it needs no Python on the executors."""
+    return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")))
+
+
 def working_folder(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -20,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from noticeloom.session import few_rows
+
 LOG = "commits"
 MANIFEST = "load string, base boolean, tables map<string,string>"
 
@@ -129,7 +131,8 @@ def _rows(spark: SparkSession, store: str, table: str) -> DataFrame | None:
     own = own[bases[-1] :] if bases else own
     if not own:
         return None
-    numbers = spark.createDataFrame([(c.tables[table].split("=")[1], c.number, c.base) for c in own], "attempt string, _number long, _base boolean")
+    loads = [{"attempt": c.tables[table].split("=")[1], "_number": c.number, "_base": c.base} for c in own]
+    numbers = few_rows(spark, loads, "attempt string, _number long, _base boolean")
     base_path = f"{store}/{table}"
     rows = spark.read.option("basePath", base_path).option("mergeSchema", True).parquet(*[f"{store}/{c.tables[table]}" for c in own])
     return rows.join(F.broadcast(numbers), "attempt").drop("attempt")  # a row per load since the last compaction

@@ -30,12 +30,13 @@ import io
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamReader, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
 from noticeloom.sources.files import CORRUPT
@@ -208,25 +209,27 @@ class Written(WriterCommitMessage):
     name: str | None
 
 
-class DropWriter(DataSourceWriter):
+class DropWriter(DataSourceArrowWriter):
     def __init__(self, options):
         self.path, self.write_id = options["path"], uuid.uuid4().hex
         self.prefix = f"{options['task']}#{options['table']}#{int(options['stamp'])}-{self.write_id}"
 
-    def write(self, iterator) -> Written:
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
+        """The lines' bytes as they come from the JVM: no row or string of Python is made of them."""
         from pyspark import TaskContext
 
         context = TaskContext.get()
         system, path = open_folder(self.path)
         name = f"{self.prefix}-{context.partitionId():05d}.json"
         hidden = f"{path}/.{name}-{context.taskAttemptId()}"
-        first = next(iterator, None)
+        first = next((batch for batch in iterator if batch.num_rows), None)
         if first is None:
             return Written(None)
         with system.open_output_stream(hidden) as file:
-            file.write(first[0].encode() + b"\n")
-            for row in iterator:
-                file.write(row[0].encode() + b"\n")
+            for batch in chain([first], iterator):
+                for line in batch.column(0):
+                    file.write(line.as_buffer())
+                    file.write(b"\n")
         system.move(hidden, f"{path}/{name}")
         return Written(name)
 

@@ -316,3 +316,26 @@ def test_low_water_mark(spark, tmp_path):
     written = [top_up(spark.range(i * 10, i * 10 + 10), source.coalesce(1), folder, "t", "x", i, low=3) for i in range(5)]
     assert written == [True, True, True, False, False] and waiting(folder) == 3
     assert sorted(r["id"] for r in read_drops(spark, folder, "id bigint, v bigint").collect()) == list(range(30))
+
+
+def test_drops_are_written_as_bytes_of_the_batch(spark, tmp_path):
+    import pyarrow as pa
+    from noticeloom.sources.drops import DropWriter
+    from pyspark.sql.datasource import DataSourceArrowWriter
+
+    assert issubclass(DropWriter, DataSourceArrowWriter)  # rows of Python would hold a batch many times over
+    rows = spark.sql("SELECT id, repeat('é😀', 3) AS t FROM range(5)")
+    write_drops(rows.repartition(3), str(tmp_path / "in"), "bid", "a", 1)
+    lines = sorted(line for f in (tmp_path / "in").glob("*.json") for line in f.read_text().splitlines())
+    assert lines == [f'{{"id":{i},"t":"{"é😀" * 3}"}}' for i in range(5)]
+
+
+def test_small_frames_and_stream_files_grow_with_the_scan(spark):
+    from noticeloom.plans.q_streams import several
+    from noticeloom.session import few_rows
+
+    rows = few_rows(spark, [{"a": "x", "n": 1}], "a string, n long")
+    assert [tuple(r) for r in rows.collect()] == [("x", 1)] and few_rows(spark, [], "a string, n long").count() == 0
+    assert "ExistingRDD" not in rows._jdf.queryExecution().toString()
+    assert several(spark.range(100, numPartitions=9)).rdd.getNumPartitions() == 9
+    assert several(spark.range(100, numPartitions=2)).rdd.getNumPartitions() == 4
