@@ -87,7 +87,8 @@ def _entities_sql(column: str) -> str:
 
 @query("prj3_strip_tags_plain", f"SELECT page_id, md5({_old_sql('html')}) AS text_md5 FROM pages")
 def prj3(spark, folder):
-    return pages(spark, folder).select("page_id", F.md5(T.strip_tags_plain(F.col("html"))).alias("text_md5"))
+    text = F.when(F.col("html").isNotNull(), T.strip_tags_plain(F.col("html")))
+    return pages(spark, folder).select("page_id", F.md5(text).alias("text_md5"))
 
 
 @query("prj4_replace_entities", f"SELECT page_id, md5({_entities_sql('html')}) AS text_md5 FROM pages")
@@ -101,7 +102,8 @@ def prj4(spark, folder):
 SELECT page_id, regexp_replace(regexp_replace({visible_sql('html')}, {ASTRAL_SQL}, '', 'g'), '[^\\p{{L}}\\p{{N}}_]', '', 'g') AS w FROM pages)""",
 )
 def prj5(spark, folder):
-    return pages(spark, folder).select("page_id", F.md5(T.word_content(F.col("html"))).alias("text_md5"))
+    words = F.when(F.col("html").isNotNull(), T.word_content(F.col("html")))
+    return pages(spark, folder).select("page_id", F.md5(words).alias("text_md5"))
 
 
 @query("prj6_fingerprint", "SELECT doc_id, md5(text) AS md5 FROM documents")

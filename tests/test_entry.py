@@ -47,3 +47,18 @@ def test_references_without_semicolon_as_in_the_sql(spark, tmp_path, name):
     df = entry.queries()[name](spark, str(tmp_path))
     rel = c.execute(entry.oracle_sql()[name])
     assert norm(df.collect(), df.columns) == norm(rel.fetchall(), [d[0] for d in rel.description])
+
+
+@pytest.mark.parametrize("name", ["prj1_clean_html", "prj1_clean_html_short", "prj3_strip_tags_plain", "prj5_word_content"])
+def test_other_references_and_null_pages_as_in_the_sql(spark, tmp_path, name):
+    rows = [
+        (1, "https://x.org/1", "<p>a&nbsp;b&#39;c&eacute;d&#x41;</p>&amp;nbsp;&quot;e&lt;"),
+        (2, "https://x.org/2", None),
+        (3, "https://x.org/3", "<p>&amp;copy;&copy;&Copy;&#169;</p>"),
+    ]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    df = entry.queries()[name](spark, str(tmp_path))
+    rel = c.execute(entry.oracle_sql()[name])
+    assert norm(df.collect(), df.columns) == norm(rel.fetchall(), [d[0] for d in rel.description])
