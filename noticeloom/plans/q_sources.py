@@ -143,26 +143,31 @@ def src11_records(spark, folder):
 
 
 def _page_files(spark, folder) -> str:
-    """Each page as a file of its own: one folder per page number, its text as the only line."""
+    """Each page as a file of its own, named by its number, its text as the only line."""
     out = fresh_folder(spark, "pages")
-    line = F.translate("html", "\n\r", "  ").alias("value")
-    table(spark, folder, "pages").select("page_id", line).repartition("page_id").write.partitionBy("page_id").text(out)
+    line = F.concat(F.coalesce(F.translate("html", "\n\r", "  "), F.lit("")), F.lit("\n"))
+    rows = table(spark, folder, "pages").select(F.concat("page_id", F.lit(".txt")).alias("name"), line.alias("text"))
+    S.write_whole_files(rows.repartition("name"), out)
     return out
 
 
+def _page_id():
+    return F.substring_index("name", ".", 1).cast("bigint").alias("page_id")
+
+
 PAGE_FILES = "SELECT page_id, translate(html, chr(10) || chr(13), '  ') || chr(10) AS t FROM pages"
 
 
 @query("src13_pages_as_files", f"SELECT page_id, md5(t) AS md5 FROM ({PAGE_FILES})")
 def src13(spark, folder):
     files = S.read_whole_files(spark, _page_files(spark, folder))
-    return files.select(F.col("page_id").cast("bigint").alias("page_id"), F.md5("text").alias("md5"))
+    return files.select(_page_id(), F.md5("text").alias("md5"))
 
 
 @query("src14_file_sizes", f"SELECT page_id, CAST(strlen(t) AS BIGINT) AS size FROM ({PAGE_FILES})")
 def src14(spark, folder):
     sizes = S.file_sizes(spark, _page_files(spark, folder))
-    return sizes.select(F.col("page_id").cast("bigint").alias("page_id"), "size")
+    return sizes.select(_page_id(), "size")
 
 
 @query("src14_size_summary", f"SELECT CAST(sum(strlen(t)) AS BIGINT) AS total, CAST(max(strlen(t)) AS BIGINT) AS largest FROM ({PAGE_FILES})")

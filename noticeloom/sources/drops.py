@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamReader, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-from noticeloom.sources.files import CORRUPT
+from noticeloom.sources.files import CORRUPT, open_folder
 
 LINES = "value string, task string, table string, stamp bigint, file string"
 SPLIT_BYTES = 64 << 20
@@ -48,13 +48,6 @@ MAX_FILES = 8
 LOW_WATER = 8  # files waiting below which more are written
 
 
-def open_folder(path: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a path or URI, and the path in it."""
-    if path.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
-    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
-
-
 def name_parts(name: str) -> tuple[str | None, str | None, int | None]:
     """Task, table and stamp of a file name; the stamp is the number its third part begins with."""
     parts = name.removesuffix(".json").split("#")

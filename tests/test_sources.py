@@ -1,8 +1,10 @@
 import json
+import os
 
 from pyspark.sql import functions as F
 
 from conftest import tuples
+from noticeloom.plans.q_sources import _page_files
 from noticeloom.sources import drops as D
 from noticeloom.sources import extract as X
 from noticeloom.sources import files as S
@@ -31,6 +33,20 @@ def test_lines_and_whole_files(spark, tmp_path):
     assert (total["total"], total["largest"]) == (len(" x \n\n　\ny\n".encode()),) * 2
 
 
+def test_files_of_one_row_are_dealt_over_a_fixed_number_of_folders(spark, tmp_path):
+    html = F.when(F.col("id") != 7, F.concat(F.lit("<p>é\r\n"), F.col("id").cast("string")))
+    spark.range(700).select(F.col("id").alias("page_id"), html.alias("html")).write.parquet(f"{tmp_path}/pages.parquet")
+    out = _page_files(spark, str(tmp_path))
+    folders = os.listdir(out)
+    assert len([f for f in folders if "=" in f]) <= S.FOLDERS
+    names = [n for f in folders if "=" in f for n in os.listdir(f"{out}/{f}")]
+    assert sorted(names) == sorted(f"{i}.txt" for i in range(700))
+    whole = {r["name"]: r["text"] for r in S.read_whole_files(spark, out).collect()}
+    want = {f"{i}.txt": "\n" if i == 7 else f"<p>é  {i}\n" for i in range(700)}
+    assert whole == want
+    assert {r["name"]: r["size"] for r in S.file_sizes(spark, out).collect()} == {n: len(t.encode()) for n, t in want.items()}
+
+
 def test_csv_with_line_ends_in_quotes(spark, tmp_path):
     df = spark.createDataFrame([(1, 'a "q", b\nc'), (2, None)], "id int, t string")
     S.write_delimited(df, str(tmp_path / "csv"))
