@@ -75,25 +75,56 @@ class Known:
 
     def hits(self, text: str) -> list[tuple[int, int, str]]:
         """Likely occurrences; those of one term do not overlap each other."""
-        found: list[tuple[int, int]] = []
-        for at in range(0, len(text), CHUNK):
-            codes = _codes(text[at : at + CHUNK + self.most - 1])
-            sums = self.prefixes.of(codes)
-            starts = np.arange(min(CHUNK, len(codes)))
-            near = self._tested(sums, starts, GRAM, self.grams, GRAM_BITS) if self.long else starts[:0]
-            for length, some in [(n, starts) for n in self.short] + [(n, near) for n in self.long]:
-                found += [(at + int(s), length) for s in self._tested(sums, some, length, self.whole, TERM_BITS)]
+        return self.hits_of([text])[0]
+
+    def hits_of(self, texts: list[str]) -> list[list[tuple[int, int, str]]]:
+        """Likely occurrences in each text. Short texts are hashed together, so a length costs a step per chunk and not per text."""
+        found: list[list[tuple[int, int]]] = [[] for _ in texts]
+        for pieces in self._chunks(texts):
+            self._search(pieces, found)
+        return [self._apart(text, sorted(places)) for text, places in zip(texts, found)]
+
+    def _chunks(self, texts: list[str]) -> Iterator[list[tuple[int, int, str]]]:
+        """Texts as lists of (text, place in it, piece) of bounded length; the pieces of a long text reach into the next one."""
+        held, size = [], 0
+        for i, text in enumerate(texts):
+            if len(text) > CHUNK:
+                yield from ([(i, at, text[at : at + CHUNK + self.most - 1])] for at in range(0, len(text), CHUNK))
+                continue
+            if size + len(text) > CHUNK:
+                yield held
+                held, size = [], 0
+            if text:
+                held.append((i, 0, text))
+                size += len(text)
+        if held:
+            yield held
+
+    def _search(self, pieces: list[tuple[int, int, str]], found: list[list[tuple[int, int]]]) -> None:
+        sums = self.prefixes.of(_codes("".join(piece for *_, piece in pieces)))
+        ends = np.cumsum([len(piece) for *_, piece in pieces])
+        room = np.repeat(ends, np.diff(ends, prepend=0)) - np.arange(ends[-1])  # characters from a place to the end of its text
+        starts = np.arange(min(CHUNK, len(room)))
+        near = self._tested(sums, room, starts, GRAM, self.grams, GRAM_BITS) if self.long else starts[:0]
+        for length, some in [(n, starts) for n in self.short] + [(n, near) for n in self.long if len(near)]:
+            for place in self._tested(sums, room, some, length, self.whole, TERM_BITS).tolist():
+                k = int(np.searchsorted(ends, place, "right"))
+                i, at, piece = pieces[k]
+                found[i].append((at + place - int(ends[k]) + len(piece), length))
+
+    @staticmethod
+    def _apart(text: str, places: list[tuple[int, int]]) -> list[tuple[int, int, str]]:
         free: dict[str, int] = {}
         out = []
-        for start, length in sorted(found):
+        for start, length in places:
             term = text[start : start + length]
             if start >= free.get(term, 0):
                 free[term] = start + length
                 out.append((start, start + length, term))
         return out
 
-    def _tested(self, sums: np.ndarray, starts: np.ndarray, length: int, words: np.ndarray, bits: int) -> np.ndarray:
-        inside = starts[starts + length < len(sums)]
+    def _tested(self, sums: np.ndarray, room: np.ndarray, starts: np.ndarray, length: int, words: np.ndarray, bits: int) -> np.ndarray:
+        inside = starts[room[starts] >= length]
         hashes = self.prefixes.parts(sums, inside, length)
         for turn in range(2):  # the second bit is asked for what the first one let through
             kept = _held(words, _place(hashes, bits, turn))
@@ -149,7 +180,8 @@ def term_hits(df: DataFrame, terms: DataFrame, keep: list[str], text: str = "tex
     @F.pandas_udf(HIT)
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield pd.Series([[{"start": s, "end": e, "term": t} for s, e, t in known.value.hits(x)] if x else [] for x in batch])
+            found = known.value.hits_of([x or "" for x in batch])
+            yield pd.Series([[{"start": s, "end": e, "term": t} for s, e, t in hits] for hits in found])
 
     found = df.select(*keep, F.explode(find(F.col(text))).alias("_hit")).select(*keep, "_hit.*")
     return found.join(clean, "term").select(*keep, "start", "end", "label")

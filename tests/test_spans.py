@@ -75,6 +75,37 @@ def test_candidates_beyond_the_hits_are_few():
     assert terms[0] in {t for *_, t in hits} and len(hits) < 30
 
 
+def test_short_texts_are_hashed_together(monkeypatch):
+    """A length of terms costs a step per chunk: tests of many short texts do not grow with their number."""
+    rng = random.Random(8)
+    terms = sorted({"".join(rng.choices("ab中😀", k=rng.randint(1, 40))) for _ in range(60)})
+    maps = [np.zeros(1 << (bits - 6), np.uint64) for bits in (TM.GRAM_BITS, TM.TERM_BITS)]
+    for term in terms:
+        prefixes = TM.Prefixes(len(term))
+        sums = prefixes.of(TM._codes(term))
+        for which, length, bits in [(1, len(term), TM.TERM_BITS)] + ([(0, TM.GRAM, TM.GRAM_BITS)] if len(term) >= TM.GRAM else []):
+            own = prefixes.parts(sums, np.zeros(1, np.int64), length)
+            for turn in range(2):
+                place = int(TM._place(own, bits, turn)[0])
+                maps[which][place >> 6] |= np.uint64(1 << (place & 63))
+    known = TM.Known(*maps, sorted({len(t) for t in terms}))
+    halves = [(t[: len(t) // 2], t[len(t) // 2 :]) for t in terms]  # a term across two texts is no occurrence
+    texts = ["", *[h for pair in halves for h in pair], *["".join(rng.choices(terms + ["-", ""], k=4)) for _ in range(400)], "", "a" * 70]
+    calls = []
+    tested = TM.Known._tested
+    monkeypatch.setattr(TM.Known, "_tested", lambda *a: calls.append(1) or tested(*a))
+
+    def places(hits):
+        return sorted((s, e, t) for s, e, t in hits if t in terms)
+
+    for chunk in (TM.CHUNK, 100):  # 100: texts of several pieces between those that share a chunk
+        monkeypatch.setattr(TM, "CHUNK", chunk)
+        got = [places(hits) for hits in known.hits_of(texts)]
+        assert got == [found(text, [(t, t) for t in terms]) for text in texts]
+        if chunk > 100:
+            assert len(calls) <= 1 + len(known.short) + len(known.long)
+
+
 def test_term_with_regex_text(spark):
     df = spark.createDataFrame([(1, r"a.b\Ec a.b")], "id int, text string")
     got = df.select(S.phrase_spans(F.col("text"), [("x", "a.b"), ("y", r"\E")]).alias("l")).first()["l"]
