@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noticeloom.functions.arrays import SPAN_TYPE, bind, empty, index_range, overlap_free, unnest
+from noticeloom.functions.arrays import SPAN_TYPE, bind, empty, index_range, items, lower_bound, overlap_free, total, unnest
 from noticeloom.operators.spans import span
 
 SLICE = 500
@@ -54,14 +54,68 @@ def _resolved(spans: Column) -> Column:
     return bind(edges, pieces)
 
 
-def bio_tags(length: Column, spans: Column) -> Column:
-    """``B-x`` / ``I-x`` / ``O`` per character; spans without overlap take a one-pass route."""
+def tag_pieces(spans: Column) -> Column:
+    """What the tags of a text are painted from: ordered, disjoint (start, end, first, label).
+
+    A piece is tagged ``I-x`` throughout, from a ``B-x`` on if it is ``first``; the rest of the text is ``O``.
+    """
     plain = F.transform(
         F.sort_array(spans),
         lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(True).alias("first"), s["label"].alias("label")),
     )
-    pieces = F.when(overlap_free(spans), plain).otherwise(_resolved(spans))
-    return bind(pieces, lambda p: _painted(length, p))
+    return F.when(overlap_free(spans), plain).otherwise(_resolved(spans))
+
+
+def bio_tags(length: Column, spans: Column) -> Column:
+    """``B-x`` / ``I-x`` / ``O`` per character; spans without overlap take a one-pass route."""
+    return bind(tag_pieces(spans), lambda p: _painted(length, p))
+
+
+def piece_spans(pieces: Column) -> Column:
+    """:func:`tag_spans` of the tags painted from pieces, by the pieces alone."""
+
+    def opens(p: Column, k: Column) -> Column:
+        return p["first"] | (k == 0) | (F.get(pieces, k - 1)["end"] != p["start"])
+
+    def run(first: Column, last: Column) -> Column:
+        own = F.transform(F.sequence(first, last), lambda k: F.get(pieces, k))
+
+        def commonest(own: Column) -> Column:
+            def chars(label: Column) -> Column:
+                return total(F.transform(F.filter(own, lambda p: p["label"] == label), lambda p: p["end"] - p["start"]))
+
+            labels = F.array_distinct(F.transform(own, lambda p: p["label"]))
+            return F.array_max(F.transform(labels, lambda x, i: F.struct(chars(x).alias("n"), (-i).alias("i"), x.alias("k"))))["k"]
+
+        label = F.when(first == last, F.get(pieces, first)["label"]).otherwise(bind(own, commonest))
+        return span(F.get(pieces, first)["start"], F.get(pieces, last)["end"], label)
+
+    def runs(at: Column) -> Column:
+        return F.transform(at, lambda k, i: run(k, F.coalesce(F.get(at, i + 1), F.size(pieces)) - 1))
+
+    return bind(F.filter(index_range(F.size(pieces)), lambda k: opens(F.get(pieces, k), k)), runs)
+
+
+def same_tags(length: Column, one: Column, other: Column) -> Column:
+    """Characters of a text that two lists of pieces give the same tag, ``O`` included."""
+
+    def covered(pieces: Column) -> Column:
+        return total(F.transform(pieces, lambda p: p["end"] - p["start"]))
+
+    def gain(a: Column, b: Column) -> Column:
+        """Of two pieces that meet: the characters in both, and those of them with the same tag."""
+        low, both = F.greatest(a["start"], b["start"]), F.least(a["end"], b["end"]) - F.greatest(a["start"], b["start"])
+        heads = (a["first"] & (a["start"] == low)) != (b["first"] & (b["start"] == low))
+        return both + F.when(a["label"] == b["label"], both - heads.cast("int")).otherwise(F.lit(0))
+
+    def met(starts: Column, ends: Column) -> Column:
+        def of_piece(a: Column) -> Column:
+            return total(items(other, lower_bound(ends, a["start"] + 1), lower_bound(starts, a["end"]), lambda b: gain(a, b)))
+
+        return total(F.transform(one, of_piece))
+
+    starts, ends = F.transform(other, lambda b: b["start"]), F.transform(other, lambda b: b["end"])
+    return length - covered(one) - covered(other) + bind(starts, lambda s: bind(ends, lambda e: met(s, e)))
 
 
 def tag_vocabulary(labels: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticeloom.functions.arrays import bind, empty, unnest
-from noticeloom.operators.bio import tag_spans
+from noticeloom.operators.bio import piece_spans, same_tags, tag_spans
 from noticeloom.operators.ranking import number_rows
 
 ALL_TYPES = "ALL"
@@ -92,21 +92,48 @@ def tag_scores(df: DataFrame, doc: str, gold="gold_tags", pred="pred_tags", igno
     kept_gold = F.when(F.array_contains(g, ignored), F.filter(g, lambda t: t != ignored)).otherwise(g)
     kept_pred = F.when(F.array_contains(g, ignored), F.filter(p, lambda t, i: F.get(g, i) != ignored)).otherwise(p)
     used = df.select(doc, kept_gold.alias("_g"), kept_pred.alias("_p"))
-    rows = used.select(
-        doc,
-        F.size("_g").alias("_n"),
-        F.size(F.filter(F.zip_with("_g", "_p", lambda a, b: a == b), lambda same: same)).alias("_same"),
-        F.concat(
-            F.transform(tag_spans(F.col("_g")), lambda x: F.struct(x["start"], x["end"], x["label"], F.lit(1).alias("in_gold"))),
-            F.transform(tag_spans(F.col("_p")), lambda x: F.struct(x["start"], x["end"], x["label"], F.lit(0).alias("in_gold"))),
-        ).alias("_spans"),
+    same = F.size(F.filter(F.zip_with("_g", "_p", lambda a, b: a == b), lambda same: same))
+    return _scores_with_accuracy(used, doc, F.size("_g"), same, tag_spans(F.col("_g")), tag_spans(F.col("_p")))
+
+
+def piece_scores(df: DataFrame, doc: str, length: str, gold: str, pred: str) -> DataFrame:
+    """:func:`tag_scores` of tags that are given by the pieces they are painted from, without a tag per character."""
+    g, p = F.col(gold), F.col(pred)
+    return _scores_with_accuracy(df, doc, F.col(length), same_tags(F.col(length), g, p), piece_spans(g), piece_spans(p))
+
+
+def _scores_with_accuracy(df: DataFrame, doc: str, n: Column, same: Column, gold: Column, pred: Column) -> DataFrame:
+    """Scores of the spans of both sides, and the share ``same / n`` over all rows.
+
+    A row's counts go along as one more row without a side, so the work on a row is done once.
+    """
+
+    def side(spans: Column, in_gold: int) -> Column:
+        return F.transform(
+            spans, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["label"].alias("label"), F.lit(in_gold).alias("in_gold"))
+        )
+
+    nothing = F.lit(None)
+    counts = F.struct(
+        n.cast("int").alias("start"), same.cast("int").alias("end"), nothing.cast("string").alias("label"), nothing.cast("int").alias("in_gold")
     )
-    accuracy = rows.agg((F.sum("_same") / F.sum("_n")).alias("accuracy"))
+    stacked = unnest(df, [doc], F.concat(F.array(counts), side(gold, 1), side(pred, 0)), "_s").select(doc, "_s.*")
+    seen = stacked.groupBy(doc, "start", "end", "label").agg(
+        F.max("in_gold").alias("g"), (1 - F.min("in_gold")).alias("p"), F.count("*").alias("c")
+    )
+
+    def over_rows(column: str) -> Column:
+        return F.sum(F.when(F.col("g").isNull(), F.col(column) * F.col("c")))
 
-    spans = unnest(rows, [doc], "_spans", "s").select(doc, "s.*").toDF(doc, "start", "end", "label", "in_gold")
-    overall = stacked_scores(spans, [doc, "start", "end", "label"]).filter(F.col("item") == ALL_TYPES)
-    return overall.select(
-        F.col("p").alias("precision"), F.col("r").alias("recall"), F.col("f").alias("f1"), accuracy.scalar().alias("accuracy")
+    overall = seen.agg(
+        F.sum(F.col("g") * F.col("p")).alias("tp"),
+        F.sum((1 - F.col("g")) * F.col("p")).alias("fp"),
+        F.sum(F.col("g") * (1 - F.col("p"))).alias("fn"),
+        over_rows("start").alias("n"),
+        over_rows("end").alias("same"),
+    )
+    return with_prf(overall).select(
+        F.col("p").alias("precision"), F.col("r").alias("recall"), F.col("f").alias("f1"), (F.col("same") / F.col("n")).alias("accuracy")
     )
 
 

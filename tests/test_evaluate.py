@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import tuples
+from noticeloom.operators import bio as B
 from noticeloom.operators import evaluate as E
 
 SPANS = "doc int, start int, end int, label string"
@@ -44,6 +45,41 @@ def test_tag_scores_skip_ignored(spark):
     assert (row["precision"], row["recall"], round(row["f1"], 4), row["accuracy"]) == (1.0, 0.5, 0.6667, 0.75)
 
 
+def test_piece_scores_are_the_tag_scores_of_the_painted_tags(spark, docs, monkeypatch):
+    rng = random.Random(4)
+
+    def spans(n):
+        starts = [rng.randrange(n - 1) for _ in range(rng.choice([0, 1, 3, 9]))]
+        return [(s, rng.randint(s + 1, min(n, s + 6)), rng.choice("xyz")) for s in starts]
+
+    sizes = [rng.choice([2, 12, 40]) for _ in range(120)]
+    gold, pred = [[spans(n) for n in sizes] for _ in "gp"]
+    pred[:10] = gold[:10]
+    df = docs([(i, "a" * n, g) for i, (n, g) in enumerate(zip(sizes, gold))])
+    other = docs([(i, "", p) for i, p in enumerate(pred)]).select("id", F.col("label").alias("pred"))
+    both = df.join(other, "id").select("id", F.length("text").alias("n"), "label", "pred")
+    tags = both.select("id", "n", *[B.bio_tags(F.col("n"), F.col(c)).alias(t) for c, t in (("label", "gold_tags"), ("pred", "pred_tags"))])
+    pieces = both.select("id", "n", B.tag_pieces(F.col("label")).alias("g"), B.tag_pieces(F.col("pred")).alias("p"))
+    want = [
+        (r["id"], r["g"], r["p"], sum(a == b for a, b in zip(r["gold_tags"], r["pred_tags"])))
+        for r in tags.select("*", B.tag_spans(F.col("gold_tags")).alias("g"), B.tag_spans(F.col("pred_tags")).alias("p")).collect()
+    ]
+    same = B.same_tags(F.col("n"), F.col("g"), F.col("p"))
+    assert tuples(pieces.select("id", B.piece_spans(F.col("g")), B.piece_spans(F.col("p")), same).collect()) == sorted(want)
+    scores = E.tag_scores(tags, "id").first()
+    assert 0 < scores["f1"] < 1
+    monkeypatch.setattr(E, "tag_spans", None)  # no tag per character is made of the pieces
+    assert E.piece_scores(pieces, "id", "n", "g", "p").first() == scores
+
+
+def test_tag_scores_read_their_rows_once(spark, tmp_path):
+    rows = [(1, ["B-a", "I-a"], ["B-a", "O"]), (1, ["B-a", "I-a"], ["B-a", "O"])]  # rows of one id count twice in the accuracy
+    spark.createDataFrame(rows, "doc int, gold_tags array<string>, pred_tags array<string>").write.parquet(str(tmp_path / "t"))
+    scores = E.tag_scores(spark.read.parquet(str(tmp_path / "t")), "doc")
+    assert scores.first()["accuracy"] == 0.5
+    assert scores._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
 def test_overlap_scores(spark):
     df = spark.createDataFrame([(1, "the cat the", "The cat!"), (2, "", "x")], "id int, pred string, ref string")
     row = E.overlap_scores(df, "pred", "ref", 1).first()
