@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from noticeloom.functions.arrays import bind, unnest
+from noticeloom.functions.arrays import bind, lower_bound, unnest
 from noticeloom.operators.ranking import distinct_first
 from noticeloom.operators.spans import span
 
@@ -213,43 +213,34 @@ def comparison_report(human: DataFrame, machine: DataFrame, doc: str, near: int
     def side(df: DataFrame, is_human: int) -> DataFrame:
         return df.select(doc, "pos", "start", "end", "label", "value", F.lit(is_human).alias("is_human"))
 
-    both = side(human, 1).unionByName(side(machine, 0))
-    same = Window.partitionBy(doc, "start", "end", "label")
-    typed = Window.partitionBy(doc, "label")
-    me = F.struct("start", "end", "value", "pos")
-    is_machine = F.col("is_human") == 0
-    fore = Window.partitionBy(doc, "label").orderBy(F.asc("start"), F.asc("is_human"), F.desc("pos")).rowsBetween(Window.unboundedPreceding, 0)
-    back = Window.partitionBy(doc, "label").orderBy(F.desc("start"), F.asc("is_human"), F.desc("pos")).rowsBetween(Window.unboundedPreceding, 0)
-    nth = F.row_number().over(Window.partitionBy(doc, "label", "is_human").orderBy("pos"))
-    marked = both.withColumns(
-        {
-            "agreed": F.min("is_human").over(same) != F.max("is_human").over(same),
-            "n_machine": F.count(F.when(is_machine, 1)).over(typed),
-            "n_human": F.count(F.when(~is_machine, 1)).over(typed),
-            "_before": F.last(F.when(is_machine, me), ignorenulls=True).over(fore),
-            "_after": F.last(F.when(is_machine, me), ignorenulls=True).over(back),
-            "_nth": nth,
-            "_first": F.min_by(F.when(~is_machine, me), F.when(~is_machine, F.col("pos"))).over(typed),
-        }
+    def listed(is_human: int, *fields: str) -> Column:
+        return F.sort_array(F.collect_list(F.when(F.col("is_human") == is_human, F.struct(*fields))))
+
+    # One grouping brings a type's spans of a document together; all else is bisection in their lists, so a task
+    # holds its spans once. Of machine spans with one start the first counts.
+    both = side(human, 1).unionByName(side(machine, 0)).groupBy(doc, F.col("label").alias("label_type")).agg(
+        listed(1, "pos", "start", "end", "value").alias("_h"), listed(0, "start", "pos", "end", "value").alias("_m")
     )
+    first_of_start = F.filter("_m", lambda m, i: (i == 0) | (F.get(F.col("_m"), i - 1)["start"] != m["start"]))
+    both = both.withColumns({"_near": first_of_start, "_places": F.sort_array(F.transform("_m", _place))})
+    both = both.withColumn("_starts", F.transform("_near", lambda m: m["start"]))
 
-    def gap(column: str) -> Column:
-        return F.abs(F.col(f"{column}.start") - F.col("start"))
+    def nearest(start: Column) -> Column:
+        def of(k: Column) -> Column:
+            before, after = F.get(F.col("_near"), k - 1), F.get(F.col("_near"), k)
+            closer = before.isNull() | (after["start"] - start < start - before["start"])
+            return F.when(after.isNotNull() & closer, after).otherwise(before)
 
-    nearest = (
-        F.when(F.col("_after").isNull(), F.col("_before"))
-        .when(F.col("_before").isNull(), F.col("_after"))
-        .when(gap("_after") < gap("_before"), F.col("_after"))
-        .otherwise(F.col("_before"))
-    )
+        return bind(lower_bound(F.col("_starts"), start), of)
 
-    def report(when: Column, kind: Column, h: str | None, a: str | None, analysis: Column | None) -> Column:
-        def field(prefix: str | None, name: str, as_type: str) -> Column:
-            if prefix is None:
-                return F.lit(None).cast(as_type)
-            return F.col(f"{prefix}.{name}" if prefix else name)
+    def agreed(h: Column) -> Column:
+        return F.coalesce(F.get(F.col("_places"), lower_bound(F.col("_places"), _place(h))) == _place(h), F.lit(False))
 
-        row = F.struct(
+    def report(kind: Column, h: Column | None, a: Column | None) -> Column:
+        def field(of: Column | None, name: str, as_type: str) -> Column:
+            return F.lit(None).cast(as_type) if of is None else of[name]
+
+        return F.struct(
             kind.alias("wrong_type"),
             field(h, "start", "int").alias("human_start"),
             field(h, "end", "int").alias("human_end"),
@@ -257,28 +248,35 @@ def comparison_report(human: DataFrame, machine: DataFrame, doc: str, near: int
             field(a, "start", "int").alias("ai_start"),
             field(a, "end", "int").alias("ai_end"),
             field(a, "value", "string").alias("ai_label"),
-            (kind if analysis is None else analysis).alias("rule_analysis"),
         )
-        return F.when(when, row)
-
-    def analysed(h: str, a: str) -> Column:
-        def c(prefix: str, name: str) -> Column:
-            return F.col(f"{prefix}.{name}" if prefix else name)
-
-        return rule_analysis(c(h, "start"), c(h, "end"), c(h, "value"), c(a, "start"), c(a, "end"), c(a, "value"))
-
-    human_row, machine_row = F.col("is_human") == 1, F.col("is_human") == 0
-    wrong_kind = F.when(gap("_hit") < near, F.lit(AI_WRONG_PLACE)).otherwise(F.lit(AI_WRONG))
-    # The classes of a span are listed beside it, so the windows above are computed once.
-    classes = F.array(
-        report(human_row & (F.col("_nth") == 2), F.lit(TWICE), "_first", "", analysed("_first", "")),
-        report(human_row & (F.col("n_machine") == 0), F.lit(AI_MISSED), "", None, None),
-        report(machine_row & (F.col("n_human") == 0), F.lit(AI_EXTRA), None, "", None),
-        report(human_row & ~F.col("agreed") & (F.col("n_machine") > 0), wrong_kind, "", "_hit", analysed("", "_hit")),
-    )
-    keep = [doc, F.col("label").alias("label_type"), F.col("n_machine").alias("n_candidates")]
-    rows = unnest(marked.withColumn("_hit", nearest), keep, F.array_compact(classes), "_r")
-    return rows.select(doc, "label_type", "_r.*", "n_candidates")
+
+    def held_against(h: Column) -> Column:
+        def against(hit: Column) -> Column:
+            kind = F.when(F.abs(hit["start"] - h["start"]) < near, F.lit(AI_WRONG_PLACE)).otherwise(F.lit(AI_WRONG))
+            return report(kind, h, hit)
+
+        return bind(nearest(h["start"]), against)
+
+    no_machine, no_human = F.size("_m") == 0, F.size("_h") == 0
+
+    def classes(h: Column, i: Column) -> Column:
+        return F.array(
+            F.when(i == 1, report(F.lit(TWICE), F.get(F.col("_h"), 0), h)),
+            F.when(no_machine, report(F.lit(AI_MISSED), h, None)).when(~agreed(h), held_against(h)),
+        )
+
+    extra = F.transform(F.filter("_m", lambda _: no_human), lambda m: report(F.lit(AI_EXTRA), None, m))
+    keep = [doc, "label_type", F.size("_m").cast("bigint").alias("n_candidates")]
+    rows = unnest(both, keep, F.concat(F.flatten(F.transform("_h", classes)), extra), "_r").select(doc, "label_type", "_r.*", "n_candidates")
+    analysis = rule_analysis(*(F.col(f"{who}_{what}") for who in ("human", "ai") for what in ("start", "end", "label")))
+    alone = F.col("wrong_type").isin(AI_MISSED, AI_EXTRA)
+    shown = rows.withColumn("rule_analysis", F.when(alone, F.col("wrong_type")).otherwise(analysis))
+    return shown.select(*[c for c in rows.columns if c != "n_candidates"], "rule_analysis", "n_candidates")
+
+
+def _place(span_: Column) -> Column:
+    """Start and end of a span as one number."""
+    return span_["start"].cast("bigint") * (1 << 32) + span_["end"]
 
 
 def comparison_blocks(human: DataFrame, machine: DataFrame, doc: str) -> DataFrame:

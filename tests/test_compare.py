@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,6 +54,31 @@ def test_report_classes(docs):
     assert extra["human_start"] is None and extra["ai_label"] == "c"
 
 
+def test_report_by_brute_force_without_windows(spark, docs):
+    rng = random.Random(6)
+    text = "".join(chr(97 + i % 26) for i in range(60))
+
+    def spans():
+        return sorted((s, s + rng.randint(1, 3), rng.choice("xy")) for s in (rng.randrange(0, 57, 3) for _ in range(rng.randint(0, 6))))
+
+    sides = [[(i, text, spans()) for i in range(60)] for _ in "hm"]
+    report = X.comparison_report(*[rows(docs, side) for side in sides], "id")
+    assert "Window" not in report._jdf.queryExecution().executedPlan().toString()  # a sort each, all held by the task
+    want = []
+    for (i, _, human), (_, _, machine) in zip(*sides):
+        for label in "xy":
+            h, m = ([s[:2] for s in side if s[2] == label] for side in (human, machine))
+            if len(h) > 1:
+                want.append((i, label, X.TWICE, *h[0], *h[1], len(m)))
+            want += [(i, label, X.AI_MISSED, *s, None, None, 0) for s in h if not m]
+            want += [(i, label, X.AI_EXTRA, None, None, *s, len(m)) for s in m if not h]
+            for s in (s for s in h if m and s not in m):
+                hit = min(m, key=lambda t: (abs(t[0] - s[0]), t))
+                want.append((i, label, X.AI_WRONG_PLACE if abs(hit[0] - s[0]) < X.NEAR_BY_TYPE else X.AI_WRONG, *s, *hit, len(m)))
+    got = report.select("id", "label_type", "wrong_type", "human_start", "human_end", "ai_start", "ai_end", "n_candidates").collect()
+    assert sorted(map(str, (tuple(r) for r in got))) == sorted(map(str, want))
+
+
 @pytest.mark.parametrize(
     "h, a, want",
     [
